@@ -13,7 +13,7 @@ SALTS = 32
 def estimated_bytes(df: DataFrame) -> int:
     """Size of the result as Spark's optimizer bounds it; starts no job."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    return int(plan.stats().sizeInBytes().toString())
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def measured_bytes(df: DataFrame) -> int:

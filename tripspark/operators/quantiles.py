@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 ACCURACY = 10000
+SALTS = 16
 
 
 def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=False,
@@ -36,9 +37,9 @@ def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=
     # A value outside all brackets is represented by the next bracket's lower end, just before
     # the values of that bracket; past the last bracket it can no longer matter.
     following = F.least(*[F.when(lo > F.col("_x"), lo) for lo in low], F.lit(float("inf")))
-    counted = (placed.select(*keys, "_n", inside.alias("_in"),
+    counted = (placed.select(*keys, "_n", "_c", inside.alias("_in"),
                              F.when(inside, F.col("_x")).otherwise(following).alias("_x"))
-               .groupBy(*keys, "_n", "_x", "_in").agg(F.count("*").alias("_c")))
+               .groupBy(*keys, "_n", "_x", "_in").agg(F.sum("_c").alias("_c")))
     w = (Window.partitionBy(*keys, "_n").orderBy("_x", "_in")
          .rowsBetween(Window.unboundedPreceding, 0))
     ranked = counted.withColumn("_rank", F.sum("_c").over(w)).where("_in")
@@ -48,14 +49,20 @@ def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=
 
 
 def _with_brackets(data, brackets, keys):
-    if keys:
-        same = [data[k].eqNullSafe(brackets[k]) for k in keys]
-        # The bracket table has one row per key.  Spark broadcasts it under its own size
-        # threshold; otherwise adaptive execution splits the rows of a hot key.
-        return (data.join(brackets, same, "inner")
-                .select(*[data[k] for k in keys], "_x", "_n", "_ends"))
-    return data.withColumns({"_n": brackets.select("_n").scalar(),
-                             "_ends": brackets.select("_ends").scalar()})
+    """Each value with its count and the brackets of its key."""
+    if not keys:
+        return data.withColumns({"_c": F.lit(1), "_n": brackets.select("_n").scalar(),
+                                 "_ends": brackets.select("_ends").scalar()})
+    # One row per (key, value), spread over salted copies of the one bracket row per key, so
+    # neither many copies of a value nor a hot key meets in one task.
+    counted = (data.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
+               .withColumn("_s", F.pmod(F.xxhash64("_x"), F.lit(SALTS)).cast("int")))
+    names = [f"_k{i}" for i in range(len(keys))]
+    copies = brackets.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_n", "_ends",
+                             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_t"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    return (counted.join(copies, [*same, F.col("_s") == F.col("_t")])
+            .select(*keys, "_x", "_c", "_n", "_ends"))
 
 
 def quantile_trim(df: DataFrame, column, low=0.01, high=0.99, exact=True,
