@@ -19,9 +19,10 @@ from ..sources.shared import ensure_checkpoints, materialise
 from . import evaluation
 
 
-def impute_stage(numeric):
+def impute_stage(numeric, relative_error=0.001):
+    """NULL and NaN to the median, an element of the column, within the given rank error."""
     return Imputer(inputCols=list(numeric), outputCols=[c + "_imputed" for c in numeric],
-                   strategy="median")
+                   strategy="median", relativeError=relative_error)
 
 
 def index_stage(categorical):

@@ -78,9 +78,12 @@ def _score(cells):
 
 
 def feature_rank(scores: DataFrame, score="score", name="feature") -> DataFrame:
-    """Rank by score, best first, equal scores by name, NULL last."""
+    """Rank by score, best first, equal scores by name, NULL last.
+
+    Scores are sums of floating-point terms, so they count as equal when nine decimals agree.
+    """
     # The table has one row per feature, so one window partition is enough.
-    w = Window.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last(score), name)
+    w = Window.partitionBy(F.lit(0)).orderBy(F.round(score, 9).desc_nulls_last(), name)
     return scores.withColumn("rank", F.row_number().over(w))
 
 

@@ -32,7 +32,8 @@ def run_fully(df: DataFrame) -> None:
 def has_avro(spark: SparkSession) -> bool:
     """Whether the optional Avro module is on the class path."""
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
+        spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
+            "avro", spark._jsparkSession.sessionState().conf())
         return True
     except Exception:
         return False

@@ -1,5 +1,7 @@
 """DuckDB SQL that states what each registered query must return."""
 
+from .. import schema as S
+
 # The telemetry and vehicle view of proxy.py, restated in DuckDB.
 _EVENTS = """
 ev as (
@@ -106,6 +108,42 @@ trips as (
   from sums where distance_km >= 0.5)"""
 
 
+_MODEL = """
+bounds as (
+  select quantile_disc(fuel_l_per_100km, 0.01) as lo, quantile_disc(fuel_l_per_100km, 0.99) as hi
+  from trips where fuel_l_per_100km > 0),
+model as (
+  select trips.* from trips, bounds
+  where fuel_l_per_100km > 0 and fuel_l_per_100km between lo and hi and distance_km >= 0.5
+    and duration_min > 0 and speed_mean between 0 and 160)"""
+
+
+def _cells(feature):
+    filled = (f"select coalesce({feature}, (select quantile_disc({feature}, 0.5) from model)) "
+              "as x, fuel_l_per_100km as y from model")
+    return f"""
+  select '{feature}' as feature, count(*) as n,
+         case when hi > lo then least(floor((x - lo) / (hi - lo) * 32), 31)
+              when hi = lo then 0 end as bin_x,
+         least(floor((y - ylo) / (yhi - ylo) * 32), 31) as bin_y
+  from ({filled}) f,
+       (select min(x) as lo, max(x) as hi, min(y) as ylo, max(y) as yhi from ({filled}))
+  group by all"""
+
+
+_SCORES = """
+cells as (""" + " union all ".join(map(_cells, S.NUMERIC_CANDIDATES)) + """),
+marginals as (
+  select *, sum(n) over (partition by feature) as n_all,
+         sum(n) over (partition by feature, bin_x) as n_x,
+         sum(n) over (partition by feature, bin_y) as n_y
+  from cells),
+scores as (
+  select feature, sum(n / n_all * ln(n * n_all / (n_x * n_y))) as score,
+         cast(sum(n) as bigint) as n_rows
+  from marginals group by feature)"""
+
+
 def _view(*parts):
     return "with" + ",".join(parts)
 
@@ -114,6 +152,8 @@ TELEMETRY = _view(_EVENTS)
 VEHICLES = _view(_VEHICLES)
 ENRICHED = _view(_EVENTS, _VEHICLES, _ENRICHED)
 TRIPS = _view(_EVENTS, _VEHICLES, _ENRICHED, _TRIPS)
+MODEL = _view(_EVENTS, _VEHICLES, _ENRICHED, _TRIPS, _MODEL)
+SCORES = _view(_EVENTS, _VEHICLES, _ENRICHED, _TRIPS, _MODEL, _SCORES)
 
 
 def rounded(names, prefix=""):
