@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.derive import safe_ratio
-from .quantiles import ACCURACY, grouped_quantiles
+from .quantiles import ACCURACY, clean_double, column_quantiles, column_residue, read_off
 
 PROBABILITIES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
 # Longer texts are compared by digest, so that they need not be shuffled.
@@ -86,8 +86,7 @@ def numeric_summary(tables: dict) -> DataFrame:
     """Per numeric column: count, mean, sample deviation and variance, minimum and maximum."""
     def one(name, df):
         columns = _fields(df, T.NumericType)
-        clean = df.select(*[F.nanvl(_q(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}")
-                            for i, c in enumerate(columns)])
+        clean = df.select(*[clean_double(_q(c)).alias(f"c{i}") for i, c in enumerate(columns)])
         flat = clean.agg(*[
             F.struct(*[fn(f"c{i}").alias(s) for s, fn in _STATISTICS.items()]).alias(f"c{i}")
             for i in range(len(columns))])
@@ -100,23 +99,14 @@ def numeric_summary(tables: dict) -> DataFrame:
 def numeric_quantiles(tables: dict, exact=False, accuracy=ACCURACY) -> DataFrame:
     """Per numeric column with values: five quantiles, each an element of the column."""
     outputs, wanted = list(PROBABILITIES), list(PROBABILITIES.values())
-
-    def one(name, df):
-        columns = _fields(df, T.NumericType)
-        if exact:
-            values = df.select(*[_q(c).cast("double").alias(c) for c in columns])
-            long = values.unpivot([], [_q(c) for c in columns], "column_name", "x")
-            out = grouped_quantiles(long, ["column_name"], "x", wanted, outputs, True, accuracy)
-        else:
-            clean = df.select(*[F.nanvl(_q(c).cast("double"), F.lit(None).cast("double")).alias(c)
-                                for c in columns])
-            flat = clean.agg(*[F.percentile_approx(_q(c), F.array(*map(F.lit, wanted)), accuracy)
-                               .alias(c) for c in columns])
-            out = (flat.unpivot([], [_q(c) for c in columns], "column_name", "q")
-                   .where(F.col("q").isNotNull())
-                   .select("column_name", *[F.col("q")[i].alias(o) for i, o in enumerate(outputs)]))
-        return _named(out, name)
-    return _stack(one(n, d) for n, d in tables.items() if _fields(d, T.NumericType))
+    numeric = {name: _fields(df, T.NumericType) for name, df in tables.items()}
+    numeric = {name: columns for name, columns in numeric.items() if columns}
+    if exact:
+        residue = _stack(_named(column_residue(tables[n], c, wanted, accuracy), n)
+                         for n, c in numeric.items())
+        return read_off(residue, ["table_name", "column_name"], wanted, outputs)
+    return _stack(_named(column_quantiles(tables[n], c, wanted, outputs, accuracy=accuracy), n)
+                  for n, c in numeric.items())
 
 
 def categorical_summary(tables: dict, exact=False) -> DataFrame:

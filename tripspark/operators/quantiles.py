@@ -1,4 +1,10 @@
-"""Quantiles that are elements of the data: approximate in one pass, exact in two."""
+"""Quantiles that are elements of the data: approximate in one pass, exact in two.
+
+The approximate form is one mergeable sketch per group.  The exact form uses such a sketch only
+to bracket each answer.  Values inside a bracket are then counted one by one, all others only
+per gap between brackets.  What is left to sort per group is a small fixed share of its values,
+however many there are, and map-side combining does that reduction before the shuffle.
+"""
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -6,40 +12,38 @@ ACCURACY = 10000
 SALTS = 16
 
 
-def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=False,
-                      accuracy=ACCURACY) -> DataFrame:
-    """Per key, the smallest value whose cumulative share reaches each probability.
+def clean_double(column):
+    """The column as a double, NaN as NULL."""
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
 
-    NULL and NaN are left out; a key without values gives no row.  The approximate form is one
-    mergeable sketch per key.  The exact form uses such a sketch only to bracket each answer:
-    values inside a bracket are counted one by one, all others only per gap between brackets.
-    What is left to sort per key is then a fixed small share of its values, however many the
-    key has.
-    """
-    x = F.col(value).cast("double")
-    data = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if not exact:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        sketch = data.groupBy(*keys).agg(F.percentile_approx("_x", wanted, accuracy).alias("_q"))
-        return sketch.select(*keys, *[F.col("_q")[i].alias(o) for i, o in enumerate(outputs)])
 
+def _sketch(x, probabilities, accuracy):
+    return F.percentile_approx(x, F.array(*[F.lit(float(p)) for p in probabilities]), accuracy)
+
+
+def _ends(probabilities, accuracy):
+    """Probabilities whose sketched values are certain to enclose each exact quantile."""
     margin = 4.0 / accuracy
-    ends = [p for q in probabilities for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    brackets = data.groupBy(*keys).agg(
-        F.count("_x").alias("_n"),
-        F.percentile_approx("_x", F.array(*map(F.lit, ends)), accuracy).alias("_ends"))
-    placed = _with_brackets(data, brackets, keys)
-    low = [F.col("_ends")[2 * i] for i in range(len(probabilities))]
-    high = [F.col("_ends")[2 * i + 1] for i in range(len(probabilities))]
+    return [end for p in probabilities for end in (max(0.0, p - margin), min(1.0, p + margin))]
+
+
+def _collapse(x, ends, how_many):
+    """(value, whether it lies in a bracket), with one stand-in for each gap between brackets.
+
+    The stand-in is the lower end of the next bracket and sorts just before its values; behind
+    the last bracket the value no longer matters.
+    """
+    low = [ends[2 * i] for i in range(how_many)]
     inside = F.lit(False)
-    for lo, hi in zip(low, high):
-        inside = inside | F.col("_x").between(lo, hi)
-    # A value outside all brackets is represented by the next bracket's lower end, just before
-    # the values of that bracket; past the last bracket it can no longer matter.
-    following = F.least(*[F.when(lo > F.col("_x"), lo) for lo in low], F.lit(float("inf")))
-    counted = (placed.select(*keys, "_n", "_c", inside.alias("_in"),
-                             F.when(inside, F.col("_x")).otherwise(following).alias("_x"))
-               .groupBy(*keys, "_n", "_x", "_in").agg(F.sum("_c").alias("_c")))
+    for i, lo in enumerate(low):
+        inside = inside | x.between(lo, ends[2 * i + 1])
+    following = F.least(*[F.when(lo > x, lo) for lo in low], F.lit(float("inf")))
+    return F.when(inside, x).otherwise(following), inside
+
+
+def read_off(residue, keys, probabilities, outputs):
+    """Quantiles per key from rows (_n, _x, _in, _c): total, value, bracketed or not, count."""
+    counted = residue.groupBy(*keys, "_n", "_x", "_in").agg(F.sum("_c").alias("_c"))
     w = (Window.partitionBy(*keys, "_n").orderBy("_x", "_in")
          .rowsBetween(Window.unboundedPreceding, 0))
     ranked = counted.withColumn("_rank", F.sum("_c").over(w)).where("_in")
@@ -48,21 +52,81 @@ def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=
     return ranked.groupBy(*keys, "_n").agg(*picks).select(*keys, *outputs)
 
 
-def _with_brackets(data, brackets, keys):
-    """Each value with its count and the brackets of its key."""
-    if not keys:
-        return data.withColumns({"_c": F.lit(1), "_n": brackets.select("_n").scalar(),
-                                 "_ends": brackets.select("_ends").scalar()})
+def column_quantiles(df: DataFrame, columns, probabilities, outputs, exact=False,
+                     accuracy=ACCURACY) -> DataFrame:
+    """Per named numeric column, the smallest value whose cumulative share reaches each
+    probability.  NULL and NaN are left out; a column without values gives no row.
+    """
+    if exact:
+        return read_off(column_residue(df, columns, probabilities, accuracy), ["column_name"],
+                        probabilities, outputs)
+    data, names = _aliased(df, columns)
+    long = _column_sketches(data, names, probabilities, accuracy).unpivot([], names, "a", "e")
+    return long.where("e.n > 0").select(
+        _title(names, columns), *[F.col("e.q")[i].alias(o) for i, o in enumerate(outputs)])
+
+
+def column_residue(df: DataFrame, columns, probabilities, accuracy=ACCURACY) -> DataFrame:
+    """The input of ``read_off`` for the named columns, keyed by ``column_name``.
+
+    There is no group key, so no row of the table is shuffled: the brackets of all columns
+    come back as one row, and the second pass leaves only bracketed values to exchange.
+    """
+    data, names = _aliased(df, columns)
+    brackets = _column_sketches(data, names, _ends(probabilities, accuracy), accuracy)
+    by_column = F.create_map(*[part for a in names for part in (F.lit(a), F.col(a))])
+    long = (data.withColumn("_all", brackets.select(by_column).scalar())
+            .unpivot(["_all"], names, "a", "_v").where(F.col("_v").isNotNull())
+            .withColumn("_e", F.element_at("_all", F.col("a"))))
+    value, inside = _collapse(F.col("_v"), F.col("_e.q"), len(probabilities))
+    return long.select(_title(names, columns), F.col("_e.n").alias("_n"), value.alias("_x"),
+                       inside.alias("_in"), F.lit(1).alias("_c"))
+
+
+def _aliased(df, columns):
+    """The columns as clean doubles under names that need no quoting."""
+    names = [f"c{i}" for i in range(len(columns))]
+    return df.select(*[clean_double(F.col("`" + c.replace("`", "``") + "`")).alias(a)
+                       for c, a in zip(columns, names)]), names
+
+
+def _column_sketches(data, names, probabilities, accuracy):
+    """One row with a struct (n, q) per column."""
+    return data.agg(*[F.struct(F.count(a).alias("n"), _sketch(F.col(a), probabilities, accuracy)
+                               .alias("q")).alias(a) for a in names])
+
+
+def _title(names, columns):
+    titles = F.create_map(*[F.lit(part) for pair in zip(names, columns) for part in pair])
+    return F.element_at(titles, F.col("a")).alias("column_name")
+
+
+def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=False,
+                      accuracy=ACCURACY) -> DataFrame:
+    """Per key, the smallest value whose cumulative share reaches each probability.
+
+    NULL and NaN are left out; a key without values gives no row.
+    """
+    data = df.select(*keys, clean_double(F.col(value)).alias("_x")).where(
+        F.col("_x").isNotNull())
+    if not exact:
+        sketch = data.groupBy(*keys).agg(_sketch("_x", probabilities, accuracy).alias("_q"))
+        return sketch.select(*keys, *[F.col("_q")[i].alias(o) for i, o in enumerate(outputs)])
+
     # One row per (key, value), spread over salted copies of the one bracket row per key, so
     # neither many copies of a value nor a hot key meets in one task.
     counted = (data.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
                .withColumn("_s", F.pmod(F.xxhash64("_x"), F.lit(SALTS)).cast("int")))
-    names = [f"_k{i}" for i in range(len(keys))]
-    copies = brackets.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_n", "_ends",
-                             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_t"))
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
-    return (counted.join(copies, [*same, F.col("_s") == F.col("_t")])
-            .select(*keys, "_x", "_c", "_n", "_ends"))
+    titles = [f"_k{i}" for i in range(len(keys))]
+    brackets = data.groupBy(*[F.col(k).alias(t) for k, t in zip(keys, titles)]).agg(
+        F.count("_x").alias("_n"),
+        _sketch("_x", _ends(probabilities, accuracy), accuracy).alias("_ends"))
+    copies = brackets.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, titles)]
+    placed = counted.join(copies, [*same, F.col("_s") == F.col("_t")])
+    x, inside = _collapse(F.col("_x"), F.col("_ends"), len(outputs))
+    residue = placed.select(*keys, "_n", "_c", x.alias("_x"), inside.alias("_in"))
+    return read_off(residue, keys, probabilities, outputs)
 
 
 def quantile_trim(df: DataFrame, column, low=0.01, high=0.99, exact=True,
@@ -71,6 +135,6 @@ def quantile_trim(df: DataFrame, column, low=0.01, high=0.99, exact=True,
 
     The bounds reach the filter as scalar subqueries, so nothing runs on the driver.
     """
-    bounds = grouped_quantiles(df, [], column, [low, high], ["lo", "hi"], exact, accuracy)
+    bounds = column_quantiles(df, [column], [low, high], ["lo", "hi"], exact, accuracy)
     return df.where((F.col(column) >= bounds.select("lo").scalar())
                     & (F.col(column) <= bounds.select("hi").scalar()))

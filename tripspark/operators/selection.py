@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from . import cleaning
-from .quantiles import grouped_quantiles, quantile_trim
+from .quantiles import column_quantiles, quantile_trim
 
 METHOD = "SelectKBest_mutual_info_regression"
 KEPT = "kept_for_spark_string_indexing"
@@ -20,19 +20,11 @@ def modelling_rows(trips: DataFrame, target=S.TARGET, low=0.01, high=0.99,
 
 def impute_medians(df: DataFrame, features, exact=False) -> DataFrame:
     """Fill NULLs of each feature with its median; an all-NULL feature stays NULL."""
-    if exact:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(
-            [], list(features), "feature", "x")
-        medians = grouped_quantiles(long, ["feature"], "x", [0.5], ["m"], True)
-        # One entry per feature: the map is as small as the feature list.
-        entries = medians.agg(F.map_from_entries(F.collect_list(F.struct("feature", "m")))
-                              .alias("m"))
-    else:
-        flat = df.agg(*[F.percentile_approx(c, 0.5).cast("double").alias(c) for c in features])
-        entries = flat.select(F.create_map(*[e for c in features for e in (F.lit(c), F.col(c))])
-                              .alias("m"))
+    medians = column_quantiles(df, features, [0.5], ["median"], exact)
+    # One entry per feature: the map is as small as the feature list.
+    entries = medians.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "median"))))
     # Held in one column, so that the plan contains the subquery once and not per feature.
-    return (df.withColumn("_medians", entries.select("m").scalar())
+    return (df.withColumn("_medians", entries.scalar())
             .withColumns({c: F.coalesce(F.col(c), F.element_at("_medians", c))
                           for c in features})
             .drop("_medians"))

@@ -11,10 +11,16 @@ from ..operators import cleaning
 
 # Samples of the view lie hours apart, so gaps up to this many seconds count.
 MAX_GAP_S = 21600.0
+_SCHEMAS: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its footer is read once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,9 @@ def trip_table(spark, sf):
 def _model_rows(app, sf):
     from pyspark.sql import SparkSession
     spark = SparkSession.active()
-    return materialise(selection.modelling_rows(trip_table(spark, sf)), "modelling_rows")
+    # The bounds of the target take two passes, so the trips are written out first as well.
+    written = materialise(trip_table(spark, sf), "trip_features")
+    return materialise(selection.modelling_rows(written), "modelling_rows")
 
 
 def model_rows(spark, sf):
