@@ -19,7 +19,7 @@ def ingest(spark, telemetry_csv, vehicles_csv, out) -> None:
     """Weekly CSV files and the vehicle sheet to Parquet."""
     writers.write_parquet(readers.read_telemetry_csv(spark, telemetry_csv), f"{out}/trips")
     vehicles = readers.read_csv(spark, vehicles_csv, sep=",")
-    if "vehtype" not in vehicles.columns:
+    if "eng_dis" not in vehicles.columns:
         vehicles = cleaning.prepare_vehicles(vehicles)
     writers.write_parquet(vehicles, f"{out}/vehicles")
 

@@ -8,8 +8,19 @@ _MB = 1024 * 1024
 
 def _files(spark, root):
     # Only path and length are selected, so no file content is read.
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-            .select(F.col("path").alias("file_path"), "length"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    sized = found.select(F.col("path").alias("file_path"), "length")
+    # A scan skips empty files; the listing that Spark already holds has them.
+    listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "p string")
+    listed = listed.select(_plain("p").alias("plain"), "p")
+    return (listed.join(sized.withColumn("plain", _plain("file_path")), "plain", "left")
+            .select(F.coalesce("file_path", "p").alias("file_path"),
+                    F.coalesce("length", F.lit(0)).alias("length")))
+
+
+def _plain(column):
+    """Path without the scheme of the local file system, whose number of slashes varies."""
+    return F.regexp_replace(column, "^file:/+", "/")
 
 
 def path_size(spark: SparkSession, root) -> DataFrame:
@@ -47,8 +58,7 @@ def file_audit(spark: SparkSession, root, sep=",") -> DataFrame:
     files = _files(spark, root).select(
         "file_path", name.alias("file_name"), extension.alias("extension"),
         F.round(F.col("length") / _MB, 3).alias("size_mb"))
-    # Both sides name files the same way up to the number of slashes after the scheme.
-    plain = F.regexp_replace("file_path", "^file:/+", "/")
+    plain = _plain("file_path")
     shapes = csv_shape(spark, root, sep).select(plain.alias("plain"), "rows", "columns")
     listed = (files.withColumn("plain", plain).join(shapes, "plain", "left").drop("plain")
               .withColumn("rows", F.when((F.col("extension") == ".csv"),
