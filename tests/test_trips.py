@@ -142,14 +142,18 @@ def test_one_hot_trip_with_copies(spark):
             assert r[c] == pytest.approx(plain[r["vehid"]][c], rel=1e-9), (r["vehid"], c)
 
 
-def test_lead_over_long_pauses(spark):
-    df = spark.range(3000).selectExpr(
-        "id as sample_id", "cast(id % 3 as string) as vehid", "'1' as tripid",
-        "cast((id * 7919 % 1000) * 50000 as double) as time_seconds",
+@pytest.mark.parametrize("hot", [10, 10 ** 6])
+def test_lead_over_pauses_and_copies(spark, hot):
+    df = spark.range(4000).selectExpr(
+        "id as sample_id", "if(id % 2 = 0, 'hot', cast(id % 3 as string)) as vehid",
+        "'1' as tripid",
+        # Long pauses, and two times that hold a third of the samples.
+        "case when id % 6 = 0 then 7000000.0D when id % 6 = 2 then 7000100.0D "
+        "else cast((id * 7919 % 1000) * 50000 as double) end as time_seconds",
         "if(id % 7 = 0, null, cast(id as double)) as speed")
     w = Window.partitionBy("vehid", "tripid").orderBy("time_seconds", "sample_id")
     plain = df.select("sample_id", F.lead("time_seconds").over(w), F.lead("speed").over(w))
-    mine = trips.lead_next_sample(df, order=["sample_id"]).select(
+    mine = trips.lead_next_sample(df, tie="sample_id", hot=hot).select(
         "sample_id", "next_time_seconds", "next_speed")
     assert sorted(map(str, mine.collect())) == sorted(
         map(str, plain.toDF(*mine.columns).collect()))

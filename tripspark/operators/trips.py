@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions import derive
-from .joins import attach_vehicle
+from .joins import SALTS, attach_vehicle
 
 CHUNK_GAPS = 24  # chunk length as a multiple of the largest gap
+HOT_TIME = 1_000_000  # samples of one trip at one time beyond which they are divided
+NEVER = -(2 ** 62)  # chunk of samples without a time
 
 
 def _with_chunks(df, time, max_gap_s):
@@ -37,45 +39,74 @@ def clamp_gap(gap, max_gap_s=S.MAX_GAP_S):
     return F.when((gap > 0) & (gap < max_gap_s), gap).otherwise(0.0)
 
 
-def gap_clamp(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", order=(),
+def gap_clamp(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=None,
               max_gap_s=S.MAX_GAP_S, output="dt_s") -> DataFrame:
     """Add the seconds from each sample to the next one of its trip.
 
-    0 for the last sample and for gaps of ``max_gap_s`` or more.  ``order`` names tie-breakers
-    for samples of equal time.
+    0 for the last sample and for gaps of ``max_gap_s`` or more.  ``tie`` names a unique number
+    that orders samples of equal time.
     """
-    spread = _with_chunks(df.where(F.col(time).isNotNull()), time, max_gap_s)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(time, *order)
-    gaps = (spread.withColumn("_gap", F.lead(time).over(w) - F.col(time))
-            .withColumn(output, clamp_gap(F.col("_gap"), max_gap_s))
-            .where("_home = _chunk").drop("_home", "_chunk", "_gap"))
-    untimed = df.where(F.col(time).isNull()).withColumn(output, F.lit(0.0))
-    return gaps.unionByName(untimed) if df.schema[time].nullable else gaps
+    following = "next_" + time
+    led = lead_next_sample(df, keys, time, tie, (), max_gap_s * CHUNK_GAPS)
+    gap = F.col(following) - F.col(time)
+    return led.withColumn(output, clamp_gap(gap, max_gap_s)).drop(following)
 
 
-def lead_next_sample(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", order=(),
-                     carry=("speed",), chunk_s=S.MAX_GAP_S * CHUNK_GAPS) -> DataFrame:
+def _with_pieces(df, keys, time, tie, chunk_s, hot):
+    """Add ``_piece``: an ordered cut of each trip into runs of samples of bounded size.
+
+    Time is cut into chunks.  A single time with more than ``hot`` samples is cut out of its
+    chunk and divided by ranges of the tie-breaker.
+    """
+    chunk = F.coalesce(F.floor(F.col(time) / chunk_s), F.lit(NEVER))
+    df = df.withColumn("_chunk", chunk)
+    if tie is None:
+        return df.withColumn("_piece", F.struct("_chunk"))
+    number = F.col(tie).cast("double")
+    crowded = (df.groupBy(*keys, "_chunk", time)
+               .agg(F.count("*").alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"))
+               .where(F.col("n") > hot)
+               .withColumn("step", (F.col("hi") - F.col("lo")) / F.ceil(F.col("n") / hot))
+               # Each entry stands for more than `hot` samples, so the list is short.
+               .groupBy(*keys, "_chunk")
+               .agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), "lo", "step")))
+                    .alias("_crowded")))
+    # The list is joined in salted copies: the samples of a crowded time meet it in many tasks.
+    salt = F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int")
+    copies = crowded.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    marked = df.withColumn("_salt", salt).join(copies, [*keys, "_chunk", "_salt"], "left")
+    earlier = F.size(F.filter("_crowded", lambda c: c["t"] < F.col(time)))
+    here = F.get(F.filter("_crowded", lambda c: c["t"] == F.col(time)), F.lit(0))
+    span = F.coalesce(2 * earlier + here.isNotNull().cast("int"), F.lit(0))
+    part = F.when(here["step"] > 0, F.floor((number - here["lo"]) / here["step"]))
+    piece = F.struct("_chunk", span.alias("span"), F.coalesce(part, F.lit(0)).alias("part"))
+    return marked.withColumn("_piece", piece).drop("_crowded", "_salt")
+
+
+def lead_next_sample(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=None,
+                     carry=("speed",), chunk_s=S.MAX_GAP_S * CHUNK_GAPS,
+                     hot=HOT_TIME) -> DataFrame:
     """Add the next sample's time (``next_<time>``) and carried values, however far away it is.
 
-    The window runs per (trip, chunk of time).  The last row of a chunk takes its successor
-    from a table with the first row of every chunk, which is small.
+    The window runs per piece of a trip (see ``_with_pieces``).  The last row of a piece takes
+    its successor from a table with the first row of every piece, which is small.  ``tie`` names
+    a unique number that orders samples of equal time; without it their order is arbitrary and
+    all samples of one trip and chunk share a task.
     """
+    order = [time] + ([tie] if tie else [])
     names = [time, *carry]
-    sort = [F.col(c).asc_nulls_first() for c in (time, *order)]
-    chunked = df.withColumn("_chunk", F.coalesce(F.floor(F.col(time) / chunk_s),
-                                                 F.lit(-(2 ** 62))))
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*sort)
+    pieces = _with_pieces(df, keys, time, tie, chunk_s, hot)
+    w = Window.partitionBy(*keys, "_piece").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     row = F.struct(*[F.col(n) for n in names])
-    local = chunked.withColumn("_next", F.lead(row).over(w))
-
-    rank_key = F.struct(*[F.col(c) for c in (time, *order)])
-    heads = chunked.groupBy(*keys, "_chunk").agg(F.min_by(row, rank_key).alias("_head"))
-    follow = heads.select(
-        *keys, "_chunk",
-        F.lead("_head").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_after"))
-    joined = local.join(follow, [*keys, "_chunk"], "left")
+    local = pieces.withColumn("_next", F.lead(row).over(w))
+
+    heads = pieces.groupBy(*keys, "_piece").agg(
+        F.min_by(row, F.struct(*[F.col(c) for c in order])).alias("_head"))
+    after = F.lead("_head").over(Window.partitionBy(*keys).orderBy("_piece"))
+    follow = heads.select(*keys, "_piece", after.alias("_after"))
     following = F.coalesce("_next", "_after")
-    return (joined.withColumns({"next_" + n: following[n] for n in names})
+    return (local.join(follow, [*keys, "_piece"], "left")
+            .withColumns({"next_" + n: following[n] for n in names})
             .select(*df.columns, *["next_" + n for n in names]))
 
 

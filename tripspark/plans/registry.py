@@ -844,13 +844,13 @@ def coverage_after_estimate(spark, sf):
 def lead_next_sample(spark, sf):
     return trips.lead_next_sample(
         telemetry(spark, sf).select("sample_id", *KEYS, "time_seconds", "speed"),
-        order=["sample_id"]).select("sample_id", "next_time_seconds", "next_speed")
+        tie="sample_id").select("sample_id", "next_time_seconds", "next_speed")
 
 
 @query(TRIPS + " select sample_id, round(dt_s + 1e-7, 4) as dt_s from steps")
 def gap_clamp(spark, sf):
     gaps = trips.gap_clamp(telemetry(spark, sf).select("sample_id", *KEYS, "time_seconds"),
-                           order=["sample_id"], max_gap_s=MAX_GAP_S)
+                           tie="sample_id", max_gap_s=MAX_GAP_S)
     return rounded(gaps.select("sample_id", "dt_s"), "dt_s")
 
 
