@@ -3,7 +3,9 @@
 import math
 
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from tripspark import schema as S
@@ -53,6 +55,27 @@ def test_learners_beat_the_mean_and_reload(spark, parts, tmp_path):
     assert mine == again
 
 
+@pytest.mark.parametrize("index", [0, 2])
+def test_cross_validation_equals_the_builtin_one(parts, index):
+    """Preparing once per fold changes nothing against refitting the whole pipeline."""
+    train, test = parts
+    grids = {"LinearRegression": {"regParam": [0.0, 50.0]}, "GBTRegressor": {"maxDepth": [1, 3]}}
+    spec = modeling.default_specs(grids)[index]
+    if index == 2:
+        spec.model.setMaxIter(2)
+    mine = modeling.cross_validate(spec, train, ["speed"], ["kind"], folds=2)
+    builtin = CrossValidator(
+        estimator=modeling.build_pipeline(spec.model, ["speed"], ["kind"], spec.scale),
+        estimatorParamMaps=spec.param_maps(), numFolds=2, foldCol="fold",
+        evaluator=RegressionEvaluator(labelCol="label", metricName="rmse")).fit(
+            modeling.add_folds(train, 2, S.TRIP_KEYS))
+    assert mine.avg_metrics == pytest.approx(builtin.avgMetrics, rel=1e-6)
+    key = "vehid"
+    a = {r[key]: r["prediction"] for r in mine.best_model.transform(test).collect()}
+    b = {r[key]: r["prediction"] for r in builtin.bestModel.transform(test).collect()}
+    assert a == pytest.approx(b, rel=1e-6)
+
+
 def test_folds_depend_on_the_key_only(parts):
     df = modeling.add_folds(parts[0], 3, S.TRIP_KEYS)
     again = modeling.add_folds(parts[0].repartition(5), 3, S.TRIP_KEYS)

@@ -108,6 +108,18 @@ def test_trip_features_of_known_trips(spark):
     assert b["vehtype"] is None, "unknown vehicle"
 
 
+def test_distinct_times_changes_nothing_but_the_plan(spark):
+    df = spark.range(500).selectExpr(
+        "id as sample_id", "cast(id % 3 as string) as vehid", "'1' as tripid",
+        "cast(id * id as double) as time_seconds", "cast(id % 90 as double) as speed",
+        "1.0D as fuel_rate_est_lhr")
+    a, b = (trips.segment_integrals(df, tie="sample_id", distinct_times=d) for d in (True, False))
+    for x, y in zip(a.orderBy("vehid").collect(), b.orderBy("vehid").collect()):
+        assert tuple(x)[:2] == tuple(y)[:2] and tuple(x)[2:] == pytest.approx(tuple(y)[2:])
+    plans = [x._jdf.queryExecution().executedPlan().toString().count("Exchange") for x in (a, b)]
+    assert plans[0] == plans[1] - 1
+
+
 def test_safe_ratio_needs_a_positive_denominator(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, -1.0), (1.0, 2.0)], "n double, d double")
     assert [r[0] for r in df.select(derive.safe_ratio("n", "d")).collect()] == [None, None, 0.5]

@@ -2,6 +2,7 @@
 
 import time
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,7 +10,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
@@ -42,11 +43,10 @@ def scale_stage(center=False):
                           withStd=True)
 
 
-def build_pipeline(model, numeric, categorical, scale=False, center=False) -> Pipeline:
-    """Imputation, encoding, assembly, optional scaling and the model as one estimator.
+def preparation(numeric, categorical, scale=False, center=False) -> list:
+    """Stages from raw columns to the ``features`` vector.
 
-    All categorical columns are indexed in one pass, and cross-validation refits every stage
-    per fold.
+    All categorical columns are indexed in one pass.
     """
     stages, inputs = [], []
     if numeric:
@@ -59,7 +59,12 @@ def build_pipeline(model, numeric, categorical, scale=False, center=False) -> Pi
     stages.append(VectorAssembler(inputCols=inputs, outputCol=assembled, handleInvalid="keep"))
     if scale:
         stages.append(scale_stage(center))
-    return Pipeline(stages=[*stages, model])
+    return stages
+
+
+def build_pipeline(model, numeric, categorical, scale=False, center=False) -> Pipeline:
+    """Imputation, encoding, assembly, optional scaling and the model as one estimator."""
+    return Pipeline(stages=[*preparation(numeric, categorical, scale, center), model])
 
 
 @dataclass
@@ -161,17 +166,50 @@ class Trained:
     cv_rows: list
 
 
+@dataclass
+class CrossValidated:
+    """The refitted best pipeline and the mean validation error per grid point."""
+
+    best_model: PipelineModel
+    avg_metrics: list
+
+
 def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, folds=S.CV_FOLDS,
-                   parallelism=S.CV_PARALLELISM, seed=S.SEED, keys=tuple(S.TRIP_KEYS)):
-    """Fit the grid by k-fold cross-validation on RMSE and refit the best on all rows."""
-    keyed = all(k in train.columns for k in keys)
-    data = add_folds(train, folds, keys, seed) if keyed else train
-    validator = CrossValidator(
-        estimator=build_pipeline(spec.model, numeric, categorical, spec.scale, spec.center),
-        estimatorParamMaps=spec.param_maps(),
-        evaluator=RegressionEvaluator(labelCol=S.LABEL, metricName="rmse"),
-        numFolds=folds, parallelism=parallelism, seed=seed, foldCol="fold" if keyed else "")
-    return validator.fit(data)
+                   parallelism=S.CV_PARALLELISM, seed=S.SEED,
+                   keys=tuple(S.TRIP_KEYS)) -> CrossValidated:
+    """Choose the grid point with the lowest RMSE over k folds and refit it on all rows.
+
+    Gives what ``CrossValidator`` gives for the whole pipeline: preparation is fitted on the
+    training rows of each fold only.  As the grid concerns the learner alone, that is done once
+    per fold and not once per grid point, and the learners of a fold share its cached vectors.
+    """
+    keys = [k for k in keys if k in train.columns] or train.columns
+    data = add_folds(train, folds, keys, seed)
+    maps = spec.param_maps()
+    evaluator = RegressionEvaluator(labelCol=S.LABEL, metricName="rmse")
+    totals = [0.0] * len(maps)
+    for fold in range(folds):
+        rest, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
+        prepared = Pipeline(stages=preparation(numeric, categorical, spec.scale,
+                                               spec.center)).fit(rest)
+        fit_rows, check_rows = (prepared.transform(part).select("features", S.LABEL).persist()
+                                for part in (rest, held))
+
+        def score(fitted):
+            index, model = next(fitted)
+            return index, evaluator.evaluate(model.transform(check_rows))
+
+        models = spec.model.fitMultiple(fit_rows, maps)
+        with ThreadPool(min(parallelism, len(maps))) as pool:
+            for index, rmse in pool.imap_unordered(score, [models] * len(maps)):
+                totals[index] += rmse
+        fit_rows.unpersist()
+        check_rows.unpersist()
+    metrics = [total / folds for total in totals]
+    best = maps[min(range(len(maps)), key=metrics.__getitem__)]
+    pipeline = build_pipeline(spec.model.copy(best), numeric, categorical, spec.scale,
+                              spec.center)
+    return CrossValidated(pipeline.fit(train), metrics)
 
 
 def train_model(spec: ModelSpec, train: DataFrame, test: DataFrame, index=1, folds=S.CV_FOLDS,
@@ -187,23 +225,23 @@ def train_model(spec: ModelSpec, train: DataFrame, test: DataFrame, index=1, fol
     fitted = cross_validate(spec, train, numeric, categorical, folds, parallelism, seed, keys)
     trained_at = time.monotonic()
     predictions = materialise(
-        fitted.bestModel.transform(test).select(
+        fitted.best_model.transform(test).select(
             *[k for k in keys if k in test.columns], S.LABEL, "prediction"), spec.name)
     test_rows = predictions.count()
     predicted_at = time.monotonic()
     metrics = evaluation.evaluate(predictions).first()
     if model_path:
-        save_model(fitted.bestModel, model_path)
+        save_model(fitted.best_model, model_path)
     maps = spec.param_maps()
     summary = {
         "model_index": index, "model": spec.name, "cv_folds": folds,
         "param_grid_size": len(maps), "train_time_sec": round(trained_at - started, 4),
         "prediction_time_sec": round(predicted_at - trained_at, 4), "test_rows": test_rows,
-        **{m: metrics[m] for m in evaluation.METRICS}, "best_params": best_params(fitted.bestModel),
+        **{m: metrics[m] for m in evaluation.METRICS}, "best_params": best_params(fitted.best_model),
         "hdfs_model_path": model_path or "", "local_model_path": "",
     }
-    rows = [(spec.name, param_text(p), float(v)) for p, v in zip(maps, fitted.avgMetrics)]
-    return Trained(fitted.bestModel, predictions, summary, rows)
+    rows = [(spec.name, param_text(p), float(v)) for p, v in zip(maps, fitted.avg_metrics)]
+    return Trained(fitted.best_model, predictions, summary, rows)
 
 
 def train_all(specs, train: DataFrame, test: DataFrame, model_root=None, **options) -> list:

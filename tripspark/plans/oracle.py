@@ -44,7 +44,7 @@ telemetry as (
 
 _VEHICLES = """
 raw_vehicles as (
-  select cast(c_custkey as varchar) as vehid,
+  select concat(case when c_custkey % 20 = 0 then 'spare-' else '' end, c_custkey) as vehid,
          case when c_mktsegment = 'HOUSEHOLD' then 'NO DATA' else c_mktsegment end as vehtype,
          n_name as vehclass,
          case c_custkey % 3 when 0 then 'CVT' when 1 then 'NO DATA'
@@ -56,8 +56,7 @@ raw_vehicles as (
               when c_custkey % 7 = 0 then '2.0L'
               else concat('I', 4 + c_custkey % 3, ' ', 1 + c_custkey % 4, '.',
                           c_custkey % 10, 'L') end as engine_raw
-  from customer join nation on c_nationkey = n_nationkey
-  where c_custkey % 20 <> 0),
+  from customer join nation on c_nationkey = n_nationkey),
 engines as (
   select *, regexp_extract(engine_raw, '(\\d\\.\\d)L', 1) as dis_text,
          trim(regexp_replace(engine_raw, '(\\d\\.\\d)L', '', 'g')) as conf_text

@@ -216,15 +216,17 @@ def publish_external_parquet(spark, sf):
     return publish.publish_parquet(spark, "tripspark_vehicle_type_distribution", path)
 
 
-@query("select 'orders' as table_name, 'o_orderkey' as column_name, count(*) as total_rows, "
-       "count(*) filter (o_orderkey is null) as null_count, 0.0::double as null_pct from orders")
+@query(" union all ".join(
+    f"select 'orders' as table_name, '{c}' as column_name, count(*) as total_rows, count(*) "
+    f"filter ({c} is null) as null_count, 0.0::double as null_pct from orders"
+    for c in "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority"
+    .split()))
 def publish_external_csv(spark, sf):
     path = scratch_path(spark, "missingness")
     report = profiling.missing_values({"orders": table(spark, sf, "orders")})
     declared = publish.as_declared(report, publish.DASHBOARD_COLUMNS["missingness"])
     writers.write_small_csv(declared, path)
-    published = publish.publish_csv(spark, "tripspark_missingness", path, declared.schema)
-    return published.where("column_name = 'o_orderkey'")
+    return publish.publish_csv(spark, "tripspark_missingness", path, declared.schema)
 
 
 @query()
@@ -239,13 +241,16 @@ def publish_dashboard(spark, sf):
     return report.select("table_name", "status")
 
 
-@query("select event_type, label, count(*) as n from events join (values ('click', 'pointer'), "
-       "('view', 'display')) v(kind, label) on event_type = kind group by 1, 2")
+_EVENT_KINDS = [("click", "pointer"), ("error", "fault"), ("purchase", "sale"),
+                ("signup", "account"), ("view", "display")]
+
+
+@query("select event_type, label, count(*) as n from events left join (values "
+       + ", ".join(map(str, _EVENT_KINDS)) + ") v(kind, label) on event_type = kind group by 1, 2")
 def literal_table(spark, sf):
-    names = readers.literal_table(spark, [("click", "pointer"), ("view", "display")],
-                                  "event_type string, label string")
+    names = readers.literal_table(spark, _EVENT_KINDS, "event_type string, label string")
     counts = table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    return counts.join(names, "event_type").select("event_type", "label", "n")
+    return counts.join(names, "event_type", "left").select("event_type", "label", "n")
 
 
 @query(TELEMETRY + " select daynum, vehid, tripid, time_raw_ms, speed, maf, rpm, fuel_rate, oat "
@@ -267,7 +272,7 @@ def file_audit(spark, sf):
     listing = audit.file_audit(spark, root)
     name = F.when(F.col("file_path") == audit.TOTAL, "total").otherwise(
         F.regexp_extract("file_path", "([a-z]+)/[^/]+$", 1))
-    return listing.where("extension in ('.csv', '')").groupBy(name.alias("name")).agg(
+    return listing.groupBy(name.alias("name")).agg(
         F.sum("rows").alias("n_rows"), F.max("columns").cast("long").alias("n_columns"))
 
 
@@ -549,13 +554,11 @@ def join_broadcast(spark, sf):
         "l_orderkey", "l_linenumber", "l_suppkey", "s_name", "s_nationkey")
 
 
-@query("select vehid, vehtype from (" + VEHICLES + " select vehid, vehtype from vehicles)")
+@query(ORACLE["enrich_telemetry"])
 def join_salted(spark, sf):
     """The join used when the dimension is too large to broadcast."""
-    names = table(spark, sf, "customer").selectExpr("cast(c_custkey as string) as vehid")
-    return joins.join_broadcast(names.where("cast(vehid as long) % 20 <> 0"),
-                                vehicles(spark, sf).select("vehid", "vehtype"), "vehid",
-                                limit=-1)
+    joined = joins.join_broadcast(telemetry(spark, sf), vehicles(spark, sf), "vehid", limit=-1)
+    return joined.select("sample_id", "vehid", "speed", *S.VEHICLE_ATTRIBUTES)
 
 
 @query("select l_returnflag as format, l_linestatus as compression, count(*) as n_rows, "
@@ -706,9 +709,9 @@ def trip_features(spark, sf):
 
 
 @query(TRIPS + f" select {_TRIP_LIST} from trips order by trips.distance_km desc, vehid, tripid "
-       "limit 100")
+       "limit 5000")
 def topk_longest_trips(spark, sf):
-    return rounded(trips.longest_trips(trip_table(spark, sf), 100), _ROUNDED)
+    return rounded(trips.longest_trips(trip_table(spark, sf)), _ROUNDED)
 
 
 @query(TELEMETRY + " select vehid, tripid, count(*) as records, "
@@ -1114,10 +1117,10 @@ def prediction_samples(spark, sf):
        "order by vehid, tripid) as int) as row_id, round(label + 1e-7, 4) as label, "
        "round(prediction + 1e-7, 4) as prediction, round(prediction - label + 1e-7, 4) as error, "
        "round(abs(prediction - label) + 1e-7, 4) as abs_error from predicted "
-       "qualify row_id <= 200")
+       "qualify row_id <= 5000")
 def row_id_per_model(spark, sf):
     predicted = _predicted(spark, sf)
-    parts = [evaluation.prediction_rows(predicted.where(F.col("model") == name), name, 200, KEYS)
+    parts = [evaluation.prediction_rows(predicted.where(F.col("model") == name), name, order=KEYS)
              for name in (f"LinearRegression {c}" for c in _LINES)]
     return rounded(parts[0].unionByName(parts[1]), "label prediction error abs_error")
 
