@@ -108,18 +108,6 @@ def test_trip_features_of_known_trips(spark):
     assert b["vehtype"] is None, "unknown vehicle"
 
 
-def test_distinct_times_changes_nothing_but_the_plan(spark):
-    df = spark.range(500).selectExpr(
-        "id as sample_id", "cast(id % 3 as string) as vehid", "'1' as tripid",
-        "cast(id * id as double) as time_seconds", "cast(id % 90 as double) as speed",
-        "1.0D as fuel_rate_est_lhr")
-    a, b = (trips.segment_integrals(df, tie="sample_id", distinct_times=d) for d in (True, False))
-    for x, y in zip(a.orderBy("vehid").collect(), b.orderBy("vehid").collect()):
-        assert tuple(x)[:2] == tuple(y)[:2] and tuple(x)[2:] == pytest.approx(tuple(y)[2:])
-    plans = [x._jdf.queryExecution().executedPlan().toString().count("Exchange") for x in (a, b)]
-    assert plans[0] == plans[1] - 1
-
-
 def test_safe_ratio_needs_a_positive_denominator(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, -1.0), (1.0, 2.0)], "n double, d double")
     assert [r[0] for r in df.select(derive.safe_ratio("n", "d")).collect()] == [None, None, 0.5]
@@ -136,7 +124,8 @@ def plain_features(df, max_gap):
         F.sum(F.when(v < 5, F.col("dt")).otherwise(0.0)).alias("stop_go_s")))
 
 
-def test_one_hot_trip_with_copies(spark):
+@pytest.mark.parametrize("crowd", [50, 10 ** 6])
+def test_one_hot_trip_with_copies(spark, crowd):
     """A trip that holds most samples, with many copies of one time, gives the plain result."""
     n = 20000
     df = spark.range(n).selectExpr(
@@ -147,15 +136,15 @@ def test_one_hot_trip_with_copies(spark):
         "cast((id * 31) % 120 as double) as speed",
         "cast((id * 17) % 9 as double) as fuel_rate_est_lhr")
     plain = {r["vehid"]: r for r in plain_features(df, 3600).collect()}
-    mine = trips.segment_integrals(df, tie="sample_id").collect()
+    mine = trips.segment_integrals(df, tie="sample_id", crowd=crowd).collect()
     assert len(mine) == len(plain)
     for r in mine:
         for c in ("observed_seconds", "distance_km", "stop_go_s"):
             assert r[c] == pytest.approx(plain[r["vehid"]][c], rel=1e-9), (r["vehid"], c)
 
 
-@pytest.mark.parametrize("hot", [10, 10 ** 6])
-def test_lead_over_pauses_and_copies(spark, hot):
+@pytest.mark.parametrize("crowd", [10, 10 ** 6])
+def test_lead_over_pauses_and_copies(spark, crowd):
     df = spark.range(4000).selectExpr(
         "id as sample_id", "if(id % 2 = 0, 'hot', cast(id % 3 as string)) as vehid",
         "'1' as tripid",
@@ -165,7 +154,7 @@ def test_lead_over_pauses_and_copies(spark, hot):
         "if(id % 7 = 0, null, cast(id as double)) as speed")
     w = Window.partitionBy("vehid", "tripid").orderBy("time_seconds", "sample_id")
     plain = df.select("sample_id", F.lead("time_seconds").over(w), F.lead("speed").over(w))
-    mine = trips.lead_next_sample(df, tie="sample_id", hot=hot).select(
+    mine = trips.lead_next_sample(df, tie="sample_id", crowd=crowd).select(
         "sample_id", "next_time_seconds", "next_speed")
     assert sorted(map(str, mine.collect())) == sorted(
         map(str, plain.toDF(*mine.columns).collect()))

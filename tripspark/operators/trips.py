@@ -6,8 +6,8 @@ Three facts make that possible:
 * A gap of ``max_gap_s`` or more counts as zero, so the successor that matters to a sample is
   never further away than that.  Time is cut into chunks, and each chunk also receives the
   first ``max_gap_s`` of the next one; the successor is then always found inside the chunk.
-* Samples with equal time have gap zero except the last of them.  They are first folded into
-  one point per (trip, time), with map-side combining.
+* Samples with equal time have gap zero except the last of them.  In chunks with very many
+  samples they are folded into one point per time, with map-side combining.
 * Counts, means and percentile sketches need no order and merge, so they are aggregated
   straight from the scan and only their partial states are shuffled.
 """
@@ -16,22 +16,29 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions import derive
-from .joins import SALTS, attach_vehicle
+from .joins import attach_vehicle
 
 CHUNK_GAPS = 24  # chunk length as a multiple of the largest gap
-HOT_TIME = 1_000_000  # samples of one trip at one time beyond which they are divided
+CROWD = 1_000_000  # samples of one chunk, or of one time, beyond which they are treated apart
 NEVER = -(2 ** 62)  # chunk of samples without a time
 
 
-def _with_chunks(df, time, max_gap_s):
-    """Copy each row to its own chunk and, near a chunk's start, to the chunk before it."""
-    length = float(max_gap_s) * CHUNK_GAPS
-    chunk = F.floor(F.col(time) / length)
+def _crowded_chunks(df, keys, crowd):
+    """(trip, chunk) pairs with more than ``crowd`` samples, to be broadcast.
+
+    There is at most one pair per ``crowd`` samples, which bounds the broadcast.  Usually there
+    is none, and adaptive execution then drops the joins with this table.
+    """
+    return (df.groupBy(*keys, "_chunk").agg(F.count("*").alias("n"))
+            .where(F.col("n") > crowd).select(*keys, "_chunk"))
+
+
+def _with_halo(df, time, max_gap_s, length):
+    """Copy each row that is near its chunk's start to the chunk before as well."""
     # A margin over max_gap_s absorbs rounding; a superfluous copy does no harm.
-    early = F.col(time) - chunk * length <= float(max_gap_s) * 1.001 + 1.0
-    homes = F.when(early, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
-    return (df.withColumn("_home", chunk)
-            .withColumn("_chunk", F.explode(homes)))
+    early = F.col(time) - F.col("_chunk") * length <= float(max_gap_s) * 1.001 + 1.0
+    homes = F.when(early, F.array("_chunk", F.col("_chunk") - 1)).otherwise(F.array("_chunk"))
+    return df.withColumns({"_home": F.col("_chunk"), "_chunk": F.explode(homes)})
 
 
 def clamp_gap(gap, max_gap_s=S.MAX_GAP_S):
@@ -52,93 +59,92 @@ def gap_clamp(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=N
     return led.withColumn(output, clamp_gap(gap, max_gap_s)).drop(following)
 
 
-def _with_pieces(df, keys, time, tie, chunk_s, hot):
+def _with_pieces(df, keys, time, tie, chunk_s, crowd):
     """Add ``_piece``: an ordered cut of each trip into runs of samples of bounded size.
 
-    Time is cut into chunks.  A single time with more than ``hot`` samples is cut out of its
+    Time is cut into chunks.  A single time with more than ``crowd`` samples is cut out of its
     chunk and divided by ranges of the tie-breaker.
     """
-    chunk = F.coalesce(F.floor(F.col(time) / chunk_s), F.lit(NEVER))
-    df = df.withColumn("_chunk", chunk)
+    df = df.withColumn("_chunk", F.coalesce(F.floor(F.col(time) / chunk_s), F.lit(NEVER)))
     if tie is None:
         return df.withColumn("_piece", F.struct("_chunk"))
     number = F.col(tie).cast("double")
-    crowded = (df.groupBy(*keys, "_chunk", time)
+    full = df.join(F.broadcast(_crowded_chunks(df, keys, crowd)), [*keys, "_chunk"], "left_semi")
+    crowded = (full.groupBy(*keys, "_chunk", time)
                .agg(F.count("*").alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"))
-               .where(F.col("n") > hot)
-               .withColumn("step", (F.col("hi") - F.col("lo")) / F.ceil(F.col("n") / hot))
-               # Each entry stands for more than `hot` samples, so the list is short.
+               .where(F.col("n") > crowd)
+               .withColumn("step", (F.col("hi") - F.col("lo")) / F.ceil(F.col("n") / crowd))
+               # Each entry stands for more than `crowd` samples, so the lists are short and
+               # there are few of them.
                .groupBy(*keys, "_chunk")
                .agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), "lo", "step")))
                     .alias("_crowded")))
-    # The list is joined in salted copies: the samples of a crowded time meet it in many tasks.
-    salt = F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int")
-    copies = crowded.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    marked = df.withColumn("_salt", salt).join(copies, [*keys, "_chunk", "_salt"], "left")
+    marked = df.join(F.broadcast(crowded), [*keys, "_chunk"], "left")
     earlier = F.size(F.filter("_crowded", lambda c: c["t"] < F.col(time)))
     here = F.get(F.filter("_crowded", lambda c: c["t"] == F.col(time)), F.lit(0))
     span = F.coalesce(2 * earlier + here.isNotNull().cast("int"), F.lit(0))
     part = F.when(here["step"] > 0, F.floor((number - here["lo"]) / here["step"]))
     piece = F.struct("_chunk", span.alias("span"), F.coalesce(part, F.lit(0)).alias("part"))
-    return marked.withColumn("_piece", piece).drop("_crowded", "_salt")
+    return marked.withColumn("_piece", piece).drop("_crowded")
 
 
 def lead_next_sample(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=None,
                      carry=("speed",), chunk_s=S.MAX_GAP_S * CHUNK_GAPS,
-                     hot=HOT_TIME) -> DataFrame:
+                     crowd=CROWD) -> DataFrame:
     """Add the next sample's time (``next_<time>``) and carried values, however far away it is.
 
     The window runs per piece of a trip (see ``_with_pieces``).  The last row of a piece takes
-    its successor from a table with the first row of every piece, which is small.  ``tie`` names
+    its successor from a second window over the first and last rows of pieces only.  ``tie`` names
     a unique number that orders samples of equal time; without it their order is arbitrary and
     all samples of one trip and chunk share a task.
     """
-    order = [time] + ([tie] if tie else [])
+    order = [F.col(c).asc_nulls_first() for c in ([time, tie] if tie else [time])]
     names = [time, *carry]
-    pieces = _with_pieces(df, keys, time, tie, chunk_s, hot)
-    w = Window.partitionBy(*keys, "_piece").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    w = Window.partitionBy(*keys, "_piece").orderBy(*order)
     row = F.struct(*[F.col(n) for n in names])
-    local = pieces.withColumn("_next", F.lead(row).over(w))
+    pieces = _with_pieces(df, keys, time, tie, chunk_s, crowd).withColumns(
+        {"_next": F.lead(row).over(w), "_place": F.row_number().over(w)})
+    # Among the first and last rows of all pieces, a last row is followed by the next first row.
+    edges = pieces.where(F.col("_next").isNull() | (F.col("_place") == 1))
+    across = F.lead(row).over(Window.partitionBy(*keys).orderBy("_piece", "_place"))
+    last = edges.withColumn("_after", across).where(F.col("_next").isNull()).withColumn(
+        "_next", F.col("_after")).drop("_after")
+    done = pieces.where(F.col("_next").isNotNull()).unionByName(last)
+    return done.select(*df.columns, *[F.col("_next")[n].alias("next_" + n) for n in names])
 
-    heads = pieces.groupBy(*keys, "_piece").agg(
-        F.min_by(row, F.struct(*[F.col(c) for c in order])).alias("_head"))
-    after = F.lead("_head").over(Window.partitionBy(*keys).orderBy("_piece"))
-    follow = heads.select(*keys, "_piece", after.alias("_after"))
-    following = F.coalesce("_next", "_after")
-    return (local.join(follow, [*keys, "_piece"], "left")
-            .withColumns({"next_" + n: following[n] for n in names})
-            .select(*df.columns, *["next_" + n for n in names]))
 
+def _points(df, keys, time, tie, speed, fuel, length, crowd):
+    """Samples with their chunk and a rank among samples of equal time; crowded chunks folded.
 
-def _points(df, keys, time, tie, speed, fuel):
-    """One row per (trip, time) with the speed and fuel rate of the last sample at that time."""
-    if tie is None:
-        last = F.xxhash64(speed, fuel)
-    else:
-        last = F.coalesce(F.col(tie).cast("long"), F.lit(-(2 ** 63)))
-    return (df.where(F.col(time).isNotNull())
-            .groupBy(*keys, time)
-            .agg(F.max_by(speed, last).alias(speed), F.max_by(fuel, last).alias(fuel)))
+    Folding keeps the last sample of each time, the only one with a gap.
+    """
+    rank = (F.xxhash64(speed, fuel) if tie is None
+            else F.coalesce(F.col(tie).cast("long"), F.lit(-(2 ** 63))))
+    samples = df.where(F.col(time).isNotNull()).select(
+        *keys, F.floor(F.col(time) / length).alias("_chunk"), time, speed, fuel,
+        rank.alias("_rank"))
+    crowded = F.broadcast(_crowded_chunks(samples, keys, crowd))
+    where = [*keys, "_chunk"]
+    folded = samples.join(crowded, where, "left_semi").groupBy(*where, time).agg(
+        F.max_by(speed, "_rank").alias(speed), F.max_by(fuel, "_rank").alias(fuel),
+        F.max("_rank").alias("_rank"))
+    return samples.join(crowded, where, "left_anti").unionByName(folded)
 
 
 def segment_integrals(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds",
                       speed="speed", fuel="fuel_rate_est_lhr", tie=None,
                       max_gap_s=S.MAX_GAP_S, stop=S.STOP_GO_KMH, idle=S.IDLE_KMH,
-                      distinct_times=False) -> DataFrame:
+                      crowd=CROWD) -> DataFrame:
     """Per trip: observed seconds, distance, fuel, and seconds below the stop and idle speeds.
 
     Left Riemann sums over the gaps; a missing speed counts as 0 km/h, a missing fuel rate adds
-    nothing.  ``fuel_used_l`` is 0, not NULL, for a trip without any fuel rate.
-
-    ``tie`` names a number that orders samples of equal time.  ``distinct_times`` states that no
-    two samples of a trip share a time, which saves one exchange.
+    nothing.  ``fuel_used_l`` is 0, not NULL, for a trip without any fuel rate.  ``tie`` names a
+    number that orders samples of equal time.
     """
-    if distinct_times:
-        points = df.where(F.col(time).isNotNull()).select(*keys, time, speed, fuel)
-    else:
-        points = _points(df, keys, time, tie, speed, fuel)
-    spread = _with_chunks(points, time, max_gap_s)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(time)
+    length = float(max_gap_s) * CHUNK_GAPS
+    points = _points(df, keys, time, tie, speed, fuel, length, crowd)
+    spread = _with_halo(points, time, max_gap_s, length)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(time, "_rank")
     v = F.coalesce(F.col(speed), F.lit(0.0))
     dt = F.col("dt_s")
     return (spread.withColumn("_gap", F.lead(time).over(w) - F.col(time))
@@ -180,7 +186,7 @@ def trip_statistics(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds",
 
 def trip_features(telemetry: DataFrame, vehicles: DataFrame, time="time_seconds", tie=None,
                   max_gap_s=S.MAX_GAP_S, min_distance_km=S.MIN_TRIP_KM, stop=S.STOP_GO_KMH,
-                  idle=S.IDLE_KMH, accuracy=10000, distinct_times=False) -> DataFrame:
+                  idle=S.IDLE_KMH, accuracy=10000) -> DataFrame:
     """One row per trip with the columns of ``TRIP_FEATURE_SCHEMA``.
 
     ``telemetry`` is the output of ``prepare_telemetry``.  Vehicle attributes are joined to the
@@ -190,7 +196,7 @@ def trip_features(telemetry: DataFrame, vehicles: DataFrame, time="time_seconds"
     keys = list(S.TRIP_KEYS)
     statistics = trip_statistics(telemetry, keys, time, accuracy)
     integrals = segment_integrals(telemetry, keys, time, tie=tie, max_gap_s=max_gap_s,
-                                  stop=stop, idle=idle, distinct_times=distinct_times)
+                                  stop=stop, idle=idle)
     long_enough = integrals.where(F.col("distance_km") >= min_distance_km)
     trips = attach_vehicle(statistics.join(long_enough, keys), vehicles)
     trips = trips.withColumn("fuel_used_l",
