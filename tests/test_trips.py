@@ -43,9 +43,13 @@ def test_equal_times(spark):
 
 
 def test_gap_across_chunks(spark):
-    edge = S.MAX_GAP_S * trips.CHUNK_GAPS
+    edge = trips.CHUNK_S
     assert gaps(spark, [edge - 10, edge + 3000, edge + 3500]) == [3010.0, 500.0, 0.0]
     assert gaps(spark, [edge - 1, edge, edge + 3599]) == [1.0, 3599.0, 0.0]
+    rows = [(1000.0 * s, 36.0, 2.0, None) for s in (edge - 10, edge + 90, 5 * edge, 5 * edge + 50)]
+    out = integrals(spark, rows)
+    assert (out["observed_seconds"], out["distance_km"]) == (150.0, pytest.approx(1.5))
+    assert out["fuel_used_l"] == pytest.approx(150 * 2 / 3600)
 
 
 def test_missing_speed_counts_as_standing(spark):

@@ -1,11 +1,9 @@
 """Samples to trips: gaps between samples, integrals over time, and the trip feature table.
 
-A trip may hold a large share of all samples, so no step puts a whole trip into one task.
-Three facts make that possible:
+A trip may hold a large share of all samples, so no step puts a whole trip into one task:
 
-* A gap of ``max_gap_s`` or more counts as zero, so the successor that matters to a sample is
-  never further away than that.  Time is cut into chunks, and each chunk also receives the
-  first ``max_gap_s`` of the next one; the successor is then always found inside the chunk.
+* Time is cut into chunks.  Sums are taken inside each chunk, and a second step over one row per
+  chunk adds what lies between the last sample of a chunk and the first of the next.
 * Samples with equal time have gap zero except the last of them.  In chunks with very many
   samples they are folded into one point per time, with map-side combining.
 * Counts, means and percentile sketches need no order and merge, so they are aggregated
@@ -18,7 +16,7 @@ from .. import schema as S
 from ..functions import derive
 from .joins import attach_vehicle
 
-CHUNK_GAPS = 24  # chunk length as a multiple of the largest gap
+CHUNK_S = 86400.0  # length of a chunk of time in seconds
 CROWD = 1_000_000  # samples of one chunk, or of one time, beyond which they are treated apart
 NEVER = -(2 ** 62)  # chunk of samples without a time
 
@@ -33,14 +31,6 @@ def _crowded_chunks(df, keys, crowd):
             .where(F.col("n") > crowd).select(*keys, "_chunk"))
 
 
-def _with_halo(df, time, max_gap_s, length):
-    """Copy each row that is near its chunk's start to the chunk before as well."""
-    # A margin over max_gap_s absorbs rounding; a superfluous copy does no harm.
-    early = F.col(time) - F.col("_chunk") * length <= float(max_gap_s) * 1.001 + 1.0
-    homes = F.when(early, F.array("_chunk", F.col("_chunk") - 1)).otherwise(F.array("_chunk"))
-    return df.withColumns({"_home": F.col("_chunk"), "_chunk": F.explode(homes)})
-
-
 def clamp_gap(gap, max_gap_s=S.MAX_GAP_S):
     """The gap in seconds if it lies strictly between zero and the limit, else 0."""
     return F.when((gap > 0) & (gap < max_gap_s), gap).otherwise(0.0)
@@ -54,7 +44,7 @@ def gap_clamp(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=N
     that orders samples of equal time.
     """
     following = "next_" + time
-    led = lead_next_sample(df, keys, time, tie, (), max_gap_s * CHUNK_GAPS)
+    led = lead_next_sample(df, keys, time, tie, ())
     gap = F.col(following) - F.col(time)
     return led.withColumn(output, clamp_gap(gap, max_gap_s)).drop(following)
 
@@ -89,7 +79,7 @@ def _with_pieces(df, keys, time, tie, chunk_s, crowd):
 
 
 def lead_next_sample(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=None,
-                     carry=("speed",), chunk_s=S.MAX_GAP_S * CHUNK_GAPS,
+                     carry=("speed",), chunk_s=CHUNK_S,
                      crowd=CROWD) -> DataFrame:
     """Add the next sample's time (``next_<time>``) and carried values, however far away it is.
 
@@ -113,7 +103,7 @@ def lead_next_sample(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds"
     return done.select(*df.columns, *[F.col("_next")[n].alias("next_" + n) for n in names])
 
 
-def _points(df, keys, time, tie, speed, fuel, length, crowd):
+def _points(df, keys, time, tie, speed, fuel, chunk_s, crowd):
     """Samples with their chunk and a rank among samples of equal time; crowded chunks folded.
 
     Folding keeps the last sample of each time, the only one with a gap.
@@ -121,7 +111,7 @@ def _points(df, keys, time, tie, speed, fuel, length, crowd):
     rank = (F.xxhash64(speed, fuel) if tie is None
             else F.coalesce(F.col(tie).cast("long"), F.lit(-(2 ** 63))))
     samples = df.where(F.col(time).isNotNull()).select(
-        *keys, F.floor(F.col(time) / length).alias("_chunk"), time, speed, fuel,
+        *keys, F.floor(F.col(time) / chunk_s).alias("_chunk"), time, speed, fuel,
         rank.alias("_rank"))
     crowded = F.broadcast(_crowded_chunks(samples, keys, crowd))
     where = [*keys, "_chunk"]
@@ -134,29 +124,38 @@ def _points(df, keys, time, tie, speed, fuel, length, crowd):
 def segment_integrals(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds",
                       speed="speed", fuel="fuel_rate_est_lhr", tie=None,
                       max_gap_s=S.MAX_GAP_S, stop=S.STOP_GO_KMH, idle=S.IDLE_KMH,
-                      crowd=CROWD) -> DataFrame:
+                      chunk_s=CHUNK_S, crowd=CROWD) -> DataFrame:
     """Per trip: observed seconds, distance, fuel, and seconds below the stop and idle speeds.
 
     Left Riemann sums over the gaps; a missing speed counts as 0 km/h, a missing fuel rate adds
     nothing.  ``fuel_used_l`` is 0, not NULL, for a trip without any fuel rate.  ``tie`` names a
     number that orders samples of equal time.
     """
-    length = float(max_gap_s) * CHUNK_GAPS
-    points = _points(df, keys, time, tie, speed, fuel, length, crowd)
-    spread = _with_halo(points, time, max_gap_s, length)
+    points = _points(df, keys, time, tie, speed, fuel, chunk_s, crowd)
     w = Window.partitionBy(*keys, "_chunk").orderBy(time, "_rank")
-    v = F.coalesce(F.col(speed), F.lit(0.0))
-    dt = F.col("dt_s")
-    return (spread.withColumn("_gap", F.lead(time).over(w) - F.col(time))
-            .withColumn("dt_s", clamp_gap(F.col("_gap"), max_gap_s))
-            .where("_home = _chunk")
-            .groupBy(*keys)
-            .agg(F.sum(dt).alias("observed_seconds"),
-                 F.sum(v * dt / S.SECONDS_PER_HOUR).alias("distance_km"),
-                 F.sum(F.coalesce(F.col(fuel) * dt / S.SECONDS_PER_HOUR, F.lit(0.0)))
-                 .alias("fuel_used_l"),
-                 F.sum(F.when(v < stop, dt).otherwise(0.0)).alias("stop_go_s"),
-                 F.sum(F.when(v < idle, dt).otherwise(0.0)).alias("idle_s")))
+    points = points.withColumn("_next", F.lead(time).over(w)).withColumns(
+        {"_dt": clamp_gap(F.col("_next") - F.col(time), max_gap_s),
+         "_v": F.coalesce(F.col(speed), F.lit(0.0)), "_f": F.coalesce(F.col(fuel), F.lit(0.0))})
+
+    def integrals(v, f, dt):
+        return {"observed_seconds": dt, "distance_km": v * dt / S.SECONDS_PER_HOUR,
+                "fuel_used_l": f * dt / S.SECONDS_PER_HOUR,
+                "stop_go_s": F.when(v < stop, dt).otherwise(0.0),
+                "idle_s": F.when(v < idle, dt).otherwise(0.0)}
+
+    inside = integrals(F.col("_v"), F.col("_f"), F.col("_dt"))
+    is_last = F.col("_next").isNull()  # one sample per chunk
+    chunks = points.groupBy(*keys, "_chunk").agg(
+        *[F.sum(x).alias(name) for name, x in inside.items()],
+        F.min(time).alias("first"), F.max(time).alias("last"),
+        F.max(F.when(is_last, F.col("_v"))).alias("v"),
+        F.max(F.when(is_last, F.col("_f"))).alias("f"))
+    following = F.lead("first").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    chunks = chunks.withColumn("following", following).withColumn(
+        "across", clamp_gap(F.col("following") - F.col("last"), max_gap_s))
+    between = integrals(F.col("v"), F.col("f"), F.col("across"))
+    return chunks.groupBy(*keys).agg(
+        *[F.sum(F.col(name) + between[name]).alias(name) for name in inside])
 
 
 # Output column, aggregate, input column; percentiles come from one sketch per signal.
