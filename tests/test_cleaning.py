@@ -93,6 +93,8 @@ def test_large_dimension_is_not_broadcast(spark):
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and "strategy=broadcast" not in plan
     assert not joins.is_small(known, limit=0)
+    texts = spark.range(10).selectExpr("repeat('x', 1000) as s", "array(repeat('y', 500)) as a")
+    assert joins.measured_bytes(texts) > 15000
 
 
 def test_duplicate_keys(spark):

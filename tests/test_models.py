@@ -76,6 +76,12 @@ def test_cross_validation_equals_the_builtin_one(parts, index):
     assert a == pytest.approx(b, rel=1e-6)
 
 
+def test_cross_validation_without_keys(parts):
+    spec = modeling.default_specs({"LinearRegression": {"regParam": [0.0]}})[0]
+    out = modeling.cross_validate(spec, parts[0].drop("vehid", "tripid"), ["speed"], ["kind"])
+    assert len(out.avg_metrics) == 1 and out.avg_metrics[0] > 0
+
+
 def test_folds_depend_on_the_key_only(parts):
     df = modeling.add_folds(parts[0], 3, S.TRIP_KEYS)
     again = modeling.add_folds(parts[0].repartition(5), 3, S.TRIP_KEYS)

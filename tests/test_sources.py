@@ -91,7 +91,10 @@ def test_all_jobs_in_order(spark, sf, tmp_path):
     specs = modeling.default_specs(small)
     specs[2].model.setMaxIter(2)
     jobs.train(spark, f"{root}/prepared", f"{root}/models", specs, folds=2)
-    jobs.benchmark(spark, f"{root}/warehouse", f"{root}/analytics", f"{root}/bench")
+    jobs.benchmark(spark, f"{root}/warehouse", f"{root}/analytics", f"{root}/bench",
+                   {"LinearRegression": specs[0].model})
+    ablation = readers.read_csv(spark, f"{root}/bench/ml_benchmark").collect()
+    assert {r["feature_set"] for r in ablation} == {"all_features", "selected_features"}
     sources = jobs.dashboard_sources(f"{root}/audit", f"{root}/profiles", f"{root}/prepared",
                                      f"{root}/models", f"{root}/bench")
     report = jobs.publish_all(spark, f"{root}/analytics", sources, f"{root}/dashboard").collect()

@@ -20,10 +20,12 @@ def measured_bytes(df: DataFrame) -> int:
     """Size of the result from one aggregate over it."""
     width = F.lit(0)
     for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        else:
-            width = width + 16
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            value = F.lit("")
+        width = width + F.coalesce(F.octet_length(value), F.lit(0)) + 16
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
 
 

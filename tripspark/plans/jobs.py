@@ -62,7 +62,8 @@ def explore(spark, warehouse, out, csv_out=None, max_gap_s=S.MAX_GAP_S, tie=None
 
     writers.write_dual(vehicles, f"{out}/vehicles_raw", csv("vehicles_raw"))
     writers.write_parquet(cleaning.cast_ids(cleaning.nan_to_null(raw)), f"{out}/trips_raw")
-    writers.write_parquet(joins.enriched_telemetry(raw, vehicles), f"{out}/trips_enriched")
+    clean = spark.read.parquet(f"{out}/trips_raw")
+    writers.write_parquet(joins.enriched_telemetry(clean, vehicles), f"{out}/trips_enriched")
 
     # Everything below reads the written tables instead of repeating the cleaning.
     samples = spark.read.parquet(f"{out}/trips_enriched")
@@ -138,8 +139,8 @@ def train(spark, prepared, out, specs=None, **options) -> dict:
     return reports
 
 
-def benchmark(spark, warehouse, analytics, out) -> dict:
-    """The three benchmark reports."""
+def benchmark(spark, warehouse, analytics, out, models=None) -> dict:
+    """The ingest, storage, processing and model benchmark reports."""
     telemetry = spark.read.parquet(f"{warehouse}/trips")
     vehicles = spark.read.parquet(f"{warehouse}/vehicles")
     features = spark.read.parquet(f"{analytics}/trip_features")
@@ -147,6 +148,7 @@ def benchmark(spark, warehouse, analytics, out) -> dict:
         "ingest_benchmark": benchmarks.bench_ingest(telemetry, f"{out}/ingest"),
         "storage_benchmark": benchmarks.bench_storage(features, f"{out}/storage"),
         "processing_benchmark": benchmarks.bench_processing(telemetry, vehicles, features),
+        "ml_benchmark": modeling.feature_ablation(features, models),
     }
     for name, df in reports.items():
         writers.write_small_csv(df, f"{out}/{name}")
@@ -183,7 +185,8 @@ def _parser():
     add("profile", "warehouse", "out")
     add("explore", "warehouse", "out").add_argument("--csv-out")
     add("select", "analytics", "out")
-    add("train", "prepared", "out")
+    add("train", "prepared", "out").add_argument("--preset", choices=["three", "two"],
+                                                 default="three")
     add("benchmark", "warehouse", "analytics", "out")
     add("publish", "analytics", "audit", "profiles", "prepared", "models", "bench", "out")
     return parser
@@ -203,7 +206,8 @@ def main(argv=None) -> None:
     elif a.job == "select":
         select_features(spark, a.analytics, a.out)
     elif a.job == "train":
-        train(spark, a.prepared, a.out)
+        specs = modeling.two_model_specs() if a.preset == "two" else modeling.default_specs()
+        train(spark, a.prepared, a.out, specs)
     elif a.job == "benchmark":
         benchmark(spark, a.warehouse, a.analytics, a.out)
     elif a.job == "publish":
