@@ -13,6 +13,16 @@ MODEL_NAMES = [
 # -----------------------------------------------------------------------------------------
 
 
+def quoted(name: str) -> str:
+    """Column name for use in a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """Text constant for use in a SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def engine_displacement(source) -> Column:
     """Litres from text such as ``I4 2.0L``: one digit either side of the point, first match."""
     return F.expr(f"try_cast(nullif(regexp_extract(`{source}`, '{_sql(DISPLACEMENT)}', 1), '')"

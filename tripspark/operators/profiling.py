@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.derive import safe_ratio
+from ..functions.text import literal, quoted
 from .quantiles import ACCURACY, clean_double, column_quantiles, column_residue, read_off
 
 PROBABILITIES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
@@ -16,10 +17,6 @@ PROBABILITIES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
 SHORT_TEXT_BYTES = 64
 
 
-def _q(name):
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _stack(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -62,13 +59,11 @@ def missing_values(tables: dict) -> DataFrame:
     """Per column: rows, missing values and their percentage; NaN counts as missing."""
     def one(name, df):
         floating = set(_fields(df, (T.FloatType, T.DoubleType)))
-
-        def missing(c):
-            empty = _q(c).isNull()
-            return empty | F.isnan(_q(c)) if c in floating else empty
-        counts = df.agg(F.count("*").alias("__rows"),
-                        *[F.count_if(missing(c)).alias(c) for c in df.columns])
-        return _named(counts.unpivot(["__rows"], [_q(c) for c in df.columns], "column_name",
+        tests = {c: f"{quoted(c)} is null" + (f" or isnan({quoted(c)})" if c in floating else "")
+                 for c in df.columns}
+        counts = df.selectExpr("count(*) as __rows", *[
+            f"count_if({test}) as {quoted(c)}" for c, test in tests.items()])
+        return _named(counts.unpivot(["__rows"], list(map(quoted, df.columns)), "column_name",
                                      "null_count"), name)
     percent = F.coalesce(F.round(safe_ratio(100 * F.col("null_count"), "total_rows"), 4),
                          F.lit(0.0))
@@ -78,21 +73,21 @@ def missing_values(tables: dict) -> DataFrame:
                     percent.alias("null_pct")))
 
 
-_STATISTICS = {"non_null_count": F.count, "mean": F.avg, "stddev": F.stddev,
-               "variance": F.variance, "min": F.min, "max": F.max}
+_STATISTICS = {"non_null_count": "count", "mean": "avg", "stddev": "stddev",
+               "variance": "variance", "min": "min", "max": "max"}
 
 
 def numeric_summary(tables: dict) -> DataFrame:
     """Per numeric column: count, mean, sample deviation and variance, minimum and maximum."""
     def one(name, df):
         columns = _fields(df, T.NumericType)
-        clean = df.select(*[clean_double(_q(c)).alias(f"c{i}") for i, c in enumerate(columns)])
-        flat = clean.agg(*[
-            F.struct(*[fn(f"c{i}").alias(s) for s, fn in _STATISTICS.items()]).alias(f"c{i}")
-            for i in range(len(columns))])
-        entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}.*"))
-                            for i, c in enumerate(columns)])
-        return _named(flat.select(F.inline(entries)), name)
+        clean = df.selectExpr(*[f"{clean_double(c)} as c{i}" for i, c in enumerate(columns)])
+        flat = clean.selectExpr(*[
+            "struct(" + ", ".join(f"{fn}(c{i}) as {s}" for s, fn in _STATISTICS.items())
+            + f") as c{i}" for i in range(len(columns))])
+        entries = ", ".join(f"struct({literal(c)} as column_name, c{i}.*)"
+                            for i, c in enumerate(columns))
+        return _named(flat.selectExpr(f"inline(array({entries}))"), name)
     return _stack(one(n, d) for n, d in tables.items() if _fields(d, T.NumericType))
 
 
@@ -114,9 +109,10 @@ def categorical_summary(tables: dict, exact=False) -> DataFrame:
     def one(name, df):
         columns = _fields(df, T.StringType)
         if exact:
-            keys = [F.when(F.octet_length(_q(c)) <= SHORT_TEXT_BYTES, _q(c))
-                    .otherwise(F.concat(F.lit("#"), F.sha2(_q(c), 256))).alias(c) for c in columns]
-            values = df.select(*keys).unpivot([], [_q(c) for c in columns], "column_name", "v")
+            values = df.selectExpr(*[
+                f"if(octet_length({q}) <= {SHORT_TEXT_BYTES}, {q}, concat('#', sha2({q}, 256))) "
+                f"as {q}" for q in map(quoted, columns)])
+            values = values.unpivot([], list(map(quoted, columns)), "column_name", "v")
             # A column without values must still be listed.
             counted = (values.groupBy("column_name", "v").agg(F.lit(1).alias("one"))
                        .groupBy("column_name").agg(F.count("v").alias("approx_distinct_count")))
@@ -126,8 +122,9 @@ def categorical_summary(tables: dict, exact=False) -> DataFrame:
                            F.coalesce("approx_distinct_count", F.lit(0).cast("long"))
                            .alias("approx_distinct_count")))
         else:
-            flat = df.agg(*[F.approx_count_distinct(_q(c)).alias(c) for c in columns])
-            out = flat.unpivot([], [_q(c) for c in columns], "column_name",
+            flat = df.selectExpr(*[f"approx_count_distinct({q}) as {q}"
+                                   for q in map(quoted, columns)])
+            out = flat.unpivot([], list(map(quoted, columns)), "column_name",
                                "approx_distinct_count")
         return _named(out, name)
     return _stack(one(n, d) for n, d in tables.items() if _fields(d, T.StringType))

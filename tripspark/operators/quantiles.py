@@ -8,17 +8,23 @@ however many there are, and map-side combining does that reduction before the sh
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.text import literal, quoted
+
+# Expressions over every column of a table are SQL text: one call to the JVM per expression
+# instead of one per node.
+
 ACCURACY = 10000
 SALTS = 16
 
 
-def clean_double(column):
-    """The column as a double, NaN as NULL."""
-    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+def clean_double(name):
+    """SQL for the column as a double, NaN as NULL."""
+    return f"nanvl(cast({quoted(name)} as double), cast(null as double))"
 
 
 def _sketch(x, probabilities, accuracy):
-    return F.percentile_approx(x, F.array(*[F.lit(float(p)) for p in probabilities]), accuracy)
+    wanted = ", ".join(f"{float(p)!r}D" for p in probabilities)
+    return f"percentile_approx({x}, array({wanted}), {accuracy})"
 
 
 def _ends(probabilities, accuracy):
@@ -74,8 +80,8 @@ def column_residue(df: DataFrame, columns, probabilities, accuracy=ACCURACY) ->
     """
     data, names = _aliased(df, columns)
     brackets = _column_sketches(data, names, _ends(probabilities, accuracy), accuracy)
-    by_column = F.create_map(*[part for a in names for part in (F.lit(a), F.col(a))])
-    long = (data.withColumn("_all", brackets.select(by_column).scalar())
+    by_column = "map(" + ", ".join(f"'{a}', {a}" for a in names) + ")"
+    long = (data.withColumn("_all", brackets.selectExpr(by_column).scalar())
             .unpivot(["_all"], names, "a", "_v").where(F.col("_v").isNotNull())
             .withColumn("_e", F.element_at("_all", F.col("a"))))
     value, inside = _collapse(F.col("_v"), F.col("_e.q"), len(probabilities))
@@ -86,19 +92,18 @@ def column_residue(df: DataFrame, columns, probabilities, accuracy=ACCURACY) ->
 def _aliased(df, columns):
     """The columns as clean doubles under names that need no quoting."""
     names = [f"c{i}" for i in range(len(columns))]
-    return df.select(*[clean_double(F.col("`" + c.replace("`", "``") + "`")).alias(a)
-                       for c, a in zip(columns, names)]), names
+    return df.selectExpr(*[f"{clean_double(c)} as {a}" for c, a in zip(columns, names)]), names
 
 
 def _column_sketches(data, names, probabilities, accuracy):
     """One row with a struct (n, q) per column."""
-    return data.agg(*[F.struct(F.count(a).alias("n"), _sketch(F.col(a), probabilities, accuracy)
-                               .alias("q")).alias(a) for a in names])
+    return data.selectExpr(*[f"struct(count({a}) as n, {_sketch(a, probabilities, accuracy)} as q)"
+                             f" as {a}" for a in names])
 
 
 def _title(names, columns):
-    titles = F.create_map(*[F.lit(part) for pair in zip(names, columns) for part in pair])
-    return F.element_at(titles, F.col("a")).alias("column_name")
+    pairs = ", ".join(f"'{a}', {literal(c)}" for a, c in zip(names, columns))
+    return F.expr(f"element_at(map({pairs}), a) as column_name")
 
 
 def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=False,
@@ -107,10 +112,11 @@ def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=
 
     NULL and NaN are left out; a key without values gives no row.
     """
-    data = df.select(*keys, clean_double(F.col(value)).alias("_x")).where(
+    data = df.select(*keys, F.expr(f"{clean_double(value)} as _x")).where(
         F.col("_x").isNotNull())
     if not exact:
-        sketch = data.groupBy(*keys).agg(_sketch("_x", probabilities, accuracy).alias("_q"))
+        sketch = data.groupBy(*keys).agg(
+            F.expr(_sketch("_x", probabilities, accuracy)).alias("_q"))
         return sketch.select(*keys, *[F.col("_q")[i].alias(o) for i, o in enumerate(outputs)])
 
     # One row per (key, value), spread over salted copies of the one bracket row per key, so
@@ -120,7 +126,7 @@ def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=
     titles = [f"_k{i}" for i in range(len(keys))]
     brackets = data.groupBy(*[F.col(k).alias(t) for k, t in zip(keys, titles)]).agg(
         F.count("_x").alias("_n"),
-        _sketch("_x", _ends(probabilities, accuracy), accuracy).alias("_ends"))
+        F.expr(_sketch("_x", _ends(probabilities, accuracy), accuracy)).alias("_ends"))
     copies = brackets.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     same = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, titles)]
     placed = counted.join(copies, [*same, F.col("_s") == F.col("_t")])

@@ -25,7 +25,7 @@ def impute_medians(df: DataFrame, features, exact=False) -> DataFrame:
     entries = medians.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "median"))))
     # Held in one column, so that the plan contains the subquery once and not per feature.
     return (df.withColumn("_medians", entries.scalar())
-            .withColumns({c: F.coalesce(F.col(c), F.element_at("_medians", c))
+            .withColumns({c: F.expr(f"coalesce({c}, element_at(_medians, '{c}'))")
                           for c in features})
             .drop("_medians"))
 
@@ -39,19 +39,19 @@ def mutual_information(df: DataFrame, features=None, target=S.TARGET, bins=32,
     scores 0 and an all-NULL feature scores NULL.  ``n_rows`` is the number of rows used.
     """
     names = list(features or cleaning.existing_columns(df, S.NUMERIC_CANDIDATES))
-    filled = impute_medians(df.where(F.col(target).isNotNull()).select(
-        *[F.col(c).cast("double").alias(c) for c in names],
-        F.col(target).cast("double").alias("_y")), names, exact)
+    filled = impute_medians(df.where(F.col(target).isNotNull()).selectExpr(
+        *[f"cast({c} as double) as {c}" for c in names],
+        f"cast({target} as double) as _y"), names, exact)
     columns = [*names, "_y"]
-    spans = filled.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-                         for c in columns]).select(F.struct("*").alias("s"))
+    spans = filled.selectExpr("struct(" + ", ".join(
+        f"struct(min({c}) as lo, max({c}) as hi) as {c}" for c in columns) + ") as s")
 
     def binned(c):
-        lo, hi = F.col("_span")[c]["lo"], F.col("_span")[c]["hi"]
-        inner = F.least(F.floor((F.col(c) - lo) / (hi - lo) * bins), F.lit(bins - 1))
-        return F.when(hi > lo, inner).when(hi == lo, 0).cast("int").alias(c)
+        lo, hi = f"_span.{c}.lo", f"_span.{c}.hi"
+        inner = f"least(floor(({c} - {lo}) / ({hi} - {lo}) * {bins}), {bins - 1})"
+        return f"cast(case when {hi} > {lo} then {inner} when {hi} = {lo} then 0 end as int) as {c}"
 
-    cells = (filled.withColumn("_span", spans.scalar()).select(*[binned(c) for c in columns])
+    cells = (filled.withColumn("_span", spans.scalar()).selectExpr(*map(binned, columns))
              .unpivot(["_y"], names, "feature", "x")
              .groupBy("feature", "x", "_y").agg(F.count("*").alias("n")))
     return _score(cells)
