@@ -1,16 +1,74 @@
-"""From raw documents to token files: the stages, in order, over the table ``documents``."""
+"""From raw documents to token files: the stages, in order, over the table ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns what it kept, with the columns of documents; the
+last returns one row per document, read back from the token files.
+"""
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tripspark.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
+from tripspark.llm.common import read_table
+from tripspark.sources.shared import materialise
+
+
+def without_ids(docs, gone):
+    """Rows whose doc_id is not among ``gone`` (one column, doc_id); null ids stay."""
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the classifier, learnt from all labelled rows, does not reject."""
+    labels = read_table(spark, sf_dir, "labels")
+    scores = toxicity.toxicity_scores(docs, docs, labels)
+    return without_ids(docs, materialise(scores.where("predicted = 1").select("doc_id"), "toxic"))
+
+
+def one_of_each_group(spark, docs, sf_dir):
+    """Of documents linked by n-gram Jaccard similarity, the one with the smallest doc_id.
+
+    Five words and 0.8, as near-duplicate stages take.  Rows that repeat a doc_id are one document:
+    one of them stays.  Rows without a doc_id link with nothing and stay.
+    """
+    found = materialise(jaccard_join.jaccard_components(docs, percent=80, width=5), "groups")
+    kept = without_ids(docs, found.where("doc_id <> component_id").select("doc_id"))
+    again = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(
+        "doc_id")
+    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return without_ids(kept, again).unionByName(repeated.select(docs.columns))
+
+
+def drop_benchmark(spark, docs, sf_dir):
+    """Documents that overlap with no benchmark item."""
+    found = decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
+    return without_ids(docs, materialise(found.select("doc_id"), "leaks"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Every document once, small sources up to twice; a row for each reading."""
+    return mixing.mix(docs).select(docs.columns)
+
+
+def token_output(spark, docs, sf_dir):
+    """Token files in order of doc_id; one row per reading, read back from the files."""
+    return token_files.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
 #: (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.
-STAGES: list = []
-#: No SQL can state the classifier and the token files; the tests hold the stages against brute force.
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", drop_benchmark),
+    ("mixing", mix_sources),
+    ("token_files", token_output),
+]
+#: No SQL can state the classifier and the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     """Apply all stages; each is written as Parquet and read again as the next one's input."""
-    from tripspark.sources.shared import materialise
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

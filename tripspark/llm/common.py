@@ -12,6 +12,9 @@ from ..sources.shared import materialise
 
 #: Upper to lower case for A-Z only, on UTF-8 bytes.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: As LOWER; other ASCII that is neither letter nor digit becomes a space.
+WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
+              for c in range(256))
 _UPPER_TEXT, _LOWER_TEXT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Python holds at most about this many bytes of text as separate words.
 SLICE_BYTES = 1 << 21

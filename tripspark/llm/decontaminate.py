@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
-from .common import bitmap_of, finish, in_bitmap, rows_with_ids, text_slices
+from .common import WORDS, bitmap_of, finish, in_bitmap, rows_with_ids, text_slices
 
 SPAN = 12
 CLASSES = 4
@@ -30,16 +30,13 @@ WINDOW = 13
 #: ... of which this share is equal, position by position.
 SHARE = 0.8
 
-#: Letters A-Z in lower case; other ASCII that is neither letter nor digit becomes a space.
-_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
-               for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _words(texts):
     words, counts = [], np.empty(len(texts), np.int64)
     for i, text in enumerate(texts):
-        own = text.translate(_WORDS).split()
+        own = text.translate(WORDS).split()
         counts[i] = len(own)
         words += own
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), counts

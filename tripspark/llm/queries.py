@@ -1,6 +1,9 @@
 """One query per operator over its whole table, and the SQL of those that SQL can state."""
 
-from . import decontaminate, exact_dedup, jaccard_join
+import public_tokenizers
+
+from . import (chat_format, decontaminate, exact_dedup, hpy_lm, html_extract, jaccard_join, licenses,
+               mixing, token_files, toxicity)
 from .common import read_table
 
 QUERIES: dict = {}
@@ -16,11 +19,49 @@ def query(sql=None):
     return register
 
 
+@query(licenses.SQL)
+def op1_license_scan(spark, sf):
+    return licenses.license_scan(read_table(spark, sf, "documents"))
+
+
+@query()
+def op2_toxicity(spark, sf):
+    return toxicity.held_out_scores(read_table(spark, sf, "documents"),
+                                    read_table(spark, sf, "labels"))
+
+
+@query()
+def op3_html_extraction(spark, sf):
+    return html_extract.extract_pages(read_table(spark, sf, "pages")).drop("path")
+
+
+@query()
+def op4_token_files(spark, sf):
+    return token_files.token_digests(read_table(spark, sf, "documents"),
+                                     public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query(exact_dedup.SQL)
 def op5_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(read_table(spark, sf, "documents"))
 
 
+@query()
+def op6_mixing(spark, sf):
+    return mixing.mixture(read_table(spark, sf, "documents"))
+
+
+@query()
+def op7_language_model(spark, sf):
+    return hpy_lm.held_out_scores(read_table(spark, sf, "documents"))
+
+
+@query(chat_format.SQL)
+def op8_chat_format(spark, sf):
+    return chat_format.format_digests(
+        chat_format.with_hostile(read_table(spark, sf, "conversations")))
+
+
 @query()
 def op9_decontamination(spark, sf):
     return decontaminate.contamination(read_table(spark, sf, "documents"),
