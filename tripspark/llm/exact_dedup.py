@@ -17,6 +17,9 @@ from ..sources.shared import materialise
 #: Runs of equal texts are cut from this share of all rows on; also the most texts that are cut.
 SHARES = 65_536
 LEAST_RUN = 256
+#: Splitters are sampled from so many first characters, and a hash where these are equal: the sample
+#: goes to the driver, and whole texts would make it grow with their length.
+SPLITTER = 48
 
 
 def normalised(text):
@@ -37,13 +40,14 @@ def exact_duplicates(documents):
     large = docs.groupBy(digest.alias("digest")).count().where(F.col("count") > limit).select(
         "digest", F.ceil(F.col("count") / limit).alias("cuts"))
     cut = docs.join(F.broadcast(large), F.xxhash64("norm") == F.col("digest"), "left").select(
-        "doc_id", "norm", F.col("cuts").isNotNull().alias("large"),
+        "doc_id", "norm", F.substring("norm", 1, SPLITTER).alias("front"),
+        F.xxhash64("norm").alias("mark"), F.col("cuts").isNotNull().alias("large"),
         F.coalesce(F.expr("pmod(xxhash64(doc_id), cuts)"), F.lit(0)).alias("cut"))
 
-    # The ranges of (norm, cut) keep equal keys together, so the windows need no further shuffle.
-    own = Window.partitionBy("norm", "cut")
+    # The ranges keep equal keys together, so the windows need no further shuffle.
+    own = Window.partitionBy("front", "mark", "norm", "cut")
     first = own.orderBy(F.col("doc_id").asc_nulls_last())
-    runs = cut.repartitionByRange("norm", "cut").select(
+    runs = cut.repartitionByRange("front", "mark", "cut").select(
         "doc_id", "cut", "large", F.row_number().over(first).alias("nth"),
         F.min("doc_id").over(own).alias("run_id"),
         F.count(F.lit(1)).over(own).alias("run_size"),
