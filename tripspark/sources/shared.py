@@ -37,7 +37,19 @@ def materialise(df: DataFrame, name="table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote; nothing may read them any more."""
+    for table in tables:
+        path = getattr(table, "scratch", None)
+        if path:
+            spark = table.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
