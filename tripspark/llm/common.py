@@ -8,7 +8,7 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise
+from ..sources.shared import discard, materialise
 
 #: Upper to lower case for A-Z only, on UTF-8 bytes.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -247,6 +247,7 @@ def components(edges):
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialise(small.union(least).distinct(), "edges")
+        before, now = now, materialise(small.union(least).distinct(), "edges")
+        discard(before, large)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

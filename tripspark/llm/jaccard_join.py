@@ -19,12 +19,13 @@ distance.  Nothing is capped: a level ends only when all open regions are joined
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise
-from .common import (ARRAY_SCHEMA, add_arrays, array_rows, components, rows_with_ids,
-                     shingle_hashes, text_slices, word_hashes)
+from ..sources.shared import discard, materialise
+from .common import (ARRAY_SCHEMA, add_arrays, array_rows, bitmap_of, components, in_bitmap,
+                     rows_with_ids, shingle_hashes, text_slices, word_hashes)
 
 #: Cells of the count sketch that orders the pivots.  The order decides only how much work there is.
 CELL_BITS = 20
@@ -90,8 +91,9 @@ def _regions(width, percent, cells):
                     rare = counts[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                     order = np.lexsort((own, rare))[:window]
                     pivots = own[order].view(np.int64)
+                    # Full buckets stop at 255, which keeps the bound a bound.
                     buckets = np.minimum(np.bincount((own & np.uint64(BUCKETS - 1)).astype(
-                        np.int64), minlength=BUCKETS), 65535).astype(np.uint16).tobytes()
+                        np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
             rows.append((doc_id, rep, n, buckets, pivots))
             if len(rows) >= 2000:
                 yield flush()
@@ -106,7 +108,7 @@ def _near(percent):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).astype(
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).astype(
                 np.int64).reshape(-1, BUCKETS) for c in ("va", "vb"))
             sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
             most = sizes - 2 * ((sizes * percent + 99 + percent) // (100 + percent))
@@ -128,9 +130,27 @@ def _linked(percent):
     return keep
 
 
-def _candidate_sets(docs, members, width):
-    """The sets of documents that share a region with others."""
-    some, ids = rows_with_ids(docs, members.select("doc_id"))
+def _members(bits):
+    """(pivot, doc_id, n, pos) of pivots that may have several documents."""
+    def spread(batches):
+        for batch in batches:
+            batch = batch.filter(pa.compute.is_valid(batch.column("pivots")))
+            lists = batch.column("pivots")
+            pivots = lists.flatten().to_numpy()
+            sizes = np.diff(np.asarray(lists.offsets))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(pivots)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            hit = np.flatnonzero(in_bitmap(bits.value, pivots.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pivots[hit]), *(pa.array(batch.column(c).to_numpy()[row[hit]])
+                                          for c in ("doc_id", "n")), pa.array(pos[hit])],
+                names=["pivot", "doc_id", "n", "pos"])
+    return spread
+
+
+def _sets_of(docs, ids, width):
+    """The sets of the documents with these ids."""
+    some, ids = rows_with_ids(docs, ids)
 
     def build(batches):
         rows, held = [], 0
@@ -153,7 +173,7 @@ def _set_rows(rows):
                                       names=["doc_id", "own"])
 
 
-def _links(pairs, regions, sets, percent):
+def _links(pairs, regions, docs, percent, width):
     """The pairs (a, b) that are linked, by bucket counts first and then by whole sets."""
     sizes = regions.where("pivots is not null").select("doc_id", "n", "buckets").dropDuplicates(
         ["doc_id", "n", "buckets"])
@@ -161,10 +181,16 @@ def _links(pairs, regions, sets, percent):
         pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n").alias("n" + side),
                                         F.col("buckets").alias("v" + side)), side)
     near = materialise(pairs.mapInArrow(_near(percent), "a long, b long").distinct(), "near")
+    if near.isEmpty():
+        return near
+    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b"))
+    sets, both = _sets_of(docs, ids, width), near
     for side in "ab":
-        near = near.join(sets.select(F.col("doc_id").alias(side), F.col("own").alias("s" + side)),
+        both = both.join(sets.select(F.col("doc_id").alias(side), F.col("own").alias("s" + side)),
                          side)
-    return materialise(near.mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
+    links = materialise(both.mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
+    discard(near, sets)
+    return links
 
 
 def jaccard_components(documents, percent=85, width=4):
@@ -186,23 +212,24 @@ def jaccard_components(documents, percent=85, width=4):
     cells = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
     regions = materialise(docs.mapInArrow(_regions(width, percent, cells), _REGIONS), "regions")
 
-    placed = regions.where("pivots is not null").select(
-        "doc_id", "n", F.posexplode("pivots").alias("pos", "pivot"))
-    shared = placed.groupBy("pivot").agg(
-        F.min(F.struct("n", "doc_id", "pos")).alias("head"), F.count(F.lit(1)).alias("m"),
-    ).where("m > 1")
-    active = materialise(placed.join(shared, "pivot"), "members")
-    sets = _candidate_sets(docs, active, width)
-
+    shared = materialise(regions.select("doc_id", F.explode("pivots").alias("pivot")).groupBy(
+        "pivot").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("m")).where(
+        "m > 1").select("pivot", "head"), "shared")
+    bits = spark.sparkContext.broadcast(bitmap_of(shared, "pivot"))
+    members = regions.select("doc_id", "n", "pivots").mapInArrow(
+        _members(bits), "pivot long, doc_id long, n long, pos long")
+    active = materialise(members.join(shared, "pivot"), "members")
+
+    # First level: the pivot of a region is its smallest document.
+    star = active.where("doc_id != head")
+    links = _links(star.select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(),
+                   regions, docs, percent, width)
+    own = regions.where("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    found = components(links.union(own))
+    active = star.drop("head")
     fits = ("least(pa, pb) + 1 + least(na - 1 - pa, nb - 1 - pb) >= "
             + _min_overlap("na", "nb", percent) + f" and 100 * least(na, nb) >= {percent} * "
             "greatest(na, nb)")
-    star = active.where("doc_id != head.doc_id").selectExpr(
-        "head.doc_id a", "doc_id b", "head.n na", "n nb", "head.pos pa", "pos pb")
-    links = _links(star.where(fits).select("a", "b").distinct(), regions, sets, percent)
-    own = regions.where("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    found = components(links.union(own))
-    active = active.where("doc_id != head.doc_id").select("pivot", "doc_id", "n", "pos")
     level = 1
     while True:
         labelled = active.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -219,7 +246,7 @@ def jaccard_components(documents, percent=85, width=4):
         pairs = lead.join(rest, F.expr(
             "x.pivot = y.pivot and x.c != y.c and (not y.lead or x.doc_id < y.doc_id)")).selectExpr(
             "x.doc_id a", "y.doc_id b", "x.n na", "y.n nb", "x.pos pa", "y.pos pb")
-        new = _links(pairs.where(fits).select("a", "b").distinct(), regions, sets, percent)
+        new = _links(pairs.where(fits).select("a", "b").distinct(), regions, docs, percent, width)
         if not new.isEmpty():
             links = links.union(new)
             found = components(links.union(own))
