@@ -62,7 +62,9 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
-THRESHOLD = 0.8
+#: Short notices need all their words, others may lack one in twenty; templates that differ in one
+#: word stay apart.
+THRESHOLD = 0.95
 _SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

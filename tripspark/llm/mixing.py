@@ -21,6 +21,7 @@ BLOCKS = 1024
 MAX_SOURCES = 100_000
 #: Rows of the block plan (sources x blocks x epochs) that may be broadcast; about 50 bytes each.
 BROADCAST_ROWS = 400_000
+MIX_COLUMNS = "mix_source mix_tokens mix_block mix_epoch mix_weight mix_passes mix_slot".split()
 
 
 def token_count(text):
@@ -154,7 +155,8 @@ def mix(documents, seed=17, target_entropy=None, repetition_limit=2.0, budget=No
         Window.unboundedPreceding, -1)
     last = docs.join(ends, ["mix_source", "mix_block"]).withColumn(
         "mix_ahead", F.coalesce(F.sum("mix_tokens").over(order), F.lit(0))).where("mix_ahead < mix_rest")
-    return first.unionByName(last.drop("mix_ahead", "mix_rest"))
+    return first.unionByName(last.drop("mix_ahead", "mix_rest")).select(
+        *[c for c in documents.columns if not c.startswith("mix_")], *MIX_COLUMNS)
 
 
 def mixture(documents, **target):
