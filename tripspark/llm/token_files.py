@@ -19,27 +19,26 @@ The table lies beside the files as (id, frequency) rows; frequencies sum to 2 **
 """
 
 import os
-import re
 import struct
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
-from .common import ARRAY_SCHEMA, add_arrays, array_rows, text_slices
+from .common import ARRAY_SCHEMA, add_arrays, array_rows
 
 SCALE = 18
 LANES = 16
 BLOCK = 4096
 #: A file is closed once it holds so many ids; a longer document still stays in one file.
 FILE_IDS = 1 << 20
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+#: Words and stems whose ids a Python worker remembers.
+REMEMBERED = 600_000
 END_ID = 1
 MAGIC = b"RNS1"
 _HEAD = struct.Struct("<4sIIIIIQQQ")
@@ -50,89 +49,131 @@ _S = np.uint64(SCALE)
 
 # ------------------------------------------------------------------------------- text to ids
 
-#: A word of Latin letters, and perhaps one sign after it.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
+#: Words of Latin letters (below U+0100), and perhaps one sign after them.
+_PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,]?$"
+#: Python holds at most about this many bytes of text as separate words.
+SLICE = 1 << 23
+#: So many stems are encoded as one text.
+TOGETHER = 4096
 
 
 class WordEncoder:
     """Encodes whole texts with a tokenizer that never joins across white space.
 
-    Such a tokenizer gives a text the ids of its words one after the other, so each word is encoded
-    once and remembered.  ``split`` also cuts a final sign from a word of letters and lower-cases
-    it, for tokenizers that do the same.
+    Such a tokenizer gives a text the ids of its words one after the other, so of each slice of
+    texts only the distinct words are encoded.  From words of letters a final sign is cut, the rest
+    is lower-cased as the tokenizer does, and these stems are remembered.  Many stems are encoded
+    as one text; the ids that end a word tell where one stops.
     """
 
-    def __init__(self, path, split=True):
+    def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = split
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.uint16 if self.size <= 65536 else np.uint32
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.size, bool)
+        if suffix:
+            for token, number in self.tokenizer.get_vocab().items():
+                self.ends[number] = token.endswith(suffix)
+        self.signs = [self._alone([sign])[0] for sign in ".,"]
+        # Stems are only cut where the tokenizer does the same.
+        probe = self._alone(["Straße.", "straße", "été,", "ÉTÉ"])
+        self.stems = bool(suffix) and [len(x) for x in self.signs] == [1, 1] and [
+            list(x) for x in probe] == [[*probe[1], *self.signs[0]], list(probe[1]),
+                                        [*probe[3], *self.signs[1]], list(probe[3])]
         self._forget()
 
     def _forget(self):
-        self.known, self.stems = {}, {}
-        self.pool, self.used = np.empty(1 << 16, np.uint16 if self.size <= 65536 else np.uint32), 0
-        self.first, self.length = np.zeros(REMEMBERED * 2, np.int64), np.zeros(REMEMBERED * 2,
-                                                                              np.int64)
-
-    def _encode(self, texts):
-        """The ids of each text, as bytes of the pool's type."""
-        code = "H" if self.size <= 65536 else "I"
-        return [array(code, e.ids).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words):
-        cut, whole = [], []
-        for word in words:
-            text = word.decode()
-            match = _PLAIN.fullmatch(text) if self.split else None
-            if match:
-                cut.append((word, match[1].lower(), match[2]))
-            else:
-                whole.append((word, text))
-        if len(self.known) + len(words) > REMEMBERED:
-            self._forget()
-        if len(self.known) + len(words) > len(self.first):
-            grown = len(self.known) + len(words)
-            self.first, self.length = np.zeros(grown, np.int64), np.zeros(grown, np.int64)
-        new = list({s for _, *parts in cut for s in parts if s and s not in self.stems})
-        self.stems.update(zip(new, self._encode(new)))
-        found = [(w, self.stems[a] + (self.stems[b] if b else b"")) for w, a, b in cut]
-        found += zip([w for w, _ in whole], self._encode([t for _, t in whole]))
-        ids = np.frombuffer(b"".join([own for _, own in found]), self.pool.dtype)
+        self.known, self.pool, self.used = {}, np.empty(1 << 16, self.kind), 0
+        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def _alone(self, texts):
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
+            texts, add_special_tokens=False)]
+
+    def _together(self, stems):
+        """Ids of all stems, and the number of each."""
+        ids, lengths = [], []
+        for at in range(0, len(stems), TOGETHER):
+            part = stems[at:at + TOGETHER]
+            own = self._alone([" ".join(part)])[0]
+            stops = np.flatnonzero(self.ends[own]) + 1
+            if len(stops) != len(part) or (len(own) and stops[-1] != len(own)):
+                apart = self._alone(part)
+                own, stops = np.concatenate(apart), np.cumsum([len(x) for x in apart])
+            ids.append(own)
+            lengths.append(np.diff(stops, prepend=0))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _remember(self, words, ids, lengths):
+        at, count = len(self.known), len(words)
+        while at + count > len(self.first):
+            self.first, self.length = (np.concatenate([x, np.zeros_like(x)])
+                                       for x in (self.first, self.length))
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool[:self.used], np.empty(
-                self.used + 2 * len(ids), self.pool.dtype)])
+                self.used + 2 * len(ids), self.kind)])
         self.pool[self.used:self.used + len(ids)] = ids
-        lengths = np.array([len(own) for _, own in found], np.int64) // self.pool.itemsize
-        at = len(self.known)
-        self.length[at:at + len(found)] = lengths
-        self.first[at:at + len(found)] = self.used + np.cumsum(lengths) - lengths
+        self.length[at:at + count] = lengths
+        self.first[at:at + count] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
-        for k, (word, _) in enumerate(found):
-            self.known[word] = at + k
+        self.known.update(zip(words, range(at, at + count)))
 
-    def encode(self, texts):
-        """The ids of all texts in one array, and each text's number of ids."""
-        words, counts = [], np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.split()
-            counts[i] = len(own)
-            words += own
-        known = self.known
-        missing = {w for w in words if w not in known}
+    def _places(self, words, encode):
+        """Where each of the distinct words is remembered."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self._forget()
+        missing = [w for w in words if w not in self.known]
         if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                missing = set(words)  # what is remembered goes
-            self._learn(list(missing))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        lengths = self.length[at]
-        before = np.cumsum(lengths) - lengths
-        total = int(lengths.sum())
-        ids = self.pool[np.arange(total) + np.repeat(self.first[at] - before, lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
-        return ids, np.diff(np.concatenate([[0], ends]))
+            self._remember(missing, *encode(missing))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _apart(self, words):
+        found = self._alone(words)
+        return (np.concatenate(found) if found else np.zeros(0, np.uint32),
+                np.array([len(x) for x in found], np.int64))
+
+    def encode(self, texts):
+        """The ids of all texts (an Arrow array without nulls) in one array, and each's number."""
+        lists = pc.ascii_split_whitespace(texts)
+        flat = lists.flatten().dictionary_encode()
+        words, word = flat.dictionary, flat.indices.to_numpy()
+        plain = pc.match_substring_regex(words, _PLAIN) if self.stems else pa.array(
+            np.zeros(len(words), bool))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        # The ids of the distinct words, one after the other.
+        odd = words.filter(pc.invert(plain)).to_pylist()
+        stem = words.filter(plain)
+        sign = np.where(pc.ends_with(stem, ".").to_numpy(zero_copy_only=False), 0, np.where(
+            pc.ends_with(stem, ",").to_numpy(zero_copy_only=False), 1, -1))
+        stem = pc.utf8_lower(pc.utf8_rtrim(stem, ".,")).dictionary_encode()
+        parts = []
+        for names, encode, where in ((odd, self._apart, None), (
+                stem.dictionary.to_pylist(), self._together, stem.indices.to_numpy())):
+            at = self._places(names, encode)
+            length, first = self.length[at], self.first[at]
+            if where is not None:
+                length, first = length[where], first[where]
+            parts.append((self.pool, first, length))
+        sizes = np.zeros(len(words), np.int64)
+        sizes[~is_plain], sizes[is_plain] = parts[0][2], parts[1][2] + (sign >= 0)
+        begin = np.cumsum(sizes) - sizes
+        ids = np.zeros(int(sizes.sum()), self.kind)
+        for (pool, first, length), here in zip(parts, (begin[~is_plain], begin[is_plain])):
+            run = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+            ids[np.repeat(here, length) + run] = pool[np.repeat(first, length) + run]
+        signed = np.flatnonzero(sign >= 0)
+        ids[begin[is_plain][signed] + parts[1][2][signed]] = np.array(
+            [x[0] if len(x) else 0 for x in self.signs], self.kind)[sign[signed]]
+        # The ids of all words in order.
+        length = sizes[word]
+        before = np.cumsum(length) - length
+        run = np.repeat(begin[word] - before, length)
+        run += np.arange(len(run))
+        ends = np.concatenate([[0], np.cumsum(length)])[np.asarray(lists.offsets)]
+        return ids[run], np.diff(ends)
 
 
 _ENCODERS: dict = {}
@@ -147,18 +188,24 @@ def encoder(path):
 def _encode_texts(path, end_id):
     def run(batches):
         coder, pack = encoder(path), zstandard.ZstdCompressor(level=1)
-        for ids, texts in text_slices(batches):
-            flat, counts = coder.encode(texts)
-            ends = np.cumsum(counts)
-            blobs = []
-            for end, count in zip(ends.tolist(), counts.tolist()):
-                own = np.empty(count + 1, np.uint32)
-                own[:count] = flat[end - count:end]
-                own[count] = end_id
-                blobs.append(pack.compress(
-                    (own.astype(np.uint16) if coder.size <= 65536 else own).tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "ids"])
+        for batch in batches:
+            texts = pc.fill_null(batch.column("text"), "")
+            size = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy().astype(
+                np.int64))])
+            at = 0
+            while at < len(texts):
+                stop = max(at + 1, int(np.searchsorted(size, size[at] + SLICE, "right")) - 1)
+                flat, counts = coder.encode(texts.slice(at, stop - at))
+                ends = np.cumsum(counts)
+                own = np.insert(flat, ends, end_id)  # each text's ids and the end
+                stops = ends + np.arange(1, len(ends) + 1)
+                blobs = [pack.compress(own[a:b].tobytes())
+                         for a, b in zip(np.concatenate([[0], stops[:-1]]).tolist(),
+                                         stops.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, stop - at), pa.array(blobs, pa.binary())],
+                    names=["doc_id", "ids"])
+                at = stop
     return run
 
 
