@@ -43,7 +43,7 @@ def test_equal_times(spark):
 
 
 def test_gap_across_chunks(spark):
-    edge = trips.CHUNK_S
+    edge = trips.LEVELS_S[-1]
     assert gaps(spark, [edge - 10, edge + 3000, edge + 3500]) == [3010.0, 500.0, 0.0]
     assert gaps(spark, [edge - 1, edge, edge + 3599]) == [1.0, 3599.0, 0.0]
     rows = [(1000.0 * s, 36.0, 2.0, None) for s in (edge - 10, edge + 90, 5 * edge, 5 * edge + 50)]
@@ -128,8 +128,8 @@ def plain_features(df, max_gap):
         F.sum(F.when(v < 5, F.col("dt")).otherwise(0.0)).alias("stop_go_s")))
 
 
-@pytest.mark.parametrize("crowd", [50, 10 ** 6])
-def test_one_hot_trip_with_copies(spark, crowd):
+@pytest.mark.parametrize("levels", [(), (60.0, 86400.0), (7.0, 500.0, 4e5)])
+def test_one_hot_trip_with_copies(spark, levels):
     """A trip that holds most samples, with many copies of one time, gives the plain result."""
     n = 20000
     df = spark.range(n).selectExpr(
@@ -140,15 +140,18 @@ def test_one_hot_trip_with_copies(spark, crowd):
         "cast((id * 31) % 120 as double) as speed",
         "cast((id * 17) % 9 as double) as fuel_rate_est_lhr")
     plain = {r["vehid"]: r for r in plain_features(df, 3600).collect()}
-    mine = trips.segment_integrals(df, tie="sample_id", crowd=crowd).collect()
+    mine = trips.segment_integrals(df, tie="sample_id", levels=levels).collect()
     assert len(mine) == len(plain)
     for r in mine:
         for c in ("observed_seconds", "distance_km", "stop_go_s"):
             assert r[c] == pytest.approx(plain[r["vehid"]][c], rel=1e-9), (r["vehid"], c)
 
 
-@pytest.mark.parametrize("crowd", [10, 10 ** 6])
-def test_lead_over_pauses_and_copies(spark, crowd):
+@pytest.mark.parametrize("pieces", [1, 4, 37])
+def test_lead_over_pauses_and_copies(spark, pieces, monkeypatch):
+    ranged = type(spark.range(0)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange",
+                        lambda self, *order: ranged(self, pieces, *order))
     df = spark.range(4000).selectExpr(
         "id as sample_id", "if(id % 2 = 0, 'hot', cast(id % 3 as string)) as vehid",
         "'1' as tripid",
@@ -158,7 +161,7 @@ def test_lead_over_pauses_and_copies(spark, crowd):
         "if(id % 7 = 0, null, cast(id as double)) as speed")
     w = Window.partitionBy("vehid", "tripid").orderBy("time_seconds", "sample_id")
     plain = df.select("sample_id", F.lead("time_seconds").over(w), F.lead("speed").over(w))
-    mine = trips.lead_next_sample(df, tie="sample_id", crowd=crowd).select(
+    mine = trips.lead_next_sample(df, tie="sample_id").select(
         "sample_id", "next_time_seconds", "next_speed")
     assert sorted(map(str, mine.collect())) == sorted(
         map(str, plain.toDF(*mine.columns).collect()))
@@ -168,3 +171,23 @@ def test_untimed_sample_keeps_its_row(spark):
     df = samples(spark, [(None, 10.0, None, None), (0.0, 10.0, None, None),
                          (1000.0, 10.0, None, None)])
     assert sorted(r[0] for r in trips.gap_clamp(df).select("dt_s").collect()) == [0.0, 0.0, 1.0]
+
+
+def test_null_keys_and_nan_speeds_are_kept(spark):
+    rows = [(None, "1", 0.0, 36.0), (None, "1", 100.0, 0.0), ("1", None, 0.0, math.nan),
+            ("1", None, 50.0, 72.0), ("1", None, 100.0, math.nan), ("2", "2", 0.0, 50.0)]
+    df = spark.createDataFrame(rows, "vehid string, tripid string, time_seconds double, "
+                                     "speed double").withColumns({
+        c: F.lit(None).cast("double") for c in (
+            "daynum", "fuel_rate_est_lhr", "maf", "rpm", "abs_load", "oat", "hv_battery_current",
+            "hv_battery_soc", "hv_battery_vol")})
+    found = {r[:2]: r["distance_km"] for r in trips.segment_integrals(df).collect()}
+    assert found == {(None, "1"): 1.0, ("1", None): 1.0, ("2", "2"): 0.0}
+    vehicles = spark.createDataFrame([], "vehid string, vehtype string, vehclass string, "
+                                         "transmission string, drive_wheels string, gen_weight "
+                                         "double, eng_type string, eng_dis double, eng_conf string")
+    for exact in (False, True):
+        kept = trips.trip_features(df, vehicles, exact=exact).collect()
+        assert {r["distance_km"] for r in kept} == {1.0} and len(kept) == 2
+    led = trips.lead_next_sample(df).collect()
+    assert len(led) == 6 and sum(r["next_time_seconds"] is None for r in led) == 3

@@ -2,10 +2,12 @@
 
 A trip may hold a large share of all samples, so no step puts a whole trip into one task:
 
-* Time is cut into chunks.  Sums are taken inside each chunk, and a second step over one row per
-  chunk adds what lies between the last sample of a chunk and the first of the next.
-* Samples with equal time have gap zero except the last of them.  In chunks with very many
-  samples they are folded into one point per time, with map-side combining.
+* For integrals, samples of equal time become one point, combined before the shuffle.  Points are
+  joined to segments level by level: minutes, days, the trip.  A level sees one row per group of the
+  level below, so its size depends on the time a trip spans, not on the number of samples.
+* For row-level successors, sampled splitters cut the rows in their order into pieces of about
+  equal size, wherever a trip or a time begins.  A second look at the first row of each piece
+  joins the ends.
 * Counts, means and percentile sketches need no order and merge, so they are aggregated
   straight from the scan and only their partial states are shuffled.
 """
@@ -14,21 +16,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions import derive
+from ..sources.shared import materialise
+from . import quantiles
 from .joins import attach_vehicle
 
-CHUNK_S = 86400.0  # length of a chunk of time in seconds
-CROWD = 1_000_000  # samples of one chunk, or of one time, beyond which they are treated apart
-NEVER = -(2 ** 62)  # chunk of samples without a time
-
-
-def _crowded_chunks(df, keys, crowd):
-    """(trip, chunk) pairs with more than ``crowd`` samples, to be broadcast.
-
-    There is at most one pair per ``crowd`` samples, which bounds the broadcast.  Usually there
-    is none, and adaptive execution then drops the joins with this table.
-    """
-    return (df.groupBy(*keys, "_chunk").agg(F.count("*").alias("n"))
-            .where(F.col("n") > crowd).select(*keys, "_chunk"))
+LEVELS_S = (60.0, 86400.0)  # lengths of the levels of time below a whole trip, in seconds
 
 
 def clamp_gap(gap, max_gap_s=S.MAX_GAP_S):
@@ -40,7 +32,7 @@ def gap_clamp(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=N
               max_gap_s=S.MAX_GAP_S, output="dt_s") -> DataFrame:
     """Add the seconds from each sample to the next one of its trip.
 
-    0 for the last sample and for gaps of ``max_gap_s`` or more.  ``tie`` names a unique number
+    0 for the last sample and for gaps of ``max_gap_s`` or more.  ``tie`` names a unique column
     that orders samples of equal time.
     """
     following = "next_" + time
@@ -49,113 +41,82 @@ def gap_clamp(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=N
     return led.withColumn(output, clamp_gap(gap, max_gap_s)).drop(following)
 
 
-def _with_pieces(df, keys, time, tie, chunk_s, crowd):
-    """Add ``_piece``: an ordered cut of each trip into runs of samples of bounded size.
-
-    Time is cut into chunks.  A single time with more than ``crowd`` samples is cut out of its
-    chunk and divided by ranges of the tie-breaker.
-    """
-    df = df.withColumn("_chunk", F.coalesce(F.floor(F.col(time) / chunk_s), F.lit(NEVER)))
-    if tie is None:
-        return df.withColumn("_piece", F.struct("_chunk"))
-    number = F.col(tie).cast("double")
-    full = df.join(F.broadcast(_crowded_chunks(df, keys, crowd)), [*keys, "_chunk"], "left_semi")
-    crowded = (full.groupBy(*keys, "_chunk", time)
-               .agg(F.count("*").alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"))
-               .where(F.col("n") > crowd)
-               .withColumn("step", (F.col("hi") - F.col("lo")) / F.ceil(F.col("n") / crowd))
-               # Each entry stands for more than `crowd` samples, so the lists are short and
-               # there are few of them.
-               .groupBy(*keys, "_chunk")
-               .agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), "lo", "step")))
-                    .alias("_crowded")))
-    marked = df.join(F.broadcast(crowded), [*keys, "_chunk"], "left")
-    earlier = F.size(F.filter("_crowded", lambda c: c["t"] < F.col(time)))
-    here = F.get(F.filter("_crowded", lambda c: c["t"] == F.col(time)), F.lit(0))
-    span = F.coalesce(2 * earlier + here.isNotNull().cast("int"), F.lit(0))
-    part = F.when(here["step"] > 0, F.floor((number - here["lo"]) / here["step"]))
-    piece = F.struct("_chunk", span.alias("span"), F.coalesce(part, F.lit(0)).alias("part"))
-    return marked.withColumn("_piece", piece).drop("_crowded")
-
-
 def lead_next_sample(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds", tie=None,
-                     carry=("speed",), chunk_s=CHUNK_S,
-                     crowd=CROWD) -> DataFrame:
+                     carry=("speed",)) -> DataFrame:
     """Add the next sample's time (``next_<time>``) and carried values, however far away it is.
 
-    The window runs per piece of a trip (see ``_with_pieces``).  The last row of a piece takes
-    its successor from a second window over the first and last rows of pieces only.  ``tie`` names
-    a unique number that orders samples of equal time; without it their order is arbitrary and
-    all samples of one trip and chunk share a task.
+    The rows are written once in the order of keys, time and ``tie``, cut into ranges by sampled
+    splitters, and the window runs per range.  The last row of a range takes its successor from
+    the first row of the next, of which there is one per range.  Without ``tie``, samples of equal
+    time are ordered by a hash of their values; only equal rows can then tie.  NULL keys are keys
+    like others, and samples without a time come first in their trip.
     """
-    order = [F.col(c).asc_nulls_first() for c in ([time, tie] if tie else [time])]
     names = [time, *carry]
-    w = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    row = F.struct(*[F.col(n) for n in names])
-    pieces = _with_pieces(df, keys, time, tie, chunk_s, crowd).withColumns(
-        {"_next": F.lead(row).over(w), "_place": F.row_number().over(w)})
-    # Among the first and last rows of all pieces, a last row is followed by the next first row.
-    edges = pieces.where(F.col("_next").isNull() | (F.col("_place") == 1))
-    across = F.lead(row).over(Window.partitionBy(*keys).orderBy("_piece", "_place"))
-    last = edges.withColumn("_after", across).where(F.col("_next").isNull()).withColumn(
-        "_next", F.col("_after")).drop("_after")
-    done = pieces.where(F.col("_next").isNotNull()).unionByName(last)
-    return done.select(*df.columns, *[F.col("_next")[n].alias("next_" + n) for n in names])
-
-
-def _points(df, keys, time, tie, speed, fuel, chunk_s, crowd):
-    """Samples with their chunk and a rank among samples of equal time; crowded chunks folded.
-
-    Folding keeps the last sample of each time, the only one with a gap.
-    """
-    rank = (F.xxhash64(speed, fuel) if tie is None
-            else F.coalesce(F.col(tie).cast("long"), F.lit(-(2 ** 63))))
-    samples = df.where(F.col(time).isNotNull()).select(
-        *keys, F.floor(F.col(time) / chunk_s).alias("_chunk"), time, speed, fuel,
-        rank.alias("_rank"))
-    crowded = F.broadcast(_crowded_chunks(samples, keys, crowd))
-    where = [*keys, "_chunk"]
-    folded = samples.join(crowded, where, "left_semi").groupBy(*where, time).agg(
-        F.max_by(speed, "_rank").alias(speed), F.max_by(fuel, "_rank").alias(fuel),
-        F.max("_rank").alias("_rank"))
-    return samples.join(crowded, where, "left_anti").unionByName(folded)
+    by = F.col(tie) if tie else F.xxhash64(*[
+        F.to_json(F.struct(F.col(c))) if t.startswith(("map", "struct", "array", "variant"))
+        else F.col(c) for c, t in df.dtypes])
+    order = [F.col(c).asc_nulls_first() for c in (*keys, time, "_tie")]
+    cut = df.withColumn("_tie", by).repartitionByRange(*order).sortWithinPartitions(*order)
+    # Written, so that every later step sees the same cut even after a task is run again.
+    rows = materialise(cut.withColumn("_piece", F.spark_partition_id()), "ordered")
+    own = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+                   *[F.col(n).alias(f"n{i}") for i, n in enumerate(names)])
+    place = F.struct(*[F.col(c) for c in (*keys, time, "_tie")])
+    heads = rows.groupBy("_piece").agg(F.min_by(own, place).alias("_head"))
+    after = F.lead("_head").over(Window.orderBy("_piece"))  # one row per piece
+    heads = heads.select("_piece", after.alias("_head"))
+    led = F.lead(own).over(Window.partitionBy("_piece").orderBy(*order))
+    found = rows.withColumn("_next", led).join(F.broadcast(heads), "_piece").withColumn(
+        "_next", F.coalesce("_next", "_head"))
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & F.col(f"_next.k{i}").eqNullSafe(F.col(key))
+    return found.select(*df.columns, *[F.when(same, F.col(f"_next.n{i}")).alias("next_" + n)
+                                       for i, n in enumerate(names)])
+
+
+def _integrals(v, f, dt, stop, idle):
+    return {"observed_seconds": dt, "distance_km": v * dt / S.SECONDS_PER_HOUR,
+            "fuel_used_l": f * dt / S.SECONDS_PER_HOUR,
+            "stop_go_s": F.when(v < stop, dt).otherwise(0.0),
+            "idle_s": F.when(v < idle, dt).otherwise(0.0)}
 
 
 def segment_integrals(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds",
                       speed="speed", fuel="fuel_rate_est_lhr", tie=None,
                       max_gap_s=S.MAX_GAP_S, stop=S.STOP_GO_KMH, idle=S.IDLE_KMH,
-                      chunk_s=CHUNK_S, crowd=CROWD) -> DataFrame:
+                      levels=LEVELS_S) -> DataFrame:
     """Per trip: observed seconds, distance, fuel, and seconds below the stop and idle speeds.
 
-    Left Riemann sums over the gaps; a missing speed counts as 0 km/h, a missing fuel rate adds
-    nothing.  ``fuel_used_l`` is 0, not NULL, for a trip without any fuel rate.  ``tie`` names a
-    number that orders samples of equal time.
+    Left Riemann sums over the gaps; a missing or NaN speed counts as 0 km/h, a missing or NaN fuel
+    rate adds nothing.  Of samples of equal time the last by ``tie`` counts, the only one with a
+    gap.  ``fuel_used_l`` is 0, not NULL, for a trip without any fuel rate.  Samples without a
+    time are left out; NULL keys are keys like others.
     """
-    points = _points(df, keys, time, tie, speed, fuel, chunk_s, crowd)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(time, "_rank")
-    points = points.withColumn("_next", F.lead(time).over(w)).withColumns(
-        {"_dt": clamp_gap(F.col("_next") - F.col(time), max_gap_s),
-         "_v": F.coalesce(F.col(speed), F.lit(0.0)), "_f": F.coalesce(F.col(fuel), F.lit(0.0))})
-
-    def integrals(v, f, dt):
-        return {"observed_seconds": dt, "distance_km": v * dt / S.SECONDS_PER_HOUR,
-                "fuel_used_l": f * dt / S.SECONDS_PER_HOUR,
-                "stop_go_s": F.when(v < stop, dt).otherwise(0.0),
-                "idle_s": F.when(v < idle, dt).otherwise(0.0)}
-
-    inside = integrals(F.col("_v"), F.col("_f"), F.col("_dt"))
-    is_last = F.col("_next").isNull()  # one sample per chunk
-    chunks = points.groupBy(*keys, "_chunk").agg(
-        *[F.sum(x).alias(name) for name, x in inside.items()],
-        F.min(time).alias("first"), F.max(time).alias("last"),
-        F.max(F.when(is_last, F.col("_v"))).alias("v"),
-        F.max(F.when(is_last, F.col("_f"))).alias("f"))
-    following = F.lead("first").over(Window.partitionBy(*keys).orderBy("_chunk"))
-    chunks = chunks.withColumn("following", following).withColumn(
-        "across", clamp_gap(F.col("following") - F.col("last"), max_gap_s))
-    between = integrals(F.col("v"), F.col("f"), F.col("across"))
-    return chunks.groupBy(*keys).agg(
-        *[F.sum(F.col(name) + between[name]).alias(name) for name in inside])
+    zero = F.lit(0.0)
+    v = F.coalesce(F.nanvl(F.col(speed).cast("double"), zero), zero)
+    f = F.coalesce(F.nanvl(F.col(fuel).cast("double"), zero), zero)
+    last = F.col(tie) if tie else F.xxhash64(speed, fuel)
+    timed = df.where(F.col(time).isNotNull() & ~F.isnan(F.col(time).cast("double")))
+    names = list(_integrals(v, f, zero, stop, idle))
+    # A segment: its first and last time, the values at its end, and what it sums up.
+    segments = timed.groupBy(*keys, F.col(time).cast("double").alias("first")).agg(
+        F.max_by(F.struct(v.alias("v"), f.alias("f")), F.struct(last.isNotNull(), last)).alias("e"))
+    segments = segments.select(*keys, "first", F.col("first").alias("last"), "e",
+                               *[zero.alias(n) for n in names])
+    for length in (*levels, None):
+        group = [*keys, "_part"] if length else list(keys)
+        if length:
+            segments = segments.withColumn("_part", F.floor(F.col("first") / length))
+        following = F.lead("first").over(Window.partitionBy(*group).orderBy("first"))
+        across = clamp_gap(following - F.col("last"), max_gap_s)
+        segments = segments.withColumn("_dt", across)
+        between = _integrals(F.col("e.v"), F.col("e.f"), F.col("_dt"), stop, idle)
+        segments = segments.groupBy(*group).agg(
+            F.min("first").alias("first"), F.max("last").alias("last"),
+            F.max_by("e", "last").alias("e"),
+            *[F.sum(F.col(n) + between[n]).alias(n) for n in names]).drop("_part")
+    return segments.select(*keys, *names)
 
 
 # Output column, aggregate, input column; percentiles come from one sketch per signal.
@@ -168,36 +129,57 @@ _PERCENTILES = {"speed": {"speed_median": 0.5, "speed_p95": 0.95},
 
 
 def trip_statistics(df: DataFrame, keys=tuple(S.TRIP_KEYS), time="time_seconds",
-                    accuracy=10000) -> DataFrame:
-    """Per trip: the statistics that do not depend on the order of samples."""
+                    accuracy=10000, exact=False) -> DataFrame:
+    """Per trip: the statistics that do not depend on the order of samples.
+
+    Percentiles are elements of the data; within one part in ``accuracy`` by rank, or ``exact`` for
+    two more passes per signal.
+    """
     aggs = [F.min("daynum").alias("daynum"), F.count("*").alias("n_sensor_points"),
             ((F.max(time) - F.min(time)) / 60).alias("duration_min"),
             F.count("fuel_rate_est_lhr").alias("fuel_valid_points")]
     aggs += [F.avg(c).alias(out) for out, c in _MEANS.items()]
     outputs = {}
     for signal, wanted in _PERCENTILES.items():
+        if exact:
+            continue
         probabilities = F.array(*[F.lit(p) for p in wanted.values()])
         aggs.append(F.percentile_approx(signal, probabilities, accuracy).alias("_q_" + signal))
         outputs.update({out: F.col("_q_" + signal)[i] for i, out in enumerate(wanted)})
-    return (df.groupBy(*keys).agg(*aggs).withColumns(outputs)
-            .drop(*["_q_" + s for s in _PERCENTILES]))
+    found = df.groupBy(*keys).agg(*aggs)
+    if not exact:
+        return found.withColumns(outputs).drop(*["_q_" + s for s in _PERCENTILES])
+    for signal, wanted in _PERCENTILES.items():
+        found = join_trips(found, quantiles.grouped_quantiles(
+            df, keys, signal, list(wanted.values()), list(wanted), exact=True), keys, "left")
+    return found
+
+
+def join_trips(left: DataFrame, right: DataFrame, keys=tuple(S.TRIP_KEYS),
+               how="inner") -> DataFrame:
+    """Join on trip keys, a NULL key being equal to a NULL key."""
+    right = right.withColumnsRenamed({k: "_r_" + k for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_r_" + k))
+    return left.join(right, same, how).drop(*["_r_" + k for k in keys])
 
 
 def trip_features(telemetry: DataFrame, vehicles: DataFrame, time="time_seconds", tie=None,
                   max_gap_s=S.MAX_GAP_S, min_distance_km=S.MIN_TRIP_KM, stop=S.STOP_GO_KMH,
-                  idle=S.IDLE_KMH, accuracy=10000) -> DataFrame:
+                  idle=S.IDLE_KMH, accuracy=10000, exact=False) -> DataFrame:
     """One row per trip with the columns of ``TRIP_FEATURE_SCHEMA``.
 
     ``telemetry`` is the output of ``prepare_telemetry``.  Vehicle attributes are joined to the
-    finished trips, not to every sample.  Percentiles are exact up to ``accuracy`` samples per
-    trip and within one part in ``accuracy`` beyond.
+    finished trips, not to every sample.  Percentiles are elements of the data, by rank within one
+    part in ``accuracy``, or ``exact``.  Samples with a NULL key form trips of their own.
     """
     keys = list(S.TRIP_KEYS)
-    statistics = trip_statistics(telemetry, keys, time, accuracy)
+    statistics = trip_statistics(telemetry, keys, time, accuracy, exact)
     integrals = segment_integrals(telemetry, keys, time, tie=tie, max_gap_s=max_gap_s,
                                   stop=stop, idle=idle)
     long_enough = integrals.where(F.col("distance_km") >= min_distance_km)
-    trips = attach_vehicle(statistics.join(long_enough, keys), vehicles)
+    trips = attach_vehicle(join_trips(statistics, long_enough, keys), vehicles)
     trips = trips.withColumn("fuel_used_l",
                              F.when(F.col("fuel_valid_points") > 0, F.col("fuel_used_l")))
     return trips.withColumns({
