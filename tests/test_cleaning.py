@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripspark.functions import derive, text
@@ -83,18 +84,24 @@ def test_unknown_vehicle_is_listed_and_null(spark):
         (1, "ICE"), (2, None), (3, None), (4, None)}
 
 
-def test_large_dimension_is_not_broadcast(spark):
-    facts = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as vehid",
-                                         "id")
-    known = spark.createDataFrame([("hot", "A"), ("5", "B")], "vehid string, vehtype string")
-    salted = joins.join_broadcast(facts, known, "vehid", limit=-1)
-    plain = joins.join_broadcast(facts, known, "vehid")
-    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "strategy=broadcast" not in plan
-    assert not joins.is_small(known, limit=0)
-    texts = spark.range(10).selectExpr("repeat('x', 1000) as s", "array(repeat('y', 500)) as a")
-    assert joins.measured_bytes(texts) > 15000
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_salted_join_equals_the_plain_one(spark, how):
+    facts = spark.range(3000).selectExpr(
+        "id", "case when id % 3 > 0 then 'hot' when id % 30 = 0 then null "
+        "else cast(id % 50 as string) end as vehid", "map('k', id % 2) as m")
+    known = spark.createDataFrame([("hot", 1.0), ("1", 2.0), ("6", None), ("none", 4.0),
+                                   (None, 5.0)], "vehid string, w double")
+    plain = facts.join(known, "vehid", how)
+    salted = joins.join_salted(facts, known, "vehid", how).select(plain.columns)
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_dimension_is_broadcast_by_the_optimizers_bound(spark):
+    facts = spark.range(100).selectExpr("id", "cast(id % 5 as string) as vehid", "map('k', 1) as m")
+    known = spark.createDataFrame([("1", 2.0)], "vehid string, w double")
+    for limit in (0, joins.BROADCAST_LIMIT_BYTES):
+        joined = joins.join_broadcast(facts, known, "vehid", limit=limit)
+        assert joined.count() == 100 and joined.where("w = 2").count() == 20
 
 
 def test_duplicate_keys(spark):

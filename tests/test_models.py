@@ -98,9 +98,8 @@ def test_unseen_category_is_all_zero(spark, parts):
 
 
 def test_grids():
-    sizes = [len(s.param_maps()) for s in modeling.default_specs(full_grid=True)]
+    sizes = [len(s.param_maps()) for s in modeling.default_specs()]
     assert sizes == [27, 27, 27]
-    assert len(modeling.default_specs()[0].param_maps()) == 9
     assert [len(s.param_maps()) for s in modeling.two_model_specs()] == [9, 4]
 
 
@@ -109,6 +108,10 @@ def test_prediction_tables(spark):
                                "label double, prediction string")
     rows = evaluation.prediction_rows(df, "M", limit=2).collect()
     assert [(r["row_id"], r["error"]) for r in rows] == [(1, 1.0), (2, 0.0)]
+    kept = evaluation.prediction_rows(df, "M").collect()
+    assert [r["row_id"] for r in kept] == [1, 2, 3]  # ordered by label; the last is no number
+    gap = evaluation.prediction_rows(df, "M", order=["prediction", "label"]).collect()
+    assert sorted(r["row_id"] for r in gap) == [1, 2, 3]
     report = evaluation.prediction_report(df.where("label < 4").withColumn(
         "prediction", F.col("prediction").cast("double")))
     best = evaluation.specific_prediction(report, "M").first()

@@ -115,3 +115,39 @@ def test_storage_variants(spark, sf, tmp_path):
     rows = out.collect()
     assert {r["format"] for r in rows} >= {"parquet", "csv"}
     assert all(r["read_rows"] == r["source_rows"] and r["hdfs_size_mb"] > 0 for r in rows)
+
+
+def test_sizes_and_records_of_awkward_files(spark, tmp_path):
+    from tripspark.sources import audit
+    (tmp_path / "a b+c").mkdir()
+    (tmp_path / "a b+c" / "t 1.csv").write_text('a,"b,c"\n1,"x\ny"\n2,z\n')
+    (tmp_path / "plain%20.csv").write_text("a\n1\n")
+    (tmp_path / "empty.csv").write_text("")
+    assert audit.path_size(spark, str(tmp_path)).first()["size_bytes"] == 20 + 4
+    found = {r["file_name"]: r for r in audit.file_audit(
+        spark, str(tmp_path), multiline=True).collect()}
+    assert set(found) == {"t 1.csv", "plain%20.csv", "empty.csv", audit.TOTAL}
+    assert (found["t 1.csv"]["rows"], found["t 1.csv"]["columns"]) == (2, 2)
+    assert (found["plain%20.csv"]["rows"], found["empty.csv"]["rows"]) == (1, 0)
+    by_line = audit.file_audit(spark, str(tmp_path)).where("file_name = 't 1.csv'").first()
+    assert by_line["rows"] == 3
+
+
+def test_ingest_reports_violations(spark, tmp_path):
+    from tripspark import schema as S
+    from tripspark.plans import jobs
+    names = S.TELEMETRY_SCHEMA.names
+    header = ",".join(S.RAW_TELEMETRY_HEADERS)
+    row = dict.fromkeys(names, "1")
+    lines = [header] + [",".join({**row, **change}.values()) for change in (
+        {}, {"vehid": "9"}, {"vehid": "9"}, {"time": "null"})]
+    (tmp_path / "week.csv").write_text("\n".join(lines) + "\n")
+    sheet = "vehid,vehtype,eng_dis\n1,ICE,2.0\n"
+    (tmp_path / "one.csv").write_text(sheet)
+    (tmp_path / "two.csv").write_text("vehid,vehclass,eng_dis\n1,Car,1.0\n2,Car,1.0\n")
+    found = jobs.ingest(spark, str(tmp_path / "week.csv"),
+                        f"{tmp_path}/one.csv,{tmp_path}/two.csv", str(tmp_path / "out"))
+    assert sorted(map(tuple, found.collect())) == [
+        ("foreign_key", "9", 2), ("not_null", "time", 1), ("primary_key", "1", 2)]
+    vehicles = spark.read.parquet(f"{tmp_path}/out/vehicles")
+    assert vehicles.count() == 3 and {"vehtype", "vehclass"} <= set(vehicles.columns)

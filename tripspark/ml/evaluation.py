@@ -67,18 +67,19 @@ def prediction_samples(predictions: DataFrame, n=100, order=()) -> DataFrame:
 
 def prediction_rows(predictions: DataFrame, model: str, limit=5000, order=(),
                     label=S.LABEL) -> DataFrame:
-    """The first ``limit`` usable predictions of a model, numbered from 1 in key order.
+    """The usable ones of the first ``limit`` predictions of a model, numbered from 1 in key order.
 
-    A top-n selection comes before the numbering, so the single-partition window only ever
-    sees ``limit`` rows.
+    Rows are numbered before those without numbers are left out, so ids keep gaps.  A top-n
+    selection comes first, so the single-partition window only ever sees ``limit`` rows.
     """
-    usable = predictions.select(
-        *order, F.expr(f"try_cast(`{label}` as double)").alias("label"),
-        F.expr("try_cast(prediction as double)").alias("prediction")).dropna(
-            subset=["label", "prediction"])
-    keys = list(order) or ["label", "prediction"]
-    top = usable.orderBy(*keys).limit(limit)
+    keys = list(order) or [label, "prediction"]
+    top = predictions.select(*dict.fromkeys([*order, label, "prediction"])).orderBy(
+        *keys).limit(limit)
     numbered = top.withColumn("row_id", F.row_number().over(
         Window.partitionBy(F.lit(model)).orderBy(*keys)))
-    return prediction_error(numbered).select(
+    usable = numbered.select(
+        "row_id", F.expr(f"try_cast(`{label}` as double)").alias("label"),
+        F.expr("try_cast(prediction as double)").alias("prediction")).dropna(
+            subset=["label", "prediction"])
+    return prediction_error(usable).select(
         F.lit(model).alias("model_name"), "row_id", "label", "prediction", "error", "abs_error")

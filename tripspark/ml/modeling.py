@@ -103,16 +103,10 @@ ABLATION_CATEGORICAL = ["vehtype", "vehclass", "transmission", "drive_wheels"]
 # -----------------------------------------------------------------------------------------
 
 
-def default_specs(grids=None, seed=S.SEED, full_grid=False) -> list:
-    """Linear regression, random forest and gradient-boosted trees.
-
-    The aggregation depth changes how a linear model is computed but not the model, so its grid
-    values are skipped unless ``full_grid`` is set.
-    """
+def default_specs(grids=None, seed=S.SEED) -> list:
+    """Linear regression, random forest and gradient-boosted trees, with their whole grids."""
     grids = {**GRIDS, **(grids or {})}
-    linear = dict(grids["LinearRegression"])
-    if not full_grid:
-        linear.pop("aggregationDepth", None)
+    linear = grids["LinearRegression"]
     return [
         ModelSpec("LinearRegression", LinearRegression(labelCol=S.LABEL, maxIter=50), linear,
                   scale=True),

@@ -1,12 +1,13 @@
 """Joins of a large fact table with a much smaller dimension."""
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from . import cleaning
 
-# A dimension is copied to every executor only when it is known to be below this size.
+# A dimension is copied to every executor only when the optimizer's bound is below this size.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+HOT_SHARES = 1000  # a key with more than 1/1000 of the fact rows is hot, so at most 999 are
 SALTS = 32
 
 
@@ -16,42 +17,46 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the result from one aggregate over it."""
-    width = F.lit(0)
-    for field in df.schema:
-        value = F.col("`" + field.name.replace("`", "``") + "`")
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            value = F.to_json(F.struct(value))
-        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            value = F.lit("")
-        width = width + F.coalesce(F.octet_length(value), F.lit(0)) + 16
-    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+def join_broadcast(fact: DataFrame, dimension: DataFrame, key, how="left",
+                   limit=BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Join without shuffling the fact table if the dimension is certain to be small.
 
+    Beyond the limit Spark picks the join; adaptive execution still broadcasts a side that turns out
+    small, and splits the partition of a hot key.
+    """
+    if how in ("left", "inner", "left_semi", "left_anti") and estimated_bytes(dimension) <= limit:
+        dimension = F.broadcast(dimension)
+    return fact.join(dimension, key, how)
 
-def is_small(df: DataFrame, limit=BROADCAST_LIMIT_BYTES) -> bool:
-    """Whether the table is proven to fit the limit.
 
-    The optimizer's bound is enough when it is low.  It is far too high for a dimension that is
-    itself a join, so such a table is measured.
-    """
-    return estimated_bytes(df) <= limit or measured_bytes(df) <= limit
+def hot_keys(fact: DataFrame, key, shares=HOT_SHARES) -> DataFrame:
+    """Keys with more than 1/``shares`` of the rows: fewer than ``shares`` of them."""
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.agg(F.sum("_n")).scalar()
+    return counts.where(F.col(key).isNotNull() & (F.col("_n") * shares > rows)).select(key)
 
 
-def join_broadcast(fact: DataFrame, dimension: DataFrame, key, how="left",
-                   limit=BROADCAST_LIMIT_BYTES, salts=SALTS) -> DataFrame:
-    """Join without shuffling the fact table if the dimension is proven small.
+def join_salted(fact: DataFrame, dimension: DataFrame, key, how="left", salts=SALTS,
+                shares=HOT_SHARES) -> DataFrame:
+    """Join by shuffling, the fact rows of hot keys spread over ``salts`` copies of their dimension
+    rows; all other keys are joined as they are.
 
-    Beyond the limit the dimension is copied ``salts`` times and the fact rows of one key are
-    spread over those copies, so a key with a large share of all rows still has many tasks.
+    Rows are dealt by their position, so columns of any type will do and equal rows part.  ``how``
+    is inner, left, left_semi, left_anti, right or full.
     """
-    if is_small(dimension, limit):
-        return fact.join(F.broadcast(dimension), key, how)
-    if how not in ("left", "inner"):
-        return fact.join(dimension, key, how)
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return fact.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")
+    if how in ("right", "full"):
+        both = join_salted(fact, dimension, key, "inner" if how == "right" else "left", salts,
+                           shares)
+        alone = dimension.join(fact.select(key).distinct(), key, "left_anti")
+        return both.unionByName(alone, allowMissingColumns=True)
+    # Fewer than `shares` keys.
+    hot = F.broadcast(hot_keys(fact, key, shares).withColumn("_hot", F.lit(True)))
+    dealt = fact.withColumn("_place", F.monotonically_increasing_id()).join(
+        hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod("_place", F.lit(salts))).otherwise(F.lit(0)))
+    copies = dimension.join(hot, key, "left").withColumn("_salt", F.explode(F.when(
+        F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.drop("_hot", "_place").join(copies.drop("_hot"), [key, "_salt"], how).drop("_salt")
 
 
 def enrich_telemetry(telemetry: DataFrame, vehicles: DataFrame, key="vehid",

@@ -2,8 +2,8 @@
 
 The approximate form is one mergeable sketch per group.  The exact form uses such a sketch only
 to bracket each answer.  Values inside a bracket are then counted one by one, all others only
-per gap between brackets.  What is left to sort per group is a small fixed share of its values,
-however many there are, and map-side combining does that reduction before the shuffle.
+per gap between brackets, which map-side combining reduces before the shuffle.  Brackets are cut
+into slices; counts per slice place each rank in one of them, so that only a slice is ever sorted.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -15,6 +15,7 @@ from ..functions.text import literal, quoted
 
 ACCURACY = 10000
 SALTS = 16
+SLICES = 1024  # of a bracket
 
 
 def clean_double(name):
@@ -34,28 +35,51 @@ def _ends(probabilities, accuracy):
 
 
 def _collapse(x, ends, how_many):
-    """(value, whether it lies in a bracket), with one stand-in for each gap between brackets.
+    """SQL for (value, bracket, slice of the bracket), with one stand-in for each gap between
+    brackets, whose bracket is -1 and whose slice is the number of the gap.
 
     The stand-in is the lower end of the next bracket and sorts just before its values; behind
     the last bracket the value no longer matters.
     """
-    low = [ends[2 * i] for i in range(how_many)]
-    inside = F.lit(False)
-    for i, lo in enumerate(low):
-        inside = inside | x.between(lo, ends[2 * i + 1])
-    following = F.least(*[F.when(lo > x, lo) for lo in low], F.lit(float("inf")))
-    return F.when(inside, x).otherwise(following), inside
+    spans = [(f"{ends}[{2 * i}]", f"{ends}[{2 * i + 1}]") for i in range(how_many)]
+    inside = [f"when {x} between {lo} and {hi} then " for lo, hi in spans]
+    bracket = "case " + " ".join(f"{w}{i}" for i, w in enumerate(inside)) + " else -1 end"
+    gap = " + ".join(f"if({lo} <= {x}, 1, 0)" for lo, _ in spans)
+    part = "case " + " ".join(
+        f"{w}if({hi} > {lo}, least(floor(({x} - {lo}) / ({hi} - {lo}) * {SLICES}), "
+        f"{SLICES - 1}), 0)" for w, (lo, hi) in zip(inside, spans)) + f" else {gap} end"
+    following = "least(" + ", ".join(f"if({lo} > {x}, {lo}, null)" for lo, _ in spans) \
+        + ", double('inf'))"
+    value = f"if({bracket} >= 0, {x}, {following})"
+    return f"{value} as _x", f"{bracket} as _b", f"cast({part} as int) as _f"
 
 
 def read_off(residue, keys, probabilities, outputs):
-    """Quantiles per key from rows (_n, _x, _in, _c): total, value, bracketed or not, count."""
-    counted = residue.groupBy(*keys, "_n", "_x", "_in").agg(F.sum("_c").alias("_c"))
-    w = (Window.partitionBy(*keys, "_n").orderBy("_x", "_in")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.withColumn("_rank", F.sum("_c").over(w)).where("_in")
-    picks = [F.min(F.when(F.col("_rank") >= F.ceil(F.lit(float(p)) * F.col("_n")), F.col("_x")))
-             .alias(o) for p, o in zip(probabilities, outputs)]
-    return ranked.groupBy(*keys, "_n").agg(*picks).select(*keys, *outputs)
+    """Quantiles per key from rows (_n, _x, _b, _f, _c): total, value, bracket, slice, count.
+
+    Counts per slice tell which slice holds each rank; only the values of these slices are sorted.
+    """
+    counted = residue.groupBy(*keys, "_n", "_b", "_f", "_x").agg(F.sum("_c").alias("_c"))
+    slices = counted.groupBy(*keys, "_n", "_b", "_f").agg(
+        F.sum("_c").alias("_m"), F.min("_x").alias("_lo"))
+    # A few thousand slices per key, however many values.
+    order = Window.partitionBy(*keys).orderBy("_lo", F.col("_b") >= 0, "_b", "_f").rowsBetween(
+        Window.unboundedPreceding, -1)
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(
+        F.lit(1), F.ceil(F.lit(float(p)) * F.col("_n"))).alias("rank"))
+        for i, p in enumerate(probabilities)])
+    wanted = slices.withColumn("_before", F.coalesce(F.sum("_m").over(order), F.lit(0))).where(
+        "_b >= 0").withColumn("_r", F.explode(ranks)).where(
+        "_r.rank > _before and _r.rank <= _before + _m")
+    wanted = wanted.select(*[F.col(k).alias(f"_w{j}") for j, k in enumerate(keys)],
+                           F.col("_b").alias("_wb"), F.col("_f").alias("_wf"), "_before", "_r")
+    same = [F.col(k).eqNullSafe(F.col(f"_w{j}")) for j, k in enumerate(keys)]
+    found = counted.join(wanted, [*same, F.col("_b") == F.col("_wb"), F.col("_f") == F.col("_wf")])
+    upto = Window.partitionBy(*keys, "_r").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("_rank", F.col("_before") + F.sum("_c").over(upto)).where(
+        F.col("_rank") >= F.col("_r.rank"))
+    return found.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("_r.i") == i, F.col("_x"))).alias(o) for i, o in enumerate(outputs)])
 
 
 def column_quantiles(df: DataFrame, columns, probabilities, outputs, exact=False,
@@ -84,9 +108,8 @@ def column_residue(df: DataFrame, columns, probabilities, accuracy=ACCURACY) ->
     long = (data.withColumn("_all", brackets.selectExpr(by_column).scalar())
             .unpivot(["_all"], names, "a", "_v").where(F.col("_v").isNotNull())
             .withColumn("_e", F.element_at("_all", F.col("a"))))
-    value, inside = _collapse(F.col("_v"), F.col("_e.q"), len(probabilities))
-    return long.select(_title(names, columns), F.col("_e.n").alias("_n"), value.alias("_x"),
-                       inside.alias("_in"), F.lit(1).alias("_c"))
+    return long.select(_title(names, columns), F.col("_e.n").alias("_n"), F.lit(1).alias("_c"),
+                       *map(F.expr, _collapse("_v", "_e.q", len(probabilities))))
 
 
 def _aliased(df, columns):
@@ -130,8 +153,8 @@ def grouped_quantiles(df: DataFrame, keys, value, probabilities, outputs, exact=
     copies = brackets.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     same = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, titles)]
     placed = counted.join(copies, [*same, F.col("_s") == F.col("_t")])
-    x, inside = _collapse(F.col("_x"), F.col("_ends"), len(outputs))
-    residue = placed.select(*keys, "_n", "_c", x.alias("_x"), inside.alias("_in"))
+    residue = placed.withColumnRenamed("_x", "_v").select(
+        *keys, "_n", "_c", *map(F.expr, _collapse("_v", "_ends", len(outputs))))
     return read_off(residue, keys, probabilities, outputs)
 
 
@@ -141,6 +164,6 @@ def quantile_trim(df: DataFrame, column, low=0.01, high=0.99, exact=True,
 
     The bounds reach the filter as scalar subqueries, so nothing runs on the driver.
     """
-    bounds = column_quantiles(df, [column], [low, high], ["lo", "hi"], exact, accuracy)
-    return df.where((F.col(column) >= bounds.select("lo").scalar())
-                    & (F.col(column) <= bounds.select("hi").scalar()))
+    bounds = column_quantiles(df, [column], [low, high], ["lo", "hi"], exact, accuracy).select(
+        F.struct("lo", "hi")).scalar()
+    return df.where((F.col(column) >= bounds["lo"]) & (F.col(column) <= bounds["hi"]))

@@ -5,23 +5,49 @@ alone and no job holds results of another in memory.
 """
 
 import argparse
+import functools
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from .. import schema as S
 from ..ml import evaluation, modeling
-from ..operators import cleaning, insights, joins, profiling, selection, trips
+from ..operators import cleaning, insights, joins, profiling, quality, selection, trips
 from ..sources import audit, readers, writers
 from . import benchmarks, publish
 
 
-def ingest(spark, telemetry_csv, vehicles_csv, out) -> None:
-    """Weekly CSV files and the vehicle sheet to Parquet."""
+def ingest(spark, telemetry_csv, vehicles_csv, out):
+    """Weekly CSV files and the vehicle sheets to Parquet, and the violations of their constraints.
+
+    ``vehicles_csv`` is one path or several with commas between; sheets may lack columns.  Rows are
+    loaded as they are; what a database would refuse is written to ``violations`` and returned.
+    """
     writers.write_parquet(readers.read_telemetry_csv(spark, telemetry_csv), f"{out}/trips")
-    vehicles = readers.read_csv(spark, vehicles_csv, sep=",")
-    if "eng_dis" not in vehicles.columns:
-        vehicles = cleaning.prepare_vehicles(vehicles)
-    writers.write_parquet(vehicles, f"{out}/vehicles")
+    sheets = []
+    for path in vehicles_csv.split(",") if isinstance(vehicles_csv, str) else vehicles_csv:
+        sheet = readers.read_csv(spark, path, sep=",")
+        sheets.append(sheet if "eng_dis" in sheet.columns else cleaning.prepare_vehicles(sheet))
+    writers.write_parquet(functools.reduce(cleaning.union_loose, sheets), f"{out}/vehicles")
+    writers.write_parquet(violations(spark.read.parquet(f"{out}/trips"),
+                                     spark.read.parquet(f"{out}/vehicles")), f"{out}/violations")
+    return spark.read.parquet(f"{out}/violations")
+
+
+def violations(telemetry, vehicles):
+    """(constraint, name, n_rows): duplicate vehicles, missing mandatory values, unknown vehicles."""
+    same = [c for c in S.MANDATORY_TELEMETRY if c in telemetry.columns]
+    parts = [
+        quality.duplicate_keys(vehicles, ["vehid"]).select(
+            F.lit("primary_key").alias("constraint"), F.col("vehid").cast("string").alias("name"),
+            "n_rows"),
+        quality.null_violations(telemetry, same).where("null_rows > 0").select(
+            F.lit("not_null"), "column_name", "null_rows"),
+        quality.null_violations(vehicles, ["vehid"]).where("null_rows > 0").select(
+            F.lit("not_null"), F.concat(F.lit("vehicles."), "column_name"), "null_rows"),
+        quality.unknown_references(telemetry, vehicles).select(
+            F.lit("foreign_key"), F.col("vehid").cast("string"), "n_rows"),
+    ]
+    return functools.reduce(lambda a, b: a.union(b), parts)
 
 
 def ingest_database(spark, url, out, driver=None, lower=None, upper=None, partitions=4,
@@ -85,7 +111,12 @@ def explore(spark, warehouse, out, csv_out=None, max_gap_s=S.MAX_GAP_S, tie=None
         "insight_07_geo_activity": (insights.geo_activity(samples), ["lat_bin", "long_bin"]),
     }
     for name, (df, order) in reports.items():
-        writers.write_dual(df, f"{out}/{name}", csv(name), sort=order)
+        writers.write_dual(df, f"{out}/{name}", csv(name), sort=order, small=True)
+    if csv_out:
+        fuel = insights.histogram(samples, insights.FUEL, 0.0, 25.0)
+        writers.write_small_csv(fuel, csv("fuel_rate_histogram"), sort=["bin"])
+        coverage = insights.coverage_after_estimate(samples)
+        writers.write_small_csv(coverage, csv("coverage_after_estimate"), sort=["column_name"])
 
     features = trips.trip_features(samples, vehicles, tie=tie, max_gap_s=max_gap_s)
     writers.write_parquet(features, f"{out}/trip_features")
@@ -102,7 +133,7 @@ def select_features(spark, analytics, out, k=S.SELECT_K, bins=32, seed=S.SEED) -
     rows = spark.read.parquet(rows_path)
     writers.write_dual(selection.feature_selection(rows, k=k, bins=bins),
                        f"{out}/feature_selection", f"{out}/csv/feature_selection",
-                       sort=["feature_type", "rank"])
+                       sort=["feature_type", "rank"], small=True)
     numeric, categorical = selection.selected_names(
         spark.read.parquet(f"{out}/feature_selection"))
     prepared = selection.prepare(rows, numeric, categorical)
@@ -126,7 +157,15 @@ def train(spark, prepared, out, specs=None, **options) -> dict:
     name = best.summary["model"]
     predictions = evaluation.prediction_report(best.predictions)
     log = modeling.training_log(spark, results)
+    metrics = evaluation.normalized_evaluation(modeling.evaluation_table(spark, results))
+    numbered = functools.reduce(lambda a, b: a.unionByName(b), [
+        evaluation.prediction_rows(r.predictions, r.summary["model"], order=[
+            k for k in S.TRIP_KEYS if k in r.predictions.columns]) for r in results])
     reports = {
+        "model_metrics_long": evaluation.unpivot_metrics(metrics),
+        "best_model_by_rmse": evaluation.best_model(metrics),
+        "model_prediction_rows": numbered,
+        "table_counts": profiling.table_counts(dict(zip(("train", "test"), parts))),
         "model_evaluation": modeling.evaluation_table(spark, results),
         "model_training_log": log,
         "model_cv_results": modeling.cv_results(spark, results),
@@ -165,9 +204,15 @@ def publish_all(spark, analytics, sources: dict, out):
 
 def dashboard_sources(audit_path, profiles, prepared, models, bench) -> dict:
     """Where the jobs above leave each dashboard artifact."""
-    names = list(publish.DASHBOARD_COLUMNS)
-    places = {audit_path: names[:1], profiles: names[1:7], f"{prepared}/csv": names[7:9],
-              models: names[9:15], bench: names[15:]}
+    places = {
+        audit_path: ("data_audit",),
+        profiles: ("table_overview", "column_types", "missingness", "numeric_summary",
+                   "numeric_quantiles", "categorical_summary"),
+        f"{prepared}/csv": ("feature_selection", "train_test_metadata"),
+        models: ("model_evaluation", "model_training_log", "model_cv_results", "best_model",
+                 "specific_prediction", "model_prediction_samples"),
+        bench: ("ingest_benchmark", "storage_benchmark", "processing_benchmark"),
+    }
     return {name: f"{place}/{name}" for place, held in places.items() for name in held}
 
 
@@ -181,7 +226,7 @@ def _parser():
             job.add_argument(path)
         return job
     add("ingest", "telemetry_csv", "vehicles_csv", "warehouse")
-    add("audit", "root", "out")
+    add("audit", "root", "out").add_argument("--multiline", action="store_true")
     add("profile", "warehouse", "out")
     add("explore", "warehouse", "out").add_argument("--csv-out")
     add("select", "analytics", "out")
@@ -194,11 +239,14 @@ def _parser():
 
 def main(argv=None) -> None:
     a = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName("tripspark-" + a.job).getOrCreate()
+    spark = (SparkSession.builder.appName("tripspark-" + a.job)
+             # Hash the per-trip sketches instead of falling back to sorting at 128 groups.
+             .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
+             .getOrCreate())
     if a.job == "ingest":
-        ingest(spark, a.telemetry_csv, a.vehicles_csv, a.warehouse)
+        ingest(spark, a.telemetry_csv, a.vehicles_csv, a.warehouse).show(truncate=False)
     elif a.job == "audit":
-        writers.write_small_csv(audit.file_audit(spark, a.root), f"{a.out}/data_audit")
+        writers.write_small_csv(audit.file_audit(spark, a.root, multiline=a.multiline), f"{a.out}/data_audit")
     elif a.job == "profile":
         profile(spark, a.warehouse, a.out)
     elif a.job == "explore":

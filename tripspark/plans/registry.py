@@ -6,9 +6,10 @@ ties from falling on different sides.
 """
 
 import functools
+import itertools
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
@@ -31,6 +32,29 @@ KEYS = list(S.TRIP_KEYS)
 FUEL = insights.FUEL
 
 
+# The columns the column-wise profiles must list, by table: numeric and text.
+_NUMERIC = {
+    "region": "r_regionkey", "nation": "n_nationkey n_regionkey",
+    "customer": "c_custkey c_nationkey c_acctbal", "supplier": "s_suppkey s_nationkey s_acctbal",
+    "part": "p_partkey p_size p_retailprice", "orders": "o_orderkey o_custkey o_totalprice",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+                "l_discount l_tax",
+    "events": "event_id user_id value", "documents": "doc_id n_chars",
+    "embeddings": "vec_id label", "pages": "page_id", "benchmark": "item_id",
+    "labels": "doc_id quality toxic", "conversations": "conv_id turn",
+}
+_TEXT = {
+    "region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment",
+    "supplier": "s_name", "part": "p_name p_brand p_type", "orders": "o_orderstatus "
+    "o_orderpriority", "lineitem": "l_returnflag l_linestatus", "events": "event_type props",
+    "documents": "text lang source", "pages": "url html", "benchmark": "text",
+    "conversations": "role text",
+}
+_OTHER = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts",
+          "embeddings": "embedding"}
+_COLUMNS = str(sum(len(c.split()) for part in (_NUMERIC, _TEXT, _OTHER) for c in part.values()))
+
+
 def query(sql=None):
     def register(fn):
         QUERIES[fn.__name__] = fn
@@ -229,16 +253,26 @@ def publish_external_csv(spark, sf):
     return publish.publish_csv(spark, "tripspark_missingness", path, declared.schema)
 
 
-@query()
+@query(" union all ".join(
+    f"select 'tripspark_stage4_{name}' as table_name, 'published' as status, {n} as n_rows"
+    for name, n in (
+        ("table_overview", "14"), ("column_types", _COLUMNS), ("missingness", _COLUMNS),
+        ("numeric_summary", str(sum(len(c.split()) for c in _NUMERIC.values()))))))
 def publish_dashboard(spark, sf):
-    tables = {n: table(spark, sf, n) for n in ("events", "customer")}
+    """Reads the published tables back; artifacts that no job has left are listed as missing."""
+    tables = all_tables(spark, sf)
     artifacts = {"table_overview": profiling.overview(tables),
                  "column_types": profiling.column_types(tables),
                  "missingness": profiling.missing_values(tables),
                  "numeric_summary": profiling.numeric_summary(tables)}
     root = scratch_path(spark, "dashboard")
     report = publish.publish_dashboard(spark, artifacts, root, prefix="tripspark_")
-    return report.select("table_name", "status")
+    found = report.where("status = 'published'")
+    counts = [spark.table(r["table_name"]).agg(
+        F.lit(r["table_name"]).alias("table_name"), F.count("*").cast("int").alias("n_rows"))
+        for r in found.collect()]
+    return found.select("table_name", "status").join(
+        functools.reduce(lambda a, b: a.unionByName(b), counts), "table_name")
 
 
 _EVENT_KINDS = [("click", "pointer"), ("error", "fault"), ("purchase", "sale"),
@@ -261,24 +295,40 @@ def sample_limit(spark, sf):
                                ["vehid", "tripid", "time_raw_ms", "sample_id"]).select(*columns)
 
 
-@query("select 'nation' as name, count(*) as n_rows, 3::bigint as n_columns from nation "
-       "union all select 'orders', count(*), 6 from orders "
-       "union all select 'total', (select count(*) from nation) + (select count(*) from orders), "
-       "null")
-def file_audit(spark, sf):
-    root = scratch_path(spark, "audit")
-    for name in ("nation", "orders"):
-        writers.write_csv(table(spark, sf, name), f"{root}/{name}")
-    listing = audit.file_audit(spark, root)
-    name = F.when(F.col("file_path") == audit.TOTAL, "total").otherwise(
-        F.regexp_extract("file_path", "([a-z]+)/[^/]+$", 1))
-    return listing.groupBy(name.alias("name")).agg(
-        F.sum("rows").alias("n_rows"), F.max("columns").cast("long").alias("n_columns"))
+_AUDITED = {"nation": "na tion+%41", "orders": "orders", "conversations": "said"}
+_NAMES = {"customer": "c_custkey c_name", "supplier": "s_suppkey s_name", "part": "p_partkey p_name"}
 
 
-@query()
+@query(" union all ".join(
+    f"select '{folder}' as folder, '.csv' as extension, true as named, true as sized, "
+    f"count(*) as n_rows, (select count(*) from (describe {t})) as n_columns from {t}"
+    for t, folder in _AUDITED.items()) + " union all select 'total', '', true, true, "
+       + " + ".join(f"(select count(*) from {t})" for t in _AUDITED) + ", null")
+def file_audit(spark, sf):
+    """Folders with signs that paths escape, and texts with quoted line breaks."""
+    root = scratch_path(spark, "audit")
+    for name, folder in _AUDITED.items():
+        writers.write_small_csv(table(spark, sf, name), f"{root}/{folder}")
+    listing = audit.file_audit(spark, root, multiline=True).where(
+        (F.col("extension") == ".csv") | (F.col("file_path") == audit.TOTAL))
+    total = F.col("file_path") == audit.TOTAL
+    folder = F.element_at(F.split("file_path", "/"), -2)
+    return listing.groupBy(
+        F.when(total, "total").otherwise(folder).alias("folder"), "extension").agg(
+        F.bool_and(total | F.col("file_path").endswith(F.col("file_name"))).alias("named"),
+        F.bool_and(F.col("size_mb") >= 0).alias("sized"), F.sum("rows").alias("n_rows"),
+        F.max("columns").cast("long").alias("n_columns"))
+
+
+@query("select sum(bytes)::bigint as size_bytes, round(sum(bytes) / 1048576, 3) as size_mb from ("
+       + " union all ".join(
+           f"select {len(c) + 1} + sum(strlen({c.split()[0]}::varchar) + strlen({c.split()[1]}) + 2) "
+           f"as bytes from {t}" for t, c in _NAMES.items()) + ")")
 def path_size(spark, sf):
-    return audit.path_size(spark, sf)
+    root = scratch_path(spark, "a b+c%20d")
+    for name, columns in _NAMES.items():
+        writers.write_small_csv(table(spark, sf, name).select(*columns.split()), f"{root}/{name} x")
+    return audit.path_size(spark, root)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -556,24 +606,29 @@ def join_broadcast(spark, sf):
 
 @query(ORACLE["enrich_telemetry"])
 def join_salted(spark, sf):
-    """The join used when the dimension is too large to broadcast."""
-    joined = joins.join_broadcast(telemetry(spark, sf), vehicles(spark, sf), "vehid", limit=-1)
+    """The join that spreads hot keys over copies of their dimension rows."""
+    joined = joins.join_salted(telemetry(spark, sf), vehicles(spark, sf), "vehid")
     return joined.select("sample_id", "vehid", "speed", *S.VEHICLE_ATTRIBUTES)
 
 
-@query("select l_returnflag as format, l_linestatus as compression, count(*) as n_rows, "
-       "(select sum(o_totalprice > 100000)::bigint from orders) as hits from lineitem "
-       "group by 1, 2")
+_RUNS = ("select l_returnflag as format, l_linestatus as compression, concat('/', l_linenumber) "
+         "as hdfs_path, sum(l_quantity) as read_time_sec from lineitem group by 1, 2, 3")
+
+
+@query(f"select runs.*, hdfs_size_mb from ({_RUNS}) runs left join (select l_returnflag as format, "
+       "l_linestatus as compression, concat('/', l_linenumber) as hdfs_path, sum(l_tax) * 0 + "
+       "count(*) as hdfs_size_mb from lineitem where l_linenumber % 2 = 1 group by 1, 2, 3) sizes "
+       "using (format, compression, hdfs_path)")
 def join_multi_key(spark, sf):
-    items = table(spark, sf, "lineitem")
-    runs = items.groupBy(F.col("l_returnflag").alias("format"),
-                         F.col("l_linestatus").alias("compression")).agg(
-        F.count("*").alias("n_rows"))
-    pairs = items.select(F.col("l_returnflag").alias("format"),
-                         F.col("l_linestatus").alias("compression")).distinct()
-    hits = table(spark, sf, "orders").agg(
-        F.count_if(F.col("o_totalprice") > 100000).alias("hits"))
-    return runs.join(pairs.withColumn("hits", hits.scalar()), ["format", "compression"], "left")
+    """Half of the runs have no size."""
+    items = table(spark, sf, "lineitem").selectExpr(
+        "l_returnflag as format", "l_linestatus as compression",
+        "concat('/', l_linenumber) as hdfs_path", "l_quantity", "l_linenumber")
+    keys = ["format", "compression", "hdfs_path"]
+    runs = items.groupBy(*keys).agg(F.sum("l_quantity").alias("read_time_sec"))
+    sizes = items.where("l_linenumber % 2 = 1").groupBy(*keys).agg(
+        F.count("*").cast("double").alias("hdfs_size_mb"))
+    return benchmarks.join_sizes(runs, sizes)
 
 
 @query("select 'customer' as source, c_custkey as k, c_nationkey as nation, c_acctbal as balance "
@@ -729,31 +784,19 @@ def profile_overview(spark, sf):
     return profiling.overview(all_tables(spark, sf), {t: f"{t}.parquet" for t in TABLES})
 
 
-@query()
-def profile_column_types(spark, sf):
-    return profiling.column_types(all_tables(spark, sf), details=True)
+_DESCRIBED = """
+  select '{t}' as table_name, column_name, case column_type when 'VARCHAR' then 'string'
+         when 'TIMESTAMP' then 'timestamp_ntz' when 'INTEGER' then 'int' when 'FLOAT[]' then
+         'array<float>' else lower(column_type) end as data_type, 'YES' as is_nullable,
+         row_number() over ()::int as ordinal_position, (select count(*) from {t}) as n_rows
+  from (describe {t})"""
 
 
-# The columns the column-wise profiles must list, by table: numeric and text.
-_NUMERIC = {
-    "region": "r_regionkey", "nation": "n_nationkey n_regionkey",
-    "customer": "c_custkey c_nationkey c_acctbal", "supplier": "s_suppkey s_nationkey s_acctbal",
-    "part": "p_partkey p_size p_retailprice", "orders": "o_orderkey o_custkey o_totalprice",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
-                "l_discount l_tax",
-    "events": "event_id user_id value", "documents": "doc_id n_chars",
-    "embeddings": "vec_id label", "pages": "page_id", "benchmark": "item_id",
-    "labels": "doc_id quality toxic", "conversations": "conv_id turn",
-}
-_TEXT = {
-    "region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment",
-    "supplier": "s_name", "part": "p_name p_brand p_type", "orders": "o_orderstatus "
-    "o_orderpriority", "lineitem": "l_returnflag l_linestatus", "events": "event_type props",
-    "documents": "text lang source", "pages": "url html", "benchmark": "text",
-    "conversations": "role text",
-}
-_OTHER = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts",
-          "embeddings": "embedding"}
+@query(" union all ".join(_DESCRIBED.format(t=t) for t in TABLES))
+def profile_column_types(spark, sf):
+    tables = all_tables(spark, sf)
+    return profiling.column_types(tables, details=True).join(
+        profiling.table_counts(tables).withColumnRenamed("records_count", "n_rows"), "table_name")
 
 
 def _per_column(columns, select):
@@ -773,15 +816,18 @@ def profile_missingness(spark, sf):
 
 
 _SUMMARY = ("count({c}) as non_null_count, round(avg({c}) + 1e-7, 4) as mean, "
-            "round(stddev({c}) + 1e-7, 4) as stddev, round(variance({c}) / 1e6 + 1e-7, 4) as "
-            "variance, min({c})::double as min, max({c})::double as max")
+            "round(stddev({c}) + 1e-7, 4) as stddev, round(variance({c}) / pow(10, floor(log10("
+            "nullif(variance({c}), 0)))) + 1e-7, 6) as variance, "
+            "floor(log10(nullif(variance({c}), 0)))::double as magnitude, min({c})::double as min, max({c})::double as max")
 
 
 @query(_per_column(_NUMERIC, _SUMMARY))
 def profile_numeric_summary(spark, sf):
     summary = profiling.numeric_summary(all_tables(spark, sf))
-    return rounded(summary.withColumn("variance", F.col("variance") / 1e6),
-                   "mean stddev variance")
+    size = F.floor(F.log10(F.nullif(F.col("variance"), F.lit(0.0)))).cast("double")
+    summary = summary.withColumn("magnitude", size).withColumn(
+        "variance", F.round(F.col("variance") / F.pow(F.lit(10.0), "magnitude") + 1e-7, 6))
+    return rounded(summary, "mean stddev")
 
 
 @query(_per_column(_NUMERIC, ", ".join(
@@ -790,9 +836,23 @@ def profile_numeric_quantiles(spark, sf):
     return profiling.numeric_quantiles(all_tables(spark, sf), exact=True)
 
 
-@query()
+@query(_per_column(_NUMERIC, ", ".join(
+    f"count({{c}}) > 0 as {o}" for o in profiling.PROBABILITIES)))
 def profile_numeric_quantiles_approx(spark, sf):
-    return profiling.numeric_quantiles(all_tables(spark, sf))
+    """Whether each sketched quantile is as near to the wanted rank as promised."""
+    tables, parts = all_tables(spark, sf), []
+    found = profiling.numeric_quantiles(tables)
+    for name, columns in _NUMERIC.items():
+        columns = columns.split()
+        values = tables[name].select(*[F.col(c).cast("double") for c in columns]).unpivot(
+            [], columns, "column_name", "v").join(F.broadcast(
+                found.where(F.col("table_name") == name)), "column_name")
+        n = F.count("v")
+        parts.append(values.groupBy("table_name", "column_name").agg(*[
+            ((F.count_if(F.col("v") < F.col(o)) <= (p + 4e-4) * n + 1)
+             & (F.count_if(F.col("v") <= F.col(o)) >= (p - 4e-4) * n - 1)).alias(o)
+            for o, p in profiling.PROBABILITIES.items()]))
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query(_per_column(_TEXT, "count(distinct {c}) as approx_distinct_count"))
@@ -800,9 +860,16 @@ def profile_categorical(spark, sf):
     return profiling.categorical_summary(all_tables(spark, sf), exact=True)
 
 
-@query()
+@query(_per_column(_TEXT, "count(*) >= 0 as near"))
 def profile_categorical_approx(spark, sf):
-    return profiling.categorical_summary(all_tables(spark, sf))
+    """Whether each estimate is within a fifth, four times its standard error, of the exact count."""
+    tables = all_tables(spark, sf)
+    exact = profiling.categorical_summary(tables, exact=True).withColumnRenamed(
+        "approx_distinct_count", "n")
+    near = F.abs(F.col("approx_distinct_count") - F.col("n")) <= F.greatest(
+        F.lit(1.0), 0.2 * F.col("n"))
+    return profiling.categorical_summary(tables).join(exact, ["table_name", "column_name"]).select(
+        "table_name", "column_name", near.alias("near"))
 
 
 @query(" union all ".join(f"select '{t}' as table_name, count(*) as records_count from {t}"
@@ -841,6 +908,45 @@ def coverage_after_estimate(spark, sf):
 # Windows, sorts
 # ---------------------------------------------------------------------------------------------
 
+# A view with NULL keys, many equal times, NaN speeds, and a trip with a third of all samples.
+_ODD = """, odd as (
+  select * replace (case when sample_id % 7 = 0 then null when sample_id % 3 = 0 then '5'
+                         else vehid end as vehid,
+                    case when sample_id % 3 = 0 then '1' when sample_id % 11 = 0 then null
+                         else tripid end as tripid,
+                    floor(time_seconds / 900) * 900 as time_seconds)
+  from telemetry)"""
+_ODD_TRIPS = TRIPS.replace("telemetry t left join", "odd t left join").replace(
+    "enriched as (", _ODD[2:].strip() + ",\nenriched as (", 1).replace(
+    "concat(vehid, '_', tripid) as trip_id", "concat_ws('_', vehid, tripid) as trip_id")
+
+
+def _odd(spark, sf, nan=False):
+    speed = "if(speed is null, double('NaN'), speed)" if nan else "speed"
+    return telemetry(spark, sf).withColumns({
+        "vehid": F.expr("case when sample_id % 7 = 0 then null when sample_id % 3 = 0 then '5' "
+                        "else vehid end"),
+        "tripid": F.expr("case when sample_id % 3 = 0 then '1' when sample_id % 11 = 0 then null "
+                         "else tripid end"),
+        "time_seconds": F.expr("floor(time_seconds / 900) * 900.0D"), "speed": F.expr(speed)})
+
+
+@query(TELEMETRY + _ODD + " select sample_id, lead(time_seconds) over w as next_time_seconds, "
+       "lead(speed) over w as next_speed from odd window w as (partition by vehid, tripid "
+       "order by time_seconds, sample_id)")
+def lead_next_sample_odd(spark, sf):
+    return trips.lead_next_sample(
+        _odd(spark, sf).select("sample_id", *KEYS, "time_seconds", "speed"),
+        tie="sample_id").select("sample_id", "next_time_seconds", "next_speed")
+
+
+@query(_ODD_TRIPS + " select sample_id, round(dt_s + 1e-7, 4) as dt_s from steps")
+def gap_clamp_odd(spark, sf):
+    gaps = trips.gap_clamp(_odd(spark, sf).select("sample_id", *KEYS, "time_seconds"),
+                           tie="sample_id", max_gap_s=MAX_GAP_S)
+    return rounded(gaps.select("sample_id", "dt_s"), "dt_s")
+
+
 @query(TELEMETRY + " select sample_id, lead(time_seconds) over w as next_time_seconds, "
        "lead(speed) over w as next_speed from telemetry window w as (partition by vehid, tripid "
        "order by time_seconds, sample_id)")
@@ -869,6 +975,18 @@ def segment_integrals(spark, sf):
                                            max_gap_s=MAX_GAP_S), _INTEGRALS)
 
 
+@query(ORACLE["segment_integrals"].replace(TRIPS, _ODD_TRIPS))
+def segment_integrals_odd(spark, sf):
+    return rounded(trips.segment_integrals(_odd(spark, sf, nan=True), tie="sample_id",
+                                           max_gap_s=MAX_GAP_S), _INTEGRALS)
+
+
+@query(_ODD_TRIPS + f" select {_TRIP_LIST} from trips")
+def trip_features_odd(spark, sf):
+    return rounded(trips.trip_features(_odd(spark, sf), vehicles(spark, sf), tie="sample_id",
+                                       max_gap_s=MAX_GAP_S, exact=True), _ROUNDED)
+
+
 @query("select l_returnflag, l_linestatus, count(*) as n_rows, sum(l_linenumber)::bigint as lines"
        " from lineitem group by 1, 2 order by lines, n_rows, 1, 2")
 def sort_multi_key(spark, sf):
@@ -1113,141 +1231,213 @@ def prediction_samples(spark, sf):
                    " ".join(errors.columns[2:]))
 
 
-@query(_PREDICTED + " select model as model_name, cast(row_number() over (partition by model "
-       "order by vehid, tripid) as int) as row_id, round(label + 1e-7, 4) as label, "
+@query(_PREDICTED + " select model as model_name, row_id, round(label + 1e-7, 4) as label, "
        "round(prediction + 1e-7, 4) as prediction, round(prediction - label + 1e-7, 4) as error, "
-       "round(abs(prediction - label) + 1e-7, 4) as abs_error from predicted "
-       "qualify row_id <= 5000")
+       "round(abs(prediction - label) + 1e-7, 4) as abs_error from (select *, cast(row_number() "
+       "over (partition by model order by vehid, tripid) as int) as row_id from predicted) "
+       "where row_id <= 5000 and tripid <> '2'")
 def row_id_per_model(spark, sf):
-    predicted = _predicted(spark, sf)
+    """Predictions as text, some of which are no numbers."""
+    predicted = _predicted(spark, sf).withColumn("prediction", F.when(
+        F.col("tripid") == "2", "n/a").otherwise(F.col("prediction").cast("string")))
     parts = [evaluation.prediction_rows(predicted.where(F.col("model") == name), name, order=KEYS)
              for name in (f"LinearRegression {c}" for c in _LINES)]
     return rounded(parts[0].unionByName(parts[1]), "label prediction error abs_error")
 
 
-_SMALL_GRIDS = {"LinearRegression": {"regParam": [0.0, 0.1]},
-                "RandomForestRegressor": {"maxDepth": [3], "numTrees": [5]},
-                "GBTRegressor": {"maxDepth": [2], "stepSize": [0.1]}}
-
-
 @functools.lru_cache(maxsize=None)
 def _parts(app, sf):
+    """Train and test rows with the features that the selection reports as selected."""
     from pyspark.sql import SparkSession
-    prepared = selection.prepare(model_rows(SparkSession.active(), sf), _SELECTED,
-                                 ["vehtype", "transmission", "eng_type"])
+    rows = model_rows(SparkSession.active(), sf)
+    report = materialise(selection.feature_selection(rows))
+    prepared = selection.prepare(rows, *selection.selected_names(report))
     return tuple(materialise(p) for p in selection.split_train_test(prepared))
 
 
-_SELECTED = ["distance_km", "speed_mean", "stop_go_ratio", "rpm_mean", "gen_weight", "eng_dis"]
-
-
 def _train_test(spark, sf):
     return _parts(spark.sparkContext.applicationId, sf)
 
 
-def _fit_and_score(spark, sf, model, scale=False):
+# Learners cannot be restated in SQL.  Their queries return what must hold of every run: the rows
+# that were predicted, and whether the reported numbers agree with the stored predictions.
+_TEST_ROWS = f"(select count(*) from model where {_BUCKET} >= 7000)"
+
+
+def _sound(predictions, name, metrics=None):
+    """Rows of the test part, whether reported metrics are those of the stored predictions, and
+    whether the model beats the mean."""
+    again = evaluation.evaluate(predictions).withColumns({
+        "test_rows": predictions.agg(F.count("prediction")).scalar(),
+        "spread": predictions.agg(F.stddev_pop(S.LABEL)).scalar()})
+    agrees = F.lit(True)
+    for m in evaluation.METRICS:
+        if metrics is not None:
+            agrees = agrees & (F.abs(F.col(m) - F.lit(metrics[m])) <= 1e-9 * F.abs(F.col(m)))
+    return again.select(F.lit(name).alias("model"), "test_rows", agrees.alias("agrees"),
+                        (F.col("rmse") < F.col("spread")).alias("beats_mean"))
+
+
+def _sound_sql(*names):
+    return MODEL + " union all ".join(
+        f" select '{n}' as model, {_TEST_ROWS} as test_rows, true as agrees, true as beats_mean"
+        for n in names)
+
+
+def _fit_and_score(spark, sf, name, model, scale=False):
     train, test = _train_test(spark, sf)
     numeric, categorical = modeling.usable_columns(train)
     fitted = modeling.build_pipeline(model, numeric, categorical, scale).fit(train)
-    return evaluation.evaluate(fitted.transform(test))
+    return _sound(materialise(fitted.transform(test).select(S.LABEL, "prediction")), name)
 
 
-@query()
+@query(_sound_sql("LinearRegression"))
 def ml_pipeline(spark, sf):
     model = LinearRegression(labelCol=S.LABEL, maxIter=50, regParam=0.1)
-    return _fit_and_score(spark, sf, model, scale=True)
+    return _fit_and_score(spark, sf, "LinearRegression", model, scale=True)
 
 
-@query()
+@query(_sound_sql("RandomForestRegressor"))
 def ml_random_forest(spark, sf):
-    return _fit_and_score(spark, sf, RandomForestRegressor(
-        labelCol=S.LABEL, seed=S.SEED, numTrees=10, maxDepth=4))
+    name = "RandomForestRegressor"
+    return _fit_and_score(spark, sf, name, modeling.ablation_models()[name])
 
 
-@query()
+@query(_sound_sql("GBTRegressor"))
 def ml_gbt(spark, sf):
-    return _fit_and_score(spark, sf, GBTRegressor(labelCol=S.LABEL, seed=S.SEED, maxIter=5,
-                                                  maxDepth=3))
+    name = "GBTRegressor"
+    return _fit_and_score(spark, sf, name, modeling.ablation_models()[name])
 
 
 @functools.lru_cache(maxsize=None)
 def _trained(app, sf, preset):
+    """A whole training with the preset's own grids, folds and iterations, once per session."""
     from pyspark.sql import SparkSession
     train, test = _train_test(SparkSession.active(), sf)
-    specs = (modeling.default_specs if preset == "three" else modeling.two_model_specs)(
-        _SMALL_GRIDS)
-    for spec in specs:
-        if spec.name == "GBTRegressor":
-            spec.model.setMaxIter(4)
-    return modeling.train_all(specs, train, test, folds=2)
+    specs = modeling.default_specs if preset == "three" else modeling.two_model_specs
+    return modeling.train_all(specs(), train, test)
 
 
 def _results(spark, sf, preset="three"):
     return _trained(spark.sparkContext.applicationId, sf, preset)
 
 
-@query()
+def _grid_sql(grids):
+    """Every model with every grid point, as ``param_text`` writes it."""
+    rows = [(model, "; ".join(sorted(f"{k}={v}" for k, v in zip(grid, point))))
+            for model, grid in grids.items() for point in itertools.product(*grid.values())]
+    return "(values " + ", ".join(map(str, rows)) + ") v(model, params)"
+
+
+@query(f"select model, params, true as scored from {_grid_sql(modeling.GRIDS)}")
 def ml_cross_validate(spark, sf):
-    return modeling.cv_results(spark, _results(spark, sf))
+    return modeling.cv_results(spark, _results(spark, sf)).select(
+        "model", "params", (F.col("avg_cv_rmse") > 0).alias("scored"))
 
 
-@query()
+@query(f"select model, count(*) as grid_points, {S.CV_FOLDS} as cv_folds from "
+       f"{_grid_sql(modeling.GRIDS)} group by model")
 def ml_cv_results(spark, sf):
-    return modeling.cv_results(spark, _results(spark, sf)).groupBy("model").agg(
-        F.count("*").alias("grid_points"), F.min("avg_cv_rmse").alias("best_cv_rmse"))
+    results = _results(spark, sf)
+    folds = modeling.training_log(spark, results).select("model", "cv_folds")
+    return modeling.cv_results(spark, results).groupBy("model").agg(
+        F.count("*").alias("grid_points")).join(folds, "model")
 
 
-@query()
+@query(f"select model, true as lowest from {_grid_sql(modeling.GRIDS)} group by model")
 def ml_best_params(spark, sf):
-    return modeling.training_log(spark, _results(spark, sf)).select("model", "best_params")
-
-
-@query()
+    """Whether the chosen parameters are those of the grid point with the lowest error."""
+    results = _results(spark, sf)
+    best = modeling.training_log(spark, results).select("model", "best_params")
+    points = modeling.cv_results(spark, results)
+    lowest = points.groupBy("model").agg(F.min_by("params", "avg_cv_rmse").alias("params"),
+                                         F.min("avg_cv_rmse").alias("least"))
+    chosen = F.forall(F.split("params", "; "),
+                      lambda p: F.array_contains(F.split("best_params", "; "), p))
+    # Grid points of equal error may stand for the lowest.
+    tied = points.join(best, "model").join(lowest.select("model", "least"), "model").where(
+        F.col("avg_cv_rmse") <= F.col("least") * (1 + 1e-12))
+    return tied.groupBy("model").agg(F.bool_or(chosen).alias("lowest"))
+
+
+def _all_sound(results):
+    return functools.reduce(lambda a, b: a.unionByName(b), [
+        _sound(r.predictions, r.summary["model"], r.summary) for r in results])
+
+
+@query(_sound_sql(*modeling.GRIDS))
 def eval_table(spark, sf):
-    return modeling.evaluation_table(spark, _results(spark, sf))
+    results = _results(spark, sf)
+    reported = {r["model"]: r for r in modeling.evaluation_table(spark, results).collect()}
+    return functools.reduce(lambda a, b: a.unionByName(b), [
+        _sound(r.predictions, r.summary["model"], reported[r.summary["model"]]) for r in results])
 
 
-@query()
+@query(MODEL + " union all ".join(
+    f" select {i}::int as model_index, '{m}' as model, {S.CV_FOLDS}::int as cv_folds, "
+    f"{len(list(itertools.product(*g.values())))}::int as param_grid_size, {_TEST_ROWS} as "
+    "test_rows, true as timed" for i, (m, g) in enumerate(modeling.GRIDS.items(), 1)))
 def training_log(spark, sf):
-    return modeling.training_log(spark, _results(spark, sf))
+    log = modeling.training_log(spark, _results(spark, sf))
+    return log.select("model_index", "model", "cv_folds", "param_grid_size", "test_rows",
+                      (F.col("train_time_sec") > 0).alias("timed"))
 
 
-@query()
+@query(_sound_sql(*modeling.TWO_MODEL_GRIDS))
 def ml_legacy_two_model(spark, sf):
-    return modeling.evaluation_table(spark, _results(spark, sf, "two"))
+    return _all_sound(_results(spark, sf, "two"))
 
 
-@query()
+@query(ORACLE["ml_predict"])
 def model_save_load(spark, sf):
     rows = _labelled(spark, sf)
     path = scratch_path(spark, "model")
     modeling.save_model(_line(rows, "speed_mean"), path)
-    return modeling.predict(modeling.load_model(path), rows)
+    report = modeling.predict(modeling.load_model(path), rows)
+    return rounded(report, " ".join(report.columns))
 
 
-@query()
+@query(MODEL + " select feature_set, model, " + _TEST_ROWS.replace(
+    "where", "where fuel_l_per_100km > 0 and") + " as test_rows, true as sound from (values "
+    "('all_features'), ('selected_features')) f(feature_set), (values "
+    + ", ".join(f"('{m}')" for m in modeling.GRIDS) + ") m(model)")
 def ml_feature_ablation(spark, sf):
-    models = {"LinearRegression": LinearRegression(labelCol=S.LABEL, regParam=0.1),
-              "RandomForestRegressor": RandomForestRegressor(labelCol=S.LABEL, maxDepth=4,
-                                                             numTrees=5, seed=S.SEED)}
-    return modeling.feature_ablation(model_rows(spark, sf), models)
+    found = modeling.feature_ablation(model_rows(spark, sf))
+    sound = (F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("train_time_sec") > 0)
+    return found.select("feature_set", "model", "test_rows", sound.alias("sound"))
 
 
 # ---------------------------------------------------------------------------------------------
 # Benchmark jobs
 # ---------------------------------------------------------------------------------------------
 
-@query()
+@query("select method, operation, n as row_count, details from (select count(*) as n from events), "
+       "(values ('raw_csv', 'write', 'Spark write CSV'), ('spark_csv', 'read', 'Spark read CSV with "
+       "inferred schema'), ('spark_parquet_snappy', 'write', 'Spark write Parquet Snappy'), "
+       "('spark_parquet_snappy', 'read', 'Spark read Parquet Snappy')) v(method, operation, details)")
 def bench_ingest(spark, sf):
-    return benchmarks.bench_ingest(raw_telemetry(spark, sf), scratch_path(spark, "ingest"))
+    return benchmarks.bench_ingest(raw_telemetry(spark, sf), scratch_path(spark, "ingest")).drop(
+        "runtime_sec")
 
 
-@query()
+@query(MODEL + " select format, compression, n as read_rows, n as source_rows, true as sized from "
+       "(select count(*) as n from model), (values "
+       + ", ".join(str(v) for v in benchmarks.VARIANTS if v[0] != "avro")
+       + ") v(format, compression)")
 def bench_storage(spark, sf):
-    return benchmarks.bench_storage(model_rows(spark, sf), scratch_path(spark, "storage"))
-
-
-@query()
+    """Without Avro, which needs a module that is not always there."""
+    found = benchmarks.bench_storage(model_rows(spark, sf), scratch_path(spark, "storage"))
+    return found.where("format <> 'avro'").select(
+        "format", "compression", "read_rows", "source_rows",
+        (F.col("hdfs_size_mb") > 0).alias("sized"))
+
+
+@query(MODEL + " select 'read_trips' as stage_name, count(*) as output_rows from telemetry "
+       "union all select 'filter_valid_speed', count(speed) from telemetry "
+       "union all select 'read_vehicles', count(*) from vehicles "
+       "union all select 'join_trips_vehicles', count(*) from enriched "
+       "union all select 'trip_level_aggregation', count(*) from (select distinct vehid, tripid "
+       "from telemetry) union all select 'read_trip_features', count(*) from model")
 def bench_processing(spark, sf):
     return benchmarks.bench_processing(telemetry(spark, sf), vehicles(spark, sf),
-                                       model_rows(spark, sf))
+                                       model_rows(spark, sf)).drop("runtime_sec")

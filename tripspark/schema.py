@@ -3,25 +3,54 @@
 from pyspark.sql import types as T
 
 
-def _struct(spec):
-    kinds = {"s": T.StringType(), "d": T.DoubleType(), "l": T.LongType(), "i": T.IntegerType()}
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, kinds[kind]))
-    return T.StructType(fields)
+def _struct(columns):
+    kinds = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType()}
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns])
 
 
-# --- fixed values: column names and order of the two base tables -------------------------
-TELEMETRY_SCHEMA = _struct(
-    "daynum:d vehid:s tripid:s time:d lat:d lon:d speed:d maf:d rpm:d abs_load:d oat:d "
-    "fuel_rate:d air_cp_kw:d air_cp_watts:d heater_power:d hv_battery_current:d "
-    "hv_battery_soc:d hv_battery_vol:d stfb_1:d stfb_2:d ltfb_1:d ltfb_2:d"
-)
-VEHICLE_SCHEMA = _struct(
-    "vehid:s vehtype:s vehclass:s transmission:s drive_wheels:s gen_weight:d eng_type:s "
-    "eng_dis:d eng_conf:s"
-)
+# --- fixed values: column names, types and order of the base and trip tables, model inputs ---
+TELEMETRY_SCHEMA = _struct([
+    ("daynum", "double"), ("vehid", "string"), ("tripid", "string"), ("time", "double"),
+    ("lat", "double"), ("lon", "double"), ("speed", "double"), ("maf", "double"),
+    ("rpm", "double"), ("abs_load", "double"), ("oat", "double"), ("fuel_rate", "double"),
+    ("air_cp_kw", "double"), ("air_cp_watts", "double"), ("heater_power", "double"),
+    ("hv_battery_current", "double"), ("hv_battery_soc", "double"), ("hv_battery_vol", "double"),
+    ("stfb_1", "double"), ("stfb_2", "double"), ("ltfb_1", "double"), ("ltfb_2", "double"),
+])
+VEHICLE_SCHEMA = _struct([
+    ("vehid", "string"), ("vehtype", "string"), ("vehclass", "string"),
+    ("transmission", "string"), ("drive_wheels", "string"), ("gen_weight", "double"),
+    ("eng_type", "string"), ("eng_dis", "double"), ("eng_conf", "string"),
+])
+TRIP_FEATURE_SCHEMA = _struct([
+    ("vehid", "string"), ("tripid", "string"), ("daynum", "double"),
+    ("n_sensor_points", "bigint"), ("duration_min", "double"), ("observed_seconds", "double"),
+    ("distance_km", "double"), ("fuel_used_l", "double"), ("fuel_valid_points", "bigint"),
+    ("speed_mean", "double"), ("speed_median", "double"), ("speed_p95", "double"),
+    ("maf_mean", "double"), ("maf_p95", "double"), ("rpm_mean", "double"), ("rpm_p95", "double"),
+    ("abs_load_mean", "double"), ("oat_mean", "double"), ("hv_current_mean", "double"),
+    ("hv_soc_mean", "double"), ("hv_voltage_mean", "double"), ("fuel_rate_mean_lhr", "double"),
+    ("vehtype", "string"), ("vehclass", "string"), ("transmission", "string"),
+    ("drive_wheels", "string"), ("gen_weight", "double"), ("eng_type", "string"),
+    ("eng_dis", "double"), ("eng_conf", "string"), ("trip_id", "string"),
+    ("stop_go_ratio", "double"), ("idle_time_min", "double"), ("fuel_l_per_100km", "double"),
+])
+TARGET = "fuel_l_per_100km"
+LABEL = "label"
+# Columns that may become model inputs; a column added to the trip table is none by itself.
+NUMERIC_CANDIDATES = [
+    "duration_min", "observed_seconds", "distance_km", "speed_mean", "speed_median", "speed_p95",
+    "maf_mean", "maf_p95", "rpm_mean", "rpm_p95", "abs_load_mean", "oat_mean", "hv_current_mean",
+    "hv_soc_mean", "hv_voltage_mean", "gen_weight", "eng_dis", "stop_go_ratio", "idle_time_min",
+]
+CATEGORICAL_FEATURES = [
+    "vehtype", "vehclass", "transmission", "drive_wheels", "eng_type", "eng_conf",
+]
+# Keys, the target, the two columns the target is computed from, and bookkeeping counts.
+NOT_CANDIDATES = {
+    "daynum", "fuel_l_per_100km", "fuel_rate_mean_lhr", "fuel_used_l", "fuel_valid_points",
+    "n_sensor_points", "trip_id", "tripid", "vehid",
+}
 # Header of the raw weekly telemetry files, in file order.
 RAW_TELEMETRY_HEADERS = [
     "DayNum", "VehId", "Trip", "Timestamp(ms)", "Latitude[deg]", "Longitude[deg]",
@@ -46,8 +75,6 @@ MANDATORY_TELEMETRY = ["daynum", "vehid", "tripid", "time", "lat", "lon"]
 NO_DATA = "NO DATA"
 # -----------------------------------------------------------------------------------------
 
-RAW_TELEMETRY_RENAMES = dict(zip(RAW_TELEMETRY_HEADERS, TELEMETRY_SCHEMA.names))
-
 TRIP_KEYS = ["vehid", "tripid"]
 VEHICLE_ATTRIBUTES = VEHICLE_SCHEMA.names[1:]
 
@@ -81,23 +108,3 @@ SELECT_K = 10
 CV_FOLDS = 3
 CV_PARALLELISM = 2
 # -----------------------------------------------------------------------------------------
-
-TRIP_FEATURE_SCHEMA = _struct(
-    "vehid:s tripid:s daynum:d n_sensor_points:l duration_min:d observed_seconds:d "
-    "distance_km:d fuel_used_l:d fuel_valid_points:l speed_mean:d speed_median:d speed_p95:d "
-    "maf_mean:d maf_p95:d rpm_mean:d rpm_p95:d abs_load_mean:d oat_mean:d hv_current_mean:d "
-    "hv_soc_mean:d hv_voltage_mean:d fuel_rate_mean_lhr:d vehtype:s vehclass:s transmission:s "
-    "drive_wheels:s gen_weight:d eng_type:s eng_dis:d eng_conf:s trip_id:s stop_go_ratio:d "
-    "idle_time_min:d fuel_l_per_100km:d"
-)
-TARGET = "fuel_l_per_100km"
-LABEL = "label"
-
-# Columns of the trip table that can never be model inputs: keys, the target, and the two
-# columns the target is computed from, plus bookkeeping counts.
-NOT_CANDIDATES = {"vehid", "tripid", "trip_id", "daynum", "n_sensor_points", "fuel_used_l",
-                  "fuel_valid_points", "fuel_rate_mean_lhr", TARGET}
-CATEGORICAL_FEATURES = [f.name for f in TRIP_FEATURE_SCHEMA
-                        if isinstance(f.dataType, T.StringType) and f.name not in NOT_CANDIDATES]
-NUMERIC_CANDIDATES = [f.name for f in TRIP_FEATURE_SCHEMA
-                      if not isinstance(f.dataType, T.StringType) and f.name not in NOT_CANDIDATES]

@@ -6,12 +6,21 @@ TOTAL = "__TOTAL__"
 _MB = 1024 * 1024
 
 
+def _decoded(column):
+    """A path without the escapes of its URI form; a plus sign is no escape there."""
+    return F.url_decode(F.replace(column, F.lit("+"), F.lit("%2B")))
+
+
 def _files(spark, root):
+    """(file_path, length) of all files below a path."""
     # Only path and length are selected, so no file content is read.
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     sized = found.select(F.col("path").alias("file_path"), "length")
-    # A scan skips empty files; the listing that Spark already holds has them.
-    listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "p string")
+    # A scan skips empty files.  Only if there are any do names pass through the driver.
+    if len(found._jdf.inputFiles()) == sized.count():
+        return sized
+    listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "p string").select(
+        _decoded(F.col("p")).alias("p"))
     listed = listed.select(_plain("p").alias("plain"), "p")
     return (listed.join(sized.withColumn("plain", _plain("file_path")), "plain", "left")
             .select(F.coalesce("file_path", "p").alias("file_path"),
@@ -24,23 +33,32 @@ def _plain(column):
 
 
 def path_size(spark: SparkSession, root) -> DataFrame:
-    """Total bytes and MB of all files below a path."""
-    total = F.coalesce(F.sum("length"), F.lit(0))
-    return _files(spark, root).agg(total.alias("size_bytes"),
-                                   F.round(total / _MB, 3).alias("size_mb"))
+    """Total bytes and MB of all files below a path, from the file system's own summary."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    summary = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path)
+    total = F.lit(summary.getLength()).cast("long")
+    return spark.range(1).select(total.alias("size_bytes"),
+                                 F.round(total / _MB, 3).alias("size_mb"))
 
 
-def csv_shape(spark: SparkSession, root, sep=",") -> DataFrame:
-    """Per CSV file: data rows and header fields, in one pass over the lines.
+def csv_shape(spark: SparkSession, root, sep=",", multiline=False) -> DataFrame:
+    """Per CSV file: data rows and header fields, in one pass.
 
-    A record is taken to be a line, so that large files can be split among tasks; quoted line
-    breaks are not supported.
+    By default a record is a line, so that large files are split among tasks.  With ``multiline``
+    quoted line breaks belong to their field, and a file is read by one task.
     """
-    lines = (spark.read.option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.[cC][sS][vV]").text(root)
-             .select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_block_start").alias("start"), "value",
-                     F.monotonically_increasing_id().alias("line")))
+    everywhere = {"recursiveFileLookup": True, "pathGlobFilter": "*.[cC][sS][vV]"}
+    if multiline:
+        # The parser decides where records end; it hands over whole records of several fields.
+        lines = spark.read.options(**everywhere).csv(
+            root, schema="value string, _whole string", sep=sep, multiLine=True,
+            mode="PERMISSIVE", columnNameOfCorruptRecord="_whole").withColumn(
+            "value", F.coalesce("_whole", "value"))
+    else:
+        lines = spark.read.options(**everywhere).text(root)
+    lines = lines.select(_decoded(F.col("_metadata.file_path")).alias("file_path"),
+                         F.col("_metadata.file_block_start").alias("start"), "value",
+                         F.monotonically_increasing_id().alias("line"))
     # The header is the first line of the split that starts at byte 0.
     header = F.min_by(F.when(F.col("start") == 0, F.col("value")),
                       F.when(F.col("start") == 0, F.col("line")))
@@ -51,15 +69,18 @@ def csv_shape(spark: SparkSession, root, sep=",") -> DataFrame:
                     F.size(F.split(unquoted, "\\Q" + sep + "\\E")).alias("columns")))
 
 
-def file_audit(spark: SparkSession, root, sep=",") -> DataFrame:
-    """Per file: path, name, extension, MB, and for CSV rows and columns; then a total row."""
+def file_audit(spark: SparkSession, root, sep=",", multiline=False) -> DataFrame:
+    """Per file: path, name, extension, MB, and for CSV rows and columns; then a total row.
+
+    ``multiline`` as in ``csv_shape``.
+    """
     name = F.element_at(F.split("file_path", "/"), -1)
     extension = F.lower(F.regexp_extract(name, r"(?<=.)(\.[^.]+)$", 1))
     files = _files(spark, root).select(
         "file_path", name.alias("file_name"), extension.alias("extension"),
         F.round(F.col("length") / _MB, 3).alias("size_mb"))
     plain = _plain("file_path")
-    shapes = csv_shape(spark, root, sep).select(plain.alias("plain"), "rows", "columns")
+    shapes = csv_shape(spark, root, sep, multiline).select(plain.alias("plain"), "rows", "columns")
     listed = (files.withColumn("plain", plain).join(shapes, "plain", "left").drop("plain")
               .withColumn("rows", F.when((F.col("extension") == ".csv"),
                                          F.coalesce("rows", F.lit(0))))

@@ -1,6 +1,5 @@
 """Writers.  Paths are the caller's; on a cluster they must lie in a shared file system."""
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import clean_text
@@ -27,16 +26,23 @@ def write_csv(df: DataFrame, path, sep=",", codec="none") -> None:
      .option("compression", codec).csv(path))
 
 
-def write_dual(df: DataFrame, parquet_path, csv_path=None, sort=()) -> None:
-    """Parquet, and optionally a small CSV made from the Parquet just written."""
+def write_dual(df: DataFrame, parquet_path, csv_path=None, sort=(), small=False) -> None:
+    """Parquet, and optionally CSV made from the Parquet just written.
+
+    ``small`` promises a report of bounded size, which becomes one file in the order of ``sort``.
+    """
     write_parquet(df, parquet_path)
     if csv_path:
-        write_small_csv(df.sparkSession.read.parquet(parquet_path), csv_path, sort=sort)
+        written = df.sparkSession.read.parquet(parquet_path)
+        if small:
+            write_small_csv(written, csv_path, sort=sort)
+        else:
+            write_csv(written, csv_path)
 
 
-def write_tsv(df: DataFrame, path, sort=()) -> None:
-    """Tab-separated text, every value on one line."""
-    write_small_csv(clean_text(df), path, sep="\t", sort=sort)
+def write_tsv(df: DataFrame, path) -> None:
+    """Tab-separated text in any number of files, every value on one line."""
+    write_csv(clean_text(df), path, sep="\t")
 
 
 def write_json(df: DataFrame, path) -> None:
@@ -55,8 +61,3 @@ def write_variant(df: DataFrame, path, fmt, codec, files=None) -> None:
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
-
-
-def kept(df: DataFrame):
-    """Cache a table that several actions read; the caller unpersists it."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
