@@ -1,5 +1,6 @@
 """Helpers that several text operators share: slicing batches, word hashes, bitmaps, components."""
 
+import contextlib
 import zlib
 
 import numpy as np
@@ -199,10 +200,11 @@ def hashed_ids(values):
     return finish(np.asarray(values).astype(np.int64).view(np.uint64) + _STEP)
 
 
-def rows_with_ids(docs, ids):
-    """Rows of docs whose doc_id is among ids; most others are skipped before any shuffle.
+def rows_with_ids(docs, ids, make, schema):
+    """``make`` over the batches of rows whose doc_id is among ``ids``, joined back to those.
 
-    ``ids`` has one column, doc_id.  A bitmap of fixed size does the skipping, a semi-join decides.
+    ``ids`` has one column, doc_id; ``make`` yields batches with a column doc_id.  Before any shuffle
+    a bitmap of fixed size skips most other rows; the semi-join decides.
     """
     def hash_ids(batches):
         for batch in batches:
@@ -219,7 +221,23 @@ def rows_with_ids(docs, ids):
             yield batch.filter(pa.array(in_bitmap(
                 bits.value, hashed_ids(batch.column("doc_id").to_numpy())), pa.bool_()))
 
-    return docs.mapInArrow(skip, docs.schema), ids
+    with small_batches(docs.sparkSession, 1000):
+        found = materialise(docs.mapInArrow(lambda batches: make(skip(batches)), schema).join(
+            ids, "doc_id", "left_semi"), "found")
+    bits.unpersist()
+    return found
+
+
+@contextlib.contextmanager
+def small_batches(spark, rows):
+    """Within it, Arrow batches have at most so many rows: for steps whose rows are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 # --------------------------------------------------------------------- connected components

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
-from .common import WORDS, bitmap_of, finish, in_bitmap, rows_with_ids, text_slices
+from .common import WORDS, bitmap_of, finish, in_bitmap, rows_with_ids, small_batches, text_slices
 
 SPAN = 12
 CLASSES = 4
@@ -97,13 +97,13 @@ def _seed_rows(widths, whole, bits=None):
 
 
 def _word_rows(batches):
-    for ids, texts in text_slices(batches, "id", "text"):
+    for ids, texts in text_slices(batches):
         hashes, counts = _words(texts)
         ends = np.cumsum(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(counts),
              pa.array([hashes[e - c:e].tobytes() for e, c in zip(ends, counts)], pa.binary())],
-            names=["id", "n", "words"])
+            names=["doc_id", "n", "words"])
 
 
 def _verify(batches):
@@ -140,23 +140,24 @@ def overlaps(documents, benchmark):
     docs = documents.select(F.col("doc_id").cast("long").alias("id"),
                             F.col("text").cast("string").alias("text"))
     kinds = "seed long, id long, place long"
-    words = "id long, n long, words binary"
-    item_words = materialise(items.mapInArrow(_word_rows, words), "items")
+    item_words = materialise(items.withColumnRenamed("id", "doc_id").mapInArrow(
+        _word_rows, "doc_id long, n long, words binary"), "items")
     widths = sorted(r["n"] for r in item_words.where(
         f"n >= {MIN_WORDS} and n < {SPAN}").select("n").distinct().collect())
     tests = materialise(items.mapInArrow(_seed_rows(widths, True), kinds).distinct(), "seeds")
     bits = spark.sparkContext.broadcast(bitmap_of(tests, "seed"))
     hits = docs.mapInArrow(_seed_rows(widths, False, bits), kinds)
-    lined = materialise(
-        hits.withColumnsRenamed({"id": "doc_id", "place": "at"}).join(
-            tests.withColumnsRenamed({"id": "item_id"}), "seed").selectExpr(
-            "doc_id", "item_id", "at - place as shift").distinct(), "hits")
-    some, _ = rows_with_ids(docs.withColumnRenamed("id", "doc_id"), lined.select("doc_id"))
-    doc_words = some.withColumnRenamed("doc_id", "id").mapInArrow(_word_rows, words)
-    lined = lined.join(item_words.select(F.col("id").alias("item_id"), F.col("n").alias("m"),
+    with small_batches(spark, 1000):
+        lined = materialise(
+            hits.withColumnsRenamed({"id": "doc_id", "place": "at"}).join(
+                tests.withColumnsRenamed({"id": "item_id"}), "seed").selectExpr(
+                "doc_id", "item_id", "at - place as shift").distinct(), "hits")
+    doc_words = rows_with_ids(docs.withColumnRenamed("id", "doc_id"), lined.select("doc_id"),
+                              _word_rows, "doc_id long, n long, words binary")
+    lined = lined.join(item_words.select(F.col("doc_id").alias("item_id"), F.col("n").alias("m"),
                                          F.col("words").alias("item")), "item_id")
     # Only the aligned words of the document reach Python.
-    aligned = lined.join(doc_words.select(F.col("id").alias("doc_id"), "words"), "doc_id").select(
+    aligned = lined.join(doc_words.select("doc_id", "words"), "doc_id").select(
         "doc_id", "item_id", "item", "shift", F.expr(
             "substring(words, cast(greatest(shift, 0) * 8 + 1 as int), "
             "cast((m + least(shift, 0)) * 8 as int))").alias("doc"))

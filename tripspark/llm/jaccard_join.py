@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
 from .common import (ARRAY_SCHEMA, add_arrays, array_rows, bitmap_of, components, in_bitmap,
-                     rows_with_ids, shingle_hashes, text_slices, word_hashes)
+                     rows_with_ids, shingle_hashes, small_batches, text_slices, word_hashes)
 
 #: Cells of the count sketch that orders the pivots.  The order decides only how much work there is.
 CELL_BITS = 20
@@ -150,21 +150,18 @@ def _members(bits):
 
 def _sets_of(docs, ids, width):
     """The sets of the documents with these ids."""
-    some, ids = rows_with_ids(docs, ids)
-
     def build(batches):
         rows, held = [], 0
         for doc_id, own in _sets(batches, width):
             rows.append((doc_id, own.tobytes()))
             held += own.nbytes
-            if held > 1 << 24:
+            if held > 1 << 22:
                 yield _set_rows(rows)
                 rows, held = [], 0
         if rows:
             yield _set_rows(rows)
 
-    return materialise(some.mapInArrow(build, "doc_id long, own binary").join(
-        ids, "doc_id", "left_semi"), "sets")
+    return rows_with_ids(docs, ids, build, "doc_id long, own binary")
 
 
 def _set_rows(rows):
@@ -188,7 +185,9 @@ def _links(pairs, regions, docs, percent, width):
     for side in "ab":
         both = both.join(sets.select(F.col("doc_id").alias(side), F.col("own").alias("s" + side)),
                          side)
-    links = materialise(both.mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
+    with small_batches(docs.sparkSession, 100):  # each row holds two sets
+        links = materialise(both.mapInArrow(_linked(percent), "a long, b long").distinct(),
+                            "links")
     discard(near, sets)
     return links
 
@@ -205,12 +204,16 @@ def jaccard_components(documents, percent=85, width=4):
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("text").cast("string").alias("text"))
-    counts = add_arrays(docs.mapInArrow(_sketch(width), ARRAY_SCHEMA))
+    with small_batches(spark, 1000):
+        counts = add_arrays(docs.mapInArrow(_sketch(width), ARRAY_SCHEMA))
     if counts is None:
         counts = np.zeros(1 << CELL_BITS, np.int64)
     # Ranks only need their order: 32 bits are enough and fixed in size.
     cells = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
-    regions = materialise(docs.mapInArrow(_regions(width, percent, cells), _REGIONS), "regions")
+    with small_batches(spark, 1000):
+        regions = materialise(docs.mapInArrow(_regions(width, percent, cells), _REGIONS),
+                              "regions")
+    cells.unpersist()
 
     shared = materialise(regions.select("doc_id", F.explode("pivots").alias("pivot")).groupBy(
         "pivot").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("m")).where(
@@ -219,6 +222,7 @@ def jaccard_components(documents, percent=85, width=4):
     members = regions.select("doc_id", "n", "pivots").mapInArrow(
         _members(bits), "pivot long, doc_id long, n long, pos long")
     active = materialise(members.join(shared, "pivot"), "members")
+    bits.unpersist()
 
     # First level: the pivot of a region is its smallest document.
     star = active.where("doc_id != head")

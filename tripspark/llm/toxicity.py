@@ -142,8 +142,7 @@ def train(documents, labels):
     if not prior:
         return np.zeros(SIZE, np.float32), -30.0
     prior = min(prior, 0.99)
-    some, ids = rows_with_ids(docs, known.where("toxic > 0").select("doc_id"))
-    positives = materialise(some.join(ids, "doc_id", "left_semi"), "positives")
+    positives = rows_with_ids(docs, known.where("toxic > 0").select("doc_id"), iter, docs.schema)
     everything = add_arrays(docs.mapInArrow(_frequencies, ARRAY_SCHEMA))
     positive = add_arrays(positives.mapInArrow(_frequencies, ARRAY_SCHEMA))
     if positive is None or everything is None:
