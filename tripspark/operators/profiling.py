@@ -13,8 +13,6 @@ from ..functions.text import literal, quoted
 from .quantiles import ACCURACY, clean_double, column_quantiles, column_residue, read_off
 
 PROBABILITIES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
-# Longer texts are compared by digest, so that they need not be shuffled.
-SHORT_TEXT_BYTES = 64
 
 
 def _stack(frames) -> DataFrame:
@@ -109,9 +107,9 @@ def categorical_summary(tables: dict, exact=False) -> DataFrame:
     def one(name, df):
         columns = _fields(df, T.StringType)
         if exact:
+            # Texts are compared by digest, so that long ones need not be shuffled.
             values = df.selectExpr(*[
-                f"if(octet_length({q}) <= {SHORT_TEXT_BYTES}, {q}, concat('#', sha2({q}, 256))) "
-                f"as {q}" for q in map(quoted, columns)])
+                f"unhex(sha2({q}, 256)) as {q}" for q in map(quoted, columns)])
             values = values.unpivot([], list(map(quoted, columns)), "column_name", "v")
             # A column without values must still be listed.
             counted = (values.groupBy("column_name", "v").agg(F.lit(1).alias("one"))

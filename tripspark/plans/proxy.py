@@ -25,7 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 22 telemetry columns plus ``sample_id``, a unique tie-breaker."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return table(spark, sf_dir, "events").selectExpr(
         "event_id as sample_id", "user_id", "event_type", "value", "ts",
         "cast(get_json_object(props, '$.k') as int) as k",
@@ -33,7 +32,7 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(day(ts) as double) as daynum",
         "cast(user_id as string) as vehid",
         "cast(cast(floor((day(ts) - 1) / 5) as int) as string) as tripid",
-        "unix_micros(cast(ts as timestamp)) / 1000.0D as time",
+        "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts) / 1000.0D as time",
         "42.2D + (sample_id % 97) * 0.00113D as lat",
         "-83.8D + (sample_id % 89) * 0.00117D as lon",
         """case when sample_id % 50 = 7 then double('NaN')
@@ -66,7 +65,7 @@ def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vehicle sheet before cleaning: engine text in one column, gaps marked by text."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer")
-    joined = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
+    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     return joined.selectExpr(
         # Some ids never occur in telemetry, so that their users drive unknown vehicles.
         "concat(if(c_custkey % 20 = 0, 'spare-', ''), c_custkey) as vehid",

