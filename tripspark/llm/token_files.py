@@ -214,10 +214,7 @@ def _histogram(size, kind):
         counts, unpack = np.zeros(size, np.int64), zstandard.ZstdDecompressor()
         for batch in batches:
             for blob in batch.column("ids").to_pylist():
-                counts += np.bincount(np.frombuffer(unpack.decompress(blob), kind), minlength=size) \
-                    if len(blob) > 4096 else 0
-                if len(blob) <= 4096:
-                    np.add.at(counts, np.frombuffer(unpack.decompress(blob), kind), 1)
+                np.add.at(counts, np.frombuffer(unpack.decompress(blob), kind), 1)
         if counts.any():
             yield array_rows(counts, 8)
     return run
@@ -402,7 +399,7 @@ def write_token_files(documents, path, end_id=END_ID):
     """Encode and write all documents in order of doc_id; returns (files, table of frequencies).
 
     ``documents`` needs doc_id and text; a null text is empty and gives the end id alone; null ids
-    come first; rows of one id are ordered by their ids' bytes.
+    come first; rows of one id are ordered by a hash of their ids.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -417,7 +414,10 @@ def write_token_files(documents, path, end_id=END_ID):
     held = materialise(spark.createDataFrame(
         [(int(i), int(freq[i])) for i in np.flatnonzero(freq)], "id int, frequency int"),
         "frequencies")
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    # A hash parts rows that share an id, or have none.
+    order = ["doc_id", "mark", "ids"]
+    ordered = ids.withColumn("mark", F.xxhash64("ids")).repartitionByRange(
+        *order[:2]).sortWithinPartitions(*order)
     return materialise(ordered.mapInArrow(_write_files(table, kind), _FILES), "files"), held, size
 
 
