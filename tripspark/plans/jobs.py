@@ -34,7 +34,7 @@ def ingest(spark, telemetry_csv, vehicles_csv, out):
 
 
 def violations(telemetry, vehicles):
-    """(constraint, name, n_rows): duplicate vehicles, missing mandatory values, unknown vehicles."""
+    """(constraint, name, n_rows): duplicate vehicles, missing values, unknown vehicles."""
     same = [c for c in S.MANDATORY_TELEMETRY if c in telemetry.columns]
     parts = [
         quality.duplicate_keys(vehicles, ["vehid"]).select(
@@ -246,7 +246,8 @@ def main(argv=None) -> None:
     if a.job == "ingest":
         ingest(spark, a.telemetry_csv, a.vehicles_csv, a.warehouse).show(truncate=False)
     elif a.job == "audit":
-        writers.write_small_csv(audit.file_audit(spark, a.root, multiline=a.multiline), f"{a.out}/data_audit")
+        listing = audit.file_audit(spark, a.root, multiline=a.multiline)
+        writers.write_small_csv(listing, f"{a.out}/data_audit")
     elif a.job == "profile":
         profile(spark, a.warehouse, a.out)
     elif a.job == "explore":
