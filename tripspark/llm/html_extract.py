@@ -252,8 +252,8 @@ def _texts(batches):
 
 def host_of(url):
     """The host in lower case, without user and port; a null or other url has the host ''."""
-    return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1),
-                              F.lit("")))
+    host = F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.lower(F.coalesce(host, F.lit("")))
 
 
 def host_paths(pages):

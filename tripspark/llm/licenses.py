@@ -148,8 +148,9 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
         "row", "block", "tokens", F.size("tokens").alias("size"),
         F.posexplode(F.expr(f"slice(tokens, 1, size(tokens) - {least} + 1)")).alias("at", "token"))
     spark = documents.sparkSession
-    sides = spark.createDataFrame(prefixes, "template int, label string, all int, need int, "
-                                            "place int, token string, template_tokens array<string>")
+    sides = spark.createDataFrame(
+        prefixes, "template int, label string, all int, need int, place int, token string, "
+                  "template_tokens array<string>")
     pairs = spread.join(F.broadcast(sides), "token").where(
         "size >= need and least(at, place) + 1 + least(size - 1 - at, all - 1 - place) >= need")
     pairs = pairs.dropDuplicates(["row", "block", "template"]).withColumn(

@@ -129,8 +129,8 @@ def mix(documents, seed=17, target_entropy=None, repetition_limit=2.0, budget=No
     """All columns of ``documents`` plus mix_source, mix_tokens, mix_block, mix_epoch, mix_weight,
     mix_passes and mix_slot; input columns of such names are replaced.
 
-    One row per reading of a document.  ``mix_slot`` in [0, 1) says when: ordered by it, every prefix
-    holds the sources in about their weights.  ``budget``: tokens to read; without it every document
+    One row per reading of a document.  ``mix_slot`` in [0, 1) says when: ordered by it, every
+    prefix holds the sources in about their weights.  ``budget``: tokens to read; without it every document
     is read at least once and sources are repeated up to ``repetition_limit``.  With
     ``target_entropy`` (nats) the weights have that entropy and the limit does not count.
 
@@ -145,7 +145,8 @@ def mix(documents, seed=17, target_entropy=None, repetition_limit=2.0, budget=No
     plan = _plan(sizes, seed, target_entropy=target_entropy,
                  repetition_limit=None if target_entropy is not None else repetition_limit,
                  budget=budget)
-    whole, ends = plan.where("mix_rest is null").drop("mix_rest"), plan.where("mix_rest is not null")
+    whole = plan.where("mix_rest is null").drop("mix_rest")
+    ends = plan.where("mix_rest is not null")
     if plan.count() <= BROADCAST_ROWS:
         whole, ends = F.broadcast(whole), F.broadcast(ends)
     first = docs.join(whole, ["mix_source", "mix_block"])
@@ -154,7 +155,8 @@ def mix(documents, seed=17, target_entropy=None, repetition_limit=2.0, budget=No
         _seeded(seed + 1, "doc_id", "mix_epoch"), "doc_id", "mix_tokens").rowsBetween(
         Window.unboundedPreceding, -1)
     last = docs.join(ends, ["mix_source", "mix_block"]).withColumn(
-        "mix_ahead", F.coalesce(F.sum("mix_tokens").over(order), F.lit(0))).where("mix_ahead < mix_rest")
+        "mix_ahead", F.coalesce(F.sum("mix_tokens").over(order), F.lit(0))).where(
+        "mix_ahead < mix_rest")
     return first.unionByName(last.drop("mix_ahead", "mix_rest")).select(
         *[c for c in documents.columns if not c.startswith("mix_")], *MIX_COLUMNS)
 

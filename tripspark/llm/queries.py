@@ -2,8 +2,8 @@
 
 import public_tokenizers
 
-from . import (chat_format, decontaminate, exact_dedup, hpy_lm, html_extract, jaccard_join, licenses,
-               mixing, token_files, toxicity)
+from . import (chat_format, decontaminate, exact_dedup, hpy_lm, html_extract, jaccard_join,
+               licenses, mixing, token_files, toxicity)
 from .common import read_table
 
 QUERIES: dict = {}
