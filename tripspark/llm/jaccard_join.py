@@ -13,8 +13,9 @@ Inside a region documents themselves are pivots, level by level.  A pivot is com
 others of its region.  What it links is one component, of which no further pair is needed; the
 pivot then leaves the region, and regions of one component are closed.  The number of pivots grows
 with each level, so a region of g near copies costs about g comparisons and ends after one level.
-Before sets are compared, counts of shingles in 64 fixed buckets give a lower bound of the
-distance.  Nothing is capped: a level ends only when all open regions are joined.
+A pair is taken in the region of its first common pivot only, where the number of earlier pivots of
+both bounds their distance.  Before sets are compared, counts of shingles in 64 fixed buckets give
+another lower bound.  Nothing is capped: a level ends only when all open regions are joined.
 """
 
 import numpy as np
@@ -31,7 +32,9 @@ from .common import (ARRAY_SCHEMA, add_arrays, array_rows, bitmap_of, components
 CELL_BITS = 20
 BUCKETS = 64
 #: Task-local representatives of equal sets are forgotten beyond this number of sets.
-SEEN = 1_000_000
+SEEN = 300_000
+#: Regions of so many documents are joined at once, and so many levels take one central pivot.
+SMALL, CENTRAL_LEVELS = 8, 2
 
 
 def _sketch(width):
@@ -215,35 +218,50 @@ def jaccard_components(documents, percent=85, width=4):
                               "regions")
     cells.unpersist()
 
-    shared = materialise(regions.select("doc_id", F.explode("pivots").alias("pivot")).groupBy(
-        "pivot").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("m")).where(
-        "m > 1").select("pivot", "head"), "shared")
+    shared = materialise(regions.select(F.explode("pivots").alias("pivot")).groupBy("pivot").agg(
+        F.count(F.lit(1)).alias("m")).where("m > 1").select("pivot"), "shared")
     bits = spark.sparkContext.broadcast(bitmap_of(shared, "pivot"))
     members = regions.select("doc_id", "n", "pivots").mapInArrow(
         _members(bits), "pivot long, doc_id long, n long, pos long")
-    active = materialise(members.join(shared, "pivot"), "members")
+    members = materialise(members.join(shared, "pivot"), "members")
     bits.unpersist()
 
-    # First level: the pivot of a region is its smallest document.
-    star = active.where("doc_id != head")
-    links = _links(star.select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(),
+    # The text that others are copies of has no shingles of its own, so most of its pivots are
+    # shared; a copy's own shingles come first among its pivots.  The more central document leads.
+    central = members.groupBy("doc_id").agg(
+        F.expr(f"count(1) / (max(n) - (max(n) * {percent} + 99) div 100 + 1)").alias("central"))
+    active = materialise(members.join(central, "doc_id"), "members")
+    heads = active.groupBy("pivot").agg(F.min(F.struct(-F.col("central"), "doc_id"))[
+        "doc_id"].alias("head"))
+
+    # First level: the pivot of a region is its most central document.
+    star = materialise(active.join(heads, "pivot").where("doc_id != head"), "star")
+    links = _links(star.select(F.least("head", "doc_id").alias("a"),
+                               F.greatest("head", "doc_id").alias("b")).distinct(),
                    regions, docs, percent, width)
+    discard(members)
     own = regions.where("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     found = components(links.union(own))
-    active = star.drop("head")
-    fits = ("least(pa, pb) + 1 + least(na - 1 - pa, nb - 1 - pb) >= "
-            + _min_overlap("na", "nb", percent) + f" and 100 * least(na, nb) >= {percent} * "
-            "greatest(na, nb)")
+    columns = ["pivot", "doc_id", "n", "pos", "central"]
+    active = star.select(columns)
+    # Linked documents meet in the region of their first common pivot, and nothing before it is
+    # shared there.  Elsewhere a pair may fail this; it is not needed there.
+    fits = ("least(na - pa, nb - pb) >= " + _min_overlap("na", "nb", percent)
+            + f" and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
     level = 1
     while True:
         labelled = active.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "pivot", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("c"))
+            *columns, F.coalesce("component", "doc_id").alias("c"))
         open_ = labelled.groupBy("pivot").agg(
-            F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1")).where(
-            "c0 != c1").select("pivot", "m")
-        # A member is a pivot of this level by a hash, about 8 ** level of them a region, or all.
+            F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"),
+            F.min(F.struct(-F.col("central"), "doc_id"))["doc_id"].alias("head")).where(
+            "c0 != c1").select("pivot", "m", "head")
+        # Small regions are joined at once.  Large ones take their most central member in the first
+        # levels, and then members by a hash, 64, 4096, ... of a region, at last all.
+        leads = "doc_id = head" if level <= CENTRAL_LEVELS else (
+            f"pmod(xxhash64(doc_id, {level}), m) < {64 ** (level - CENTRAL_LEVELS)}")
         active = materialise(labelled.join(open_, "pivot").withColumn(
-            "lead", F.expr(f"pmod(xxhash64(doc_id, {level}), m) < {8 ** level}")), "members")
+            "lead", F.expr(f"m <= {SMALL} or {leads}")), "members")
         if active.isEmpty():
             break
         lead, rest = active.where("lead").alias("x"), active.alias("y")
@@ -254,7 +272,7 @@ def jaccard_components(documents, percent=85, width=4):
         if not new.isEmpty():
             links = links.union(new)
             found = components(links.union(own))
-        active = active.where("not lead").select("pivot", "doc_id", "n", "pos")
+        active = active.where("not lead").select(columns)
         level += 1
     return regions.select("doc_id", F.col("n").alias("n_shingles")).join(
         found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
