@@ -103,7 +103,7 @@ def test_license_scan_by_template(spark):
              for r in licenses.license_scan(docs).collect()}
     assert found[0] == (1, 3, 3, "cc-by,cc-by-nc", 1.0)
     assert found[1][:3] == (2, 0, 2) and found[2] == (0, None, None, "", 0.0)
-    assert found[3] == (1, 5, 5, "gpl", 1.0) and found[4][3] == "gpl" and found[5][3] == ""
+    assert found[3] == (1, 6, 6, "gpl", 1.0) and found[4][3] == "gpl" and found[5][3] == ""
 
 
 def test_exact_duplicates(spark, docs):
