@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tripspark.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
-from tripspark.llm.common import read_table
+from tripspark.llm.common import read_table, share_package
 from tripspark.sources.shared import materialise
 
 
@@ -30,6 +30,7 @@ def one_of_each_group(spark, docs, sf_dir):
     Five words and 0.8, as near-duplicate stages take.  Rows that repeat a doc_id are one document:
     one of them stays.  Rows without a doc_id link with nothing and stay.
     """
+    share_package(spark)
     found = materialise(jaccard_join.jaccard_components(docs, percent=80, width=5), "groups")
     kept = without_ids(docs, found.where("doc_id <> component_id").select("doc_id"))
     again = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(
@@ -51,6 +52,7 @@ def mix_sources(spark, docs, sf_dir):
 
 def token_output(spark, docs, sf_dir):
     """Token files in order of doc_id; one row per reading, read back from the files."""
+    share_package(spark)
     return token_files.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

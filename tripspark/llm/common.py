@@ -1,6 +1,7 @@
 """Helpers that several text operators share: slicing batches, word hashes, bitmaps, components."""
 
 import contextlib
+import os
 import zlib
 
 import numpy as np
@@ -21,7 +22,17 @@ _UPPER_TEXT, _LOWER_TEXT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuv
 SLICE_BYTES = 1 << 21
 
 
+def share_package(spark):
+    """Let Python workers import this package, wherever they are started."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    held = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in held:
+        env["PYTHONPATH"] = os.pathsep.join([root, *held])
+
+
 def read_table(spark, sf_dir, name):
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
