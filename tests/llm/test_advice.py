@@ -1,0 +1,52 @@
+"""What the second review found missing, against brute force where that is possible."""
+
+import re
+
+import pytest
+
+from tripspark.llm import licenses
+
+A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def ascii_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(A_Z))
+
+
+def licenses_of(text):
+    """(labels by template, best share) over all lines and all windows."""
+    own, found, best = ascii_words(text), set(), 0.0
+    lines = [ascii_words(line) for line in text.split("\n")]
+    table = licenses.template_table(licenses.TEMPLATES, licenses.THRESHOLD)
+    for (_, label, tokens, need), (_, notice) in zip(table, licenses.TEMPLATES):
+        span = -(-len(notice.split()) * 5 // 4)
+        blocks = lines + [own[i:i + span] for i in range(len(own))]
+        common = max(len(set(tokens) & set(b)) for b in blocks)
+        if common >= need:
+            found.add(label)
+            best = max(best, common / len(tokens))
+    return found, best
+
+
+def test_wrapped_notices(spark):
+    texts, expected = [], []
+    for label, notice in licenses.TEMPLATES:
+        own = notice.split()
+        for width in (1, 3, 5):  # words a line, as comments
+            lines = [" ".join(own[i:i + width]) for i in range(0, len(own), width)]
+            texts.append("first line\n# " + "\n# ".join(lines) + ".\nlast line")
+            expected.append(label)
+    for at in (200, 250, 256, 300):  # across the borders of pieces
+        texts.append("word\n" * at + licenses.TEMPLATES[9][1].replace(" ", "\n") + "\nend" * 300)
+        expected.append("bsd")
+    # The words of a notice, but far apart.
+    texts.append(("\n" + "filler " * 30 + "\n").join(licenses.TEMPLATES[12][1].split()))
+    expected.append(None)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
+    for i, text in enumerate(texts):
+        found, best = licenses_of(text)
+        base = set(filter(None, rows[i]["base_labels"].split(",")))
+        assert set(filter(None, rows[i]["labels"].split(","))) == found | base
+        assert expected[i] is None and not found or expected[i] in found
+        assert rows[i]["score"] == pytest.approx(1.0 if base else best)

@@ -1,7 +1,10 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line.  A template matches a block when the block holds at least ``threshold`` of the
-template's distinct tokens.  Tokens are ordered by their frequency over the whole corpus, rarest
+A block is a line, or a window of consecutive words wherever lines break, so that wrapped notices are
+found.  A template matches a block when the block holds at least ``threshold`` of the template's
+distinct tokens; its windows hold a quarter more words than the template.  Windows are searched in
+overlapping pieces of the text: only a piece that holds enough tokens can have a window that does.
+Tokens are ordered by their frequency over the whole corpus, rarest
 first; a block and a template that match share a token of both prefixes (prefix filter), the block
 must be long enough (length filter), and the places of the shared token in both orders bound what
 else can be shared (positional filter).  What passes is compared in full.  Only tokens of some
@@ -65,6 +68,8 @@ TEMPLATES = [
 #: Short notices need all their words, others may lack one in twenty; templates that differ in one
 #: word stay apart.
 THRESHOLD = 0.95
+#: Pieces of a text start every so many words; each reaches as far as the longest window.
+PIECE = 256
 _SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -101,7 +106,9 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
     are rows like others.
     """
     phrases = PHRASES if phrases is None else phrases
-    table = template_table(TEMPLATES if templates is None else templates, threshold)
+    templates = TEMPLATES if templates is None else templates
+    table = template_table(templates, threshold)
+    spans = [-(-len(text.split()) * 5 // 4) for _, text in templates]
     vocabulary = sorted({t for _, _, tokens, _ in table for t in tokens})
 
     lowered = lower_ascii(F.coalesce(documents["text"].cast("string"), F.lit("")))
@@ -115,7 +122,7 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
     prefixes = []
     for number, label, tokens, need in table:
         ordered = sorted(tokens, key=rank.get)
-        prefixes += [(number, label, len(tokens), need, place, token, tokens)
+        prefixes += [(number, label, len(tokens), need, place, token, tokens, spans[number])
                      for place, token in enumerate(ordered[:len(tokens) - need + 1])]
     rare = sorted({p[5] for p in prefixes})
 
@@ -136,25 +143,42 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
     base = materialise(base, "scan")  # fixes the row numbers
 
     least = min(need for _, _, _, need in table)
-    blocks = base.where("lowered is not null").select(
-        "row", F.posexplode(F.split("lowered", "\n")).alias("block", "line"))
+    cut = base.where("lowered is not null")
+    lines = cut.select("row", F.posexplode(F.split("lowered", "\n")).alias("block", "line")).select(
+        "row", "block", F.array_intersect(_words(F.col("line")), _strings(vocabulary)).alias(
+            "tokens"), F.lit(None).cast("array<struct<at:int,token:string>>").alias("near"))
+    # A text of one line needs no windows.  Pieces are numbered from -1 down.
+    pieces = cut.where(F.contains("lowered", F.lit("\n"))).select(
+        "row", _words(F.col("lowered")).alias("words")).select("row", "words", F.posexplode(F.expr(
+            f"sequence(0, greatest(size(words) - 1, 0), {PIECE})")).alias("piece", "begin"))
+    pieces = pieces.select("row", (-1 - F.col("piece")).alias("block"), F.filter(F.transform(
+        F.expr(f"slice(words, begin + 1, {PIECE + max(spans)})"),
+        lambda w, i: F.struct(i.alias("at"), w.alias("token"))),
+        lambda s: s["token"].isin(vocabulary)).alias("near")).select(
+        "row", "block", F.array_distinct(F.col("near.token")).alias("tokens"), "near")
     ranks = F.create_map(*[x for t in order for x in (F.lit(t), F.lit(rank[t]))])
-    blocks = blocks.select("row", "block", F.array_intersect(
-        _words(F.col("line")), _strings(vocabulary)).alias("tokens")).where(
+    blocks = lines.unionByName(pieces).where(
         F.size("tokens") >= least).withColumn("tokens", F.transform(F.array_sort(F.transform(
             "tokens", lambda t: F.struct(ranks[t].alias("rank"), t.alias("token")))),
             lambda s: s["token"]))
     spread = blocks.select(
-        "row", "block", "tokens", F.size("tokens").alias("size"),
+        "row", "block", "tokens", "near", F.size("tokens").alias("size"),
         F.posexplode(F.expr(f"slice(tokens, 1, size(tokens) - {least} + 1)")).alias("at", "token"))
     spark = documents.sparkSession
     sides = spark.createDataFrame(
         prefixes, "template int, label string, all int, need int, place int, token string, "
-                  "template_tokens array<string>")
+                  "template_tokens array<string>, span int")
     pairs = spread.join(F.broadcast(sides), "token").where(
         "size >= need and least(at, place) + 1 + least(size - 1 - at, all - 1 - place) >= need")
     pairs = pairs.dropDuplicates(["row", "block", "template"]).withColumn(
         "both", F.size(F.array_intersect("tokens", "template_tokens"))).where("both >= need")
+    # Of a piece, the best window that starts at a token of the template.
+    pairs = pairs.withColumn("near", F.filter("near", lambda s: F.array_contains(
+        "template_tokens", s["token"]))).withColumn("both", F.when(
+            F.col("near").isNull(), F.col("both")).otherwise(F.array_max(F.transform(
+                "near", lambda s: F.size(F.array_distinct(F.transform(F.filter(
+                    "near", lambda o: (o["at"] >= s["at"]) & (o["at"] < s["at"] + F.col("span"))),
+                    lambda o: o["token"]))))))).where("both >= need")
     method = pairs.groupBy("row").agg(F.collect_set("label").alias("matched"),
                                       F.max(F.col("both") / F.col("all")).alias("best"))
     none = F.array().cast("array<string>")
