@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tripspark.llm import licenses
+from tripspark.llm import html_extract, licenses
 
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -50,3 +50,28 @@ def test_wrapped_notices(spark):
         assert set(filter(None, rows[i]["labels"].split(","))) == found | base
         assert expected[i] is None and not found or expected[i] in found
         assert rows[i]["score"] == pytest.approx(1.0 if base else best)
+
+
+ARTICLE = "<article><h1>Title</h1><p>The text of it, long enough. And more.</p></article>"
+STORY = "Title\nThe text of it, long enough. And more."
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><div class='layout has-sidebar'>{ARTICLE}</div></body>", STORY),
+    (f"<body><div class='post comments-open'>{ARTICLE}</div></body>", STORY),
+    (f"<body><div class='no-comments'>{ARTICLE}</div></body>", STORY),
+    (f"<body><div class='share-price'>{ARTICLE}</div></body>", STORY),
+    (f"<body><div class='layout sidebar'>{ARTICLE}</div></body>", STORY),
+    (f"<body><form id=aspnet><div class=ad>Buy</div>{ARTICLE}</form></body>", STORY),
+    (f"<body><form><div class=related><article>Card.</article></div>{ARTICLE}</form></body>", STORY),
+    ("<body><form><fieldset><h1>Title</h1><p>The text of it, long enough. And more.</p>"
+     "</fieldset></form></body>", STORY),
+    ("<body><div class='cookie'>Yes</div><div class='widget'><div><p>Only text. Of the page."
+     "</p></div></div></body>", "Only text. Of the page."),
+    (f"<body>{ARTICLE}<div class='comments'>{'A long comment, indeed. ' * 50}</div></body>", STORY),
+    (f"<body>{ARTICLE}<div class='comment-list'>No.</div><p class='site-footer'>No.</p>"
+     "<form>Name <p>No.</p></form><div id=sidebar-1>No.</div></body>", STORY),
+    ("<article><p>Before <span class=ad>buy</span> after.</p></article>", "Before after."),
+])
+def test_marks_on_wrappers_and_forms(page, text):
+    assert html_extract.extract(page, None) == text

@@ -33,8 +33,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp noscript iframe noframes template".split())
 #: Elements that hold no main text.
 DROPPED = frozenset("""script style noscript template iframe noframes object embed svg math canvas
-    audio video map form button select option textarea input label fieldset nav header footer aside
-    menu dialog head title xmp""".split())
+    audio video map button select option textarea input label nav header footer aside menu dialog
+    head title xmp""".split())
+#: Elements that hold none unless the page stands in them.
+FORMS = frozenset(["form", "fieldset"])
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl
     dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main
     menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -51,16 +53,28 @@ MARKS = frozenset("""ad ads advert advertisement adverts banner breadcrumb bread
     comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation
     newsletter notice pagination popup promo promoted related respond sidebar share sharing social
     sponsor sponsored subscribe toolbar widget""".split())
+#: Last words of names like comment-list, which tell a mark's part of the page ...
+PARTS = frozenset("""area bar block body box button buttons column container content footer form group
+    header holder icons inner item items link links list main outer panel region row section slot
+    thread top bottom unit wrap wrapper zone""".split())
+#: ... and words of names like has-sidebar, which tell something of another element.
+ABOUT = frozenset("has have no non not with without show shows hide hides is".split())
+#: A marked element that holds this share of the page's unlinked text is the page.
+BULK = 0.75
 _NAMES = re.compile(r"[a-z]+")
 _INLINE_SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "path", "dropped", "link", "parent", "score", "order")
+    """An element; ``marked`` and ``story`` are the nearest that is marked and the nearest article
+    or main, itself or around it."""
 
-    def __init__(self, tag, path, dropped, link, parent):
+    __slots__ = ("tag", "path", "dropped", "link", "parent", "marked", "story")
+
+    def __init__(self, tag, path, dropped, link, parent, marked=False):
         self.tag, self.path, self.dropped, self.link, self.parent = tag, path, dropped, link, parent
-        self.score = 0.0
+        self.marked = self if marked else parent and parent.marked
+        self.story = self if tag in ("article", "main") else parent and parent.story
 
 
 def _attributes(text):
@@ -70,56 +84,134 @@ def _attributes(text):
     return out
 
 
+def _names_mark(name):
+    """Whether a class, id or role says that the element itself holds no main text."""
+    own = _NAMES.findall(name)
+    if not own or not ABOUT.isdisjoint(own):
+        return False
+    return own[-1] in MARKS or own[-1] in PARTS and not MARKS.isdisjoint(own)
+
+
 def _open(tag, raw, parent):
     """A new element below ``parent``."""
-    classes, dropped = "", parent.dropped or tag in DROPPED
+    classes, dropped, marked = "", parent.dropped or tag in DROPPED, tag in FORMS
     if raw and not raw.isspace():
         found = _attributes(raw)
         classes = " ".join(sorted(re.sub(r"\d+", "", c) for c in found.get("class", "").split()))
         if tag not in ("html", "body", "main", "article"):
             names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
-            dropped = dropped or not MARKS.isdisjoint(_NAMES.findall(names)) or (
+            marked = marked or any(map(_names_mark, names.split()))
+            dropped = dropped or (
                 "hidden" in found or found.get("aria-hidden") == "true"
                 or "display:none" in found.get("style", "").replace(" ", "").lower())
     step = f"{tag}.{classes.replace(' ', '.')}" if classes else tag
-    return _Node(tag, f"{parent.path}/{step}", dropped, parent.link or tag == "a", parent)
+    return _Node(tag, f"{parent.path}/{step}", dropped, parent.link or tag == "a", parent, marked)
+
+
+def _kept_marks(cut):
+    """The marked elements that are the page itself and stay.
+
+    While no article or main has text outside of dropped elements, the marked element with most
+    text of such is kept; so is one with the bulk of the page's unlinked text, unless an article
+    stands outside of it and it is no form.
+    """
+    texts, stories, order, total = {}, {}, {}, 0
+    free = None  # text of an article or main that is in no marked element
+    for pieces in cut:
+        for node, text in pieces:
+            size = 0 if node.link else len(text.strip())
+            if not size:
+                continue
+            total += size
+            if node.marked is None:
+                free = free or node.story
+                continue
+            texts[node.marked] = texts.get(node.marked, 0) + size
+            if node.story is not None and node.story.marked is node.marked:
+                stories[node.marked] = stories.get(node.marked, 0) + size
+    if not texts:
+        return frozenset()
+    for node in texts:  # number what is marked, the outer before the inner
+        chain = []
+        while node is not None and node not in order:
+            chain.append(node)
+            node = node.parent.marked
+        for own in reversed(chain):
+            order[own] = len(order)
+    sums, told = dict.fromkeys(order, 0), dict.fromkeys(order, 0)
+    for node in reversed(order):
+        sums[node] += texts.get(node, 0)
+        told[node] += stories.get(node, 0)
+        around = node.parent.marked
+        if around is not None:
+            sums[around] += sums[node]
+            told[around] += told[node]
+    kept = set()
+    while free is None:
+        open_ = [n for n in order if n not in kept and told[n]
+                 and (n.parent.marked is None or n.parent.marked in kept)]
+        if not open_:
+            break
+        best = max(open_, key=lambda n: (told[n], -order[n]))
+        kept.add(best)
+        if best in stories:
+            free = best
+    for node in order:
+        around = node.parent.marked
+        if (around is None or around in kept) and sums[node] >= BULK * total and (
+                free is None or node.tag in FORMS):
+            kept.add(node)
+    return kept
 
 
 def blocks(source):
-    """Yield (element that holds it, text) of each block of a page in order; markup may be broken.
+    """[(element that holds it, text)] of each block of a page in order; markup may be broken.
 
     A block is the text between two borders of block elements.  Dropped elements give none.
     """
-    root = _Node("", "", False, False, None)
-    here, pieces, owner, at = root, [], root, 0
+    cut = list(_cut(source))
+    kept, stays, found = _kept_marks(cut), {None: True}, []
+    for pieces in cut:
+        own = []
+        for node, text in pieces:
+            chain, at = [], node.marked
+            while at not in stays:
+                chain.append(at)
+                at = at.parent.marked
+            for mark in reversed(chain):
+                stays[mark] = mark in kept and stays[mark.parent.marked]
+            if stays[node.marked]:
+                own.append((node, text))
+        text = " ".join(html.unescape("".join(t for _, t in own)).split())
+        if text:
+            found.append((own[0][0], text))
+    return found
 
-    def block():
-        text = " ".join(html.unescape("".join(pieces)).split())
-        pieces.clear()
-        return text
+
+def _cut(source):
+    """Yield each block as its pieces, (element, text), with those of marked elements."""
+    root = _Node("", "", False, False, None)
+    here, pieces, at = root, [], 0
 
     while at < len(source):
         match = _TOKEN.search(source, at)
         if not match:
             if not here.dropped:
-                pieces.append(source[at:])
+                pieces.append((here, source[at:]))
             break
         if match.start() > at and not here.dropped:
-            if not pieces:
-                owner = here
-            pieces.append(source[at:match.start()])
+            pieces.append((here, source[at:match.start()]))
         at = match.end()
         tag = match[2].lower() if match[2] else None
         if tag is None:
             continue
         ends = match[1] == "/"
         if tag in BLOCKS and pieces:
-            text = block()
-            if text:
-                yield owner, text
+            yield pieces
+            pieces = []
         if tag in ("br", "wbr"):
             if pieces and tag == "br":
-                pieces.append(" ")
+                pieces.append((here, " "))
             continue
         if ends:
             node = here
@@ -152,9 +244,7 @@ def blocks(source):
         if not match[3].rstrip().endswith("/") or tag not in ("path", "g", "circle"):
             here = _open(tag, match[3], here)
     if pieces:
-        text = block()
-        if text:
-            yield owner, text
+        yield pieces
 
 
 def _container(node):
