@@ -75,3 +75,34 @@ STORY = "Title\nThe text of it, long enough. And more."
 ])
 def test_marks_on_wrappers_and_forms(page, text):
     assert html_extract.extract(page, None) == text
+
+
+LEAD, LONG = "A lead of some words.", "The body of the text, which is long. " * 20
+LAYOUTS = [
+    "<body><article><h1>T{i}</h1><p>{lead}</p><div class='body'>{long}</div></article>{rest}</body>",
+    "<body><main><h1>T{i}</h1><article><p>{lead}</p><div class='body'>{long}</div></article></main>"
+    "{rest}</body>",
+    "<body><article><h1>T{i}</h1><section class='intro'><p>{lead}</p></section>"
+    "<section class='details'>{long}</section></article>{rest}</body>",
+    "<body><div class='post'><h1>T{i}</h1><div class='intro'>{lead}</div><div class='in'>"
+    "<div class='body'>{long}</div></div></div>{rest}</body>",
+    "<body><h1>T{i}</h1><p>{lead}</p><div class='body'>{long}</div>{rest}</body>",
+]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_articles_in_nested_containers(spark, layout):
+    rest = "<div class='more'><a href=x>Another page</a> <a href=y>And another</a></div>"
+    rows = [(i, "http://h.example/", layout.format(i=i, lead=LEAD, long=LONG, rest=rest))
+            for i in range(4)]
+    rows.append((9, "http://h.example/", layout.format(i=9, lead=LEAD * 99, long="Short.", rest=rest)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages).collect()}
+    assert found == {i: f"T{i}\n{LEAD}\n{LONG.strip()}" for i in range(4)} | {
+        9: f"T9\n{LEAD * 99}\nShort."}
+
+
+def test_sibling_sections_of_a_body():
+    page = (f"<body><section class='a'>{LONG}</section><section class='b'>{LONG}</section>"
+            "<div class='x'><a href=x>Link</a></div></body>")
+    assert html_extract.extract(page, None) == f"{LONG.strip()}\n{LONG.strip()}"

@@ -2,9 +2,10 @@
 
 First every page's containers are scored by the text that stands in them.  A container is named by
 its generalised path, the tags and classes from the root with digits left out.  Pages vote: scores
-of equal paths are added up over all pages of a host in Spark, and the best path wins.  Then every
-page is read again and its text taken from the containers on the winning path; a page that lacks it
-uses its own best container.
+of equal paths are added up over all pages of a host in Spark, and the best path wins.  It is raised
+to the article around it: to an article or main element, or to containers that add text and not
+links.  Then every page is read again and its text taken from the containers on the raised path, with
+the text that stands directly in the containers around; a page that lacks it votes alone.
 
 Votes are summed in tasks before they are shuffled, so a host with very many pages is no burden.
 """
@@ -61,6 +62,8 @@ PARTS = frozenset("""area bar block body box button buttons column container con
 ABOUT = frozenset("has have no non not with without show shows hide hides is".split())
 #: A marked element that holds this share of the page's unlinked text is the page.
 BULK = 0.75
+#: The whole body is the article if it adds this share of a host's text.
+BODY = 0.25
 _NAMES = re.compile(r"[a-z]+")
 _INLINE_SPACE = re.compile(r"\s+")
 
@@ -97,7 +100,8 @@ def _open(tag, raw, parent):
     classes, dropped, marked = "", parent.dropped or tag in DROPPED, tag in FORMS
     if raw and not raw.isspace():
         found = _attributes(raw)
-        classes = " ".join(sorted(re.sub(r"\d+", "", c) for c in found.get("class", "").split()))
+        classes = " ".join(sorted(re.sub(r"\d+", "", c) for c in found.get(
+            "class", "").replace("/", "|").split()))  # a slash parts the steps of a path
         if tag not in ("html", "body", "main", "article"):
             names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
             marked = marked or any(map(_names_mark, names.split()))
@@ -253,8 +257,12 @@ def _container(node):
     return node
 
 
+def _value(text):
+    return len(text) + 25.0 * len(re.findall(r"[.,;:!?]", text))
+
+
 def scored(source):
-    """{container: score} and the blocks of a page as (container, text).
+    """{container: score} and the blocks of a page as (container, text, whether it is a link).
 
     A block of running text counts its length for the container in which it stands and half of it
     for the next one around; links count nothing.
@@ -262,10 +270,10 @@ def scored(source):
     scores, found = {}, []
     for node, text in blocks(source):
         holder = _container(node)
-        found.append((holder, text))
-        value = 0.0 if node.link else len(text) + 25.0 * len(re.findall(r"[.,;:!?]", text))
-        if not value:
+        found.append((holder, text, node.link))
+        if node.link:
             continue
+        value = _value(text)
         scores[holder] = scores.get(holder, 0.0) + value
         if holder.parent is not None:
             above = _container(holder.parent)
@@ -273,67 +281,137 @@ def scored(source):
     return scores, found
 
 
-def _within(node, inside):
-    """Whether the element or one around it is on a path."""
-    while node is not None:
-        if node.path == inside:
-            return True
-        node = node.parent
-    return False
-
+def page_votes(source):
+    """({path: [score, value of text directly there, value of links]}, blocks) of a page.
 
-def extract(source, path):
-    """The main text of a page: from all containers on the path, or from the page's best one."""
+    A page has one vote, shared among its paths.
+    """
     scores, found = scored(source)
-    if not found:
-        return ""
-    taken = [text for node, text in found if _within(node, path)] if path is not None else []
-    if not taken:
-        if scores:
-            best = max(scores, key=lambda n: (scores[n], n.path))
-            taken = [text for node, text in found if _inside(node, best)]
-        else:
-            taken = [text for _, text in found]
-    return "\n".join(taken)
-
-
-def _inside(node, best):
-    while node is not None:
-        if node is best:
-            return True
-        node = node.parent
-    return False
+    total, own = sum(scores.values()), {}
+    if total:
+        for node, score in scores.items():
+            own.setdefault(node.path, [0.0, 0.0, 0.0])[0] += score / total
+        for node, text, link in found:
+            own.setdefault(node.path, [0.0, 0.0, 0.0])[1 + link] += _value(text) / total
+    return own, found
+
+
+def _depth(path, other):
+    """How many steps two paths have in common from the root."""
+    same = 0
+    for a, b in zip(path.split("/")[1:], other.split("/")[1:]):
+        if a != b:
+            break
+        same += 1
+    return same
+
+
+def _within(path, inside):
+    return path == inside or path.startswith(inside + "/")
 
 
-def _vote_rows(votes):
-    hosts, paths = zip(*votes)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-         pa.array(list(votes.values()))], names=["host", "path", "score"])
+def raised(path, levels):
+    """The path of the article around the winning one.
+
+    ``levels``: {depth: (value of text, value of links)} of what shares so many steps with the path.
+    """
+    steps = path.split("/")
+    tags = [step.split(".")[0] for step in steps]
+    for k in range(len(steps) - 1, 0, -1):
+        if tags[k] in ("article", "main"):
+            return "/".join(steps[:k + 1])
+    top, text, links = len(steps) - 1, 0.0, 0.0
+    whole = sum(own for own, _ in levels.values())
+    for k in range(len(steps) - 2, 0, -1):
+        own = levels.get(k, (0.0, 0.0))
+        text, links = text + own[0], links + own[1]
+        if tags[k] not in CONTAINERS or not text:
+            continue
+        if links > text or tags[k] in ("body", "html") and text < BODY * whole:
+            break
+        top, text, links = k, 0.0, 0.0
+    return "/".join(steps[:top + 1])
+
+
+def _taken(found, path, top):
+    """The blocks of the article; none if the page has nothing on the raised path."""
+    story = top.rpartition("/")[2].split(".")[0] in ("article", "main")
+    out, hit = [], False
+    for node, text, link in found:
+        if _within(node.path, top):
+            hit = True
+            if story or not link or _within(node.path, path):
+                out.append(text)
+        elif not link and _within(path, node.path) and (not story or node.tag == "main"):
+            out.append(text)
+    return out if hit else []
+
+
+def extract(source, path, top=None):
+    """The main text of a page by its host's winning path and that path raised, or by its own."""
+    own, found = page_votes(source)
+    taken = _taken(found, path, path if top is None else top) if path is not None else []
+    if not taken and own:
+        best = max(own, key=lambda p: (own[p][0], p))
+        levels = {}
+        for other, (_, text, links) in own.items():
+            at = levels.setdefault(_depth(best, other), [0.0, 0.0])
+            at[0], at[1] = at[0] + text, at[1] + links
+        taken = _taken(found, best, raised(best, levels))
+    return "\n".join(taken or [text for _, text, _ in found])
+
+
+_VOTES = "host string, path string, score double, text double, links double"
+_LEVELS = "host string, path string, depth int, text double, links double"
 
 
 def _votes(batches):
+    def rows():
+        hosts, paths = zip(*votes)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
+             *map(pa.array, zip(*votes.values()))],
+            names=["host", "path", "score", "text", "links"])
+
     votes = {}
     for batch in batches:
         for host, source in zip(batch.column("host").to_pylist(),
                                 batch.column("html").to_pylist()):
-            own = {}
-            for node, score in scored(source or "")[0].items():
-                own[node.path] = own.get(node.path, 0.0) + score
-            total = sum(own.values())
-            for path, score in own.items():  # a page has one vote, shared among its paths
-                votes[host, path] = votes.get((host, path), 0.0) + score / total
+            for path, values in page_votes(source or "")[0].items():
+                held = votes.setdefault((host, path), [0.0, 0.0, 0.0])
+                for i, value in enumerate(values):
+                    held[i] += value
             if len(votes) > HELD:
-                yield _vote_rows(votes)
-                votes = {}
+                yield rows()
+                votes.clear()
     if votes:
-        yield _vote_rows(votes)
+        yield rows()
+
+
+def _levels(batches):
+    for batch in batches:
+        depths = [_depth(a, b) for a, b in zip(batch.column("path").to_pylist(),
+                                               batch.column("other").to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), batch.column("path"), pa.array(depths, pa.int32()),
+             batch.column("text"), batch.column("links")],
+            names=["host", "path", "depth", "text", "links"])
+
+
+def _raise(batches):
+    for batch in batches:
+        paths = batch.column("path")
+        tops = [raised(path, {x["depth"]: (x["text"], x["links"]) for x in levels})
+                for path, levels in zip(paths.to_pylist(), batch.column("levels").to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), paths, pa.array(tops, pa.string())],
+            names=["host", "path", "top"])
 
 
 def _texts(batches):
     for batch in batches:
-        texts = [extract(source or "", path) for source, path in zip(
-            batch.column("html").to_pylist(), batch.column("path").to_pylist())]
+        texts = [extract(source or "", path, top) for source, path, top in zip(
+            *(batch.column(c).to_pylist() for c in ("html", "path", "top")))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64()), batch.column("path")],
@@ -347,12 +425,19 @@ def host_of(url):
 
 
 def host_paths(pages):
-    """The winning path of each host: host, path, votes."""
+    """The winning path of each host, and that path raised: host, path, top."""
     docs = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"))
-    votes = docs.mapInArrow(_votes, "host string, path string, score double").groupBy(
-        "host", "path").agg(F.round(F.sum("score"), 6).alias("votes"))
-    return votes.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("best")).select(
-        "host", "best.path", "best.votes")
+    votes = materialise(docs.mapInArrow(_votes, _VOTES).groupBy("host", "path").agg(
+        *[F.round(F.sum(c), 6).alias(c) for c in ("score", "text", "links")]), "votes")
+    best = votes.groupBy("host").agg(F.max(F.struct("score", "path")).alias("best")).select(
+        "host", "best.path")
+    # One row for each depth of a host's path.
+    levels = votes.withColumnRenamed("path", "other").join(best, "host").select(
+        "host", "path", "other", "text", "links").mapInArrow(_levels, _LEVELS).groupBy(
+        "host", "path", "depth").agg(*[F.round(F.sum(c), 6).alias(c) for c in ("text", "links")])
+    return levels.groupBy("host", "path").agg(F.collect_list(F.struct(
+        "depth", "text", "links")).alias("levels")).mapInArrow(
+        _raise, "host string, path string, top string")
 
 
 def extract_pages(pages):
@@ -360,12 +445,13 @@ def extract_pages(pages):
 
     A null html is empty and gives ''.  Repeated rows and null ids or urls are rows like others.
     """
-    winners = materialise(host_paths(pages), "paths").select("host", "path")
+    winners = materialise(host_paths(pages), "paths")
     docs = pages.select("page_id", F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"),
                         host_of(F.col("url")).alias("host"))
     if winners.count() <= BROADCAST_HOSTS:
         winners = F.broadcast(winners)
     kind = pages.schema["page_id"].dataType.simpleString()
-    return docs.join(winners, "host", "left").select("page_id", "url", "html", "path").mapInArrow(
+    return docs.join(winners, "host", "left").select(
+        "page_id", "url", "html", "path", "top").mapInArrow(
         _texts, f"page_id {kind}, url string, text string, n_chars long, path string")
