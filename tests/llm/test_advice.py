@@ -2,9 +2,10 @@
 
 import re
 
+import numpy as np
 import pytest
 
-from tripspark.llm import html_extract, licenses
+from tripspark.llm import decontaminate, html_extract, licenses
 
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +107,42 @@ def test_sibling_sections_of_a_body():
     page = (f"<body><section class='a'>{LONG}</section><section class='b'>{LONG}</section>"
             "<div class='x'><a href=x>Link</a></div></body>")
     assert html_extract.extract(page, None) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_changed_copies_of_short_items(spark):
+    """Items of 1 to 14 words, each with up to three words changed, against every alignment."""
+    rng = np.random.default_rng(5)
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in range(1, 15)]
+    items += [(None, "no id one"), (None, "no id two of seven words here"), (20, ""), (21, None)]
+    docs = []
+    for _, text in items[:-2]:
+        own = text.split()
+        for changes in range(4):
+            for _ in range(3):
+                new = list(own)
+                for at in rng.choice(len(own), min(changes, len(own)), replace=False):
+                    new[at] = "changed"
+                docs.append(" ".join(["before", *new, "after"]))
+    docs.append("no id one then no id two of seven words here, and w1x0")
+    expected = {}
+    for i, doc in enumerate(docs):
+        doc, hits = ascii_words(doc), []
+        for number, text in items:
+            own = ascii_words(text)
+            best = 0
+            for start in range(len(doc) - len(own) + 1 if own else 0):
+                same = [a == b for a, b in zip(own, doc[start:])]
+                width = min(decontaminate.WINDOW, len(own))
+                need = decontaminate.SHARE if len(own) >= decontaminate.MIN_WORDS else 1
+                if max(sum(same[j:j + width]) for j in range(len(own) - width + 1)) / width >= need:
+                    best = max(best, sum(same))
+            if best:
+                hits.append((best, number))
+        most = max((b for b, _ in hits), default=0)
+        ids = [n for b, n in hits if b == most and n is not None]
+        expected[i] = (bool(hits), len(hits), min(ids, default=None), most)
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: (r["contaminated"], r["n_items"], r["item_id"], r["equal_words"])
+             for r in decontaminate.contamination(frame, bench).collect()}
+    assert found == expected
