@@ -12,37 +12,57 @@ from tripspark.llm.common import read_table, share_package
 from tripspark.sources.shared import materialise
 
 
-def without_ids(docs, gone):
-    """Rows whose doc_id is not among ``gone`` (one column, doc_id); null ids stay."""
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+#: The number of a row within a stage; no table has such a column.
+ROW = "pipeline row number"
+
+
+def numbered(docs):
+    """The rows with a number each, written once so that retries agree."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def by_number(rows):
+    """Numbered rows as the operators take them: the number is the doc_id."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def without_rows(rows, gone):
+    """Rows whose number is not among ``gone`` (one column, doc_id), without their numbers."""
+    return rows.join(gone.select(F.col("doc_id").alias(ROW)).distinct(), ROW, "left_anti").drop(ROW)
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that the classifier, learnt from all labelled rows, does not reject."""
-    labels = read_table(spark, sf_dir, "labels")
-    scores = toxicity.toxicity_scores(docs, docs, labels)
-    return without_ids(docs, materialise(scores.where("predicted = 1").select("doc_id"), "toxic"))
+    """Rows that the classifier, learnt from all labelled rows, does not reject."""
+    labels, rows = read_table(spark, sf_dir, "labels"), numbered(docs)
+    scores = toxicity.toxicity_scores(by_number(rows), docs, labels)
+    return without_rows(rows, materialise(scores.where("predicted = 1").select("doc_id"), "toxic"))
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    """Of documents linked by n-gram Jaccard similarity, the one with the smallest doc_id.
+    """Of rows linked by n-gram Jaccard similarity, the one with the smallest doc_id.
 
-    Five words and 0.8, as near-duplicate stages take.  Rows that repeat a doc_id are one document:
-    one of them stays.  Rows without a doc_id link with nothing and stay.
+    Five words and 0.8, as near-duplicate stages take.  Rows without a doc_id go before those that
+    have one; of equal ids one row stays.  Rows without words link with nothing and stay.
     """
     share_package(spark)
-    found = materialise(jaccard_join.jaccard_components(docs, percent=80, width=5), "groups")
-    kept = without_ids(docs, found.where("doc_id <> component_id").select("doc_id"))
-    again = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(
-        "doc_id")
-    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without_ids(kept, again).unionByName(repeated.select(docs.columns))
+    rows = numbered(docs)
+    found = materialise(jaccard_join.jaccard_components(by_number(rows), percent=80, width=5),
+                        "groups")
+    several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    # The ids of what is linked; only these decide.
+    linked = materialise(found.join(several, "component_id").select("component_id", "doc_id").join(
+        rows.select(F.col(ROW).alias("doc_id"), F.col("doc_id").alias("own")), "doc_id"), "linked")
+    first = linked.groupBy("component_id").agg(F.min(F.struct(
+        F.col("own").isNull(), "own", "doc_id"))["doc_id"].alias("first"))
+    return without_rows(rows, materialise(
+        linked.join(first, "component_id").where("doc_id <> first").select("doc_id"), "copies"))
 
 
 def drop_benchmark(spark, docs, sf_dir):
-    """Documents that overlap with no benchmark item."""
-    found = decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, materialise(found.select("doc_id"), "leaks"))
+    """Rows that overlap with no benchmark item."""
+    rows = numbered(docs)
+    found = decontaminate.overlaps(by_number(rows), read_table(spark, sf_dir, "benchmark"))
+    return without_rows(rows, materialise(found.select("doc_id"), "leaks"))
 
 
 def mix_sources(spark, docs, sf_dir):

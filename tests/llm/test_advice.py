@@ -1,11 +1,13 @@
 """What the second review found missing, against brute force where that is possible."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from tripspark.llm import decontaminate, html_extract, licenses
+import corpus_pipeline
+from tripspark.llm import decontaminate, html_extract, licenses, toxicity
 
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -146,3 +148,37 @@ def test_changed_copies_of_short_items(spark):
     found = {r["doc_id"]: (r["contaminated"], r["n_items"], r["item_id"], r["equal_words"])
              for r in decontaminate.contamination(frame, bench).collect()}
     assert found == expected
+
+
+def test_pipeline_decides_by_row(spark, sf, tmp_path):
+    """Rows that share a doc_id or have none go only if they themselves are copies or leaks."""
+    item = " ".join(f"q{i}" for i in range(20))
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    rows = [(1, one), (1, two), (2, one), (None, three), (None, three), (3, item), (3, "clean text"),
+            (None, "before " + item), (4, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path)).collect()
+    assert Counter(map(tuple, kept)) == Counter(
+        [(1, one), (1, two), (None, three), (3, item), (3, "clean text"), (4, ""), (4, None)])
+    kept = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path)).collect()
+    assert Counter(map(tuple, kept)) == Counter(r for r in rows if item not in (r[1] or ""))
+
+
+def test_toxicity_of_the_pipeline_is_by_row(spark, sf):
+    sf = sf.replace("0.001", "0.01")
+    whole = spark.read.parquet(f"{sf}/documents.parquet")
+    scores = toxicity.toxicity_scores(whole, whole, spark.read.parquet(f"{sf}/labels.parquet"))
+    bad = scores.where("predicted = 1").join(whole.select("doc_id", "text"), "doc_id").first()
+    clean = whole.join(scores.where("predicted = 0"), "doc_id").select(whole.columns).first()
+    extra = spark.createDataFrame(
+        [{**clean.asDict(), "doc_id": bad["doc_id"]}, {**clean.asDict(), "doc_id": None,
+                                                       "text": bad["text"]}], whole.schema)
+    docs = whole.unionByName(extra)
+    again = toxicity.toxicity_scores(docs, docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    expected = again.where("predicted = 0").count()
+    kept = corpus_pipeline.drop_toxic(spark, docs, sf)
+    assert kept.count() == expected
+    assert kept.where(f"doc_id = {bad['doc_id']}").count() == again.where(
+        f"predicted = 0 and doc_id = {bad['doc_id']}").count() > 0
