@@ -308,7 +308,7 @@ def file_audit(spark, sf):
     """Folders with signs that paths escape, and texts with quoted line breaks."""
     root = scratch_path(spark, "audit")
     for name, folder in _AUDITED.items():
-        writers.write_small_csv(table(spark, sf, name), f"{root}/{folder}")
+        writers.write_csv(table(spark, sf, name), f"{root}/{folder}")
     listing = audit.file_audit(spark, root, multiline=True).where(
         (F.col("extension") == ".csv") | (F.col("file_path") == audit.TOTAL))
     total = F.col("file_path") == audit.TOTAL
