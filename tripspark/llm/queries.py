@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from . import (chat_format, decontaminate, exact_dedup, hpy_lm, html_extract, jaccard_join,
-               licenses, mixing, token_files, toxicity)
+               licenses, mixing, spelling, token_files, toxicity)
 from .common import read_table
 
 QUERIES: dict = {}
@@ -71,3 +71,8 @@ def op9_decontamination(spark, sf):
 @query(jaccard_join.SQL)
 def op10_jaccard_join(spark, sf):
     return jaccard_join.jaccard_components(read_table(spark, sf, "documents"))
+
+
+@query(spelling.SQL)
+def op11_spelling_variants(spark, sf):
+    return spelling.spelling_variants(read_table(spark, sf, "documents"), noise=31)
