@@ -3,7 +3,7 @@
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -34,9 +34,13 @@ def near(a, b):
 
 
 def plain_variants(words):
-    forms, counts = {}, {}
+    forms, counts, lengths = {}, {}, defaultdict(list)
+    for w in words:
+        lengths[len(w)].append((Counter(w), w))
     for w, n in words.items():
-        others = [v for v in words if near(w, v)]
+        letters = Counter(w)
+        others = [v for k in (-1, 0, 1) for own, v in lengths[len(w) + k]
+                  if (letters - own).total() <= 1 and near(w, v)]
         best = min(others, key=lambda v: (-words[v], v), default=None)
         counts[w], forms[w] = len(others), best if best and words[best] >= 10 * n else None
     out = set()

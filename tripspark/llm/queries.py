@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from . import (chat_format, decontaminate, exact_dedup, hpy_lm, html_extract, jaccard_join,
-               licenses, mixing, spelling, token_files, toxicity)
+               licenses, mixing, spelling, token_files, toxicity, vector_search)
 from .common import read_table
 
 QUERIES: dict = {}
@@ -76,3 +76,8 @@ def op10_jaccard_join(spark, sf):
 @query(spelling.SQL)
 def op11_spelling_variants(spark, sf):
     return spelling.spelling_variants(read_table(spark, sf, "documents"), noise=31)
+
+
+@query()
+def op12_nearest_neighbours(spark, sf):
+    return vector_search.nearest(read_table(spark, sf, "embeddings"))

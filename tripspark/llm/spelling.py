@@ -365,9 +365,9 @@ counted as materialized (
   from runs where length(run) >= 7 group by all),
 hashed as materialized (
   select run, n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
-           range(1, length(x), 2), i -> ('0x' || x[i:i + 1])::bigint)),
-         (c, b) -> list_reduce(list_prepend(xor(c, b), range(8)),
-           (d, k) -> xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) as h from counted),
+           range(1, length(x), 2), lambda i: ('0x' || x[i:i + 1])::bigint)),
+         lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+           lambda d, k: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) as h from counted),
 noisy as (
   select case when h % 31 = 0 then run[:h % length(run)] || run[h % length(run) + 2:]
          else run end as word, n from hashed),
