@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from . import (chat_format, decontaminate, exact_dedup, hpy_lm, html_extract, jaccard_join,
-               licenses, mixing, spelling, token_files, toxicity, vector_search)
+               licenses, mixing, prefix_trie, spelling, token_files, toxicity, vector_search)
 from .common import read_table
 
 QUERIES: dict = {}
@@ -81,3 +81,8 @@ def op11_spelling_variants(spark, sf):
 @query()
 def op12_nearest_neighbours(spark, sf):
     return vector_search.nearest(read_table(spark, sf, "embeddings"))
+
+
+@query(prefix_trie.SQL)
+def op13_prefix_trie(spark, sf):
+    return prefix_trie.rebuilt_trie(read_table(spark, sf, "conversations"))
