@@ -56,7 +56,7 @@ def test_recall_on_the_test_tables(spark, scale):
 
 def test_clusters_read_few_lists(spark, monkeypatch):
     """Where vectors lie in groups, few lists hold what is near; blocks split a crowded list."""
-    monkeypatch.setattr(vector_search, "LIST", 64)
+    monkeypatch.setattr(vector_search, "LIST", 60)
     monkeypatch.setattr(vector_search, "BLOCK", 50)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(30, 16)) * 3

@@ -9,7 +9,9 @@ the smaller weights, so that sum ranks alike and only shared pivots enter it.
 Inverted files: some of the pivots head a list each; a vector is posted, with its order, in the list of
 the nearest head.  A query reads the lists of its nearest heads, ranks what it finds by footrule,
 reranks the best by exact inner products and keeps the nearest.  Lists longer than a task should hold
-are cut into blocks by a hash, and a query goes to all blocks of a list that it reads.
+are cut into blocks by a hash, and a query goes to all blocks of a list that it reads.  It reads in
+phases, each of several times as many lists as all before, and what the earlier ones have found is the
+score that later ones must reach; so each phase returns about as many rows as the one before.
 
 How many lists a query reads, and which share of the ranking is reranked, is measured: a few of the
 vectors are searched exactly, and the smallest numbers that find ``target`` of their neighbours are
@@ -25,14 +27,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.shared import materialise
+from ..sources.shared import discard, materialise
 
 #: Fewest and most pivots; in between, the square root of the number of distinct vectors.
 PIVOTS, MOST_PIVOTS = 128, 2048
 #: Vectors that a query's footrule threshold is read from, and vectors searched exactly.
 SAMPLE, TRIALS = 4096, 64
-#: Vectors that a list should have, and vectors of a block.
-LIST, BLOCK = 2048, 4096
+#: Fewest lists, vectors that a list should have where there are more, and vectors of a block.
+LISTS, LIST, BLOCK = 16, 8192, 8192
+#: A phase ends at so many times the lists read before, and one more.
+PHASE = 4
 #: Queries compared with a block at once, and pairs reranked at once.
 TOGETHER, PAIRS = 128, 1 << 14
 
@@ -171,8 +175,8 @@ def _settings(rows, pivots, sample, trials, dim, count, target):
 
 _INDEX = "no long, point string, low long, held int, is_query boolean, list int, orders binary, " \
          "vector binary"
-_POSTS = "list int, block int, kind int, no long, low long, held int, least int, orders binary, " \
-         "vector binary"
+_POSTS = "list int, block int, kind int, no long, low long, held int, least int, floor double, " \
+         "orders binary, vector binary"
 
 
 def _place(shared, dim, dtype):
@@ -191,12 +195,12 @@ def _place(shared, dim, dtype):
     return run
 
 
-def _posts(no, low, held, orders, vectors, lists, blocks, least, kind):
+def _posts(no, low, held, orders, vectors, lists, blocks, least, floor, kind):
     count = len(no)
     return pa.RecordBatch.from_arrays(
         [pa.array(lists, pa.int32()), pa.array(blocks, pa.int32()),
          pa.array(np.full(count, kind), pa.int32()), no, low, held, pa.array(least, pa.int32()),
-         orders, vectors], names=[f.split()[0] for f in _POSTS.split(", ")])
+         pa.array(floor, pa.float64()), orders, vectors], names=[f.split()[0] for f in _POSTS.split(", ")])
 
 
 def _post_entries(blocks):
@@ -208,12 +212,13 @@ def _post_entries(blocks):
             block = (no.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
                      ).astype(np.int64) % blocks.value[lists]
             yield _posts(*(batch.column(c) for c in ("no", "low", "held", "orders", "vector")),
-                         lists, block, np.zeros(len(no)), 0)
+                         lists, block, np.zeros(len(no)), np.zeros(len(no)), 0)
     return run
 
 
-def _post_queries(shared, blocks, sample, probes, share, dim, dtype):
-    """Each query in all blocks of the lists that it reads, with the least likeness to rerank."""
+def _post_queries(shared, blocks, sample, first, last, share, dim, dtype):
+    """Each query in all blocks of its lists from ``first`` to ``last``, with the least likeness to
+    rerank and the least score to return."""
     def run(batches):
         pivots = shared.value
         for batch in batches:
@@ -227,19 +232,20 @@ def _post_queries(shared, blocks, sample, probes, share, dim, dtype):
                     base = np.sort(likeness(pivots.weights(orders), sample.value), 1)
                     cut = int(np.floor((1 - share) * base.shape[1]))
                     least = base[:, min(cut, base.shape[1] - 1)].astype(np.int64)
-                lists = heads[:, :probes]
+                lists = heads[:, first:last]
                 often = blocks.value[lists]
                 total = often.sum(1)
                 row = np.repeat(np.arange(len(vectors)), total)
                 cell = np.repeat(lists.reshape(-1), often.reshape(-1))
                 ends = np.cumsum(often.reshape(-1))
+                floor = part.column("floor").to_numpy()
                 block = np.arange(len(cell)) - np.repeat(ends - often.reshape(-1), often.reshape(-1))
                 for s in range(0, len(row), 4096):
                     own = row[s:s + 4096]
                     take = pa.array(own)
                     yield _posts(*(part.column(c).take(take)
                                    for c in ("no", "low", "held", "orders", "vector")),
-                                 cell[s:s + 4096], block[s:s + 4096], least[own], 1)
+                                 cell[s:s + 4096], block[s:s + 4096], least[own], floor[own], 1)
     return run
 
 
@@ -256,6 +262,8 @@ def _search(shared, dim, dtype, count):
         score = np.empty(len(x))
         for s in range(0, len(x), PAIRS):
             score[s:s + PAIRS] = inner_products(q[x[s:s + PAIRS]], vectors[y[s:s + PAIRS]])
+        reach = score >= queries.column("floor").to_numpy()[x]
+        x, y, score = x[reach], y[reach], score[reach]
         order = np.lexsort((low[y], -score, x))
         x, y, score = x[order], y[order], score[order]
         nth = np.arange(len(x)) - np.searchsorted(x, x, side="left")
@@ -307,7 +315,7 @@ def nearest(vectors, neighbours=20, queries="vec_id % 20 = 0", target=0.95, pivo
     """
     spark = vectors.sparkSession
     rows, total, points, dim, dtype = _rows(vectors)
-    heads_wanted = max(8, min(MOST_PIVOTS, points // LIST))
+    heads_wanted = max(LISTS, min(MOST_PIVOTS, points // LIST))
     wanted = pivots or max(PIVOTS, min(MOST_PIVOTS, int(points ** 0.5)))
     ids, taken = _sample(rows, wanted + SAMPLE + TRIALS, max(1, dim))
     if not ids:
@@ -340,15 +348,32 @@ def nearest(vectors, neighbours=20, queries="vec_id % 20 = 0", target=0.95, pivo
         lengths[r["list"]] = r["count"]
     blocks = spark.sparkContext.broadcast(np.maximum(1, -(-lengths // BLOCK)))
 
+    near = Window.partitionBy("query").orderBy(F.desc("score"), "low", "no")
+
     def search(asked, probes, share):
-        posts = index.mapInArrow(_post_entries(blocks), _POSTS).unionByName(asked.mapInArrow(
-            _post_queries(shared, blocks, sample, probes, share, dim, dtype), _POSTS))
-        found = posts.repartition("list", "block").sortWithinPartitions(
-            "list", "block", "kind").mapInArrow(
-            _search(shared, dim, dtype, most), "query long, no long, low long, held int, score double")
-        near = Window.partitionBy("query").orderBy(F.desc("score"), "low", "no")
-        return materialise(found.withColumn("nth", F.row_number().over(near)).where(
-            F.col("nth") <= most).drop("nth"), "found")
+        found, first = None, 0
+        while first < probes:
+            last = min(probes, first * (PHASE + 1) or 1)
+            if found is None:
+                phase = asked.withColumn("floor", F.lit(float("-inf")))
+            else:
+                reached = found.groupBy(F.col("query").alias("no")).agg(
+                    F.count(F.lit(1)).alias("n"), F.min("score").alias("score")).where(
+                    F.col("n") >= most).select("no", F.col("score").alias("floor"))
+                phase = asked.join(reached, "no", "left").fillna(float("-inf"), ["floor"])
+            posts = index.mapInArrow(_post_entries(blocks), _POSTS).unionByName(phase.mapInArrow(
+                _post_queries(shared, blocks, sample, first, last, share, dim, dtype), _POSTS))
+            hits = posts.repartition("list", "block").sortWithinPartitions(
+                "list", "block", "kind").mapInArrow(
+                _search(shared, dim, dtype, most),
+                "query long, no long, low long, held int, score double")
+            before = found
+            found = materialise((hits if found is None else hits.unionByName(found)).withColumn(
+                "nth", F.row_number().over(near)).where(F.col("nth") <= most).drop("nth"), "found")
+            if before is not None:
+                discard(before)
+            first = last
+        return found
 
     asked = index.where("is_query")
     found = search(asked, probes, share)
@@ -362,9 +387,9 @@ def nearest(vectors, neighbours=20, queries="vec_id % 20 = 0", target=0.95, pivo
             again)
     named = index.select("no", "point")
     members = members.join(named, "point").select("no", "vec_id", "copy")
-    near = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "no")
+    by_vector = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "no")
     lists = found.select("query", "no", "score").join(members, "no").withColumn(
-        "nth", F.row_number().over(near)).where(F.col("nth") <= most).groupBy("query").agg(
+        "nth", F.row_number().over(by_vector)).where(F.col("nth") <= most).groupBy("query").agg(
         F.array_sort(F.collect_list(F.struct(  # at most ``most`` rows
             "nth", "vec_id", "score", "copy", (F.col("no") == F.col("query")).alias("own"))))
         .alias("near"))
