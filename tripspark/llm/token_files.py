@@ -21,6 +21,7 @@ The table lies beside the files as (id, frequency) rows; frequencies sum to 2 **
 import os
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise
-from .common import ARRAY_SCHEMA, add_arrays, array_rows
+from ..sources.shared import discard, materialise
+from .common import add_arrays, array_rows
 
 SCALE = 18
 LANES = 16
@@ -38,7 +39,7 @@ BLOCK = 4096
 #: A file is closed once it holds so many ids; a longer document still stays in one file.
 FILE_IDS = 1 << 20
 #: Words and stems whose ids a Python worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 END_ID = 1
 MAGIC = b"RNS1"
 _HEAD = struct.Struct("<4sIIIIIQQQ")
@@ -53,17 +54,51 @@ _S = np.uint64(SCALE)
 _PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,]?$"
 #: Python holds at most about this many bytes of text as separate words.
 SLICE = 1 << 23
+#: Byte-level tokenizers write a byte as the letter of its number, or from U+0100 on, in order, if
+#: that is no visible sign.
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(
+    b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255 and b != 173))}
 #: So many stems are encoded as one text.
 TOGETHER = 4096
 
 
+class Memory:
+    """The ids of words, one after the other."""
+
+    def __init__(self, kind):
+        self.known, self.pool, self.used = {}, np.empty(1 << 16, kind), 0
+        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def take(self, words, ids, lengths):
+        """Remember words that are not known yet; ``ids`` are those of all, ``lengths`` how many."""
+        at, count = len(self.known), len(words)
+        while at + count > len(self.first):
+            self.first, self.length = (np.concatenate([x, np.zeros_like(x)])
+                                       for x in (self.first, self.length))
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[:self.used], np.empty(
+                self.used + 2 * len(ids), self.pool.dtype)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.length[at:at + count] = lengths
+        self.first[at:at + count] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(ids)
+        self.known.update(zip(words, range(at, at + count)))
+
+    def ids(self, places):
+        """The ids of the words at these places, and how many each has."""
+        first, length = self.first[places], self.length[places]
+        run = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        return self.pool[np.repeat(first, length) + run], length
+
+
 class WordEncoder:
     """Encodes whole texts with a tokenizer that never joins across white space.
 
     Such a tokenizer gives a text the ids of its words one after the other, so of each slice of
     texts only the distinct words are encoded.  From words of letters a final sign is cut, the rest
-    is lower-cased as the tokenizer does, and these stems are remembered.  Many stems are encoded
-    as one text; the ids that end a word tell where one stops.
+    is lower-cased as the tokenizer does, and these stems are remembered, in two generations: what the
+    young one lacks is moved from the old one, which is forgotten when the young one is full.  Many
+    stems are encoded as one text; the ids that end a word tell where one stops.
     """
 
     def __init__(self, path):
@@ -83,18 +118,32 @@ class WordEncoder:
         self.stems = bool(suffix) and [len(x) for x in self.signs] == [1, 1] and [
             list(x) for x in probe] == [[*probe[1], *self.signs[0]], list(probe[1]),
                                         [*probe[3], *self.signs[1]], list(probe[3])]
-        self._forget()
-
-    def _forget(self):
-        self.known, self.pool, self.used = {}, np.empty(1 << 16, self.kind), 0
-        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        # The model alone cuts stems, in letters for their bytes, if that gives the same.
+        sure = ["a", "straight", "qzxvkj", "internationalisation", "hello", "straße", "été", "ÿþæðø",
+                "mañana", "\u00c3"]
+        self.direct = self.stems and [self._direct(w.lower()) for w in sure] == [
+            list(x) for x in self._alone(sure)]
+        self.old, self.young = Memory(self.kind), Memory(self.kind)
 
     def _alone(self, texts):
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
             texts, add_special_tokens=False)]
 
-    def _together(self, stems):
+    def _direct(self, stem):
+        if not stem.isascii():
+            stem = stem.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.tokenizer.model.tokenize(stem)]
+
+    def _stems(self, stems):
         """Ids of all stems, and the number of each."""
+        if not self.direct:
+            return self._together(stems)
+        found = list(map(self._direct, stems))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _together(self, stems):
+        """As ``_stems``, by the whole tokenizer, many stems as one text."""
         ids, lengths = [], []
         for at in range(0, len(stems), TOGETHER):
             part = stems[at:at + TOGETHER]
@@ -107,28 +156,21 @@ class WordEncoder:
             lengths.append(np.diff(stops, prepend=0))
         return np.concatenate(ids), np.concatenate(lengths)
 
-    def _remember(self, words, ids, lengths):
-        at, count = len(self.known), len(words)
-        while at + count > len(self.first):
-            self.first, self.length = (np.concatenate([x, np.zeros_like(x)])
-                                       for x in (self.first, self.length))
-        if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool[:self.used], np.empty(
-                self.used + 2 * len(ids), self.kind)])
-        self.pool[self.used:self.used + len(ids)] = ids
-        self.length[at:at + count] = lengths
-        self.first[at:at + count] = self.used + np.cumsum(lengths) - lengths
-        self.used += len(ids)
-        self.known.update(zip(words, range(at, at + count)))
-
     def _places(self, words, encode):
-        """Where each of the distinct words is remembered."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self._forget()
-        missing = [w for w in words if w not in self.known]
+        """Where each of the distinct words is remembered, among the young."""
+        if len(self.young.known) + len(words) > REMEMBERED // 2:
+            self.old, self.young = self.young, Memory(self.kind)
+        missing = [w for w in words if w not in self.young.known]
         if missing:
-            self._remember(missing, *encode(missing))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            before = self.old.known
+            moved = [w for w in missing if w in before]
+            if moved:
+                self.young.take(moved, *self.old.ids(np.fromiter(
+                    map(before.__getitem__, moved), np.int64, len(moved))))
+                missing = [w for w in missing if w not in before]
+        if missing:
+            self.young.take(missing, *encode(missing))
+        return np.fromiter(map(self.young.known.__getitem__, words), np.int64, len(words))
 
     def _apart(self, words):
         found = self._alone(words)
@@ -151,12 +193,12 @@ class WordEncoder:
         stem = pc.utf8_lower(pc.utf8_rtrim(stem, ".,")).dictionary_encode()
         parts = []
         for names, encode, where in ((odd, self._apart, None), (
-                stem.dictionary.to_pylist(), self._together, stem.indices.to_numpy())):
+                stem.dictionary.to_pylist(), self._stems, stem.indices.to_numpy())):
             at = self._places(names, encode)
-            length, first = self.length[at], self.first[at]
+            length, first = self.young.length[at], self.young.first[at]
             if where is not None:
                 length, first = length[where], first[where]
-            parts.append((self.pool, first, length))
+            parts.append((self.young.pool, first, length))
         sizes = np.zeros(len(words), np.int64)
         sizes[~is_plain], sizes[is_plain] = parts[0][2], parts[1][2] + (sign >= 0)
         begin = np.cumsum(sizes) - sizes
@@ -185,9 +227,14 @@ def encoder(path):
     return _ENCODERS[path]
 
 
+_ENCODED = "doc_id long, ids binary, chunk int, part int, data binary"
+
+
 def _encode_texts(path, end_id):
+    """Each text's ids, and after a task's last text how often each id was used, as rows with a chunk."""
     def run(batches):
         coder, pack = encoder(path), zstandard.ZstdCompressor(level=1)
+        used = np.zeros(coder.size, np.int64)
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             size = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy().astype(
@@ -202,21 +249,18 @@ def _encode_texts(path, end_id):
                 blobs = [pack.compress(own[a:b].tobytes())
                          for a, b in zip(np.concatenate([[0], stops[:-1]]).tolist(),
                                          stops.tolist())]
+                used += np.bincount(own, minlength=coder.size)
+                none = pa.nulls(stop - at, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, stop - at), pa.array(blobs, pa.binary())],
-                    names=["doc_id", "ids"])
+                    [batch.column("doc_id").slice(at, stop - at), pa.array(blobs, pa.binary()),
+                     none, none, pa.nulls(stop - at, pa.binary())], names=names)
                 at = stop
-    return run
-
+        if used.any():
+            counts = array_rows(used, 8)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(8, pa.int64()), pa.nulls(8, pa.binary()), *counts.columns], names=names)
 
-def _histogram(size, kind):
-    def run(batches):
-        counts, unpack = np.zeros(size, np.int64), zstandard.ZstdDecompressor()
-        for batch in batches:
-            for blob in batch.column("ids").to_pylist():
-                np.add.at(counts, np.frombuffer(unpack.decompress(blob), kind), 1)
-        if counts.any():
-            yield array_rows(counts, 8)
+    names = [c.split()[0] for c in _ENCODED.split(", ")]
     return run
 
 
@@ -406,9 +450,9 @@ def write_token_files(documents, path, end_id=END_ID):
                             F.col("text").cast("string").alias("text"))
     size = WordEncoder(path).size
     kind = np.uint16 if size <= 65536 else np.uint32
-    ids = materialise(docs.mapInArrow(_encode_texts(path, end_id), "doc_id long, ids binary"),
-                      "ids")
-    counts = add_arrays(ids.mapInArrow(_histogram(size, kind), ARRAY_SCHEMA))
+    encoded = materialise(docs.mapInArrow(_encode_texts(path, end_id), _ENCODED), "ids")
+    ids = encoded.where("chunk is null").select("doc_id", "ids")
+    counts = add_arrays(encoded.where("chunk is not null").select("chunk", "part", "data"))
     freq = frequencies(np.zeros(size, np.int64) if counts is None else counts)
     table = spark.sparkContext.broadcast(Table(freq))
     held = materialise(spark.createDataFrame(
@@ -418,7 +462,9 @@ def write_token_files(documents, path, end_id=END_ID):
     order = ["doc_id", "mark", "ids"]
     ordered = ids.withColumn("mark", F.xxhash64("ids")).repartitionByRange(
         *order[:2]).sortWithinPartitions(*order)
-    return materialise(ordered.mapInArrow(_write_files(table, kind), _FILES), "files"), held, size
+    files = materialise(ordered.mapInArrow(_write_files(table, kind), _FILES), "files")
+    discard(encoded)
+    return files, held, size
 
 
 def read_token_files(files, held, size):
