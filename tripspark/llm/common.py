@@ -211,29 +211,35 @@ def hashed_ids(values):
     return finish(np.asarray(values).astype(np.int64).view(np.uint64) + _STEP)
 
 
-def rows_with_ids(docs, ids, make, schema):
-    """``make`` over the batches of rows whose doc_id is among ``ids``, joined back to those.
-
-    ``ids`` has one column, doc_id; ``make`` yields batches with a column doc_id.  Before any shuffle
-    a bitmap of fixed size skips most other rows; the semi-join decides.
-    """
+def ids_bitmap(ids):
+    """The bitmap of a column doc_id, broadcast."""
     def hash_ids(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashed_ids(batch.column("doc_id").to_numpy()).view(np.int64))], names=["h"])
 
-    ids = ids.where("doc_id is not null").distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(
+    return ids.sparkSession.sparkContext.broadcast(
         bitmap_of(ids.mapInArrow(hash_ids, "h long"), "h"))
 
-    def skip(batches):
-        for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column("doc_id")))
-            yield batch.filter(pa.array(in_bitmap(
-                bits.value, hashed_ids(batch.column("doc_id").to_numpy())), pa.bool_()))
 
+def maybe_among(batches, bits):
+    """The rows whose doc_id may be in the bitmap; rows without one are not."""
+    for batch in batches:
+        batch = batch.filter(pa.compute.is_valid(batch.column("doc_id")))
+        yield batch.filter(pa.array(in_bitmap(
+            bits.value, hashed_ids(batch.column("doc_id").to_numpy())), pa.bool_()))
+
+
+def rows_with_ids(docs, ids, make, schema):
+    """``make`` over the batches of rows whose doc_id is among ``ids``, joined back to those.
+
+    ``ids`` has one column, doc_id; ``make`` yields batches with a column doc_id.  Before any shuffle
+    a bitmap of fixed size skips most other rows; the semi-join decides.
+    """
+    ids = ids.where("doc_id is not null").distinct()
+    bits = ids_bitmap(ids)
     with small_batches(docs.sparkSession, 1000):
-        found = materialise(docs.mapInArrow(lambda batches: make(skip(batches)), schema).join(
+        found = materialise(docs.mapInArrow(lambda batches: make(maybe_among(batches, bits)), schema).join(
             ids, "doc_id", "left_semi"), "found")
     bits.unpersist()
     return found

@@ -16,6 +16,9 @@ with each level, so a region of g near copies costs about g comparisons and ends
 A pair is taken in the region of its first common pivot only, where the number of earlier pivots of
 both bounds their distance.  Before sets are compared, counts of shingles in 64 fixed buckets give
 another lower bound.  Nothing is capped: a level ends only when all open regions are joined.
+
+Equal sets are one member: of each distinct set over the whole table only the document with the
+smallest id enters regions.
 """
 
 import numpy as np
@@ -25,28 +28,47 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
-from .common import (ARRAY_SCHEMA, add_arrays, array_rows, bitmap_of, components, in_bitmap,
-                     rows_with_ids, shingle_hashes, small_batches, text_slices, word_hashes)
+from .common import (add_arrays, array_rows, bitmap_of, components, hashed_ids, ids_bitmap, in_bitmap,
+                     maybe_among, shingle_hashes, small_batches, text_slices, word_hashes)
 
 #: Cells of the count sketch that orders the pivots.  The order decides only how much work there is.
 CELL_BITS = 20
 BUCKETS = 64
-#: Task-local representatives of equal sets are forgotten beyond this number of sets.
-SEEN = 300_000
 #: Regions of so many documents are joined at once, and so many levels take one central pivot.
 SMALL, CENTRAL_LEVELS = 8, 2
 
 
-def _sketch(width):
-    def count(batches):
+_FIRST = "doc_id long, n long, da long, db long, chunk int, part int, data binary"
+
+
+def _first(width):
+    """Each document's number of shingles and digest of its set, and after a task's last one how many
+    shingles fall in each cell, as rows with a chunk."""
+    names = [c.split()[0] for c in _FIRST.split(", ")]
+
+    def run(batches):
         cells = np.zeros(1 << CELL_BITS, np.int64)
-        for _, texts in text_slices(batches):
-            shingles, _ = shingle_hashes(*word_hashes(texts), width)
+        for ids, texts in text_slices(batches):
+            shingles, counts = shingle_hashes(*word_hashes(texts), width)
             cells += np.bincount((shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64),
                                  minlength=1 << CELL_BITS)
+            ends = np.cumsum(counts)
+            sizes, marks = np.zeros(len(ids), np.int64), np.zeros((len(ids), 2), np.int64)
+            for i, (start, end) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
+                own = np.unique(shingles[start:end])
+                sizes[i] = len(own)
+                marks[i] = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64)
+            none = sizes == 0
+            rest = len(ids)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(sizes), pa.array(marks[:, 0], mask=none),
+                 pa.array(marks[:, 1], mask=none), pa.nulls(rest, pa.int32()),
+                 pa.nulls(rest, pa.int32()), pa.nulls(rest, pa.binary())], names=names)
         if cells.any():
-            yield array_rows(cells, 64)
-    return count
+            rows = array_rows(cells, 64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(64, pa.int64())] * 4 + list(rows.columns), names=names)
+    return run
 
 
 def _min_overlap(a, b, percent):
@@ -63,41 +85,33 @@ def _sets(batches, width):
             yield doc_id, np.unique(shingles[start:end])
 
 
-_REGIONS = "doc_id long, rep long, n long, buckets binary, pivots array<long>"
+_REGIONS = "doc_id long, n long, buckets binary, pivots array<long>"
 
 
-def _regions(width, percent, cells):
-    """Each document's size, bucket counts and the pivots in whose regions it is copied."""
+def _regions(width, percent, cells, members):
+    """The size, bucket counts and pivots of each member: the regions in which it is copied."""
     def place(batches):
-        counts, seen = cells.value, {}
-        rows = []
+        counts, rows = cells.value, []
 
         def flush():
-            ids, reps, sizes, buckets, pivots = zip(*rows)
+            ids, sizes, buckets, pivots = zip(*rows)
             rows.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(reps, pa.int64()),
-                 pa.array(sizes, pa.int64()), pa.array(buckets, pa.binary()),
-                 pa.array(pivots, pa.list_(pa.int64()))],
-                names=["doc_id", "rep", "n", "buckets", "pivots"])
+                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(buckets, pa.binary()), pa.array(pivots, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "buckets", "pivots"])
 
-        for doc_id, own in _sets(batches, width):
+        for doc_id, own in _sets(maybe_among(batches, members), width):
             n = len(own)
-            rep, pivots, buckets = doc_id, None, b""
-            if n and doc_id is not None:
-                digest = xxhash.xxh3_128_digest(own.tobytes())
-                rep = seen.setdefault(digest, doc_id)
-                if len(seen) > SEEN:
-                    seen.clear()
-                if rep == doc_id:
-                    window = n - (n * percent + 99) // 100 + 1
-                    rare = counts[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                    order = np.lexsort((own, rare))[:window]
-                    pivots = own[order].view(np.int64)
-                    # Full buckets stop at 255, which keeps the bound a bound.
-                    buckets = np.minimum(np.bincount((own & np.uint64(BUCKETS - 1)).astype(
-                        np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
-            rows.append((doc_id, rep, n, buckets, pivots))
+            if not n:
+                continue
+            window = n - (n * percent + 99) // 100 + 1
+            rare = counts[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+            pivots = own[np.lexsort((own, rare))[:window]].view(np.int64)
+            # Full buckets stop at 255, which keeps the bound a bound.
+            buckets = np.minimum(np.bincount((own & np.uint64(BUCKETS - 1)).astype(
+                np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+            rows.append((doc_id, n, buckets, pivots))
             if len(rows) >= 2000:
                 yield flush()
         if rows:
@@ -137,7 +151,6 @@ def _members(bits):
     """(pivot, doc_id, n, pos) of pivots that may have several documents."""
     def spread(batches):
         for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column("pivots")))
             lists = batch.column("pivots")
             pivots = lists.flatten().to_numpy()
             sizes = np.diff(np.asarray(lists.offsets))
@@ -151,43 +164,65 @@ def _members(bits):
     return spread
 
 
-def _sets_of(docs, ids, width):
-    """The sets of the documents with these ids."""
+def _sets_of(docs, pairs, width):
+    """(doc_id, own, in_a, in_b): the sets of the documents that stand in the pairs, and on which side.
+
+    Bitmaps may let further documents through; joins with the pairs drop them.
+    """
+    sides = [ids_bitmap(pairs.select(F.col(side).alias("doc_id")).distinct()) for side in "ab"]
+
     def build(batches):
         rows, held = [], 0
-        for doc_id, own in _sets(batches, width):
+
+        def flush():
+            ids, own = zip(*rows)
+            rows.clear()
+            hashed = hashed_ids(np.array(ids, np.int64))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(own, pa.binary()),
+                 *(pa.array(in_bitmap(bits.value, hashed)) for bits in sides)],
+                names=["doc_id", "own", "in_a", "in_b"])
+
+        def either():
+            for batch in batches:
+                batch = batch.filter(pa.compute.is_valid(batch.column("doc_id")))
+                hashed = hashed_ids(batch.column("doc_id").to_numpy())
+                yield batch.filter(pa.array(in_bitmap(sides[0].value, hashed) | in_bitmap(
+                    sides[1].value, hashed)))
+
+        for doc_id, own in _sets(either(), width):
             rows.append((doc_id, own.tobytes()))
             held += own.nbytes
             if held > 1 << 22:
-                yield _set_rows(rows)
-                rows, held = [], 0
+                yield flush()
+                held = 0
         if rows:
-            yield _set_rows(rows)
-
-    return rows_with_ids(docs, ids, build, "doc_id long, own binary")
-
+            yield flush()
 
-def _set_rows(rows):
-    ids, own = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.binary())],
-                                      names=["doc_id", "own"])
+    with small_batches(docs.sparkSession, 1000):
+        found = materialise(docs.mapInArrow(build, "doc_id long, own binary, in_a boolean, in_b boolean"),
+                            "found")
+    for bits in sides:
+        bits.unpersist()
+    return found
 
 
 def _links(pairs, regions, docs, percent, width):
-    """The pairs (a, b) that are linked, by bucket counts first and then by whole sets."""
-    sizes = regions.where("pivots is not null").select("doc_id", "n", "buckets").dropDuplicates(
-        ["doc_id", "n", "buckets"])
+    """The pairs (a, b) that are linked, by bucket counts first and then by whole sets.
+
+    The side that stands in fewer distinct documents should be a: its sets are moved once each.
+    """
+    sizes = regions.select("doc_id", "n", "buckets")
     for side in "ab":
         pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n").alias("n" + side),
                                         F.col("buckets").alias("v" + side)), side)
     near = materialise(pairs.mapInArrow(_near(percent), "a long, b long").distinct(), "near")
     if near.isEmpty():
         return near
-    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b"))
-    sets, both = _sets_of(docs, ids, width), near
-    for side in "ab":
-        both = both.join(sets.select(F.col("doc_id").alias(side), F.col("own").alias("s" + side)),
-                         side)
+    sets, both = _sets_of(docs, near, width), near
+    for side in "ba":
+        both = both.join(sets.where("in_" + side).select(
+            F.col("doc_id").alias(side), F.col("own").alias("s" + side)), side)
     with small_batches(docs.sparkSession, 100):  # each row holds two sets
         links = materialise(both.mapInArrow(_linked(percent), "a long, b long").distinct(),
                             "links")
@@ -208,15 +243,30 @@ def jaccard_components(documents, percent=85, width=4):
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("text").cast("string").alias("text"))
     with small_batches(spark, 1000):
-        counts = add_arrays(docs.mapInArrow(_sketch(width), ARRAY_SCHEMA))
+        first = materialise(docs.mapInArrow(_first(width), _FIRST), "first")
+    counts = add_arrays(first.where("chunk is not null").select("chunk", "part", "data"))
     if counts is None:
         counts = np.zeros(1 << CELL_BITS, np.int64)
+    # One document stands for each distinct set.
+    sets = first.where("chunk is null").select("doc_id", "n", "da", "db")
+    classes = materialise(sets.where("da is not null and doc_id is not null").groupBy("da", "db").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "classes")
+    reps = ids_bitmap(classes.select(F.col("rep").alias("doc_id")))
     # Ranks only need their order: 32 bits are enough and fixed in size.
     cells = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
     with small_batches(spark, 1000):
-        regions = materialise(docs.mapInArrow(_regions(width, percent, cells), _REGIONS),
+        regions = materialise(docs.mapInArrow(_regions(width, percent, cells, reps), _REGIONS),
                               "regions")
     cells.unpersist()
+    reps.unpersist()
+    # Each row's member; a doc_id whose rows have different sets joins their members.
+    copies = classes.where("size > 1").select("da", "db", F.col("rep").alias("of"))
+    held = materialise(sets.join(copies, ["da", "db"], "left").select(
+        "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("of", "doc_id")).alias("rep")),
+        "held")
+    same = held.where("rep is not null").groupBy("doc_id").agg(
+        F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("doc_id", "a")
+    joined = held.join(same, "doc_id").where("a != rep").select("a", F.col("rep").alias("b"))
 
     shared = materialise(regions.select(F.explode("pivots").alias("pivot")).groupBy("pivot").agg(
         F.count(F.lit(1)).alias("m")).where("m > 1").select("pivot"), "shared")
@@ -225,29 +275,30 @@ def jaccard_components(documents, percent=85, width=4):
         _members(bits), "pivot long, doc_id long, n long, pos long")
     members = materialise(members.join(shared, "pivot"), "members")
     bits.unpersist()
+    discard(shared)
 
     # The text that others are copies of has no shingles of its own, so most of its pivots are
     # shared; a copy's own shingles come first among its pivots.  The more central document leads.
     central = members.groupBy("doc_id").agg(
         F.expr(f"count(1) / (max(n) - (max(n) * {percent} + 99) div 100 + 1)").alias("central"))
     active = materialise(members.join(central, "doc_id"), "members")
-    heads = active.groupBy("pivot").agg(F.min(F.struct(-F.col("central"), "doc_id"))[
-        "doc_id"].alias("head"))
+    heads = active.groupBy("pivot").agg(F.min(F.struct(
+        -F.col("central"), "doc_id", F.col("n").alias("na"), F.col("pos").alias("pa"))).alias("x")
+    ).select("pivot", F.col("x.doc_id").alias("head"), "x.na", "x.pa")
+    # Linked documents meet in the region of their first common pivot, and nothing before it is
+    # shared there.  Elsewhere a pair may fail this; it is not needed there.
+    fits = ("least(na - pa, nb - pb) >= " + _min_overlap("na", "nb", percent)
+            + f" and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
     # First level: the pivot of a region is its most central document.
     star = materialise(active.join(heads, "pivot").where("doc_id != head"), "star")
-    links = _links(star.select(F.least("head", "doc_id").alias("a"),
-                               F.greatest("head", "doc_id").alias("b")).distinct(),
-                   regions, docs, percent, width)
-    discard(members)
-    own = regions.where("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    found = components(links.union(own))
+    discard(members, active)
+    links = _links(star.withColumnsRenamed({"n": "nb", "pos": "pb"}).where(fits).select(
+        F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), regions, docs, percent, width)
+    found = components(links.union(joined))
     columns = ["pivot", "doc_id", "n", "pos", "central"]
     active = star.select(columns)
-    # Linked documents meet in the region of their first common pivot, and nothing before it is
-    # shared there.  Elsewhere a pair may fail this; it is not needed there.
-    fits = ("least(na - pa, nb - pb) >= " + _min_overlap("na", "nb", percent)
-            + f" and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    before = star
     level = 1
     while True:
         labelled = active.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -262,6 +313,8 @@ def jaccard_components(documents, percent=85, width=4):
             f"pmod(xxhash64(doc_id, {level}), m) < {64 ** (level - CENTRAL_LEVELS)}")
         active = materialise(labelled.join(open_, "pivot").withColumn(
             "lead", F.expr(f"m <= {SMALL} or {leads}")), "members")
+        discard(before)
+        before = active
         if active.isEmpty():
             break
         lead, rest = active.where("lead").alias("x"), active.alias("y")
@@ -271,12 +324,12 @@ def jaccard_components(documents, percent=85, width=4):
         new = _links(pairs.where(fits).select("a", "b").distinct(), regions, docs, percent, width)
         if not new.isEmpty():
             links = links.union(new)
-            found = components(links.union(own))
+            found = components(links.union(joined))
         active = active.where("not lead").select(columns)
         level += 1
-    return regions.select("doc_id", F.col("n").alias("n_shingles")).join(
-        found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    discard(regions)
+    return held.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
 SQL = r"""
