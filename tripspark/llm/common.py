@@ -230,6 +230,28 @@ def maybe_among(batches, bits):
             bits.value, hashed_ids(batch.column("doc_id").to_numpy())), pa.bool_()))
 
 
+def rows_without_ids(rows, gone):
+    """Rows whose doc_id is not among ``gone`` (one column, doc_id).
+
+    A bitmap of fixed size lets most rows pass as they are; only the others are shuffled, and the
+    anti-join decides.  Rows without an id stay.
+    """
+    gone = gone.where("doc_id is not null").distinct()
+    bits = ids_bitmap(gone)
+
+    def part(inside):
+        def run(batches):
+            for batch in batches:
+                ids = batch.column("doc_id").cast(pa.int64())
+                hit = in_bitmap(bits.value, hashed_ids(pa.compute.fill_null(ids, 0).to_numpy()))
+                hit &= pa.compute.is_valid(ids).to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit if inside else ~hit))
+        return run
+
+    clear, doubtful = (rows.mapInArrow(part(inside), rows.schema) for inside in (False, True))
+    return clear.unionByName(doubtful.join(gone, "doc_id", "left_anti"))
+
+
 def rows_with_ids(docs, ids, make, schema):
     """``make`` over the batches of rows whose doc_id is among ``ids``, joined back to those.
 

@@ -167,20 +167,36 @@ def train(documents, labels):
     return dense, float(bias)
 
 
+def _scores(texts, weights, bias):
+    feature, text = _features(texts)
+    keep = weights[feature] != 0
+    feature, text = _distinct(feature[keep], text[keep])
+    score = bias + np.bincount(text, weights[feature], len(texts))
+    return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+
+
 def _score(model):
     def run(batches):
         weights, bias = model.value
         for ids, texts in text_slices(batches):
-            feature, text = _features(texts)
-            keep = weights[feature] != 0
-            feature, text = _distinct(feature[keep], text[keep])
-            score = bias + np.bincount(text, weights[feature], len(texts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(score, -30, 30))))],
+                [pa.array(ids, pa.int64()), pa.array(_scores(texts, weights, bias))],
                 names=["doc_id", "score"])
     return run
 
 
+def _keep(model, id_name, text_name):
+    """Whole rows whose text scores below 0.5."""
+    def run(batches):
+        weights, bias = model.value
+        for batch in batches:
+            if batch.num_rows:
+                score = np.concatenate([_scores(texts, weights, bias) for _, texts in text_slices(
+                    [batch], id_name, text_name)])
+                yield batch.filter(pa.array(score < 0.5))
+    return run
+
+
 def toxicity_scores(documents, training, labels):
     """One row per row of ``documents``: doc_id, score in (0, 1), predicted (1 from 0.5 on).
 
@@ -193,6 +209,15 @@ def toxicity_scores(documents, training, labels):
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def without_toxic(documents, training, labels):
+    """The rows of ``documents``, all columns, whose text is not predicted to be toxic.
+
+    Each row is judged by its own text, so ids may be null or repeated.
+    """
+    model = documents.sparkSession.sparkContext.broadcast(train(training, labels))
+    return documents.mapInArrow(_keep(model, "doc_id", "text"), documents.schema)
+
+
 def held_out_scores(documents, labels, folds=5):
     """Scores of all rows, learnt from rows whose crc32(doc_id) mod ``folds`` is not 0."""
     def learn(df):
