@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tripspark.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
-from tripspark.llm.common import read_table, share_package
-from tripspark.sources.shared import materialise
+from tripspark.llm.common import read_table, rows_without_ids, share_package
+from tripspark.sources.shared import discard, materialise
 
 
 #: The number of a row within a stage; no table has such a column.
@@ -17,7 +17,14 @@ ROW = "pipeline row number"
 
 
 def numbered(docs):
-    """The rows with a number each, written once so that retries agree."""
+    """The rows with a number each that the stage's decisions go by.
+
+    Where every row has a doc_id of its own that is the number.  Else the rows are written once with
+    numbers, so that retries agree.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("id")).groupBy("id").count()
+    if ids.where("id is null or count > 1").isEmpty():
+        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
     return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
@@ -28,14 +35,14 @@ def by_number(rows):
 
 def without_rows(rows, gone):
     """Rows whose number is not among ``gone`` (one column, doc_id), without their numbers."""
-    return rows.join(gone.select(F.col("doc_id").alias(ROW)).distinct(), ROW, "left_anti").drop(ROW)
+    own = [c for c in rows.columns if c != ROW]
+    kept = rows_without_ids(rows.withColumnsRenamed({"doc_id": "own id", ROW: "doc_id"}), gone)
+    return kept.drop("doc_id").withColumnRenamed("own id", "doc_id").select(own)
 
 
 def drop_toxic(spark, docs, sf_dir):
     """Rows that the classifier, learnt from all labelled rows, does not reject."""
-    labels, rows = read_table(spark, sf_dir, "labels"), numbered(docs)
-    scores = toxicity.toxicity_scores(by_number(rows), docs, labels)
-    return without_rows(rows, materialise(scores.where("predicted = 1").select("doc_id"), "toxic"))
+    return toxicity.without_toxic(docs, docs, read_table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark, docs, sf_dir):
@@ -92,5 +99,8 @@ def run(spark, sf_dir):
     """Apply all stages; each is written as Parquet and read again as the next one's input."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), name)
+        discard(before)  # what a stage has read goes as soon as its result is written
+    tokens = STAGES[-1][1](spark, docs, sf_dir)
+    discard(docs)  # the token files are written
+    return tokens
