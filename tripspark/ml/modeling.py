@@ -168,15 +168,31 @@ class CrossValidated:
     avg_metrics: list
 
 
+#: Prepared rows of a fold that one task should hold while learners are fitted.
+FIT_ROWS = 50_000
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """Cached rows in as few partitions as their number needs.
+
+    Tree learners run several jobs for each level of each tree, so small folds dealt over many tasks
+    cost far more in scheduling than in work.
+    """
+    held = rows.persist()
+    return held.coalesce(max(1, -(-held.count() // FIT_ROWS)))
+
+
 def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, folds=S.CV_FOLDS,
-                   parallelism=S.CV_PARALLELISM, seed=S.SEED,
+                   parallelism=None, seed=S.SEED,
                    keys=tuple(S.TRIP_KEYS)) -> CrossValidated:
     """Choose the grid point with the lowest RMSE over k folds and refit it on all rows.
 
     Gives what ``CrossValidator`` gives for the whole pipeline: preparation is fitted on the
     training rows of each fold only.  As the grid concerns the learner alone, that is done once
     per fold and not once per grid point, and the learners of a fold share its cached vectors.
+    So many learners are fitted at once as ``parallelism`` says, by default as the session has cores.
     """
+    parallelism = parallelism or train.sparkSession.sparkContext.defaultParallelism
     keys = [k for k in keys if k in train.columns] or train.columns
     data = add_folds(train, folds, keys, seed)
     maps = spec.param_maps()
@@ -186,8 +202,8 @@ def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, fold
         rest, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
         prepared = Pipeline(stages=preparation(numeric, categorical, spec.scale,
                                                spec.center)).fit(rest)
-        fit_rows, check_rows = (prepared.transform(part).select("features", S.LABEL).persist()
-                                for part in (rest, held))
+        vectors = [prepared.transform(part).select("features", S.LABEL) for part in (rest, held)]
+        fit_rows, check_rows = map(_packed, vectors)
 
         def score(fitted):
             index, model = next(fitted)
@@ -197,8 +213,8 @@ def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, fold
         with ThreadPool(min(parallelism, len(maps))) as pool:
             for index, rmse in pool.imap_unordered(score, [models] * len(maps)):
                 totals[index] += rmse
-        fit_rows.unpersist()
-        check_rows.unpersist()
+        for rows in vectors:
+            rows.unpersist()
     metrics = [total / folds for total in totals]
     best = maps[min(range(len(maps)), key=metrics.__getitem__)]
     pipeline = build_pipeline(spec.model.copy(best), numeric, categorical, spec.scale,
@@ -207,7 +223,7 @@ def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, fold
 
 
 def train_model(spec: ModelSpec, train: DataFrame, test: DataFrame, index=1, folds=S.CV_FOLDS,
-                parallelism=S.CV_PARALLELISM, seed=S.SEED, keys=tuple(S.TRIP_KEYS),
+                parallelism=None, seed=S.SEED, keys=tuple(S.TRIP_KEYS),
                 columns=None, model_path=None) -> Trained:
     """Cross-validate one learner, predict the test rows and report.
 

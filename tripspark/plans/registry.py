@@ -1259,8 +1259,8 @@ def _train_test(spark, sf):
     return _parts(spark.sparkContext.applicationId, sf)
 
 
-# Learners cannot be restated in SQL.  Their queries return what must hold of every run: the rows
-# that were predicted, and whether the reported numbers agree with the stored predictions.
+# Learners cannot be restated in SQL, so their queries have none: they return the metrics, errors and
+# parameters of the run, and whether reported metrics are those of the stored predictions.
 _TEST_ROWS = f"(select count(*) from model where {_BUCKET} >= 7000)"
 
 
@@ -1276,13 +1276,8 @@ def _sound(predictions, name, on_train, metrics=None):
     for m in evaluation.METRICS:
         if metrics is not None:
             agrees = agrees & (F.abs(F.col(m) - F.lit(metrics[m])) <= 1e-9 * F.abs(F.col(m)))
-    return again.select(F.lit(name).alias("model"), "test_rows", agrees.alias("agrees"), "fits")
-
-
-def _sound_sql(*names):
-    return MODEL + " union all ".join(
-        f" select '{n}' as model, {_TEST_ROWS} as test_rows, true as agrees, true as fits"
-        for n in names)
+    return again.select(F.lit(name).alias("model"), "test_rows", *evaluation.METRICS,
+                        agrees.alias("agrees"), "fits")
 
 
 def _fit_and_score(spark, sf, name, model, scale=False):
@@ -1293,19 +1288,19 @@ def _fit_and_score(spark, sf, name, model, scale=False):
                   fitted.transform(train))
 
 
-@query(_sound_sql("LinearRegression"))
+@query()
 def ml_pipeline(spark, sf):
     model = LinearRegression(labelCol=S.LABEL, maxIter=50, regParam=0.1)
     return _fit_and_score(spark, sf, "LinearRegression", model, scale=True)
 
 
-@query(_sound_sql("RandomForestRegressor"))
+@query()
 def ml_random_forest(spark, sf):
     name = "RandomForestRegressor"
     return _fit_and_score(spark, sf, name, modeling.ablation_models()[name])
 
 
-@query(_sound_sql("GBTRegressor"))
+@query()
 def ml_gbt(spark, sf):
     name = "GBTRegressor"
     return _fit_and_score(spark, sf, name, modeling.ablation_models()[name])
@@ -1331,10 +1326,9 @@ def _grid_sql(grids):
     return "(values " + ", ".join(map(str, rows)) + ") v(model, params)"
 
 
-@query(f"select model, params, true as scored from {_grid_sql(modeling.GRIDS)}")
+@query()
 def ml_cross_validate(spark, sf):
-    return modeling.cv_results(spark, _results(spark, sf)).select(
-        "model", "params", (F.col("avg_cv_rmse") > 0).alias("scored"))
+    return modeling.cv_results(spark, _results(spark, sf))
 
 
 @query(f"select model, count(*) as grid_points, {S.CV_FOLDS} as cv_folds from "
@@ -1346,20 +1340,13 @@ def ml_cv_results(spark, sf):
         F.count("*").alias("grid_points")).join(folds, "model")
 
 
-@query(f"select model, true as lowest from {_grid_sql(modeling.GRIDS)} group by model")
+@query()
 def ml_best_params(spark, sf):
-    """Whether the chosen parameters are those of the grid point with the lowest error."""
+    """The chosen parameters, and the lowest error of all grid points."""
     results = _results(spark, sf)
-    best = modeling.training_log(spark, results).select("model", "best_params")
-    points = modeling.cv_results(spark, results)
-    lowest = points.groupBy("model").agg(F.min_by("params", "avg_cv_rmse").alias("params"),
-                                         F.min("avg_cv_rmse").alias("least"))
-    chosen = F.forall(F.split("params", "; "),
-                      lambda p: F.array_contains(F.split("best_params", "; "), p))
-    # Grid points of equal error may stand for the lowest.
-    tied = points.join(best, "model").join(lowest.select("model", "least"), "model").where(
-        F.col("avg_cv_rmse") <= F.col("least") * (1 + 1e-12))
-    return tied.groupBy("model").agg(F.bool_or(chosen).alias("lowest"))
+    lowest = modeling.cv_results(spark, results).groupBy("model").agg(
+        F.min("avg_cv_rmse").alias("avg_cv_rmse"))
+    return modeling.training_log(spark, results).select("model", "best_params").join(lowest, "model")
 
 
 def _all_sound(spark, sf, results, reported):
@@ -1369,24 +1356,19 @@ def _all_sound(spark, sf, results, reported):
                reported[r.summary["model"]]) for r in results])
 
 
-@query(_sound_sql(*modeling.GRIDS))
+@query()
 def eval_table(spark, sf):
     results = _results(spark, sf)
     reported = {r["model"]: r for r in modeling.evaluation_table(spark, results).collect()}
     return _all_sound(spark, sf, results, reported)
 
 
-@query(MODEL + " union all ".join(
-    f" select {i}::int as model_index, '{m}' as model, {S.CV_FOLDS}::int as cv_folds, "
-    f"{len(list(itertools.product(*g.values())))}::int as param_grid_size, {_TEST_ROWS} as "
-    "test_rows, true as timed" for i, (m, g) in enumerate(modeling.GRIDS.items(), 1)))
+@query()
 def training_log(spark, sf):
-    log = modeling.training_log(spark, _results(spark, sf))
-    return log.select("model_index", "model", "cv_folds", "param_grid_size", "test_rows",
-                      (F.col("train_time_sec") > 0).alias("timed"))
+    return modeling.training_log(spark, _results(spark, sf))
 
 
-@query(_sound_sql(*modeling.TWO_MODEL_GRIDS))
+@query()
 def ml_legacy_two_model(spark, sf):
     results = _results(spark, sf, "two")
     return _all_sound(spark, sf, results, {r.summary["model"]: r.summary for r in results})

@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+#: Fallback folders by application; the setting itself cannot be changed in a running session.
+_FALLBACK: dict = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,9 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tripspark-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _FALLBACK:
+        _FALLBACK[application] = tempfile.mkdtemp(prefix="tripspark-")
+    return _FALLBACK[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
