@@ -16,6 +16,16 @@ from tripspark.sources.shared import discard, materialise
 ROW = "pipeline row number"
 
 
+def whole_rows(spark):
+    """Keep Arrow batches small from here on: stages return whole rows that pass through Python.
+
+    A stage's result is computed when it is written, so the session keeps the setting.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= 1000:
+        spark.conf.set(name, "1000")
+
+
 def numbered(docs):
     """The rows with a number each that the stage's decisions go by.
 
@@ -42,6 +52,7 @@ def without_rows(rows, gone):
 
 def drop_toxic(spark, docs, sf_dir):
     """Rows that the classifier, learnt from all labelled rows, does not reject."""
+    whole_rows(spark)
     return toxicity.without_toxic(docs, docs, read_table(spark, sf_dir, "labels"))
 
 
@@ -52,6 +63,7 @@ def one_of_each_group(spark, docs, sf_dir):
     have one; of equal ids one row stays.  Rows without words link with nothing and stay.
     """
     share_package(spark)
+    whole_rows(spark)
     rows = numbered(docs)
     found = materialise(jaccard_join.jaccard_components(by_number(rows), percent=80, width=5),
                         "groups")
@@ -67,6 +79,7 @@ def one_of_each_group(spark, docs, sf_dir):
 
 def drop_benchmark(spark, docs, sf_dir):
     """Rows that overlap with no benchmark item."""
+    whole_rows(spark)
     rows = numbered(docs)
     found = decontaminate.overlaps(by_number(rows), read_table(spark, sf_dir, "benchmark"))
     return without_rows(rows, materialise(found.select("doc_id"), "leaks"))
