@@ -1,6 +1,8 @@
 """Readers, writers, audit, publishing and the staged jobs."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +153,18 @@ def test_ingest_reports_violations(spark, tmp_path):
         ("foreign_key", "9", 2), ("not_null", "time", 1), ("primary_key", "1", 2)]
     vehicles = spark.read.parquet(f"{tmp_path}/out/vehicles")
     assert vehicles.count() == 3 and {"vehtype", "vehclass"} <= set(vehicles.columns)
+
+
+def test_tables_are_written_without_a_checkpoint_setting(tmp_path):
+    """A session whose configuration names no folder falls back to a temporary one, once."""
+    code = ("from pyspark.sql import SparkSession\n"
+            "from tripspark.sources.shared import materialise, shared_dir\n"
+            "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+            ".getOrCreate()\n"
+            "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+            "assert materialise(spark.range(3)).count() == 3\n"
+            "assert shared_dir(spark) == shared_dir(spark)\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "TMPDIR": str(tmp_path), "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
