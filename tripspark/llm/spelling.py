@@ -29,8 +29,6 @@ from .common import LOWER, small_batches, text_slices
 
 #: Letters before the first initial states, and the words of one state that a task holds.
 INITIAL, STATE_WORDS = 3, 20_000
-#: Takes the place of the edited letter in a key; no word holds it.
-MARK = "\u0000"
 #: Words that a task holds while it counts, and bytes of text whose words it holds at once.
 COUNTED, PIECE = 200_000, 1 << 22
 
@@ -265,7 +263,8 @@ def _early_pairs(words, first, last):
         "named_struct('key', concat(left(word, k), '\\0', substr(word, k + 1)), "
         "'letter', '', 'ok', length(word) >= k)), x -> x.ok)))")).alias("e")).select(
         "n", "e.key", "e.letter")
-    # At most one row per letter and one without: the key and the letter are the word.
+    # The mark, code point 0, is in no word.  At most one row per letter and one without: the key and
+    # the letter are the word.
     groups = marked.groupBy("key").agg(F.collect_list(F.struct("letter", "n")).alias("w")).where(
         "size(w) > 1")
     pairs = groups.select("key", F.explode("w").alias("x"), "w").select(
