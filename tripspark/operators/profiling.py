@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.derive import safe_ratio
 from ..functions.text import literal, quoted
-from .quantiles import ACCURACY, clean_double, column_quantiles, column_residue, read_off
+from .quantiles import ACCURACY, clean_double, column_quantiles, exact_quantiles
 
 PROBABILITIES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
 
@@ -95,9 +95,8 @@ def numeric_quantiles(tables: dict, exact=False, accuracy=ACCURACY) -> DataFrame
     numeric = {name: _fields(df, T.NumericType) for name, df in tables.items()}
     numeric = {name: columns for name, columns in numeric.items() if columns}
     if exact:
-        residue = _stack(_named(column_residue(tables[n], c, wanted, accuracy), n)
-                         for n, c in numeric.items())
-        return read_off(residue, ["table_name", "column_name"], wanted, outputs)
+        return exact_quantiles({name: (tables[name], columns) for name, columns in numeric.items()},
+                               wanted, outputs, accuracy)
     return _stack(_named(column_quantiles(tables[n], c, wanted, outputs, accuracy=accuracy), n)
                   for n, c in numeric.items())
 

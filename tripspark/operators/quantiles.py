@@ -1,11 +1,17 @@
-"""Quantiles that are elements of the data: approximate in one pass, exact in two.
+"""Quantiles that are elements of the data: approximate in one pass, exact in two or three.
 
 The approximate form is one mergeable sketch per group.  The exact form uses such a sketch only
 to bracket each answer.  Values inside a bracket are then counted one by one, all others only
 per gap between brackets, which map-side combining reduces before the shuffle.  Brackets are cut
 into slices; counts per slice place each rank in one of them, so that only a slice is ever sorted.
+
+Whole columns need no group key.  Their brackets become constants of the plan: one aggregate counts
+what lies below each bracket of every column, and only rows with a value inside some bracket are
+unfolded.  A bracket whose ends are equal is its own answer.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import literal, quoted
@@ -88,28 +94,94 @@ def column_quantiles(df: DataFrame, columns, probabilities, outputs, exact=False
     probability.  NULL and NaN are left out; a column without values gives no row.
     """
     if exact:
-        return read_off(column_residue(df, columns, probabilities, accuracy), ["column_name"],
-                        probabilities, outputs)
+        return exact_quantiles({"": (df, columns)}, probabilities, outputs, accuracy).drop(
+            "table_name")
+    return _sketched(df, columns, probabilities, accuracy).select(
+        "column_name", *[F.col("q")[i].alias(o) for i, o in enumerate(outputs)])
+
+
+def _sketched(df, columns, probabilities, accuracy):
+    """(column_name, n, q) of the columns that have values."""
     data, names = _aliased(df, columns)
     long = _column_sketches(data, names, probabilities, accuracy).unpivot([], names, "a", "e")
-    return long.where("e.n > 0").select(
-        _title(names, columns), *[F.col("e.q")[i].alias(o) for i, o in enumerate(outputs)])
+    return long.where("e.n > 0").select(_title(names, columns), "e.n", "e.q")
 
 
-def column_residue(df: DataFrame, columns, probabilities, accuracy=ACCURACY) -> DataFrame:
-    """The input of ``read_off`` for the named columns, keyed by ``column_name``.
+def exact_quantiles(tables: dict, probabilities, outputs, accuracy=ACCURACY) -> DataFrame:
+    """Exact quantiles of the columns of several tables, ``{name: (table, columns)}``.
 
-    There is no group key, so no row of the table is shuffled: the brackets of all columns
-    come back as one row, and the second pass leaves only bracketed values to exchange.
+    Returns table_name, column_name and the outputs.  The brackets pass through the driver: two
+    numbers per column and probability, whatever the number of rows.
     """
-    data, names = _aliased(df, columns)
-    brackets = _column_sketches(data, names, _ends(probabilities, accuracy), accuracy)
-    by_column = "map(" + ", ".join(f"'{a}', {a}" for a in names) + ")"
-    long = (data.withColumn("_all", brackets.selectExpr(by_column).scalar())
-            .unpivot(["_all"], names, "a", "_v").where(F.col("_v").isNotNull())
-            .withColumn("_e", F.element_at("_all", F.col("a"))))
-    return long.select(_title(names, columns), F.col("_e.n").alias("_n"), F.lit(1).alias("_c"),
-                       *map(F.expr, _collapse("_v", "_e.q", len(probabilities))))
+    spark = next(iter(tables.values()))[0].sparkSession
+    brackets = reduce(DataFrame.unionByName, [
+        _sketched(df, columns, _ends(probabilities, accuracy), accuracy).select(
+            F.lit(table).alias("table_name"), "*")
+        for table, (df, columns) in tables.items()]).collect()
+    settled, cells = [], []
+    for row in brackets:
+        for i, p in enumerate(probabilities):
+            low, high = row["q"][2 * i], row["q"][2 * i + 1]
+            if low == high:
+                settled.append((row["table_name"], row["column_name"], i, low))
+            else:
+                rank = F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.lit(row["n"])))
+                cells.append((row["table_name"], row["column_name"], i, low, high, rank))
+    found = spark.createDataFrame(
+        settled, "table_name string, column_name string, i int, x double")
+    if cells:
+        below, inside = [], []
+        for table, (df, columns) in tables.items():
+            own = [(k, *cell[1:]) for k, cell in enumerate(cells) if cell[0] == table]
+            if own:
+                data, names = _aliased(df, columns)
+                alias = dict(zip(columns, map(F.col, names)))
+                below.append(_below(data, table, alias, own))
+                inside.append(_inside(data, alias, own))
+        found = found.unionByName(_ranked(reduce(DataFrame.unionByName, inside),
+                                          reduce(DataFrame.unionByName, below)))
+    return found.groupBy("table_name", "column_name").agg(*[
+        F.min(F.when(F.col("i") == i, F.col("x"))).alias(o) for i, o in enumerate(outputs)])
+
+
+def _below(data, table, alias, cells):
+    """(k, table_name, column_name, i, rank, before): how many values lie below each bracket."""
+    counts = data.agg(*[F.count_if(alias[c] < F.lit(low)).alias(f"b{k}")
+                        for k, c, _, low, _, _ in cells])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.lit(table).alias("table_name"),
+                 F.lit(c).alias("column_name"), F.lit(i).alias("i"),
+                 rank.cast("long").alias("rank"), F.col(f"b{k}").alias("before"))
+        for k, c, i, _, _, rank in cells])))
+
+
+def _inside(data, alias, cells):
+    """(k, f, x): bracket, slice of the bracket, and value, of the values inside a bracket."""
+    within, entries = [], []
+    for k, c, _, low, high, _ in cells:
+        x, low, high = alias[c], F.lit(low), F.lit(high)
+        within.append((x >= low) & (x <= high))
+        part = F.floor((x - low) / (high - low) * F.lit(SLICES))
+        entries.append(F.when(within[-1], F.struct(
+            F.lit(k).alias("k"), F.least(part, F.lit(SLICES - 1)).cast("int").alias("f"),
+            x.alias("x"))))
+    held = data.where(reduce(lambda a, b: a | b, within))
+    return held.select(F.inline(F.filter(F.array(*entries), F.isnotnull)))
+
+
+def _ranked(values, below):
+    """(table_name, column_name, i, x): per bracket the value of the wanted rank."""
+    counted = values.groupBy("k", "f", "x").agg(F.count("*").alias("c"))
+    earlier = Window.partitionBy("k").orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
+    # At most SLICES rows per bracket.
+    slices = counted.groupBy("k", "f").agg(F.sum("c").alias("m")).withColumn(
+        "ahead", F.coalesce(F.sum("m").over(earlier), F.lit(0))).join(F.broadcast(below), "k")
+    wanted = slices.withColumn("ahead", F.col("ahead") + F.col("before")).where(
+        "rank > ahead and rank <= ahead + m").drop("m", "before")
+    upto = Window.partitionBy("k").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    found = counted.join(F.broadcast(wanted), ["k", "f"]).withColumn(
+        "place", F.col("ahead") + F.sum("c").over(upto)).where("place >= rank")
+    return found.groupBy("table_name", "column_name", "i").agg(F.min("x").alias("x"))
 
 
 def _aliased(df, columns):
