@@ -2,14 +2,16 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from tripspark import schema as S
-from tripspark.ml import evaluation, modeling
+from tripspark.ml import evaluation, modeling, moments
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +78,51 @@ def test_cross_validation_equals_the_builtin_one(parts, index):
     assert a == pytest.approx(b, rel=1e-6)
 
 
+@pytest.mark.parametrize("center", [False, True])
+def test_whole_linear_grid_equals_the_builtin_one(spark, center):
+    """Every penalty solved from sums has the error that fitting it has, to 1e-6."""
+    train = spark.range(900).selectExpr(
+        "cast(id as string) as vehid", "'1' as tripid",
+        "if(id % 10 = 0, null, cast(id % 37 as double)) as speed",
+        "cast(pmod(xxhash64(id), 1000) as double) / 100 as noise", "5.0D as constant",
+        "sqrt(id % 37) as bent", "case id % 3 when 0 then 'A' when 1 then 'B' end as kind",
+        "100 + 3.0D * (id % 37) + if(id % 3 = 0, 10, 0) + pmod(xxhash64(id, 1), 100) / 9.0D as label")
+    spec = modeling.default_specs()[0] if not center else modeling.two_model_specs()[0]
+    numeric = ["speed", "noise", "constant", "bent"]
+    mine = modeling.cross_validate(spec, train, numeric, ["kind"], folds=2)
+    maps = [m for m in spec.param_maps()
+            if {p.name: v for p, v in m.items()}.get("aggregationDepth", 2) == 2]
+    chosen = [v for m, v in zip(spec.param_maps(), mine.avg_metrics) if m in maps]
+    builtin = CrossValidator(
+        estimator=modeling.build_pipeline(spec.model.copy({spec.model.maxIter: 1000,
+                                                           spec.model.tol: 1e-12}),
+                                          numeric, ["kind"], spec.scale, center),
+        estimatorParamMaps=maps, numFolds=2, foldCol="fold", parallelism=4,
+        evaluator=RegressionEvaluator(labelCol="label", metricName="rmse")).fit(
+            modeling.add_folds(train, 2, S.TRIP_KEYS))
+    assert len(chosen) == 9 and chosen == pytest.approx(builtin.avgMetrics, rel=1e-6)
+
+
+def test_sums_of_parts_against_numpy(spark):
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(300, 3)), rng.normal(size=300)
+    rows = [(Vectors.dense(a), float(b), int(i % 2)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, ["features", "label", "part"]).repartition(7)
+    found = moments.moments(df)
+    for part in (0, 1):
+        own = np.column_stack([np.ones(150), x[part::2], y[part::2]])
+        assert np.allclose(found[part], own.T @ own)
+    one = moments.Standardised(found[0])
+    line = np.linalg.lstsq(np.column_stack([np.ones(150), x[::2]]), y[::2], rcond=None)[0]
+    intercept, coefficients = one.solve(0.0, 0.0)
+    assert np.allclose([intercept, *coefficients], line) and one.unique()
+    errors = y[1::2] - intercept - x[1::2] @ coefficients
+    assert moments.rmse(found[1], intercept, coefficients) == pytest.approx(
+        math.sqrt(np.mean(errors ** 2)))
+    assert moments.moments(df.limit(0)) == {} and math.isnan(moments.rmse(None, 0.0, line))
+    assert not np.any(one.solve(10.0, 1.0)[1])  # a heavy penalty leaves the mean
+
+
 def test_cross_validation_without_keys(parts):
     spec = modeling.default_specs({"LinearRegression": {"regParam": [0.0]}})[0]
     out = modeling.cross_validate(spec, parts[0].drop("vehid", "tripid"), ["speed"], ["kind"])

@@ -17,7 +17,7 @@ from .. import schema as S
 from ..operators.cleaning import nan_to_null, split_columns_by_type
 from ..operators.selection import split_bucket, split_train_test
 from ..sources.shared import ensure_checkpoints, materialise
-from . import evaluation
+from . import evaluation, moments
 
 
 def impute_stage(numeric, relative_error=0.001):
@@ -182,6 +182,46 @@ def _packed(rows: DataFrame) -> DataFrame:
     return held.coalesce(max(1, -(-held.count() // FIT_ROWS)))
 
 
+def _solved_from_sums(model, maps) -> bool:
+    """Whether the grid is one of plain linear regressions, whose every point follows from sums.
+
+    ``aggregationDepth`` says how sums are added up and changes no result.
+    """
+    return (isinstance(model, LinearRegression) and model.getLoss() == "squaredError"
+            and model.getSolver() in ("auto", "normal") and model.getFitIntercept()
+            and model.getStandardization() and not model.isDefined("weightCol")
+            and {p.name for m in maps for p in m} <= {
+                "regParam", "elasticNetParam", "aggregationDepth"})
+
+
+def _scores_from_sums(spec, maps, rest, held, evaluator):
+    """RMSE on ``held`` of each grid point fitted on ``rest``, from one scan; None if vectors are
+    too wide.
+
+    Where a regression without penalty has no unique solution, the learner itself is fitted once, so
+    that rows outside the span of the training rows get its predictions.
+    """
+    first = rest.select("features").first()
+    if first is None or first["features"].size > moments.MAX_FEATURES:
+        return None
+    sums = moments.moments(rest.withColumn("part", F.lit(0)).unionByName(
+        held.withColumn("part", F.lit(1))), label=S.LABEL)
+    fitted, known, out = moments.Standardised(sums[0]), {}, []
+    for params in maps:
+        values = {p.name: v for p, v in {**spec.model.extractParamMap(), **params}.items()}
+        point = values["regParam"], values["elasticNetParam"]
+        if not point[0]:
+            point = 0.0, 0.0  # without a penalty its kind does not matter
+        if point not in known:
+            if point[0] or fitted.unique():
+                known[point] = moments.rmse(sums.get(1), *fitted.solve(*point))
+            else:
+                known[point] = evaluator.evaluate(
+                    spec.model.copy(params).fit(rest).transform(held))
+        out.append(known[point])
+    return out
+
+
 def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, folds=S.CV_FOLDS,
                    parallelism=None, seed=S.SEED,
                    keys=tuple(S.TRIP_KEYS)) -> CrossValidated:
@@ -191,6 +231,7 @@ def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, fold
     training rows of each fold only.  As the grid concerns the learner alone, that is done once
     per fold and not once per grid point, and the learners of a fold share its cached vectors.
     So many learners are fitted at once as ``parallelism`` says, by default as the session has cores.
+    A grid of linear regressions is solved from one scan per fold, see ``moments``.
     """
     parallelism = parallelism or train.sparkSession.sparkContext.defaultParallelism
     keys = [k for k in keys if k in train.columns] or train.columns
@@ -198,11 +239,17 @@ def cross_validate(spec: ModelSpec, train: DataFrame, numeric, categorical, fold
     maps = spec.param_maps()
     evaluator = RegressionEvaluator(labelCol=S.LABEL, metricName="rmse")
     totals = [0.0] * len(maps)
+    linear = _solved_from_sums(spec.model, maps)
     for fold in range(folds):
         rest, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
         prepared = Pipeline(stages=preparation(numeric, categorical, spec.scale,
                                                spec.center)).fit(rest)
         vectors = [prepared.transform(part).select("features", S.LABEL) for part in (rest, held)]
+        if linear:
+            solved = _scores_from_sums(spec, maps, *vectors, evaluator)
+            if solved is not None:
+                totals = [total + rmse for total, rmse in zip(totals, solved)]
+                continue
         fit_rows, check_rows = map(_packed, vectors)
 
         def score(fitted):

@@ -1294,6 +1294,19 @@ def ml_pipeline(spark, sf):
     return _fit_and_score(spark, sf, "LinearRegression", model, scale=True)
 
 
+@query()
+def ml_linear_grid(spark, sf):
+    """Error over the folds of every penalty of the linear grid, solved from sums."""
+    train, _ = _train_test(spark, sf)
+    numeric, categorical = modeling.usable_columns(train)
+    spec = modeling.default_specs()[0]
+    found = modeling.cross_validate(spec, train, numeric, categorical)
+    return spark.createDataFrame(
+        [(spec.name, modeling.param_text(p), float(v))
+         for p, v in zip(spec.param_maps(), found.avg_metrics)],
+        "model string, params string, avg_cv_rmse double")
+
+
 @query()
 def ml_random_forest(spark, sf):
     name = "RandomForestRegressor"
