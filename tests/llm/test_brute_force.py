@@ -217,6 +217,26 @@ def test_mixing_targets():
     assert max(mixing.passes(tokens, shares, 1110).values()) == pytest.approx(4)
 
 
+@pytest.mark.parametrize("target", [
+    {"target_entropy": 2.0}, {"target_entropy": 9.0}, {"target_entropy": 0.0},
+    {"repetition_limit": 2.0}, {"repetition_limit": 0.5}, {"repetition_limit": None},
+    {"repetition_limit": 3.0, "budget": 200_000}, {"repetition_limit": 1.0, "budget": 10}])
+def test_exponent_of_a_table_of_sources(spark, target):
+    """Many exponents at a time find what plain bisection finds; no number of sources is refused."""
+    tokens = {f"s{i}": i * i % 9973 for i in range(3000)}
+    table = spark.createDataFrame(list(tokens.items()), "mix_source string, tokens long")
+    exponent, total, norm, rate = mixing.table_exponent(table, **target)
+    expected = mixing.solve_exponent(dict(tokens), **target)
+    assert exponent == pytest.approx(expected, abs=1e-9)
+    held = {s: t for s, t in tokens.items() if t}
+    shares = mixing.weights(held, expected)
+    often = mixing.passes(held, shares, target.get("budget"))
+    assert total == sum(tokens.values())
+    for s in ("s1", "s2999", "s1500"):
+        mine = (tokens[s] / total) ** exponent / norm
+        assert mine == pytest.approx(shares[s]) and rate * mine / tokens[s] == pytest.approx(often[s])
+
+
 def test_mixing_with_a_budget(spark):
     rows = [(i, "w " * 10, "big" if i % 3 else "small") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -245,5 +265,5 @@ def test_html_extraction(spark, sf):
 def test_entry_queries_are_registered():
     import __spark_entry__
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()

@@ -5,8 +5,10 @@ is bisected so that the weights have a given entropy, or so that no source is re
 than a limit.  Each source's documents fall into a fixed number of blocks; every epoch takes the
 blocks in a permutation of its own, and the last epoch stops where the source's budget ends.
 
-Totals of sources and blocks are all that is gathered; documents are never moved to be ordered,
-except those of the one block of each source in which its budget ends.
+Sources are rows of a table like others, however many there are.  For an entropy or a budget each
+round of the bisection is one aggregate over them that tries many exponents at once; without a
+budget the smallest and the largest source decide.  Documents are never moved to be ordered, except
+those of the one block of each source in which its budget ends.
 """
 
 import math
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from ..sources.shared import materialise
 
 BLOCKS = 1024
-#: Sources are a short list for the driver; more are refused, not cut.
-MAX_SOURCES = 100_000
+#: Exponents tried by one aggregate, and aggregates; together they cut an interval to 2^-60 of it.
+TRIED = 63
+ROUNDS = 10
 #: Rows of the block plan (sources x blocks x epochs) that may be broadcast; about 50 bytes each.
 BROADCAST_ROWS = 400_000
 MIX_COLUMNS = "mix_source mix_tokens mix_block mix_epoch mix_weight mix_passes mix_slot".split()
@@ -83,35 +86,82 @@ def _seeded(seed, *columns):
     return F.xxhash64(F.lit(seed), *columns)
 
 
+def _search(ok, low, high):
+    """``_bisect`` for a test of many exponents at a time; ``ok`` takes and returns a list."""
+    first, last = ok([low, high])
+    if first or not last:
+        return low if first else high
+    for _ in range(ROUNDS):
+        step = (high - low) / (TRIED + 1)
+        tried = [low + step * (i + 1) for i in range(TRIED)]
+        good = ok(tried)
+        at = good.index(True) if True in good else TRIED
+        low, high = ([low, *tried][at], [*tried, high][at])
+    return high
+
+
+def table_exponent(sources, target_entropy=None, repetition_limit=None, budget=None, highest=16.0):
+    """``solve_exponent`` for a table with a column ``tokens``, one row per source.
+
+    Returns (exponent, all tokens, normaliser, rate): a source of t tokens weighs
+    (t / all) ** exponent / normaliser, and is read rate * weight / t times.
+    """
+    held = sources.where("tokens > 0").select(F.col("tokens").cast("double").alias("t"))
+    facts = held.agg(F.sum("t"), F.min("t"), F.max("t"), F.count("t")).first()
+    total, least, most, number = facts
+    if not number:
+        return 1.0, 1.0, 1.0, 0.0
+    share = F.col("t") / F.lit(total)
+
+    def sums(exponents):
+        """[(sum of powers, entropy)] of the sources' weights at each exponent."""
+        found = held.agg(*[x for a in exponents for x in (
+            F.sum(F.pow(share, F.lit(a))), F.sum(F.pow(share, F.lit(a)) * F.log(share)))]).first()
+        return [(norm, math.log(norm) - a * logs / norm)
+                for a, norm, logs in zip(exponents, found[::2], found[1::2])]
+
+    if number < 2:
+        exponent = 1.0
+    elif target_entropy is not None:
+        exponent = _search(lambda tried: [h <= target_entropy + 1e-12 for _, h in sums(tried)],
+                           0.0, highest)
+    elif budget is None:
+        # Rates differ most between the smallest and the largest source.
+        exponent = solve_exponent({"least": least, "most": most}, None, repetition_limit)
+    else:
+        limit = math.inf if repetition_limit is None else repetition_limit
+        exponent = _search(lambda tried: [
+            budget * (least / total) ** a / norm / least <= limit * (1 + 1e-12)
+            for a, (norm, _) in zip(tried, sums(tried))], 0.0, 1.0)
+    norm = sums([exponent])[0][0]
+    rate = budget
+    if budget is None:
+        rate = max(t * norm / (t / total) ** exponent for t in (least, most))
+    return exponent, total, norm, float(rate)
+
+
 def _plan(docs, seed, **target):
     """(block plan, boundary): which blocks of which source are read in which epoch, and when."""
-    spark = docs.sparkSession
     totals = materialise(docs.groupBy("mix_source", "mix_block").agg(
         F.sum("mix_tokens").alias("block_tokens")), "blocks")
-    rows = totals.groupBy("mix_source").agg(F.sum("block_tokens").alias("tokens")).limit(
-        MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    tokens = {r["mix_source"]: r["tokens"] for r in rows}
-    budget = target.get("budget")
-    if sum(tokens.values()):
-        shares = weights(tokens, solve_exponent(tokens, **target))
-        reads = passes(tokens, shares, budget)
-    else:
-        shares, reads = {s: 0.0 for s in tokens}, {}
-    plan = []
-    for source, held in tokens.items():
-        often = reads.get(source, 1.0)  # sources without words are read once
-        whole = math.floor(often + 1e-9)
-        plan.append((source, held, shares[source], often, whole,
-                     max(0.0, (often - whole) * held) if often - whole > 1e-9 else 0.0))
-    plan = spark.createDataFrame(
-        plan, "mix_source string, mix_all long, mix_weight double, mix_passes double, "
-              "mix_whole long, mix_part double")
+    sources = materialise(totals.groupBy("mix_source").agg(
+        F.sum("block_tokens").alias("tokens")), "sources")
+    exponent, total, norm, rate = table_exponent(sources, **target)
+    tokens = F.col("tokens").cast("double")
+    often = F.when(F.col("tokens") > 0, F.lit(rate) * F.col("mix_weight") / tokens).otherwise(
+        F.lit(1.0))  # sources without words are read once
+    # Written, so that retries agree on the last digits.
+    plan = materialise(sources.withColumn("mix_weight", F.when(
+        F.col("tokens") > 0, F.pow(tokens / F.lit(total), F.lit(exponent)) / F.lit(norm)).otherwise(
+        F.lit(0.0))).withColumn("mix_passes", often).withColumn(
+        "mix_whole", F.floor(F.col("mix_passes") + 1e-9).cast("long")).select(
+        "mix_source", F.col("tokens").alias("mix_all"), "mix_weight", "mix_passes", "mix_whole",
+        F.expr("if(mix_passes - mix_whole > 1e-9D, (mix_passes - mix_whole) * tokens, 0.0D)").alias(
+            "mix_part")), "weights")
     order = Window.partitionBy("mix_source", "mix_epoch").orderBy(
         _seeded(seed, "mix_source", "mix_block", "mix_epoch"), "mix_block").rowsBetween(
         Window.unboundedPreceding, -1)
-    epochs = totals.join(F.broadcast(plan), "mix_source").withColumn(
+    epochs = totals.join(plan, "mix_source").withColumn(
         "mix_epoch", F.explode(F.expr("sequence(0L, mix_whole)"))).withColumn(
         "mix_before", F.coalesce(F.sum("block_tokens").over(order), F.lit(0)))
     # The epoch after the whole ones is read up to its part of the source.
