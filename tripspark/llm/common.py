@@ -1,6 +1,8 @@
 """Helpers that several text operators share: slicing batches, word hashes, bitmaps, components."""
 
 import contextlib
+import ctypes
+import gc
 import os
 import zlib
 
@@ -46,6 +48,23 @@ def crc_bucket(doc_id, buckets):
     return F.pmod(F.crc32(text.cast("binary")), F.lit(buckets))
 
 
+def tidy(run):
+    """``run`` for mapInArrow; at its end the task gives back to the system what it has freed.
+
+    Workers are used again by later stages and would else each keep the largest size they ever had.
+    """
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return tidied
+
+
 def text_slices(batches, id_name="doc_id", text_name="text", limit=SLICE_BYTES):
     """Yield (ids, texts as bytes) of bounded size; a null text is empty.
 
@@ -155,8 +174,8 @@ def add_arrays(rows, dtype=np.int64, bitwise=False):
     Two rounds, so that no task reads a piece from every other task.
     """
     add = _adder(dtype, bitwise)
-    once = rows.repartition("chunk", "part").mapInArrow(add, ARRAY_SCHEMA)
-    done = once.repartition("chunk").mapInArrow(add, ARRAY_SCHEMA).orderBy("chunk").collect()
+    once = rows.repartition("chunk", "part").mapInArrow(tidy(add), ARRAY_SCHEMA)
+    done = once.repartition("chunk").mapInArrow(tidy(add), ARRAY_SCHEMA).orderBy("chunk").collect()
     return np.concatenate([np.frombuffer(zlib.decompress(r["data"]), dtype) for r in done]) \
         if done else None
 
@@ -248,7 +267,7 @@ def rows_without_ids(rows, gone):
                 yield batch.filter(pa.array(hit if inside else ~hit))
         return run
 
-    clear, doubtful = (rows.mapInArrow(part(inside), rows.schema) for inside in (False, True))
+    clear, doubtful = (rows.mapInArrow(tidy(part(inside)), rows.schema) for inside in (False, True))
     return clear.unionByName(doubtful.join(gone, "doc_id", "left_anti"))
 
 
@@ -261,7 +280,8 @@ def rows_with_ids(docs, ids, make, schema):
     ids = ids.where("doc_id is not null").distinct()
     bits = ids_bitmap(ids)
     with small_batches(docs.sparkSession, 1000):
-        found = materialise(docs.mapInArrow(lambda batches: make(maybe_among(batches, bits)), schema).join(
+        found = materialise(docs.mapInArrow(tidy(
+            lambda batches: make(maybe_among(batches, bits))), schema).join(
             ids, "doc_id", "left_semi"), "found")
     bits.unpersist()
     return found

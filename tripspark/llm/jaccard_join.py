@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
 from .common import (add_arrays, array_rows, bitmap_of, components, hashed_ids, ids_bitmap, in_bitmap,
-                     maybe_among, shingle_hashes, small_batches, text_slices, word_hashes)
+                     maybe_among, shingle_hashes, small_batches, text_slices, tidy, word_hashes)
 
 #: Cells of the count sketch that orders the pivots.  The order decides only how much work there is.
 CELL_BITS = 20
@@ -200,7 +200,7 @@ def _sets_of(docs, pairs, width):
             yield flush()
 
     with small_batches(docs.sparkSession, 1000):
-        found = materialise(docs.mapInArrow(build, "doc_id long, own binary, in_a boolean, in_b boolean"),
+        found = materialise(docs.mapInArrow(tidy(build), "doc_id long, own binary, in_a boolean, in_b boolean"),
                             "found")
     for bits in sides:
         bits.unpersist()
@@ -216,7 +216,7 @@ def _links(pairs, regions, docs, percent, width):
     for side in "ab":
         pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n").alias("n" + side),
                                         F.col("buckets").alias("v" + side)), side)
-    near = materialise(pairs.mapInArrow(_near(percent), "a long, b long").distinct(), "near")
+    near = materialise(pairs.mapInArrow(tidy(_near(percent)), "a long, b long").distinct(), "near")
     if near.isEmpty():
         return near
     sets, both = _sets_of(docs, near, width), near
@@ -224,7 +224,7 @@ def _links(pairs, regions, docs, percent, width):
         both = both.join(sets.where("in_" + side).select(
             F.col("doc_id").alias(side), F.col("own").alias("s" + side)), side)
     with small_batches(docs.sparkSession, 100):  # each row holds two sets
-        links = materialise(both.mapInArrow(_linked(percent), "a long, b long").distinct(),
+        links = materialise(both.mapInArrow(tidy(_linked(percent)), "a long, b long").distinct(),
                             "links")
     discard(near, sets)
     return links
@@ -243,7 +243,7 @@ def jaccard_components(documents, percent=85, width=4):
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("text").cast("string").alias("text"))
     with small_batches(spark, 1000):
-        first = materialise(docs.mapInArrow(_first(width), _FIRST), "first")
+        first = materialise(docs.mapInArrow(tidy(_first(width)), _FIRST), "first")
     counts = add_arrays(first.where("chunk is not null").select("chunk", "part", "data"))
     if counts is None:
         counts = np.zeros(1 << CELL_BITS, np.int64)
@@ -255,7 +255,7 @@ def jaccard_components(documents, percent=85, width=4):
     # Ranks only need their order: 32 bits are enough and fixed in size.
     cells = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
     with small_batches(spark, 1000):
-        regions = materialise(docs.mapInArrow(_regions(width, percent, cells, reps), _REGIONS),
+        regions = materialise(docs.mapInArrow(tidy(_regions(width, percent, cells, reps)), _REGIONS),
                               "regions")
     cells.unpersist()
     reps.unpersist()

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
-from .common import add_arrays, array_rows
+from .common import add_arrays, array_rows, tidy
 
 SCALE = 18
 LANES = 16
@@ -450,7 +450,7 @@ def write_token_files(documents, path, end_id=END_ID):
                             F.col("text").cast("string").alias("text"))
     size = WordEncoder(path).size
     kind = np.uint16 if size <= 65536 else np.uint32
-    encoded = materialise(docs.mapInArrow(_encode_texts(path, end_id), _ENCODED), "ids")
+    encoded = materialise(docs.mapInArrow(tidy(_encode_texts(path, end_id)), _ENCODED), "ids")
     ids = encoded.where("chunk is null").select("doc_id", "ids")
     counts = add_arrays(encoded.where("chunk is not null").select("chunk", "part", "data"))
     freq = frequencies(np.zeros(size, np.int64) if counts is None else counts)
@@ -462,7 +462,7 @@ def write_token_files(documents, path, end_id=END_ID):
     order = ["doc_id", "mark", "ids"]
     ordered = ids.withColumn("mark", F.xxhash64("ids")).repartitionByRange(
         *order[:2]).sortWithinPartitions(*order)
-    files = materialise(ordered.mapInArrow(_write_files(table, kind), _FILES), "files")
+    files = materialise(ordered.mapInArrow(tidy(_write_files(table, kind)), _FILES), "files")
     discard(encoded)
     return files, held, size
 
@@ -474,7 +474,7 @@ def read_token_files(files, held, size):
     for row in held.collect():  # at most the vocabulary
         freq[row["id"]] = row["frequency"]
     table = spark.sparkContext.broadcast(Table(freq))
-    docs = files.mapInArrow(_read_files(table), "doc_id long, part int, start long, n_tokens long, "
+    docs = files.mapInArrow(tidy(_read_files(table)), "doc_id long, part int, start long, n_tokens long, "
                                                 "ids_crc32 long")
     before, offsets = 0, []
     for row in files.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
 from .common import (ARRAY_SCHEMA, WORDS, add_arrays, array_rows, crc_bucket, rows_with_ids,
-                     text_slices)
+                     text_slices, tidy)
 
 BITS = 18
 SIZE = 2 << BITS  # words, then beginnings of words
@@ -143,8 +143,8 @@ def train(documents, labels):
         return np.zeros(SIZE, np.float32), -30.0
     prior = min(prior, 0.99)
     positives = rows_with_ids(docs, known.where("toxic > 0").select("doc_id"), iter, docs.schema)
-    everything = add_arrays(docs.mapInArrow(_frequencies, ARRAY_SCHEMA))
-    positive = add_arrays(positives.mapInArrow(_frequencies, ARRAY_SCHEMA))
+    everything = add_arrays(docs.mapInArrow(tidy(_frequencies), ARRAY_SCHEMA))
+    positive = add_arrays(positives.mapInArrow(tidy(_frequencies), ARRAY_SCHEMA))
     if positive is None or everything is None:
         return np.zeros(SIZE, np.float32), -30.0
     place, order = choose_features(positive, everything)
@@ -155,7 +155,7 @@ def train(documents, labels):
         share = min(1.0, 0.9 * most / max(1, held))
         part = df.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000))
                         < int(share * 1_000_000)) if share < 1 else df
-        return _gather(part.mapInArrow(_sampled(chosen), "features array<long>").limit(most))
+        return _gather(part.mapInArrow(tidy(_sampled(chosen)), "features array<long>").limit(most))
 
     p = sample(positives, int(positive[SIZE]), POSITIVES)
     u = sample(docs, int(everything[SIZE]), UNLABELLED)
@@ -205,7 +205,7 @@ def toxicity_scores(documents, training, labels):
     model = documents.sparkSession.sparkContext.broadcast(train(training, labels))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_score(model), "doc_id long, score double").withColumn(
+    return docs.mapInArrow(tidy(_score(model)), "doc_id long, score double").withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -215,7 +215,7 @@ def without_toxic(documents, training, labels):
     Each row is judged by its own text, so ids may be null or repeated.
     """
     model = documents.sparkSession.sparkContext.broadcast(train(training, labels))
-    return documents.mapInArrow(_keep(model, "doc_id", "text"), documents.schema)
+    return documents.mapInArrow(tidy(_keep(model, "doc_id", "text")), documents.schema)
 
 
 def held_out_scores(documents, labels, folds=5):
