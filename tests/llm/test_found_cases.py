@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -17,17 +18,16 @@ def ascii_words(text):
 
 
 def licenses_of(text):
-    """(labels by template, best share) over all lines and all windows."""
+    """(labels by template, best share) over all windows."""
     own, found, best = ascii_words(text), set(), 0.0
-    lines = [ascii_words(line) for line in text.split("\n")]
-    table = licenses.template_table(licenses.TEMPLATES, licenses.THRESHOLD)
-    for (_, label, tokens, need), (_, notice) in zip(table, licenses.TEMPLATES):
-        span = -(-len(notice.split()) * 5 // 4)
-        blocks = lines + [own[i:i + span] for i in range(len(own))]
-        common = max(len(set(tokens) & set(b)) for b in blocks)
-        if common >= need:
-            found.add(label)
-            best = max(best, common / len(tokens))
+    for label, notice in licenses.TEMPLATES:
+        tokens, span = set(notice.split()), -(-len(notice.split()) * 5 // 4)
+        lacking = max(len(tokens) >= 8, len(tokens) * 5 // 100)
+        for i in range(len(own)):
+            left = tokens - set(own[i:i + span])
+            if len(left) <= lacking and not left & licenses.NAMES:
+                found.add(label)
+                best = max(best, 1 - len(left) / len(tokens))
     return found, best
 
 
@@ -45,8 +45,28 @@ def test_wrapped_notices(spark):
     # The words of a notice, but far apart.
     texts.append(("\n" + "filler " * 30 + "\n").join(licenses.TEMPLATES[12][1].split()))
     expected.append(None)
+    texts.append(" ".join("filler " * 30 + w for w in licenses.TEMPLATES[12][1].split()))
+    expected.append(None)  # the same on one line
+    texts.append("word " * 700 + licenses.TEMPLATES[9][1] + " end" * 300)
+    expected.append("bsd")
+    # One word changed, which is no name; and one that is.
+    texts.append(licenses.TEMPLATES[9][1].replace("without modification", "without changes"))
+    expected.append("bsd")
+    texts.append("This Source Code Form is subject to the terms of the Mozilla Public Licence, v. 2.0.")
+    expected.append("mpl")
+    texts.append(licenses.TEMPLATES[12][1].replace("eclipse", "other"))
+    expected.append(None)
+    texts.append("under the terms of the GNU general public license")
+    expected.append(None)  # neither lgpl nor agpl
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     rows = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
+    documents = docs.toPandas()  # the SQL says the same of them
+    with duckdb.connect() as db:
+        db.register("documents", documents)
+        said = db.execute(licenses.SQL).fetch_df().set_index("doc_id")
+    for i, row in rows.items():
+        assert (said.labels[i], said.n_base[i]) == (row["labels"], row["n_base"])
+        assert said.score[i] == pytest.approx(row["score"])
     for i, text in enumerate(texts):
         found, best = licenses_of(text)
         base = set(filter(None, rows[i]["base_labels"].split(",")))

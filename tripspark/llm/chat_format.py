@@ -55,11 +55,18 @@ FILTERS = {
     "escape": escape, "trim": str.strip, "upper": str.upper, "lower": str.lower, "length": len,
     "string": str,
 }
+def _number(value):
+    """Texts and lists are not repeated or formatted, so that no template makes them of any size."""
+    if not isinstance(value, int) or value.bit_length() > 64:
+        raise TypeError("* and % take whole numbers of 64 bits")
+    return value
+
+
 _OPERATORS = {
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "<": lambda a, b: a < b,
     "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b,
     "in": lambda a, b: a in b, "+": lambda a, b: a + b, "-": lambda a, b: a - b,
-    "*": lambda a, b: a * b, "%": lambda a, b: a % b, "~": lambda a, b: f"{a}{b}",
+    "*": lambda a, b: _number(a) * _number(b), "%": lambda a, b: _number(a) % _number(b), "~": lambda a, b: f"{a}{b}",
 }
 _LEVELS = [("==", "!=", "<", "<=", ">", ">=", "in"), ("~",), ("+", "-"), ("*", "%")]
 _CONSTANTS = {"true": True, "false": False, "none": None}

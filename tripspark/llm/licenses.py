@@ -1,9 +1,10 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or a window of consecutive words wherever lines break, so that wrapped notices are
-found.  A template matches a block when the block holds at least ``threshold`` of the template's
-distinct tokens; its windows hold a quarter more words than the template.  Windows are searched in
-overlapping pieces of the text: only a piece that holds enough tokens can have a window that does.
+A block is a window of consecutive words, a quarter longer than the template, wherever lines break.
+A template matches a block that holds at least ``threshold`` of the template's distinct words; from
+``TOLERANT`` words on, one may be lacking in any case.  Words that name a license must stand.
+Windows are searched in overlapping pieces of the text: only a piece that holds enough tokens can
+have a window that does.
 Tokens are ordered by their frequency over the whole corpus, rarest
 first; a block and a template that match share a token of both prefixes (prefix filter), the block
 must be long enough (length filter), and the places of the shared token in both orders bound what
@@ -12,7 +13,7 @@ template can be shared, so blocks are reduced to these; this changes no result.
 
 The base phrases are found as words that stand consecutively, wherever they are.
 
-Everything is DataFrame expressions.  Documents that hold no prefix token are skipped before lines
+Everything is DataFrame expressions.  Documents that hold no prefix token are skipped before pieces
 are cut; the templates are parameters, so their side of the join is small.
 """
 
@@ -65,9 +66,13 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
-#: Short notices need all their words, others may lack one in twenty; templates that differ in one
-#: word stay apart.
+#: Words that tell one license from another; a block must hold those of the template.
+NAMES = frozenset("""affero apache attribution by cc commons creative eclipse gnu lesser mit mozilla
+    nc nd noncommercial sa sharealike unencumbered""".split())
+
+#: Notices may lack one word in twenty, and one in any case from so many distinct words on.
 THRESHOLD = 0.95
+TOLERANT = 8
 #: Pieces of a text start every so many words; each reaches as far as the longest window.
 PIECE = 256
 _SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -88,11 +93,16 @@ def _strings(values):
 
 
 def template_table(templates, threshold):
-    """[(template number, label, distinct tokens, tokens needed)]."""
+    """[(template number, label, distinct tokens, tokens needed, names, words in a window)]."""
     out = []
     for number, (label, text) in enumerate(templates):
-        tokens = sorted(set(text.split()))
-        out.append((number, label, tokens, -(-len(tokens) * round(threshold * 1000) // 1000)))
+        words = text.split()
+        tokens = sorted(set(words))
+        need = -(-len(tokens) * round(threshold * 1000) // 1000)
+        if len(tokens) >= TOLERANT:
+            need = min(need, len(tokens) - 1)
+        out.append((number, label, tokens, need, sorted(NAMES.intersection(tokens)),
+                    -(-len(words) * 5 // 4)))
     return out
 
 
@@ -108,8 +118,8 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
     phrases = PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates
     table = template_table(templates, threshold)
-    spans = [-(-len(text.split()) * 5 // 4) for _, text in templates]
-    vocabulary = sorted({t for _, _, tokens, _ in table for t in tokens})
+    reach = max(t[5] for t in table)
+    vocabulary = sorted({word for t in table for word in t[2]})
 
     lowered = lower_ascii(F.coalesce(documents["text"].cast("string"), F.lit("")))
     docs = documents.select("doc_id", lowered.alias("lowered")).withColumn(
@@ -120,9 +130,9 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
     order = sorted(vocabulary, key=lambda t: (counts.get(t, 0), t))
     rank = {t: i for i, t in enumerate(order)}
     prefixes = []
-    for number, label, tokens, need in table:
+    for number, label, tokens, need, names, span in table:
         ordered = sorted(tokens, key=rank.get)
-        prefixes += [(number, label, len(tokens), need, place, token, tokens, spans[number])
+        prefixes += [(number, label, len(tokens), need, place, token, tokens, names, span)
                      for place, token in enumerate(ordered[:len(tokens) - need + 1])]
     rare = sorted({p[5] for p in prefixes})
 
@@ -142,22 +152,17 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
         F.expr("transform(filter(places, p -> size(p.at) > 0), p -> p.label)").alias("found"))
     base = materialise(base, "scan")  # fixes the row numbers
 
-    least = min(need for _, _, _, need in table)
-    cut = base.where("lowered is not null")
-    lines = cut.select("row", F.posexplode(F.split("lowered", "\n")).alias("block", "line")).select(
-        "row", "block", F.array_intersect(_words(F.col("line")), _strings(vocabulary)).alias(
-            "tokens"), F.lit(None).cast("array<struct<at:int,token:string>>").alias("near"))
-    # A text of one line needs no windows.  Pieces are numbered from -1 down.
-    pieces = cut.where(F.contains("lowered", F.lit("\n"))).select(
+    least = min(t[3] for t in table)
+    pieces = base.where("lowered is not null").select(
         "row", _words(F.col("lowered")).alias("words")).select("row", "words", F.posexplode(F.expr(
-            f"sequence(0, greatest(size(words) - 1, 0), {PIECE})")).alias("piece", "begin"))
-    pieces = pieces.select("row", (-1 - F.col("piece")).alias("block"), F.filter(F.transform(
-        F.expr(f"slice(words, begin + 1, {PIECE + max(spans)})"),
+            f"sequence(0, greatest(size(words) - 1, 0), {PIECE})")).alias("block", "begin"))
+    pieces = pieces.select("row", "block", F.filter(F.transform(
+        F.expr(f"slice(words, begin + 1, {PIECE + reach})"),
         lambda w, i: F.struct(i.alias("at"), w.alias("token"))),
-        lambda s: s["token"].isin(vocabulary)).alias("near")).select(
-        "row", "block", F.array_distinct(F.col("near.token")).alias("tokens"), "near")
+        lambda s: s["token"].isin(vocabulary)).alias("near")).withColumn(
+        "tokens", F.array_distinct(F.col("near.token")))
     ranks = F.create_map(*[x for t in order for x in (F.lit(t), F.lit(rank[t]))])
-    blocks = lines.unionByName(pieces).where(
+    blocks = pieces.where(
         F.size("tokens") >= least).withColumn("tokens", F.transform(F.array_sort(F.transform(
             "tokens", lambda t: F.struct(ranks[t].alias("rank"), t.alias("token")))),
             lambda s: s["token"]))
@@ -167,18 +172,20 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
     spark = documents.sparkSession
     sides = spark.createDataFrame(
         prefixes, "template int, label string, all int, need int, place int, token string, "
-                  "template_tokens array<string>, span int")
+                  "template_tokens array<string>, names array<string>, span int")
     pairs = spread.join(F.broadcast(sides), "token").where(
         "size >= need and least(at, place) + 1 + least(size - 1 - at, all - 1 - place) >= need")
     pairs = pairs.dropDuplicates(["row", "block", "template"]).withColumn(
         "both", F.size(F.array_intersect("tokens", "template_tokens"))).where("both >= need")
-    # Of a piece, the best window that starts at a token of the template.
+    # Of a piece, the best window that starts at a token of the template and holds the names.
     pairs = pairs.withColumn("near", F.filter("near", lambda s: F.array_contains(
-        "template_tokens", s["token"]))).withColumn("both", F.when(
-            F.col("near").isNull(), F.col("both")).otherwise(F.array_max(F.transform(
-                "near", lambda s: F.size(F.array_distinct(F.transform(F.filter(
-                    "near", lambda o: (o["at"] >= s["at"]) & (o["at"] < s["at"] + F.col("span"))),
-                    lambda o: o["token"]))))))).where("both >= need")
+        "template_tokens", s["token"]))).withColumn("windows", F.transform(
+            "near", lambda s: F.array_distinct(F.transform(F.filter(
+                "near", lambda o: (o["at"] >= s["at"]) & (o["at"] < s["at"] + F.col("span"))),
+                lambda o: o["token"]))))
+    pairs = pairs.withColumn("both", F.array_max(F.transform(F.filter(
+        "windows", lambda w: F.size(F.array_except("names", w)) == 0), F.size))).where(
+        "both >= need")
     method = pairs.groupBy("row").agg(F.collect_set("label").alias("matched"),
                                       F.max(F.col("both") / F.col("all")).alias("best"))
     none = F.array().cast("array<string>")
@@ -192,29 +199,35 @@ def license_scan(documents, phrases=None, templates=None, threshold=THRESHOLD):
 
 
 def sql(phrases=None, templates=None, threshold=THRESHOLD):
-    """The same by comparing every block with every template."""
+    """The same by comparing every window that starts at a word of a template with it."""
     phrases = PHRASES if phrases is None else phrases
     words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     starts = ", ".join(
         "list_transform(list_filter(range(1, len(w) + 1), lambda i: "
         + " and ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(phrase.split()))
         + f"), lambda i: {{'label': '{label}', 'at': i - 1}})" for phrase, label in phrases.items())
-    rows = ", ".join(f"({number}, '{label}', {tokens!r}, {need})" for number, label, tokens, need
-                     in template_table(TEMPLATES if templates is None else templates, threshold))
+    rows = ", ".join(
+        f"({number}, '{label}', {len(tokens)}, {need}, {len(names)}, {span}, '{token}', "
+        f"{token in names})" for number, label, tokens, need, names, span
+        in template_table(TEMPLATES if templates is None else templates, threshold)
+        for token in tokens)
     return f"""
 with docs as materialized (
   select row_number() over () as r, doc_id, translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
 words as (select r, doc_id, {words.format('t')} as w from docs),
 base as (select r, doc_id, len(w) as n_words, flatten([{starts}]) as p from words),
-templates(number, label, tokens, need) as (values {rows}),
-blocks as materialized (
-  select r, list_distinct({words.format('line')}) as b
-  from (select r, unnest(string_split(t, chr(10))) as line from docs)),
-scored as (select r, label, len(tokens) as n, need, len(list_intersect(b, tokens)) as common
-  from blocks, templates where len(b) >= need),
+templates(number, label, n, need, names, span, token, is_name) as (values {rows}),
+tokens as (select r, unnest(w) as token, generate_subscripts(w, 1) as i from words),
+scored as (
+  select r, label, n, need, names,
+    count(distinct token) over here as common,
+    count(distinct token) filter (is_name) over here as named
+  from tokens join templates using (token)
+  window here as (partition by r, number order by i
+    range between current row and span - 1 following)),
 method as (select r, list_distinct(list(label)) as found, max(common / n) as best from scored
-  where common >= need group by r)
+  where common >= need and named = names group by r)
 select doc_id, n_words, len(p) as n_base, list_min(list_transform(p, lambda x: x.at)) as first_word,
   list_max(list_transform(p, lambda x: x.at)) as last_word,
   array_to_string(list_sort(list_distinct(list_transform(p, lambda x: x.label))), ',')
