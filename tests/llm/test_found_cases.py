@@ -1,6 +1,7 @@
 """What the second review found missing, against brute force where that is possible."""
 
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tripspark.llm import decontaminate, html_extract, licenses, toxicity
+from tripspark.llm import chat_format, decontaminate, html_extract, licenses, toxicity
 
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -202,3 +203,41 @@ def test_toxicity_of_the_pipeline_is_by_row(spark, sf):
     assert kept.count() == expected
     assert kept.where(f"doc_id = {bad['doc_id']}").count() == again.where(
         f"predicted = 0 and doc_id = {bad['doc_id']}").count() > 0
+
+
+def deep(parts):
+    return "".join(parts * 20_000)
+
+
+@pytest.mark.parametrize("page,words", [
+    (deep(["<div>word "]), 20_000),
+    (deep(["<div class=a>word </b><p>more "]), 40_000),
+    (deep(["<span>"]) + deep(["<div>word</div>"]), 20_000),
+    (deep(["<div>"]) + deep(["<li>word"]), 20_000),
+    (deep(["<form>"]) + "<article>word</article>" + deep([" more</form>"]), 20_001),
+])
+def test_deep_nesting_takes_time_in_proportion(page, words):
+    started = time.monotonic()
+    own, _ = html_extract.page_votes(page)
+    assert len(html_extract.extract(page, None).split()) == words
+    assert time.monotonic() - started < 30  # work in the square of the depth takes minutes
+    assert sum(map(len, own)) < 400 * words
+
+
+def test_deep_paths_keep_their_names():
+    inside = "<main><p>The text of it, long enough. And more.</p></main><p>Other.</p>"
+    pages = [f"{'<div class=x>' * n}{inside}" for n in (10, 100, 100, 101)]
+    votes = [html_extract.page_votes(page)[0] for page in pages]
+    best = [max(own, key=lambda p: own[p][0]) for own in votes]
+    assert best[1] == best[2] and len(set(best)) == 3
+    assert best[0].count("/") == 11 and best[1].rpartition("/")[2].startswith("main.~")
+    for page, path in zip(pages, best):
+        assert html_extract.extract(page, path) == "The text of it, long enough. And more."
+
+
+@pytest.mark.parametrize("template", [
+    "{{ 'a' * 1000000000000 }}", "{{ '%999999999d' % 1 }}", "{{ [1] * 99999999999 }}",
+    "{{ 2 * " + "9" * 40 + " }}"])
+def test_templates_make_no_large_values(template):
+    with pytest.raises(chat_format.TemplateError):
+        chat_format.compile_template(template)()

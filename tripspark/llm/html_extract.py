@@ -8,12 +8,20 @@ links.  Then every page is read again and its text taken from the containers on
 the text that stands directly in the containers around; a page that lacks it votes alone.
 
 Votes are summed in tasks before they are shuffled, so a host with very many pages is no burden.
+
+Time and memory grow in proportion to a page, however deep its elements are nested: its paths are
+nodes of a trie, and elements point to what stands around them.  A path of more than ``NAMED`` steps
+is written as its first steps, its own tag and a hash of the rest; equal paths are still equal and
+others differ, but only its first steps count as what stands around it when it is raised.
 """
 
+import heapq
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
@@ -22,6 +30,8 @@ from ..sources.shared import materialise
 BROADCAST_HOSTS = 50_000
 #: Votes that a task holds before it hands them on.
 HELD = 200_000
+#: Steps of a path that are written out.
+NAMED = 64
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -43,12 +53,10 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 CONTAINERS = frozenset("article body center div main section td html".split())
 #: A start tag that ends open elements of these kinds, up to the nearest of the second kind.
-CLOSES = {
-    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
-    "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
-    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "option": ({"option"}, {"select"}),
-}
+ENDS = [({"li"}, {"ul", "ol", "menu"}), ({"dt", "dd"}, {"dl"}), ({"tr", "td", "th"}, {"table"}),
+        ({"td", "th"}, {"tr", "table"}), ({"option"}, {"select"})]
+_ENDING = frozenset().union(*(closed | bound for closed, bound in ENDS))
+CLOSES = {"li": 0, "dt": 1, "dd": 1, "tr": 2, "td": 3, "th": 3, "option": 4}
 #: Words of class, id or role that mark what is not main text.
 MARKS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment
     comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation
@@ -68,16 +76,66 @@ _NAMES = re.compile(r"[a-z]+")
 _INLINE_SPACE = re.compile(r"\s+")
 
 
+class _Path:
+    """A generalised path as a node of its page's trie; ``first`` and ``last`` number its subtree."""
+
+    __slots__ = ("step", "depth", "kids", "head", "key", "first", "last")
+
+    def __init__(self, up=None, step=""):
+        self.step, self.kids = step, {}
+        self.depth = up.depth + 1 if up else 0
+        if self.depth <= NAMED:
+            self.head, self.key = f"{up.head}/{step}" if up else "", ""
+        else:
+            self.head = up.head
+            self.key = xxhash.xxh3_128_hexdigest(f"{up.key}/{step}")
+
+    def below(self, step):
+        found = self.kids.get(step)
+        if found is None:
+            found = self.kids[step] = _Path(self, step)
+        return found
+
+    @property
+    def name(self):
+        if not self.key:
+            return self.head
+        return f"{self.head}/{self.step.split('.')[0]}.~{self.key}"
+
+
+def _numbered(root):
+    """{name: path} of a trie, whose subtrees are numbered."""
+    names, stack, number = {}, [(root, False)], 0
+    while stack:
+        path, done = stack.pop()
+        if done:
+            path.last = number - 1
+            continue
+        path.first, number = number, number + 1
+        names[path.name] = path
+        stack.append((path, True))
+        stack += [(kid, False) for kid in path.kids.values()]
+    return names
+
+
 class _Node:
-    """An element; ``marked`` and ``story`` are the nearest that is marked and the nearest article
-    or main, itself or around it."""
+    """An element; ``marked``, ``story``, ``container`` and ``block`` are the nearest that is marked,
+    the nearest article or main, container and block, itself or around it.  ``open`` holds, by kind
+    of ``ENDS``, the outermost element that a start tag would end."""
 
-    __slots__ = ("tag", "path", "dropped", "link", "parent", "marked", "story")
+    __slots__ = ("tag", "path", "dropped", "link", "parent", "marked", "story", "container", "block",
+                 "open")
 
     def __init__(self, tag, path, dropped, link, parent, marked=False):
         self.tag, self.path, self.dropped, self.link, self.parent = tag, path, dropped, link, parent
         self.marked = self if marked else parent and parent.marked
         self.story = self if tag in ("article", "main") else parent and parent.story
+        self.container = self if parent is None or tag in CONTAINERS else parent.container
+        self.block = self if parent is None or tag in BLOCKS else parent.block
+        self.open = parent.open if parent else (None,) * len(ENDS)
+        if tag in _ENDING:
+            self.open = tuple(None if tag in bound else top or (self if tag in closed else None)
+                              for top, (closed, bound) in zip(self.open, ENDS))
 
 
 def _attributes(text):
@@ -109,7 +167,7 @@ def _open(tag, raw, parent):
                 "hidden" in found or found.get("aria-hidden") == "true"
                 or "display:none" in found.get("style", "").replace(" ", "").lower())
     step = f"{tag}.{classes.replace(' ', '.')}" if classes else tag
-    return _Node(tag, f"{parent.path}/{step}", dropped, parent.link or tag == "a", parent, marked)
+    return _Node(tag, parent.path.below(step), dropped, parent.link or tag == "a", parent, marked)
 
 
 def _kept_marks(cut):
@@ -150,16 +208,20 @@ def _kept_marks(cut):
         if around is not None:
             sums[around] += sums[node]
             told[around] += told[node]
-    kept = set()
+    inner = {}
+    for node in order:
+        inner.setdefault(node.parent.marked, []).append(node)
+    kept, reached, at = set(), [], None
     while free is None:
-        open_ = [n for n in order if n not in kept and told[n]
-                 and (n.parent.marked is None or n.parent.marked in kept)]
-        if not open_:
+        for node in inner.get(at, ()):
+            if told[node]:
+                heapq.heappush(reached, (-told[node], order[node], node))
+        if not reached:
             break
-        best = max(open_, key=lambda n: (told[n], -order[n]))
-        kept.add(best)
-        if best in stories:
-            free = best
+        at = heapq.heappop(reached)[2]
+        kept.add(at)
+        if at in stories:
+            free = at
     for node in order:
         around = node.parent.marked
         if (around is None or around in kept) and sums[node] >= BULK * total and (
@@ -168,12 +230,12 @@ def _kept_marks(cut):
     return kept
 
 
-def blocks(source):
+def blocks(source, root=None):
     """[(element that holds it, text)] of each block of a page in order; markup may be broken.
 
-    A block is the text between two borders of block elements.  Dropped elements give none.
+    Paths are put below ``root``.  A block is the text between two borders of block elements.  Dropped elements give none.
     """
-    cut = list(_cut(source))
+    cut = list(_cut(source, root or _Path()))
     kept, stays, found = _kept_marks(cut), {None: True}, []
     for pieces in cut:
         own = []
@@ -192,10 +254,15 @@ def blocks(source):
     return found
 
 
-def _cut(source):
+def _cut(source, path):
     """Yield each block as its pieces, (element, text), with those of marked elements."""
-    root = _Node("", "", False, False, None)
-    here, pieces, at = root, [], 0
+    root = _Node("", path, False, False, None)
+    here, pieces, at, depths = root, [], 0, Counter()  # how many elements of a tag are open
+
+    def end(node):
+        while node is not here:
+            depths[node.tag] -= 1
+            node = node.parent
 
     while at < len(source):
         match = _TOKEN.search(source, at)
@@ -218,82 +285,69 @@ def _cut(source):
                 pieces.append((here, " "))
             continue
         if ends:
-            node = here
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            if depths[tag]:
+                left = here
+                while here.tag != tag:
+                    here = here.parent
+                here = here.parent
+                end(left)
             continue
         if tag in VOID:
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*(?:>|\Z)", re.I).search(source, at)
-            at = end.end() if end else len(source)
+            closing = re.compile(rf"</{tag}\s*(?:>|\Z)", re.I).search(source, at)
+            at = closing.end() if closing else len(source)
             continue
-        if tag in BLOCKS:  # a paragraph ends where another block begins
-            node = here
-            while node is not root and node.tag not in BLOCKS:
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
-        if tag in CLOSES:
-            closed, bound = CLOSES[tag]
-            node, top = here, None
-            while node is not root and node.tag not in bound:
-                if node.tag in closed:
-                    top = node
-                node = node.parent
-            if top:
-                here = top.parent
+        left = here
+        if tag in BLOCKS and here.block.tag == "p":  # a paragraph ends where another block begins
+            here = here.block.parent
+        if tag in CLOSES and here.open[CLOSES[tag]]:
+            here = here.open[CLOSES[tag]].parent
+        end(left)
         if not match[3].rstrip().endswith("/") or tag not in ("path", "g", "circle"):
             here = _open(tag, match[3], here)
+            depths[tag] += 1
     if pieces:
         yield pieces
 
 
-def _container(node):
-    while node.parent is not None and node.tag not in CONTAINERS:
-        node = node.parent
-    return node
-
-
 def _value(text):
     return len(text) + 25.0 * len(re.findall(r"[.,;:!?]", text))
 
 
-def scored(source):
+def scored(source, root=None):
     """{container: score} and the blocks of a page as (container, text, whether it is a link).
 
     A block of running text counts its length for the container in which it stands and half of it
     for the next one around; links count nothing.
     """
     scores, found = {}, []
-    for node, text in blocks(source):
-        holder = _container(node)
+    for node, text in blocks(source, root):
+        holder = node.container
         found.append((holder, text, node.link))
         if node.link:
             continue
         value = _value(text)
         scores[holder] = scores.get(holder, 0.0) + value
         if holder.parent is not None:
-            above = _container(holder.parent)
+            above = holder.parent.container
             scores[above] = scores.get(above, 0.0) + value / 2
     return scores, found
 
 
-def page_votes(source):
+def page_votes(source, root=None):
     """({path: [score, value of text directly there, value of links]}, blocks) of a page.
 
     A page has one vote, shared among its paths.
     """
-    scores, found = scored(source)
+    scores, found = scored(source, root)
     total, own = sum(scores.values()), {}
     if total:
         for node, score in scores.items():
             own.setdefault(node.path, [0.0, 0.0, 0.0])[0] += score / total
         for node, text, link in found:
             own.setdefault(node.path, [0.0, 0.0, 0.0])[1 + link] += _value(text) / total
-    return own, found
+    return {path.name: values for path, values in own.items()}, found
 
 
 def _depth(path, other):
@@ -307,7 +361,7 @@ def _depth(path, other):
 
 
 def _within(path, inside):
-    return path == inside or path.startswith(inside + "/")
+    return inside is not None and inside.first <= path.first <= inside.last
 
 
 def raised(path, levels):
@@ -333,31 +387,34 @@ def raised(path, levels):
     return "/".join(steps[:top + 1])
 
 
-def _taken(found, path, top):
+def _taken(found, names, path, top):
     """The blocks of the article; none if the page has nothing on the raised path."""
     story = top.rpartition("/")[2].split(".")[0] in ("article", "main")
+    path, top = names.get(path), names.get(top)
     out, hit = [], False
-    for node, text, link in found:
+    for node, text, link in found if top else ():
         if _within(node.path, top):
             hit = True
             if story or not link or _within(node.path, path):
                 out.append(text)
-        elif not link and _within(path, node.path) and (not story or node.tag == "main"):
+        elif not link and _within(top, node.path) and (not story or node.tag == "main"):
             out.append(text)
     return out if hit else []
 
 
 def extract(source, path, top=None):
     """The main text of a page by its host's winning path and that path raised, or by its own."""
-    own, found = page_votes(source)
-    taken = _taken(found, path, path if top is None else top) if path is not None else []
+    root = _Path()
+    own, found = page_votes(source, root)
+    names = _numbered(root)
+    taken = _taken(found, names, path, path if top is None else top) if path is not None else []
     if not taken and own:
         best = max(own, key=lambda p: (own[p][0], p))
         levels = {}
         for other, (_, text, links) in own.items():
             at = levels.setdefault(_depth(best, other), [0.0, 0.0])
             at[0], at[1] = at[0] + text, at[1] + links
-        taken = _taken(found, best, raised(best, levels))
+        taken = _taken(found, names, best, raised(best, levels))
     return "\n".join(taken or [text for _, text, _ in found])
 
 
