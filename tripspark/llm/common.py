@@ -189,25 +189,26 @@ def bitmap_slots(values):
         BITMAP_BITS - 1)
 
 
-def bitmap_of(df, column):
+def bitmap_of(df, column, make=None):
     """A Bloom bitmap of fixed size over a column of 64-bit hashes, for skipping non-members.
 
-    Its size does not depend on the data; a fuller bitmap only skips less.
+    ``make`` turns the column's numbers into hashes where it holds others.  The bitmap's size does not depend on the data; a fuller bitmap only skips less.
     """
     def mark(batches):
         bits = None
         for batch in batches:
-            values = batch.column(column).drop_null().to_numpy(zero_copy_only=False)
+            values = batch.column(column).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+            values = values.view(np.uint64) if make is None else make(values)
             if bits is None:
                 bits = np.zeros(BITMAP_BITS // 8, np.uint8)
-            for slot in bitmap_slots(values.astype(np.int64).view(np.uint64)):
+            for slot in bitmap_slots(values):
                 np.bitwise_or.at(bits, (slot >> np.uint64(3)).astype(np.int64),
                                  np.left_shift(1, (slot & np.uint64(7)).astype(np.uint8)
                                                ).astype(np.uint8))
         if bits is not None:
             yield array_rows(bits, 64, np.uint8)
 
-    rows = df.select(F.col(column).cast("long")).mapInArrow(mark, ARRAY_SCHEMA)
+    rows = df.select(F.col(column).cast("long")).mapInArrow(tidy(mark), ARRAY_SCHEMA)
     bits = add_arrays(rows, np.uint8, bitwise=True)
     return np.zeros(BITMAP_BITS // 8, np.uint8) if bits is None else bits
 
@@ -231,14 +232,8 @@ def hashed_ids(values):
 
 
 def ids_bitmap(ids):
-    """The bitmap of a column doc_id, broadcast."""
-    def hash_ids(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashed_ids(batch.column("doc_id").to_numpy()).view(np.int64))], names=["h"])
-
-    return ids.sparkSession.sparkContext.broadcast(
-        bitmap_of(ids.mapInArrow(hash_ids, "h long"), "h"))
+    """The bitmap of a column doc_id, broadcast; ids are hashed in the worker that marks them."""
+    return ids.sparkSession.sparkContext.broadcast(bitmap_of(ids, "doc_id", hashed_ids))
 
 
 def maybe_among(batches, bits):

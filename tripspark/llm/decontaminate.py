@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
-from .common import WORDS, bitmap_of, finish, in_bitmap, rows_with_ids, small_batches, text_slices
+from .common import (WORDS, bitmap_of, finish, in_bitmap, rows_with_ids, small_batches, text_slices,
+                     tidy)
 
 SPAN = 12
 CLASSES = 4
@@ -169,7 +170,7 @@ def overlaps(documents, benchmark):
         f"n > 0 and n < {SPAN}").select("n").distinct().collect())
     tests = materialise(items.mapInArrow(_seed_rows(widths, True), kinds).distinct(), "seeds")
     bits = spark.sparkContext.broadcast(bitmap_of(tests, "seed"))
-    hits = docs.mapInArrow(_seed_rows(widths, False, bits), kinds)
+    hits = docs.mapInArrow(tidy(_seed_rows(widths, False, bits)), kinds)
     with small_batches(spark, 1000):
         lined = materialise(
             hits.withColumnsRenamed({"id": "doc_id", "place": "at"}).join(
@@ -184,7 +185,8 @@ def overlaps(documents, benchmark):
         "doc_id", "item_id", "item", "shift", F.expr(
             "substring(words, cast(greatest(shift, 0) * 8 + 1 as int), "
             "cast((m + least(shift, 0)) * 8 as int))").alias("doc"))
-    found = aligned.mapInArrow(_verify, "doc_id long, item_id long, equal_words long, share double")
+    found = aligned.mapInArrow(
+        tidy(_verify), "doc_id long, item_id long, equal_words long, share double")
     found = found.where(F.col("share") >= SHARE).withColumnRenamed("item_id", "id").join(
         numbered.select("id", "item_id"), "id")
     return found.groupBy("doc_id", "item_id", F.when(F.col("item_id").isNull(), F.col("id")).alias(

@@ -272,7 +272,7 @@ def jaccard_components(documents, percent=85, width=4):
         F.count(F.lit(1)).alias("m")).where("m > 1").select("pivot"), "shared")
     bits = spark.sparkContext.broadcast(bitmap_of(shared, "pivot"))
     members = regions.select("doc_id", "n", "pivots").mapInArrow(
-        _members(bits), "pivot long, doc_id long, n long, pos long")
+        tidy(_members(bits)), "pivot long, doc_id long, n long, pos long")
     members = materialise(members.join(shared, "pivot"), "members")
     bits.unpersist()
     discard(shared)
