@@ -54,9 +54,18 @@ def write_json(df: DataFrame, path) -> None:
         "overwrite").json(path)
 
 
-def write_variant(df: DataFrame, path, fmt, codec, files=None) -> None:
-    """One format and codec; ``files`` fixes the number of files at the price of a shuffle."""
-    shaped = df.repartition(files) if files else df
+def write_variant(df: DataFrame, path, fmt, codec, files=None, spread=True) -> None:
+    """One format and codec; ``files`` fixes the number of files at the price of a shuffle.
+
+    A table that is read as it is needs no ``spread``: where it has partitions enough, as many
+    tasks as files read and write it without a shuffle.
+    """
+    if files is None:
+        shaped = df
+    elif spread or df.rdd.getNumPartitions() < files:
+        shaped = df.repartition(files)
+    else:
+        shaped = df.coalesce(files)
     writer = shaped.write.mode("overwrite").option("compression", codec)
     if fmt == "csv":
         writer = writer.option("header", True)
