@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
-from .common import add_arrays, array_rows, tidy
+from .common import add_arrays, array_rows, give_back, tidy
 
 SCALE = 18
 LANES = 16
@@ -390,6 +390,17 @@ def decode_blocks(index, stream, n, table, first=0, last=None):
 _FILES = "part int, seq int, start long, n_docs long, n_ids long, body binary"
 
 
+def _without_encoders(run):
+    """``run`` for mapInArrow in workers that still remember the words of an earlier stage: once all
+    texts are encoded, that is forgotten."""
+    def forgotten(batches):
+        if _ENCODERS:
+            _ENCODERS.clear()
+            give_back()
+        yield from run(batches)
+    return forgotten
+
+
 def _write_files(table, kind):
     def run(batches):
         unpack, part, seq, start = (zstandard.ZstdDecompressor(), TaskContext.get().partitionId(),
@@ -462,7 +473,8 @@ def write_token_files(documents, path, end_id=END_ID):
     order = ["doc_id", "mark", "ids"]
     ordered = ids.withColumn("mark", F.xxhash64("ids")).repartitionByRange(
         *order[:2]).sortWithinPartitions(*order)
-    files = materialise(ordered.mapInArrow(tidy(_write_files(table, kind)), _FILES), "files")
+    files = materialise(ordered.mapInArrow(tidy(
+        _without_encoders(_write_files(table, kind))), _FILES), "files")
     discard(encoded)
     return files, held, size
 
@@ -474,8 +486,8 @@ def read_token_files(files, held, size):
     for row in held.collect():  # at most the vocabulary
         freq[row["id"]] = row["frequency"]
     table = spark.sparkContext.broadcast(Table(freq))
-    docs = files.mapInArrow(tidy(_read_files(table)), "doc_id long, part int, start long, n_tokens long, "
-                                                "ids_crc32 long")
+    docs = files.mapInArrow(tidy(_without_encoders(_read_files(table))),
+                            "doc_id long, part int, start long, n_tokens long, ids_crc32 long")
     before, offsets = 0, []
     for row in files.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():
         offsets.append((row["part"], before))  # one row per partition
