@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
-from .common import add_arrays, array_rows, give_back, tidy
+from .common import KEPT, add_arrays, array_rows, drop_kept, tidy
 
 SCALE = 18
 LANES = 16
@@ -40,6 +40,8 @@ BLOCK = 4096
 FILE_IDS = 1 << 20
 #: Words and stems whose ids a Python worker remembers.
 REMEMBERED = 1_000_000
+#: Bytes of words that it remembers; words of one slice are held together, however long.
+REMEMBERED_BYTES = 1 << 25
 END_ID = 1
 MAGIC = b"RNS1"
 _HEAD = struct.Struct("<4sIIIIIQQQ")
@@ -63,15 +65,22 @@ TOGETHER = 4096
 
 
 class Memory:
-    """The ids of words, one after the other."""
+    """The ids of words, one after the other; the words are an Arrow array."""
 
     def __init__(self, kind):
-        self.known, self.pool, self.used = {}, np.empty(1 << 16, kind), 0
-        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.words, self.used = pa.array([], pa.large_string()), 0
+        self.pool = np.empty(1 << 16, kind)
+        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+
+    def find(self, words):
+        """Where each word stands; -1 if it is not known."""
+        if not len(self.words):
+            return np.full(len(words), -1)
+        return pc.fill_null(pc.index_in(words, self.words), -1).to_numpy().astype(np.int64)
 
     def take(self, words, ids, lengths):
         """Remember words that are not known yet; ``ids`` are those of all, ``lengths`` how many."""
-        at, count = len(self.known), len(words)
+        at, count = len(self.words), len(words)
         while at + count > len(self.first):
             self.first, self.length = (np.concatenate([x, np.zeros_like(x)])
                                        for x in (self.first, self.length))
@@ -82,11 +91,11 @@ class Memory:
         self.length[at:at + count] = lengths
         self.first[at:at + count] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
-        self.known.update(zip(words, range(at, at + count)))
+        self.words = pa.concat_arrays([self.words, words])
 
     def ids(self, places):
         """The ids of the words at these places, and how many each has."""
-        first, length = self.first[places], self.length[places]
+        first, length = self.first[places], self.length[places].astype(np.int64)
         run = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
         return self.pool[np.repeat(first, length) + run], length
 
@@ -157,20 +166,24 @@ class WordEncoder:
         return np.concatenate(ids), np.concatenate(lengths)
 
     def _places(self, words, encode):
-        """Where each of the distinct words is remembered, among the young."""
-        if len(self.young.known) + len(words) > REMEMBERED // 2:
-            self.old, self.young = self.young, Memory(self.kind)
-        missing = [w for w in words if w not in self.young.known]
-        if missing:
-            before = self.old.known
-            moved = [w for w in missing if w in before]
-            if moved:
-                self.young.take(moved, *self.old.ids(np.fromiter(
-                    map(before.__getitem__, moved), np.int64, len(moved))))
-                missing = [w for w in missing if w not in before]
-        if missing:
-            self.young.take(missing, *encode(missing))
-        return np.fromiter(map(self.young.known.__getitem__, words), np.int64, len(words))
+        """Where each of the distinct words (an Arrow array) is remembered, among the young."""
+        young, words = self.young, words.cast(pa.large_string())
+        if (len(young.words) + len(words) > REMEMBERED // 2
+                or young.words.nbytes + words.nbytes > REMEMBERED_BYTES // 2):
+            self.old, self.young = young, Memory(self.kind)
+        at = self.young.find(words)
+        lacking = np.flatnonzero(at < 0)
+        if len(lacking):
+            known, missing = len(self.young.words), words.take(pa.array(lacking))
+            before = self.old.find(missing)
+            moved, new = np.flatnonzero(before >= 0), np.flatnonzero(before < 0)
+            at[lacking[np.concatenate([moved, new])]] = np.arange(known, known + len(lacking))
+            if len(moved):
+                self.young.take(missing.take(pa.array(moved)), *self.old.ids(before[moved]))
+            if len(new):
+                missing = missing.take(pa.array(new))
+                self.young.take(missing, *encode(missing.to_pylist()))
+        return at
 
     def _apart(self, words):
         found = self._alone(words)
@@ -186,16 +199,16 @@ class WordEncoder:
             np.zeros(len(words), bool))
         is_plain = plain.to_numpy(zero_copy_only=False)
         # The ids of the distinct words, one after the other.
-        odd = words.filter(pc.invert(plain)).to_pylist()
+        odd = words.filter(pc.invert(plain))
         stem = words.filter(plain)
         sign = np.where(pc.ends_with(stem, ".").to_numpy(zero_copy_only=False), 0, np.where(
             pc.ends_with(stem, ",").to_numpy(zero_copy_only=False), 1, -1))
         stem = pc.utf8_lower(pc.utf8_rtrim(stem, ".,")).dictionary_encode()
         parts = []
         for names, encode, where in ((odd, self._apart, None), (
-                stem.dictionary.to_pylist(), self._stems, stem.indices.to_numpy())):
+                stem.dictionary, self._stems, stem.indices.to_numpy())):
             at = self._places(names, encode)
-            length, first = self.young.length[at], self.young.first[at]
+            length, first = self.young.length[at].astype(np.int64), self.young.first[at]
             if where is not None:
                 length, first = length[where], first[where]
             parts.append((self.young.pool, first, length))
@@ -218,7 +231,7 @@ class WordEncoder:
         return ids[run], np.diff(ends)
 
 
-_ENCODERS: dict = {}
+_ENCODERS = KEPT.setdefault("encoders", {})
 
 
 def encoder(path):
@@ -394,9 +407,7 @@ def _without_encoders(run):
     """``run`` for mapInArrow in workers that still remember the words of an earlier stage: once all
     texts are encoded, that is forgotten."""
     def forgotten(batches):
-        if _ENCODERS:
-            _ENCODERS.clear()
-            give_back()
+        drop_kept()
         yield from run(batches)
     return forgotten
 
@@ -461,7 +472,8 @@ def write_token_files(documents, path, end_id=END_ID):
                             F.col("text").cast("string").alias("text"))
     size = WordEncoder(path).size
     kind = np.uint16 if size <= 65536 else np.uint32
-    encoded = materialise(docs.mapInArrow(tidy(_encode_texts(path, end_id)), _ENCODED), "ids")
+    encoded = materialise(docs.mapInArrow(
+        tidy(_encode_texts(path, end_id), "encoders"), _ENCODED), "ids")
     ids = encoded.where("chunk is null").select("doc_id", "ids")
     counts = add_arrays(encoded.where("chunk is not null").select("chunk", "part", "data"))
     freq = frequencies(np.zeros(size, np.int64) if counts is None else counts)
