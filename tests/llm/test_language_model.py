@@ -98,3 +98,24 @@ def test_answers_take_less_room_than_the_chunks_that_ask(spark, monkeypatch, tmp
     assert sum(r["n_tokens"] for r in rows) == len(ranks) + len(texts)
     took = {n: sum(s for name, s in sizes if name == n) for n, _ in sizes}
     assert took["answers"] + took.get("found", 0) < 0.6 * took["chunks"]
+
+
+def test_pairs_are_seated_in_as_many_sweeps_as_classes(spark, monkeypatch):
+    """Each time given the tables of the time before, which classes have as their customers."""
+    rounds, plain = [], hpy_lm._seat_pairs
+
+    def seat(model, number):
+        rounds.append((number, model.value.customers.sum()))
+        return plain(model, number)
+
+    monkeypatch.setattr(hpy_lm, "_seat_pairs", seat)
+    texts = ["the cat sat on the mat", "the dog sat on the cat the dog", "on and on"] * 20
+    training = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    once, more, blocks, model, _ = hpy_lm._fit(training)
+    assert [n for n, _ in rounds] == list(range(hpy_lm.SWEEPS))
+    tables = sum(int(hpy_lm._pairs_of(batch, at)[3].sum()) for part in (once, more)
+                 for batch in part.toArrow().to_batches() for at in range(batch.num_rows))
+    assert model.customers.sum() == tables
+    # Before the first time every pair has one table.
+    pairs = {p for t in texts for p in zip(["", *t.split()], [*t.split(), "\n"])}
+    assert rounds[0][1] == len(pairs) and rounds[1][1] > rounds[0][1]
