@@ -108,3 +108,28 @@ def test_edges(spark):
                    40: [(1, -0.5), (0, -1.0), (20, -1.0), (20, -1.0), (1, -2.0)]}
     assert found(vector_search.nearest(spark.createDataFrame(rows[:0], kind))) == {}
     assert found(vector_search.nearest(spark.createDataFrame(rows[:1], kind))) == {}
+
+
+@pytest.mark.parametrize("dim,scale", [(8, 1.0), (8, 1e-160), (8, 1e200), (700, 1.0)])
+def test_only_what_can_reach_is_compared_in_full(dim, scale):
+    """As plain search of all pairs finds them, with few products in full, with and without floors."""
+    rng = np.random.default_rng(dim)
+    shape = vector_search.Pivots(rng.normal(size=(40, dim)), 5, 16)
+    entries, queries = rng.normal(size=(3000, dim)) * scale, rng.normal(size=(30, dim))
+    entries[1000:1100] = entries[:100]
+    orders, weights = shape.orders(queries)[0], np.ascontiguousarray(
+        shape.weights(shape.orders(entries)[0]).T)
+    own = shape.weights(orders)
+    like = np.array([np.minimum(w[:, None], weights).sum(0) for w in own])
+    assert (vector_search.likeness(own, weights) == like).all()
+    least = np.sort(like, 1)[:, 1500]
+    with np.errstate(all="ignore"):
+        score = np.array([vector_search.inner_products(np.tile(q, (3000, 1)), entries) for q in queries])
+    floor = np.where(np.arange(30) % 3, np.sort(score, 1)[:, 2800], -np.inf)
+    x, y = vector_search.reaching(shape, queries, orders, least, floor, entries, weights, 21)
+    # Where squares overflow nothing is known, and all stay in.
+    assert (len(x) <= 30 * 30 or scale > 1e150) and (np.diff(x) >= 0).all()
+    for q in range(30):
+        true = [e for e in range(3000) if like[q, e] >= least[q] and score[q, e] >= floor[q]]
+        true = sorted(true, key=lambda e: (-score[q, e], e))[:21]
+        assert set(true) <= set(y[x == q].tolist()) and (like[q, y[x == q]] >= least[q]).all()

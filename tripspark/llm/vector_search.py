@@ -39,6 +39,10 @@ LISTS, LIST, BLOCK = 16, 8192, 8192
 PHASE = 4
 #: Queries compared with a block at once, and pairs reranked at once.
 TOGETHER, PAIRS = 128, 1 << 14
+#: All pairs of a block are multiplied at once where at least one of so many is reranked.
+DENSE = 32
+#: Up to so many components for each place of an order, a product costs less than the footrule.
+SHORT = 4
 
 
 def inner_products(a, b):
@@ -68,14 +72,81 @@ class Pivots:
 def likeness(queries, entries):
     """Sums of the smaller weights, (queries, entries): the nearer by footrule, the larger.
 
-    ``queries`` is (queries, pivots), ``entries`` is (pivots, entries).
+    ``queries`` is (queries, pivots), ``entries`` is (pivots, entries).  Only the pivots of a query's
+    own order enter its sums, however many there are.
     """
     out = np.zeros((len(queries), entries.shape[1]), np.uint16)
-    for pivot in np.flatnonzero(queries.any(0)):
-        out += np.minimum(queries[:, pivot, None], entries[pivot])
+    smaller = np.empty(entries.shape[1], np.uint16)
+    # Whole rows of a weight: with a single number numpy takes the minimum several times as slowly.
+    rows = np.repeat(np.arange(queries.max(initial=0) + 1, dtype=np.uint16)[:, None],
+                     entries.shape[1], 1)
+    for query, sums in zip(queries, out):
+        for pivot in np.flatnonzero(query):
+            np.minimum(entries[pivot], rows[query[pivot]], out=smaller)
+            np.add(sums, smaller, out=sums)
     return out
 
 
+def _likeness_of(orders, entries, x, y):
+    """``likeness`` of single pairs, given the orders of the queries."""
+    out = np.empty(len(x), np.int64)
+    own = np.arange(orders.shape[1], 0, -1, dtype=np.uint16)
+    for s in range(0, len(x), PAIRS):
+        out[s:s + PAIRS] = np.minimum(
+            entries[orders[x[s:s + PAIRS]], y[s:s + PAIRS, None]], own).sum(1, dtype=np.int64)
+    return out
+
+
+def _products(queries, entries, x, y):
+    out = np.empty(len(x))
+    for s in range(0, len(x), PAIRS):
+        out[s:s + PAIRS] = np.einsum("ij,ij->i", queries[x[s:s + PAIRS]], entries[y[s:s + PAIRS]])
+    return out
+
+
+def reaching(pivots, queries, orders, least, floor, entries, weights, count):
+    """(query, entry) of all pairs whose likeness is ``least`` at least and whose inner product may be
+    ``floor`` at least and one of the ``count`` largest of those of the query; in order of both.
+
+    Products summed in any order differ by less than ``off``, so no pair is lost; what is not a
+    number stays in.  Both conditions must hold, so the cheaper one is asked first where a floor is
+    known.
+    """
+    dim = queries.shape[1]
+    with np.errstate(all="ignore"):
+        longest = np.sqrt((entries * entries).sum(1).max(initial=0))
+        off = 4 * dim * np.finfo(np.float64).eps * longest * np.sqrt(
+            (queries * queries).sum(1)) + np.finfo(np.float64).tiny
+        known = np.isfinite(floor) & (dim <= SHORT * pivots.prefix)
+        found = []
+        for part in (np.flatnonzero(known), np.flatnonzero(~known)):
+            if not len(part):
+                continue
+            if known[part[0]]:
+                score = queries[part] @ entries.T
+                x, y = np.nonzero(~(score < (floor - off)[part, None]))
+                score = score[x, y]
+                ranked = _likeness_of(orders[part], weights, x, y) >= least[part][x]
+                x, y, score = x[ranked], y[ranked], score[ranked]
+            else:
+                ranked = likeness(pivots.weights(orders[part]), weights) >= least[part, None]
+                x, y = np.nonzero(ranked)
+                score = ((queries[part] @ entries.T)[x, y] if len(x) * DENSE >= ranked.size
+                         else _products(queries[part], entries, x, y))
+                reach = ~(score < (floor - off)[part][x])
+                x, y, score = x[reach], y[reach], score[reach]
+            ends = np.searchsorted(x, np.arange(len(part) + 1))
+            keep = np.ones(len(x), bool)
+            for query in np.flatnonzero(np.diff(ends) > count):
+                own = score[ends[query]:ends[query + 1]]
+                nth = np.partition(own, len(own) - count)[len(own) - count]
+                keep[ends[query]:ends[query + 1]] = ~(own < nth - 2 * off[part[query]])
+            found.append((part[x[keep]], y[keep]))
+    x, y = map(np.concatenate, zip(*found))
+    order = np.argsort(x, kind="stable")
+    return x[order], y[order]
+
+
 def _matrix(column, dtype, dim):
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, dim)
 
@@ -257,12 +328,13 @@ def _search(shared, dim, dtype, count):
         q_no = queries.column("no").to_numpy()
         q = _matrix(queries.column("vector"), dtype, dim).astype(np.float64)
         orders = _matrix(queries.column("orders"), np.uint16, pivots.prefix)
-        like = likeness(pivots.weights(orders), weights)
-        x, y = np.nonzero(like >= queries.column("least").to_numpy()[:, None])
+        floor = queries.column("floor").to_numpy()
+        x, y = reaching(pivots, q, orders, queries.column("least").to_numpy(), floor, vectors, weights,
+                        count)
         score = np.empty(len(x))
         for s in range(0, len(x), PAIRS):
             score[s:s + PAIRS] = inner_products(q[x[s:s + PAIRS]], vectors[y[s:s + PAIRS]])
-        reach = score >= queries.column("floor").to_numpy()[x]
+        reach = score >= floor[x]
         x, y, score = x[reach], y[reach], score[reach]
         order = np.lexsort((low[y], -score, x))
         x, y, score = x[order], y[order], score[order]
